@@ -14,9 +14,10 @@ def register(name: str, columns: str, build, sql: str | None = None) -> None:
 
 
 from journeyloom.plans import (  # noqa: E402
+    analysis_queries,
     attribution_queries,
     journey_queries,
 )
 
-for _module in (journey_queries, attribution_queries):
+for _module in (journey_queries, attribution_queries, analysis_queries):
     _module.register_all(register)
