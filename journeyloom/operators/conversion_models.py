@@ -254,7 +254,7 @@ INTERACTIONS = ["search_social", "search_email", "social_email"]
 
 
 def interaction_counts(touches: DataFrame) -> DataFrame:
-    """Journeys per combination of the channel flags and outcome, at most 32 rows."""
+    """Journeys and conversions per combination of the channel flags, at most 16 rows."""
     journeys = touches.groupBy("customer_id").agg(
         F.max("converted").alias("converted"),
         _has("paid_search", "organic_search").alias("has_search"),
@@ -262,9 +262,12 @@ def interaction_counts(touches: DataFrame) -> DataFrame:
         _has("email").alias("has_email"),
         _has("display").alias("has_display"),
     )
-    counts = journeys.groupBy("converted", *MAIN_EFFECTS).agg(F.count(F.lit(1)).cast("double").alias("journeys"))
+    counts = journeys.groupBy(*MAIN_EFFECTS).agg(
+        F.count(F.lit(1)).cast("double").alias("journeys"), F.sum("converted").alias("conversions")
+    )
     return counts.withColumns(
         {
+            "converted": F.col("conversions") / F.col("journeys"),
             "search_social": F.col("has_search") * F.col("has_social"),
             "search_email": F.col("has_search") * F.col("has_email"),
             "social_email": F.col("has_social") * F.col("has_email"),
@@ -275,9 +278,10 @@ def interaction_counts(touches: DataFrame) -> DataFrame:
 def interaction_test(touches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Likelihood-ratio test of the three interactions, and their coefficients.
 
-    All predictors are flags, so the fits run on counts per combination, as weights.
+    All predictors are flags, so the fits run on one row per combination: its share of
+    conversions, weighted by its journeys. The likelihood ratio is that of single rows.
     """
-    counts = freeze(interaction_counts(touches))
+    counts = freeze(interaction_counts(touches)).coalesce(1)
     plain = _logit(counts, MAIN_EFFECTS, "journeys")
     full = _logit(counts, [*MAIN_EFFECTS, *INTERACTIONS], "journeys")
     statistic = float(plain.summary.deviance - full.summary.deviance)

@@ -271,19 +271,33 @@ def bootstrap_means(
 
     Touches fall at random (by hash) into ``blocks`` groups per channel, reduced to a
     count and a sum in one pass. Each replicate weights the groups with Poisson(1)
-    draws. The work after the pass is blocks x replicates whatever the data size.
+    draws, kept as one byte per (block, replicate): a table whose size the parameters
+    fix. The work after the pass is channels x blocks x replicates whatever the data size.
     """
+    spark = attributed.sparkSession
+    tasks = spark.sparkContext.defaultParallelism
     block = F.pmod(hash_int(F.col("customer_id"), F.col("touchpoint_number")), F.lit(blocks)).cast("int")
     sums = (
         attributed.filter(F.col(value).isNotNull())
         .groupBy("channel", block.alias("block"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
     )
-    bits = hash_int(F.lit(seed), F.col("block"), F.col("replicate"))
-    weight = sum((F.when(bits >= t, 1).otherwise(0) for t in poisson_thresholds()), F.lit(0))
+    drawn = F.transform(
+        F.sequence(F.lit(0), F.lit(replicates - 1)), lambda r: hash_int(F.lit(seed), F.col("block"), r)
+    )
+    passed = sum((F.when(F.col("bits") >= t, 1).otherwise(0) for t in poisson_thresholds()), F.lit(0))
+    weights = (
+        spark.range(0, blocks, 1, min(tasks, blocks))
+        .select(F.col("id").cast("int").alias("block"))
+        .select("block", F.posexplode(drawn).alias("replicate", "bits"))
+        .groupBy("block")
+        .agg(F.array_sort(F.collect_list(F.struct("replicate", passed.cast("tinyint").alias("w")))).alias("draws"))
+        .select("block", F.col("draws.w").alias("draws"))
+    )
     means = (
-        sums.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-        .withColumn("w", weight)
+        sums.repartition(tasks, "channel", "block")
+        .join(F.broadcast(weights), "block")
+        .select("channel", "n", "s", F.posexplode("draws").alias("replicate", "w"))
         .filter(F.col("w") > 0)
         .groupBy("channel", "replicate")
         .agg(ratio(F.sum(F.col("w") * F.col("s")), F.sum(F.col("w") * F.col("n"))).alias("mean"))

@@ -117,9 +117,10 @@ def ridge_coefficients(grid: DataFrame, channels: list[str], seed: int = 42, fol
     inputs = wide.select(
         "total_revenue", *[F.col(f"`{c}`").alias(n) for c, n in zip(channels, names, strict=True)]
     )
-    data = VectorAssembler(inputCols=names, outputCol="features").transform(inputs).persist()
+    # one row per day: a single partition spares every fit its scheduling
+    data = VectorAssembler(inputCols=names, outputCol="features").transform(inputs).coalesce(1).persist()
     try:
-        ridge = LinearRegression(featuresCol="features", labelCol="total_revenue", elasticNetParam=0.0)
+        ridge = LinearRegression(featuresCol="features", labelCol="total_revenue", elasticNetParam=0.0, solver="normal")
         grid_of = ParamGridBuilder().addGrid(ridge.regParam, LAMBDAS).build()
         search = CrossValidator(
             estimator=ridge,

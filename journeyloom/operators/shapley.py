@@ -152,9 +152,13 @@ def shapley_sampled(
             )
         ).alias("m")
     )
+    # a channel that no order could place in a seen coalition is worth 0
+    none = spark.createDataFrame([(i, 0.0) for i in range(n)], "c int, gain double")
     return (
-        signed.groupBy("m.c")
-        .agg((F.sum("m.gain") / n_samples).alias("raw_value"))
+        signed.select("m.c", "m.gain")
+        .unionByName(none)
+        .groupBy("c")
+        .agg((F.sum("gain") / n_samples).alias("raw_value"))
         .select(F.element_at(F.lit(channels), F.col("c") + 1).alias("channel"), "raw_value")
     )
 

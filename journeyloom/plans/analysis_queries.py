@@ -692,8 +692,8 @@ def _models(register) -> None:
     register("l9_variance_inflation", "term, vif:6", lambda t: L.variance_inflation(t.touches))
     register(
         "l10_interaction_counts",
-        "converted:i, has_search:i, has_social:i, has_email:i, has_display:i, search_social:i, search_email:i, "
-        "social_email:i, journeys:i",
+        "has_search:i, has_social:i, has_email:i, has_display:i, search_social:i, search_email:i, social_email:i, "
+        "journeys:i, conversions:i, converted:6",
         lambda t: L.interaction_counts(t.touches),
         with_touches(
             """
@@ -707,7 +707,8 @@ def _models(register) -> None:
             )
             SELECT *, has_search * has_social AS search_social, has_search * has_email AS search_email,
                    has_social * has_email AS social_email
-            FROM (SELECT converted, has_search, has_social, has_email, has_display, count(*) AS journeys
+            FROM (SELECT has_search, has_social, has_email, has_display, count(*) AS journeys,
+                         sum(converted) AS conversions, avg(converted) AS converted
                   FROM j GROUP BY ALL)"""
         ),
     )
