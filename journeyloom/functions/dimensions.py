@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from journeyloom.session import checkpointed
+
 BROADCAST_ROWS = 100_000
 _SALTS = 64
 
@@ -20,6 +22,14 @@ def freeze(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def pin(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Evaluate a reduced table once, whatever its size: a local table or a checkpoint."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return checkpointed(df)
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def join_dimension(
     touches: DataFrame, values: DataFrame, key: str = "channel", how: str = "left", limit: int = BROADCAST_ROWS
 ) -> DataFrame:

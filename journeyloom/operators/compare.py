@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from journeyloom.functions.dimensions import join_dimension
+from journeyloom.functions.dimensions import channels_of, join_dimension, pin
 from journeyloom.functions.journey_scope import CHUNK_TOUCHES, with_journey_totals
 from journeyloom.functions.numeric import ranked_top, ratio, roi, total
-from journeyloom.operators.markov import removal_effects, shared_credit
+from journeyloom.operators.markov import removal_effects_from_sets, shared_credit
 from journeyloom.operators.rules import RULES, rule_credit
-from journeyloom.operators.shapley import shapley_values
+from journeyloom.operators.shapley import channel_sets, shapley_values
 
 # Display names of the methods, in report order.
 METHODS = {
@@ -31,11 +31,15 @@ def attribute_all(
 ) -> DataFrame:
     """The seven ``*_attribution`` columns.
 
-    Fitting gives two channel-sized tables; they meet in one small join, and all seven
-    credits then come from a single pass over the journeys.
+    Both models are fitted on the distinct channel sets, found in one pass. The two
+    channel-sized results meet in one small join, and all seven credits then come from
+    a single further pass over the journeys.
     """
-    shapley = shapley if shapley is not None else shapley_values(touches)
-    markov = markov if markov is not None else removal_effects(touches)
+    if shapley is None or markov is None:
+        channels = channels_of(touches)
+        sets = pin(channel_sets(touches, channels))
+        shapley = shapley if shapley is not None else shapley_values(touches, channels=channels, sets=sets)
+        markov = markov if markov is not None else removal_effects_from_sets(sets, channels)
     fitted = shapley.select("channel", F.col("shapley_value").alias("_sh")).join(
         markov.select("channel", F.col("attribution_share").alias("_mk")), "channel", "full"
     )

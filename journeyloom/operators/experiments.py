@@ -282,33 +282,39 @@ def bootstrap_means(
         .groupBy("channel", block.alias("block"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
     )
+    # draw 0 gives every group weight 1: the observed mean comes out of the same pass
     drawn = F.transform(
-        F.sequence(F.lit(0), F.lit(replicates - 1)), lambda r: hash_int(F.lit(seed), F.col("block"), r)
+        F.sequence(F.lit(-1), F.lit(replicates - 1)), lambda r: hash_int(F.lit(seed), F.col("block"), r)
     )
     passed = sum((F.when(F.col("bits") >= t, 1).otherwise(0) for t in poisson_thresholds()), F.lit(0))
+    passed = F.when(F.col("draw") == 0, 1).otherwise(passed)
     weights = (
         spark.range(0, blocks, 1, min(tasks, blocks))
         .select(F.col("id").cast("int").alias("block"))
-        .select("block", F.posexplode(drawn).alias("replicate", "bits"))
+        .select("block", F.posexplode(drawn).alias("draw", "bits"))
         .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("replicate", passed.cast("tinyint").alias("w")))).alias("draws"))
+        .agg(F.array_sort(F.collect_list(F.struct("draw", passed.cast("tinyint").alias("w")))).alias("draws"))
         .select("block", F.col("draws.w").alias("draws"))
     )
     means = (
         sums.repartition(tasks, "channel", "block")
         .join(F.broadcast(weights), "block")
-        .select("channel", "n", "s", F.posexplode("draws").alias("replicate", "w"))
+        .select("channel", "n", "s", F.posexplode("draws").alias("draw", "w"))
         .filter(F.col("w") > 0)
-        .groupBy("channel", "replicate")
+        .groupBy("channel", "draw")
         .agg(ratio(F.sum(F.col("w") * F.col("s")), F.sum(F.col("w") * F.col("n"))).alias("mean"))
     )
-    spread = means.groupBy("channel").agg(
-        F.percentile("mean", F.lit(0.025)).alias("ci_lower"),
-        F.percentile("mean", F.lit(0.975)).alias("ci_upper"),
-        F.stddev_samp("mean").alias("std_error"),
+    resampled = F.when(F.col("draw") > 0, F.col("mean"))
+    return (
+        means.groupBy("channel")
+        .agg(
+            F.max(F.when(F.col("draw") == 0, F.col("mean"))).alias("mean_attribution"),
+            F.percentile(resampled, F.lit(0.025)).alias("ci_lower"),
+            F.percentile(resampled, F.lit(0.975)).alias("ci_upper"),
+            F.stddev_samp(resampled).alias("std_error"),
+        )
+        .orderBy(F.desc("mean_attribution"), "channel")
     )
-    observed = sums.groupBy("channel").agg(ratio(F.sum("s"), F.sum("n")).alias("mean_attribution"))
-    return observed.join(spread, "channel").orderBy(F.desc("mean_attribution"), "channel")
 
 
 def revenue_intervals(touches: DataFrame, z: float = 1.96) -> DataFrame:

@@ -55,11 +55,26 @@ def removal_effects(touches: DataFrame) -> DataFrame:
         journeys.filter(F.col("converted") == 1)
         .groupBy(sole.alias("channel"))
         .agg(F.count(F.lit(1)).alias("lost"))
-        .select("channel", "lost", F.sum("lost").over(Window.partitionBy(F.lit(0))).alias("conversions"))
     )
-    # all tables from here on have one row per channel
-    lost = by_channel.filter(F.col("channel").isNotNull())
-    channels = touches.select("channel").distinct()
+    return _effects(by_channel, touches.select("channel").distinct())
+
+
+def removal_effects_from_sets(sets: DataFrame, channels: list[str]) -> DataFrame:
+    """M4, M5 from the distinct channel sets of ``shapley.channel_sets``."""
+    alone = F.when(F.size("members") == 1, F.element_at(F.lit(channels), F.col("members")[0] + 1))
+    by_channel = sets.groupBy(alone.alias("channel")).agg(F.sum("conversions").alias("lost"))
+    names = sets.sparkSession.createDataFrame([(c,) for c in channels], "channel string")
+    return _effects(by_channel, names)
+
+
+def _effects(by_channel: DataFrame, channels: DataFrame) -> DataFrame:
+    """Effects and shares from conversions lost per sole channel (NULL: more than one).
+
+    All tables here have one row per channel.
+    """
+    lost = by_channel.select("channel", "lost", total(F.col("lost")).alias("conversions")).filter(
+        F.col("channel").isNotNull()
+    )
     effects = channels.join(lost, "channel", "left").select(
         "channel", F.coalesce(ratio(F.col("lost"), F.col("conversions")), F.lit(0.0)).alias("removal_effect")
     )

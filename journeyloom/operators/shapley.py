@@ -20,33 +20,48 @@ EXACT_CHANNELS = 16
 SAMPLES = 1000
 
 
-def _index(channels: list[str]) -> Column:
-    """Position of the row's channel in ``channels``."""
-    return F.array_position(F.lit(channels), F.col("channel")) - 1
+def channel_sets(touches: DataFrame, channels: list[str]) -> DataFrame:
+    """Journeys and conversions per distinct channel set, the input of both models.
 
+    ``members`` holds positions in ``channels``. One pass reduces each journey to a bit
+    mask (to an array of positions above 62 channels) and counts equal ones; everything
+    after works on these rows instead of journeys.
+    """
+    position = F.create_map(*[F.lit(x) for i, c in enumerate(channels) for x in (c, i)])
+    n = len(channels)
+    if n <= 62:
+        bits = F.create_map(*[F.lit(x) for i, c in enumerate(channels) for x in (c, 1 << i)])
+        mask = F.bit_or(F.element_at(bits, F.col("channel")).cast("long"))
+        key = F.filter(F.lit(list(range(n))), lambda i: F.getbit("mask", i) == 1)
+    else:
+        mask = F.array_sort(F.collect_set(F.element_at(position, F.col("channel"))))
+        key = F.col("mask")
+    return (
+        touches.groupBy("customer_id")
+        .agg(mask.alias("mask"), F.max("converted").alias("converted"))
+        .groupBy("mask")
+        .agg(F.count(F.lit(1)).alias("total"), F.sum("converted").alias("conversions"))
+        .select(key.alias("members"), "total", "conversions")
+    )
 
-def coalition_rates(touches: DataFrame, channels: list[str] | None = None) -> DataFrame:
+
+def coalition_rates(
+    touches: DataFrame | None, channels: list[str] | None = None, sets: DataFrame | None = None
+) -> DataFrame:
     """H1: journeys, conversions and rate of every coalition seen, incl. the empty one.
 
-    Journeys first collapse to one row per distinct channel set, as a bit mask. Only
-    those few rows are expanded to their subsets.
+    Only the distinct channel sets are expanded to their subsets, not the journeys.
     """
     channels = channels or channels_of(touches)
     if len(channels) > EXACT_CHANNELS:
         raise ValueError(f"subsets of {len(channels)} channels cannot be enumerated: use the sampled mode")
-    bits = F.create_map(*[F.lit(x) for i, c in enumerate(channels) for x in (c, 1 << i)])
-    bit = F.element_at(bits, F.col("channel")).cast("long")
-    sets = (
-        touches.groupBy("customer_id")
-        .agg(F.bit_or(bit).alias("mask"), F.max("converted").alias("converted"))
-        .groupBy("mask")
-        .agg(F.count(F.lit(1)).alias("total"), F.sum("converted").alias("conversions"))
-    )
-    members = F.filter(F.lit([1 << i for i in range(len(channels))]), lambda b: F.col("mask").bitwiseAND(b) != 0)
+    sets = sets if sets is not None else channel_sets(touches, channels)
     subsets = F.aggregate(
-        members,
+        "members",
         F.array(F.lit(0).cast("long")),
-        lambda found, b: F.concat(found, F.transform(found, lambda s: s.bitwiseOR(b.cast("long")))),
+        lambda found, i: F.concat(
+            found, F.transform(found, lambda s: s.bitwiseOR(F.element_at(F.lit([1 << b for b in range(63)]), i + 1)))
+        ),
     )
     rates = (
         sets.select(F.explode(subsets).alias("mask"), "total", "conversions")
@@ -60,7 +75,9 @@ def coalition_rates(touches: DataFrame, channels: list[str] | None = None) -> Da
     return rates.select("mask", names.alias("coalition"), "total", "conversions", "rate")
 
 
-def shapley_exact(touches: DataFrame, channels: list[str] | None = None) -> DataFrame:
+def shapley_exact(
+    touches: DataFrame | None, channels: list[str] | None = None, sets: DataFrame | None = None
+) -> DataFrame:
     """H2, exact: the expectation the sampler estimates, as one weighted sum.
 
     Gathering the marginal contributions by coalition T gives channel i the weight
@@ -72,10 +89,10 @@ def shapley_exact(touches: DataFrame, channels: list[str] | None = None) -> Data
     weights = F.lit([math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)])
     size = F.bit_count("mask")
     per_channel = (
-        coalition_rates(touches, channels)
+        coalition_rates(touches, channels, sets)
         .filter(F.col("mask") != 0)
         .select("mask", "rate", F.explode(F.lit(list(range(n)))).alias("i"))
-        .withColumn("held", F.expr("shiftright(mask, i) & 1") == 1)
+        .withColumn("held", F.getbit("mask", "i") == 1)
     )
     weight = F.when(F.col("held"), F.element_at(weights, size)).otherwise(-F.element_at(weights, size + 1))
     return (
@@ -86,7 +103,11 @@ def shapley_exact(touches: DataFrame, channels: list[str] | None = None) -> Data
 
 
 def shapley_sampled(
-    touches: DataFrame, n_samples: int = SAMPLES, seed: int = 42, channels: list[str] | None = None
+    touches: DataFrame,
+    n_samples: int = SAMPLES,
+    seed: int = 42,
+    channels: list[str] | None = None,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
     """H2, sampled: average marginal contribution over random channel orders.
 
@@ -110,24 +131,18 @@ def shapley_sampled(
         .select("sample", shuffled["i"].alias("perm"))
         .withColumn("first", F.col("perm")[0])
     )
-    sets = (
-        touches.select("customer_id", "converted", _index(channels).cast("int").alias("c"))
-        .groupBy("customer_id")
-        .agg(F.array_sort(F.collect_set("c")).alias("set"), F.max("converted").alias("converted"))
-        .groupBy("set")
-        .agg(F.count(F.lit(1)).alias("total"), F.sum("converted").alias("conversions"))
-    )
+    sets = sets if sets is not None else channel_sets(touches, channels)
     run = F.aggregate(
         "perm",
         F.struct(F.lit(True).alias("inside"), F.lit(0).alias("length")),
         lambda a, c: F.struct(
-            (a["inside"] & F.array_contains("set", c)).alias("inside"),
-            (a["length"] + F.when(a["inside"] & F.array_contains("set", c), 1).otherwise(0)).alias("length"),
+            (a["inside"] & F.array_contains("members", c)).alias("inside"),
+            (a["length"] + F.when(a["inside"] & F.array_contains("members", c), 1).otherwise(0)).alias("length"),
         ),
     )["length"]
     # n_samples orders of n small numbers: the broadcast size is set by the caller
     runs = (
-        sets.withColumn("first", F.explode("set"))
+        sets.withColumn("first", F.explode("members"))
         .join(F.broadcast(orders), "first")
         .select("sample", run.alias("run"), "total", "conversions")
         .groupBy("sample", "run")
@@ -173,19 +188,24 @@ def normalise(values: DataFrame) -> DataFrame:
 
 
 def shapley_values(
-    touches: DataFrame, mode: str = "auto", n_samples: int = SAMPLES, seed: int = 42
+    touches: DataFrame,
+    mode: str = "auto",
+    n_samples: int = SAMPLES,
+    seed: int = 42,
+    channels: list[str] | None = None,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
     """H2 + H3: channel, raw value and normalised value.
 
     ``mode``: 'exact', 'sampled', or 'auto' (exact up to ``EXACT_CHANNELS`` channels).
     """
-    channels = channels_of(touches)
+    channels = channels or channels_of(touches)
     if mode == "auto":
         mode = "exact" if len(channels) <= EXACT_CHANNELS else "sampled"
     if mode == "exact":
-        return normalise(shapley_exact(touches, channels))
+        return normalise(shapley_exact(touches, channels, sets))
     if mode == "sampled":
-        return normalise(shapley_sampled(touches, n_samples, seed, channels))
+        return normalise(shapley_sampled(touches, n_samples, seed, channels, sets))
     raise ValueError("mode must be 'auto', 'exact' or 'sampled'")
 
 
