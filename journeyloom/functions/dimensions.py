@@ -16,18 +16,18 @@ def freeze(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     The result of fitting a model is one row per channel and is used by several later
     steps. Reading at most ``limit`` + 1 rows both fixes it and proves its size.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(rows))
 
 
 def pin(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Evaluate a reduced table once, whatever its size: a local table or a checkpoint."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return checkpointed(df)
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return df.sparkSession.createDataFrame(rows)
 
 
 def join_dimension(
