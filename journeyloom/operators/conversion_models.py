@@ -10,7 +10,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from journeyloom.functions.dimensions import freeze
 from journeyloom.functions.distributions import chi2_tail
@@ -31,6 +31,9 @@ FEATURES = [
 ]
 _BUCKETS = 10_000
 
+# Forest size as in the reference; more memory for histograms means fewer passes.
+FOREST = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "sqrt", "maxMemoryInMB": 512}
+
 
 def split(features: DataFrame, test_share: float = 0.2, seed: int = 42, label: str | None = None):
     """L2: repeatable train and test parts by a hash of the customer.
@@ -62,9 +65,7 @@ def classifier(kind: str = "random_forest", label: str = "label", seed: int = 42
     """The three model families with the reference parameters."""
     common = {"labelCol": label, "featuresCol": "features"}
     if kind == "random_forest":
-        return RandomForestClassifier(
-            **common, numTrees=100, maxDepth=10, minInstancesPerNode=10, featureSubsetStrategy="sqrt", seed=seed
-        )
+        return RandomForestClassifier(**common, **FOREST, minInstancesPerNode=10, seed=seed)
     if kind == "gradient_boost":
         return GBTClassifier(**common, maxIter=100, maxDepth=5, stepSize=0.1, seed=seed)
     if kind == "logistic":
@@ -79,27 +80,41 @@ def train_pipeline(
     model = (
         classifier(kind, label, seed)
         if kind
-        else RandomForestClassifier(
-            labelCol=label, featuresCol="features", numTrees=100, maxDepth=10, featureSubsetStrategy="sqrt", seed=seed
-        )
+        else RandomForestClassifier(labelCol=label, featuresCol="features", **FOREST, seed=seed)
     )
-    assembler = VectorAssembler(inputCols=inputs or FEATURES, outputCol="features_raw")
+    inputs = inputs or FEATURES
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features_raw")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features")
-    return Pipeline(stages=[assembler, scaler, model]).fit(train)
+    rows = _spread(train.select("customer_id", label, *inputs))
+    try:
+        return Pipeline(stages=[assembler, scaler, model]).fit(rows)
+    finally:
+        rows.unpersist()
+
+
+def _spread(features: DataFrame) -> DataFrame:
+    """Cached over all cores in a fixed order: fitting is bound by computation, not by
+    bytes, and draws its samples by partition and row."""
+    tasks = features.sparkSession.sparkContext.defaultParallelism
+    return features.repartition(tasks, "customer_id").sortWithinPartitions("customer_id").persist()
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
     """L3: area under the curve and accuracy on the test part, one row."""
-    scored = model.transform(test)
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(scored)
-    hit = F.avg((F.col(label) == F.col("prediction")).cast("double"))
-    return scored.agg(F.lit(float(auc)).alias("auc"), hit.alias("accuracy"), F.count(F.lit(1)).alias("test_rows"))
+    scored = _spread(model.transform(test).select("customer_id", label, "rawPrediction", "prediction"))
+    try:
+        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(scored)
+        hits = F.avg((F.col(label) == F.col("prediction")).cast("double"))
+        accuracy, rows = scored.agg(hits, F.count(F.lit(1))).first()
+    finally:
+        scored.unpersist()
+    return test.sparkSession.createDataFrame(
+        [(float(auc), accuracy, rows)], "auc double, accuracy double, test_rows bigint"
+    )
 
 
 def feature_importance(model: PipelineModel, n: int | None = 10) -> DataFrame:
     """L4: features by importance in a tree model."""
-    from pyspark.sql import SparkSession
-
     names = model.stages[0].getInputCols()
     weights = model.stages[-1].featureImportances.toArray()
     rows = sorted(zip(names, (float(w) for w in weights), strict=True), key=lambda r: (-r[1], r[0]))
@@ -149,16 +164,10 @@ def compare_models(touches: DataFrame, channels: list[str], kinds: list[str], se
     """AUC and accuracy of each model family on one stratified split."""
     features, inputs = model_inputs(touches, channels)
     train, test = split(features, 0.2, seed, "converted")
-    train, test = train.persist(), test.persist()
-    try:
-        parts = []
-        for kind in kinds:
-            model = train_pipeline(train, inputs, kind, "converted", seed)
-            auc, accuracy, rows = evaluate(model, test, "converted").first()
-            parts.append((kind, auc, accuracy, rows))
-    finally:
-        train.unpersist()
-        test.unpersist()
+    parts = []
+    for kind in kinds:
+        model = train_pipeline(train, inputs, kind, "converted", seed)
+        parts.append((kind, *evaluate(model, test, "converted").first()))
     return touches.sparkSession.createDataFrame(
         parts, "model string, auc double, accuracy double, test_rows bigint"
     )
@@ -202,8 +211,6 @@ def _logit(data: DataFrame, inputs: list[str], weight: str | None = None):
 
 def coefficient_table(model, inputs: list[str]) -> DataFrame:
     """Estimate, standard error, z and p per term; the intercept comes first."""
-    from pyspark.sql import SparkSession
-
     s = model.summary
     values = [float(model.intercept), *map(float, model.coefficients)]
     # MLlib lists the intercept last in the summary arrays

@@ -132,17 +132,14 @@ def shapley_sampled(
         .withColumn("first", F.col("perm")[0])
     )
     sets = sets if sets is not None else channel_sets(touches, channels)
-    run = F.aggregate(
-        "perm",
-        F.struct(F.lit(True).alias("inside"), F.lit(0).alias("length")),
-        lambda a, c: F.struct(
-            (a["inside"] & F.array_contains("members", c)).alias("inside"),
-            (a["length"] + F.when(a["inside"] & F.array_contains("members", c), 1).otherwise(0)).alias("length"),
-        ),
-    )["length"]
+    # first place in the order that lies outside the set, or past its end
+    inside = F.transform("perm", lambda c: F.array_contains("members", c))
+    run = F.coalesce(F.nullif(F.array_position(inside, F.lit(False)), F.lit(0)), F.lit(n + 1)) - 1
+    tasks = spark.sparkContext.defaultParallelism
     # n_samples orders of n small numbers: the broadcast size is set by the caller
     runs = (
-        sets.withColumn("first", F.explode("members"))
+        sets.repartition(tasks, "members")
+        .withColumn("first", F.explode("members"))
         .join(F.broadcast(orders), "first")
         .select("sample", run.alias("run"), "total", "conversions")
         .groupBy("sample", "run")

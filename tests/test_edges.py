@@ -1,6 +1,6 @@
 """Edge cases of the touch model."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from touch_data import SCHEMA, by_touch, nine_touches
 def touches(spark, *rows):
     """(customer, position, length, channel, cost, converted, revenue[, day])"""
     full = [
-        (r[0], f"s{i}", datetime(2024, 1, r[7] if len(r) > 7 else 1, 8, i), r[3], "mobile", r[1], r[2], 1.0, 1, r[4], r[5], r[6])
+        (r[0], f"s{i}", datetime(2024, 1, r[7] if len(r) > 7 else 1, 8) + timedelta(seconds=i), r[3], "mobile", r[1], r[2], 1.0, 1, r[4], r[5], r[6])
         for i, r in enumerate(rows)
     ]
     return spark.createDataFrame(full, SCHEMA)
@@ -61,7 +61,7 @@ def test_conform(spark):
     with pytest.raises(KeyError):
         conform(raw.drop("channel"))
     with pytest.raises(Exception, match="reserved channel name"):
-        conform(raw.withColumn("channel", F.lit("start"))).count()
+        conform(raw.withColumn("channel", F.lit("start"))).collect()
     assert conform(raw.withColumn("customer_id", F.when(F.col("customer_id") > 1, F.col("customer_id")))).count() == 6
 
 
