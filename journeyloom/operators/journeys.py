@@ -236,16 +236,13 @@ def journey_paths(
 
 
 def path_patterns(touches: DataFrame, inline_steps: int = INLINE_STEPS) -> DataFrame:
-    """Frequency, average revenue, length, cost and variety per path and outcome."""
+    """Frequency, average revenue and average length per path and outcome."""
     journeys = journey_paths(
         touches,
         [
             F.max("converted").alias("converted"),
             F.max("revenue").alias("revenue"),
-            F.sum("cost").alias("total_cost"),
             F.count(F.lit(1)).alias("journey_length"),
-            F.size(F.collect_set("channel")).alias("unique_channels"),
-            F.size(F.collect_set("device")).alias("unique_devices"),
         ],
         inline_steps=inline_steps,
     )

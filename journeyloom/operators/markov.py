@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from journeyloom.functions.dimensions import freeze, join_dimension
 from journeyloom.functions.journey_scope import (
     CHUNK_TOUCHES,
-    longest_journey,
     with_journey_totals,
     with_neighbours,
 )
@@ -177,10 +176,7 @@ def flow_edges(
     if max_customers is not None:
         first = touches.select("customer_id").distinct().orderBy("customer_id").limit(max_customers)
         scope = touches.join(first, "customer_id", "left_semi")
-    bound = longest_journey(touches)
     ended = with_journey_totals(scope, {"_converted": F.max("converted")}, chunk)
-    if bound is not None:
-        ended = ended.withMetadata("total_touchpoints", dict(touches.schema["total_touchpoints"].metadata))
     moved = with_neighbours(ended, {"_next": ("channel", 1)}, chunk=chunk)
     p = F.col("touchpoint_number")
     outcome = F.when(F.col("_converted") == 1, "Conversion").otherwise("No Conversion")

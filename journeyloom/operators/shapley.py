@@ -10,14 +10,18 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from journeyloom.functions.dimensions import channels_of, freeze
+from journeyloom.functions.dimensions import channels_of, freeze, join_dimension
 from journeyloom.functions.journey_scope import CHUNK_TOUCHES
 from journeyloom.functions.numeric import hash_int, ratio, roi, total
 from journeyloom.operators.markov import channel_totals, share_out
 
 # Exact mode enumerates the subsets of each distinct channel set: at most 3^16 rows.
 EXACT_CHANNELS = 16
+# Channel sets fit a 64-bit mask up to here.
+MASK_CHANNELS = 62
 SAMPLES = 1000
+# Sampled orders are broadcast up to this many channel places in all.
+BROADCAST_PLACES = 5_000_000
 
 
 def channel_sets(touches: DataFrame, channels: list[str]) -> DataFrame:
@@ -27,21 +31,23 @@ def channel_sets(touches: DataFrame, channels: list[str]) -> DataFrame:
     mask (to an array of positions above 62 channels) and counts equal ones; everything
     after works on these rows instead of journeys.
     """
-    position = F.create_map(*[F.lit(x) for i, c in enumerate(channels) for x in (c, i)])
     n = len(channels)
-    if n <= 62:
+    if n <= MASK_CHANNELS:
         bits = F.create_map(*[F.lit(x) for i, c in enumerate(channels) for x in (c, 1 << i)])
+        located = touches
         mask = F.bit_or(F.element_at(bits, F.col("channel")).cast("long"))
-        key = F.filter(F.lit(list(range(n))), lambda i: F.getbit("mask", i) == 1)
+        members = F.filter(F.lit(list(range(n))), lambda i: F.getbit("mask", i) == 1)
     else:
-        mask = F.array_sort(F.collect_set(F.element_at(position, F.col("channel"))))
-        key = F.col("mask")
+        positions = touches.sparkSession.createDataFrame(list(enumerate(channels)), "position int, channel string")
+        located = join_dimension(touches, positions)
+        mask = F.array_sort(F.collect_set("position"))
+        members = F.col("mask")
     return (
-        touches.groupBy("customer_id")
+        located.groupBy("customer_id")
         .agg(mask.alias("mask"), F.max("converted").alias("converted"))
         .groupBy("mask")
         .agg(F.count(F.lit(1)).alias("total"), F.sum("converted").alias("conversions"))
-        .select(key.alias("members"), "total", "conversions")
+        .select(members.alias("members"), "total", "conversions")
     )
 
 
@@ -136,11 +142,12 @@ def shapley_sampled(
     inside = F.transform("perm", lambda c: F.array_contains("members", c))
     run = F.coalesce(F.nullif(F.array_position(inside, F.lit(False)), F.lit(0)), F.lit(n + 1)) - 1
     tasks = spark.sparkContext.defaultParallelism
-    # n_samples orders of n small numbers: the broadcast size is set by the caller
+    # n_samples orders of n small numbers: the size is known before any data is read
+    drawn = F.broadcast(orders) if n_samples * n <= BROADCAST_PLACES else orders
     runs = (
         sets.repartition(tasks, "members")
         .withColumn("first", F.explode("members"))
-        .join(F.broadcast(orders), "first")
+        .join(drawn, "first")
         .select("sample", run.alias("run"), "total", "conversions")
         .groupBy("sample", "run")
         .agg(F.sum("total").alias("total"), F.sum("conversions").alias("conversions"))
@@ -151,7 +158,7 @@ def shapley_sampled(
         .agg(ratio(F.sum("conversions"), F.sum("total")).alias("v"))
     )
     # v(prefix j) counts for the channel that completes it and against the next one
-    signed = prefixes.join(F.broadcast(orders), "sample").select(
+    signed = prefixes.join(drawn, "sample").select(
         F.explode(
             F.array_compact(
                 F.array(

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from journeyloom.operators import compare as C, markov as M, rules as R, shapley as H
-from journeyloom.plans.reference_sql import with_credit, with_models, with_touches
+from journeyloom.plans.reference_sql import (
+    with_credit,
+    with_ga_credit,
+    with_ga_touches,
+    with_models,
+    with_sessions,
+    with_touches,
+)
 from journeyloom.schema import CHANNELS
 
 _KEY = "customer_id:i, touchpoint_number:i"
@@ -264,6 +271,18 @@ def register_all(register) -> None:
         lambda t: C.comparison(t.attributed),
         with_credit(f"{wide} SELECT *, {long_roi} AS roi FROM ({named})"),
     )
+    register(
+        "c2_ga_method_comparison",
+        "channel, method, attributed_revenue:4, channel_cost:4, roi:6",
+        lambda t: C.comparison(C.attribute_all(t.ga_touches)),
+        with_ga_credit(f"{wide} SELECT *, {long_roi} AS roi FROM ({named})"),
+    )
+    register(
+        "m1_ga_transitions",
+        "from_state, to_state, count:i, probability:6",
+        lambda t: M.transitions(t.ga_touches),
+        with_ga_touches(f"{_STEPS} SELECT * FROM edges"),
+    )
     items = ", ".join(_METHODS)
     variance = f"list_var_samp([{items}])"
     summary_columns = "channel, " + ", ".join(f"{m}:4" for m in _METHODS) + ", variance:2, std_dev:4, cv:6, average:4"
@@ -391,8 +410,6 @@ def _alphabetical(body: str) -> str:
 
 
 def _ga_rules() -> str:
-    from journeyloom.plans.reference_sql import with_sessions
-
     return with_sessions(
         """
         , ctx AS (

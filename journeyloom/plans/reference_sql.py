@@ -151,3 +151,11 @@ def with_models(body: str) -> str:
 
 def with_credit(body: str) -> str:
     return f"WITH {TOUCHES}, {SHAPLEY}, {MARKOV}, {CREDIT} {body}"
+
+
+def with_ga_touches(body: str) -> str:
+    return f"WITH {SESSIONS}, tp AS (SELECT * FROM gt) {body}"
+
+
+def with_ga_credit(body: str) -> str:
+    return f"WITH {SESSIONS}, tp AS (SELECT * FROM gt), {SHAPLEY}, {MARKOV}, {CREDIT} {body}"

@@ -180,12 +180,31 @@ def test_measured_bound(long):
     assert scope.longest_journey(measured.filter("channel = 'email'").select("customer_id", "total_touchpoints")) == 41
 
 
-def test_sampled_shapley_on_many_channels(spark):
+@pytest.mark.parametrize("sources", [40, 90])
+def test_sampled_shapley_on_many_channels(spark, sources):
     rng = random.Random(5)
-    rows = [(r[0], r[1], r[2], f"src{rng.randint(0, 39)}", *r[4:]) for r in random_journeys([4] * 60)]
+    rows = [(r[0], r[1], r[2], f"src{rng.randint(0, sources - 1)}", *r[4:]) for r in random_journeys([4] * 100)]
     touches = spark.createDataFrame(rows, SCHEMA)
     values = shapley.shapley_values(touches, n_samples=200)
     shares = {r["channel"]: r["shapley_value"] for r in values.collect()}
     assert len(shares) == len({r[3] for r in rows}) and sum(shares.values()) == pytest.approx(1.0)
     with pytest.raises(ValueError):
         shapley.coalition_rates(touches)
+
+
+def test_wide_sets_equal_masked_sets(long, monkeypatch):
+    channels = sorted(r[0] for r in long.select("channel").distinct().collect())
+
+    def collected():
+        return {tuple(r["members"]): (r["total"], r["conversions"]) for r in shapley.channel_sets(long, channels).collect()}
+
+    masked = collected()
+    exact = {r["channel"]: r["raw_value"] for r in shapley.shapley_exact(long, channels).collect()}
+    monkeypatch.setattr(shapley, "MASK_CHANNELS", 1)
+    monkeypatch.setattr(shapley, "BROADCAST_PLACES", 1)
+    assert collected() == masked
+    sampled = {r["channel"]: r["raw_value"] for r in shapley.shapley_sampled(long, 3000, 2, channels).collect()}
+    assert sampled == pytest.approx(exact, abs=0.05)
+    from_sets = markov.removal_effects_from_sets(shapley.channel_sets(long, channels), channels).collect()
+    plain = {r["channel"]: r["removal_effect"] for r in markov.removal_effects(long).collect()}
+    assert {r["channel"]: r["removal_effect"] for r in from_sets} == pytest.approx(plain)
