@@ -227,14 +227,16 @@ def method_effect_size(
     )
 
 
-def sample_sizes(touches: DataFrame, mde: float = 0.02, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
+def sample_sizes(
+    touches: DataFrame, mde: float = 0.02, alpha: float = 0.05, power: float = 0.8, by: str = "channel"
+) -> DataFrame:
     """Customers needed to see a change of ``mde`` in the conversion rate.
 
-    One row for all customers and one per channel, each at its own baseline rate; the
-    effect is mde / sqrt(p (1 - p)). Normal approximation, one- and two-sample.
+    One row for all customers and one per channel (or other column, such as the customer
+    segment), each at its own baseline rate; the effect is mde / sqrt(p (1 - p)). Normal approximation, one- and two-sample.
     """
-    pairs = touches.groupBy("channel", "customer_id").agg(F.max("converted").alias("converted"))
-    per_channel = pairs.groupBy(F.col("channel").alias("scope")).agg(
+    pairs = touches.groupBy(by, "customer_id").agg(F.max("converted").alias("converted"))
+    per_group = pairs.groupBy(F.col(by).cast("string").alias("scope")).agg(
         F.count(F.lit(1)).alias("customers"), F.avg("converted").alias("baseline_rate")
     )
     overall = (
@@ -244,7 +246,7 @@ def sample_sizes(touches: DataFrame, mde: float = 0.02, alpha: float = 0.05, pow
         .select(F.lit("all").alias("scope"), "customers", "baseline_rate")
     )
     rate = F.col("baseline_rate")
-    sized = overall.unionByName(per_channel).withColumn(
+    sized = overall.unionByName(per_group).withColumn(
         "effect_size", ratio(F.lit(mde), F.sqrt(rate * (1 - rate)))
     )
     need = ratio(F.lit(_power_constant(alpha, power)), F.col("effect_size") * F.col("effect_size"))

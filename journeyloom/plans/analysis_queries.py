@@ -24,9 +24,9 @@ from journeyloom.sources.touchpoints import read_touchpoints
 _KEY = "customer_id:i, touchpoint_number:i"
 _TOUCH_COLUMNS = (
     f"{_KEY}, total_touchpoints:i, session_id, channel, device, time_on_site:4, pages_viewed:i, cost:4, "
-    "converted:i, revenue:4, second:i"
+    "converted:i, revenue:4, second"
 )
-_TOUCH_SQL = 'SELECT *, floor(epoch("timestamp")) AS second FROM tp'
+_TOUCH_SQL = """SELECT *, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS second FROM tp"""
 
 
 def register_all(register) -> None:
@@ -726,12 +726,12 @@ def _sinks(register) -> None:
     def csv_round_trip(t):
         path = fresh_path(t.spark, "touchpoints_csv")
         write_csv(t.touches, path)
-        return read_touchpoints(t.spark, path, "csv").withColumn("second", F.unix_timestamp("timestamp"))
+        return read_touchpoints(t.spark, path, "csv").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
     def parquet_round_trip(t):
         path = fresh_path(t.spark, "touchpoints")
         write_parquet(t.touches, path)
-        return read_touchpoints(t.spark, path, "parquet").withColumn("second", F.unix_timestamp("timestamp"))
+        return read_touchpoints(t.spark, path, "parquet").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
     register("s1_s4_touchpoints_csv", _TOUCH_COLUMNS, csv_round_trip, with_touches(_TOUCH_SQL))
     register("s3_s8_touchpoints_parquet", _TOUCH_COLUMNS, parquet_round_trip, with_touches(_TOUCH_SQL))

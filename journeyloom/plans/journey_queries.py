@@ -21,10 +21,10 @@ def register_all(register) -> None:
     )
     register(
         "s2_ga_touchpoints",
-        "customer_id, touchpoint_number:i, total_touchpoints:i, session_id, channel, device, second:i, cost:4, "
+        "customer_id, touchpoint_number:i, total_touchpoints:i, session_id, channel, device, second, cost:4, "
         "time_on_site:4, pages_viewed:i, converted:i, revenue:4",
-        lambda t: t.ga_touches.withColumn("second", F.unix_timestamp("timestamp")),
-        with_sessions('SELECT *, epoch("timestamp") AS second FROM gt'),
+        lambda t: t.ga_touches.withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")),
+        with_sessions("""SELECT *, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS second FROM gt"""),
     )
     register(
         "j1_touch_enrichment",
@@ -378,10 +378,10 @@ def register_all(register) -> None:
     register(
         "a11_dataset_summary",
         "total_customers:i, total_touchpoints:i, total_conversions:i, conversion_rate:6, avg_journey_length:6, "
-        "total_revenue:4, total_cost:4, roas:6, channels:a, start_second:i, end_second:i",
+        "total_revenue:4, total_cost:4, roas:6, channels:a, start_second, end_second",
         lambda t: A.dataset_summary(t.touches)
-        .withColumn("start_second", F.unix_timestamp("start"))
-        .withColumn("end_second", F.unix_timestamp("end")),
+        .withColumn("start_second", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+        .withColumn("end_second", F.date_format("end", "yyyy-MM-dd HH:mm:ss")),
         with_touches(
             """
             SELECT count(DISTINCT customer_id) AS total_customers, count(*) AS total_touchpoints,
@@ -391,7 +391,8 @@ def register_all(register) -> None:
                    sum(revenue) AS total_revenue, sum(cost) AS total_cost,
                    coalesce(sum(revenue) / nullif(sum(cost), 0), 0) AS roas,
                    list_sort(list(DISTINCT channel)) AS channels,
-                   floor(epoch(min("timestamp"))) AS start_second, floor(epoch(max("timestamp"))) AS end_second
+                   strftime(min("timestamp"), '%Y-%m-%d %H:%M:%S') AS start_second,
+                   strftime(max("timestamp"), '%Y-%m-%d %H:%M:%S') AS end_second
             FROM tp"""
         ),
     )
