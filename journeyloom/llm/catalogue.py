@@ -29,9 +29,16 @@ def op9_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(_table(spark, folder, "documents"), *tokenizer_files(), length=1024)
 
 
+def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.jaccard import jaccard_components
+
+    return jaccard_components(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op4_best_fit_shards": op4_best_fit_shards,
     "op9_hilbert_packing": op9_hilbert_packing,
+    "op10_t_occurrence_join": op10_t_occurrence_join,
 }
 
 ORACLE: dict[str, str] = {}
