@@ -23,6 +23,12 @@ def op4_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_digests(_table(spark, folder, "documents"), shards=24)
 
 
+def op5_fm_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.substring import without_repeats
+
+    return without_repeats(_table(spark, folder, "documents")).drop("kept")
+
+
 def op9_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.packing import piece_digests
 
@@ -37,6 +43,7 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_best_fit_shards": op4_best_fit_shards,
+    "op5_fm_index_dedup": op5_fm_index_dedup,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_t_occurrence_join": op10_t_occurrence_join,
 }
