@@ -29,6 +29,12 @@ def op5_fm_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(_table(spark, folder, "documents")).drop("kept")
 
 
+def op8_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.language import identify_languages
+
+    return identify_languages(_table(spark, folder, "documents"))
+
+
 def op9_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.packing import piece_digests
 
@@ -44,6 +50,7 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op4_best_fit_shards": op4_best_fit_shards,
     "op5_fm_index_dedup": op5_fm_index_dedup,
+    "op8_ppm_language": op8_ppm_language,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_t_occurrence_join": op10_t_occurrence_join,
 }
