@@ -17,6 +17,12 @@ def tokenizer_files() -> tuple[str, str, str]:
     return public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
 
+def op1_weak_supervision_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.toxicity import score_toxicity
+
+    return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op4_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.sharding import shard_digests
 
@@ -48,6 +54,7 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_weak_supervision_toxicity": op1_weak_supervision_toxicity,
     "op4_best_fit_shards": op4_best_fit_shards,
     "op5_fm_index_dedup": op5_fm_index_dedup,
     "op8_ppm_language": op8_ppm_language,
