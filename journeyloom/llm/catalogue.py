@@ -35,6 +35,12 @@ def op5_fm_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(_table(spark, folder, "documents")).drop("kept")
 
 
+def op7_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.neighbours import nearest
+
+    return nearest(_table(spark, folder, "embeddings"))
+
+
 def op8_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.language import identify_languages
 
@@ -57,6 +63,7 @@ QUERIES = {
     "op1_weak_supervision_toxicity": op1_weak_supervision_toxicity,
     "op4_best_fit_shards": op4_best_fit_shards,
     "op5_fm_index_dedup": op5_fm_index_dedup,
+    "op7_multi_index_hashing": op7_multi_index_hashing,
     "op8_ppm_language": op8_ppm_language,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_t_occurrence_join": op10_t_occurrence_join,

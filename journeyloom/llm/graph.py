@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from journeyloom.session import fresh_path
 
+PART_EDGES = 250_000
 #: A key list is broadcast up to this many rows (8 bytes each); beyond it the join shuffles.
 BROADCAST_KEYS = 500_000
 
@@ -29,34 +30,40 @@ def keep_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces each batch's edges by (member, smallest member) of its own components."""
-    for batch in batches:
-        a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        names, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-        left, right = at[: len(a)], at[len(a) :]
-        label = np.arange(len(names))
-        while True:
-            low = np.minimum(label[left], label[right])
-            before = label.copy()
-            np.minimum.at(label, left, low)
-            np.minimum.at(label, right, low)
-            np.minimum.at(label, before, label)
-            label = label[label]
-            if (label == before).all():
-                break
-        moved = np.flatnonzero(label != np.arange(len(names)))
-        yield pa.record_batch([pa.array(names[moved]), pa.array(names[label[moved]])], ["a", "b"])
-
-
-def components(edges: DataFrame) -> DataFrame:
+    """Replaces a partition's edges by (member, smallest member) of its own components."""
+    parts = [[c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches]
+    if not parts:
+        return
+    a, b = (np.concatenate(c) for c in zip(*parts, strict=True))
+    names, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    left, right = at[: len(a)], at[len(a) :]
+    label = np.arange(len(names))
+    while True:
+        before = label.copy()
+        low = np.minimum(label[left], label[right])
+        for side in (left, right):
+            np.minimum.at(label, side, low)
+            np.minimum.at(label, before[side], low)
+        label = label[label]
+        if (label == before).all():
+            break
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    yield pa.record_batch([pa.array(names[moved]), pa.array(names[label[moved]])], ["a", "b"])
+
+
+def components(edges: DataFrame, part_edges: int = PART_EDGES) -> DataFrame:
     """(node, component) of all nodes of ``edges`` (a, b: long), component being the smallest node.
 
-    Stars are contracted in turn: every node hands its larger neighbours to its smallest one, then its smaller ones.
+    Parts of at most about ``part_edges`` edges are first contracted by themselves, which finishes a small table. Then stars
+    are contracted in turn: every node hands its larger neighbours to its smallest one, then its smaller ones.
     The edge table never grows, no neighbourhood is gathered in one place, and each round is stored.
     """
-    start = edges.where("a <> b").select("a", "b").mapInArrow(_forest, "a long, b long")
-    now = stored(start.distinct(), "edges")
+    given = stored(edges.where("a <> b").select("a", "b"), "edges")
+    parts = -(-given.count() // part_edges)
+    now = stored(given.repartition(max(1, parts)).mapInArrow(_forest, "a long, b long"), "forest")
     seen = None
+    if parts <= 1:
+        return _members(now)
     while True:
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -76,5 +83,10 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen:
             break
         seen = mark
-    ends = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return _members(now)
+
+
+def _members(stars: DataFrame) -> DataFrame:
+    """(node, component) of stars (member, centre)."""
+    ends = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())

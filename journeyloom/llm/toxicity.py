@@ -27,7 +27,7 @@ LEAST_TEXTS = 4
 LEVELS = (1, 2, 4)
 LEAST_PRECISION = 0.9
 #: Weight of an unlabelled text of certain posterior beside a labelled one.
-UNLABELLED_WEIGHT = 0.1
+UNLABELLED_WEIGHT = 0.05
 THRESHOLD = 0.7
 
 

@@ -76,5 +76,7 @@ def test_merge_and_probe_counts():
 
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
-    assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+    table = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    want = {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+    assert {r.node: r.component for r in components(table).collect()} == want
+    assert {r.node: r.component for r in components(table, part_edges=90).collect()} == want
