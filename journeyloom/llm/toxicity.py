@@ -105,7 +105,8 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> np.nd
     """Posterior of label 1 for each row of 0/1 ``votes`` (the last voter says clean); ``known`` is 1, 0 or -1.
 
     Rates of firing under each label are smoothed counts. A voter's evidence is divided by one plus its correlations
-    with the other firing voters within the labels, so copies of one signal count about once.
+    with the other firing voters within the labels, so copies of one signal count about once. Silence of the last voter
+    says nothing that the others do not.
     """
     n, k = votes.shape
     p = np.where(known >= 0, known, votes[:, :-1].any(1).astype(float))
@@ -124,7 +125,7 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> np.nd
         together[together < 0.1] = 0
         fires = votes / (1 + votes @ together) * np.log(rate1 / rate0)
         silent = (1 - votes) * np.log((1 - rate1) / (1 - rate0)) / (1 + together.sum(1))
-        logit = np.log(prior / (1 - prior)) + fires.sum(1) + silent.sum(1) * 0.5
+        logit = np.log(prior / (1 - prior)) + fires.sum(1) + silent[:, :-1].sum(1)
         p = np.where(known >= 0, 0.98 * known + 0.01, 1 / (1 + np.exp(-np.clip(logit, -30, 30))))
         if np.abs(p - before).max() < 1e-4:
             break
