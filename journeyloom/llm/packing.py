@@ -15,17 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from journeyloom.llm.texts import _PRIME, mix, only, word_slices
+from journeyloom.llm.texts import _PRIME, mix, only
 from journeyloom.llm.tokens import TokenIds
 
 DIMENSIONS, BITS, TIE_BITS = 3, 15, 18
 HASHED = 256
 PART_BYTES = 32 << 20
 MAX_PARTS = 50_000
-SAMPLE_DOCS = 20_000
-PIECES = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int32())), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
-)
+SAMPLE_DOCS = 4_000
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -63,108 +60,111 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(9).standard_normal((HASHED, DIMENSIONS))
 
 
-def curve_positions(doc_ids: np.ndarray, texts: pa.Array) -> np.ndarray:
-    """Hilbert key of each text's hashed word vector, with bits of the document's hash below it to break ties."""
-    matrix, parts = _projection(), []
-    for row, stop, words in word_slices(texts):
-        h = words.hashes()
-        bucket = (h % np.uint64(HASHED)).astype(np.int64)
-        sign = np.where(h >> np.uint64(63), -1.0, 1.0)
-        rows = stop - row
-        vectors = np.bincount(words.doc * HASHED + bucket, sign, rows * HASHED).reshape(rows, HASHED)
-        vectors = np.sign(vectors) * np.log1p(np.abs(vectors))
-        norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-        place = vectors @ matrix / np.maximum(norm, 1e-12)
-        # The logistic curve spreads the nearly normal coordinates over the cells.
-        cells = np.floor((1 << BITS) / (1 + np.exp(-1.702 * np.clip(place, -8, 8)))).clip(0, (1 << BITS) - 1)
-        parts.append(hilbert_keys(cells, BITS))
-    keys = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    ties = mix(doc_ids.astype(np.int64).view(np.uint64) * _PRIME) >> np.uint64(64 - TIE_BITS)
-    return ((keys << np.uint64(TIE_BITS)) | ties).astype(np.int64)
-
-
-def _ids_of(batch: pa.RecordBatch) -> np.ndarray:
-    return np.asarray(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False), np.int64)
-
+def curve_positions(doc_ids: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+    """Hilbert key of each document's hashed token vector, with bits of its id's hash below it to break ties."""
+    vectors = np.zeros((len(ids), HASHED))
+    for row, tokens in zip(vectors, ids, strict=True):
+        h = mix(tokens.astype(np.uint64) + np.uint64(1))
+        signs = np.where(h >> np.uint64(63), -1.0, 1.0)
+        row += np.bincount((h % np.uint64(HASHED)).astype(np.int64), signs, HASHED)
+    vectors = np.sign(vectors) * np.log1p(np.abs(vectors))
+    place = vectors @ _projection() / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    # The logistic curve spreads the nearly normal coordinates over the cells.
+    cells = np.floor((1 << BITS) / (1 + np.exp(-1.702 * np.clip(place, -8, 8)))).clip(0, (1 << BITS) - 1)
+    ties = mix(doc_ids.view(np.uint64) * _PRIME) >> np.uint64(64 - TIE_BITS)
+    return ((hilbert_keys(cells, BITS) << np.uint64(TIE_BITS)) | ties).astype(np.int64)
+
+
+def _placed(batches: Iterator[pa.RecordBatch], tokenizer: tuple) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
+    """Batches of at most 1,024 documents with their ids (ended by one id 0) and places on the curve."""
+    encode = TokenIds(*tokenizer).ids
+    for whole in batches:
+        for low in range(0, whole.num_rows, 1024):
+            batch = whole.slice(low, 1024)
+            ids = [np.append(encode(t.as_py() or ""), np.uint32(0)) for t in batch.column("text")]
+            yield batch, ids, curve_positions(np.asarray(batch.column("doc_id").fill_null(-1), np.int64), ids)
+
+
+def _sampled(tokenizer: tuple):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, places in _placed(batches, tokenizer):
+            yield pa.record_batch([pa.array(places)], ["place"])
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.record_batch([pa.array(curve_positions(_ids_of(batch), batch.column("text")))], ["place"])
+    return run
 
 
 def _tokenised(borders: list[int], tokenizer: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, cuts = TokenIds(*tokenizer).ids, np.array(borders, np.int64)
-        for batch in batches:
-            places = curve_positions(_ids_of(batch), batch.column("text"))
-            blobs = [np.append(encode(t.as_py() or ""), np.uint32(0)).astype(np.uint32) for t in batch.column("text")]
-            blobs = [(b.astype("<u2") if b.max() < 0xFFFF else np.concatenate(([0xFFFF, 0xFFFF], b.view("<u2")))).astype("<u2").tobytes() for b in blobs]
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(np.searchsorted(cuts, places, "right").astype(np.int32)), pa.array(places), pa.array(blobs, pa.binary())],
-                ["doc_id", "part", "place", "ids"],
-            )
+        cuts = np.array(borders, np.int64)
+        for batch, ids, places in _placed(batches, tokenizer):
+            parts = np.searchsorted(cuts, places, "right").astype(np.int32)
+            blobs = pa.array([_blob(x) for x in ids], pa.binary())
+            yield pa.record_batch([batch.column("doc_id"), pa.array(parts), pa.array(places), blobs], ["doc_id", "part", "place", "ids"])
 
     return run
 
 
+def _blob(ids: np.ndarray) -> bytes:
+    """Two bytes an id, or four behind a mark where some id needs them."""
+    return ids.astype("<u2").tobytes() if ids.max() < 0xFFFF else b"\xff" * 4 + ids.astype("<u4").tobytes()
+
+
 def _unpacked(blob: bytes) -> np.ndarray:
-    """16-bit ids, or 32-bit ones behind a mark that 16-bit ids cannot form (their last id alone is the separator)."""
-    ids = np.frombuffer(blob, "<u2")
-    return ids[2:].copy().view("<u4") if len(ids) > 2 and ids[0] == 0xFFFF == ids[1] else ids.astype(np.uint32)
+    return np.frombuffer(blob[4:], "<u4") if blob[:4] == b"\xff" * 4 else np.frombuffer(blob, "<u2").astype(np.uint32)
 
 
-def _packed(length: int):
+def _packed(length: int, digests: bool):
+    name = "ids_crc32" if digests else "ids"
+    names = ["doc_id", "start", "length", name, "doc_tokens", "sequence_id", "offset"]
+    schema = pa.schema([(c, pa.list_(pa.int32()) if c == "ids" else pa.int64()) for c in names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, filled = None, 0
-        for batch in batches:
-            out: dict[str, list] = {name: [] for name in PIECES.names}
-            for doc, p, blob in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), batch.column("ids"), strict=True):
-                if p != part:
-                    part, filled = p, 0
-                ids, start = _unpacked(blob.as_py()), 0
-                while start < len(ids):
-                    offset = filled % length
-                    take = min(length - offset, len(ids) - start)
-                    for name, value in zip(PIECES.names, (doc, start, take, ids[start : start + take].astype(np.int32), len(ids), (p << 32) + filled // length, offset), strict=True):
-                        out[name].append(value)
-                    start, filled = start + take, filled + take
-            yield pa.RecordBatch.from_pydict(out, schema=PIECES)
+        for whole in batches:
+            for low in range(0, whole.num_rows, 512):
+                batch = whole.slice(low, 512)
+                out: dict[str, list] = {c: [] for c in names}
+                for doc, p, blob in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), batch.column("ids"), strict=True):
+                    if p != part:
+                        part, filled = p, 0
+                    ids, start = _unpacked(blob.as_py()), 0
+                    while start < len(ids):
+                        offset = filled % length
+                        take = min(length - offset, len(ids) - start)
+                        piece = ids[start : start + take]
+                        value = zlib.crc32(piece.astype("<u4").tobytes()) if digests else piece.astype(np.int32)
+                        for c, v in zip(names, (doc, start, take, value, len(ids), (p << 32) + filled // length, offset), strict=True):
+                            out[c].append(v)
+                        start, filled = start + take, filled + take
+                yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
 
 
-def pack_along_curve(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, length: int = 1024) -> DataFrame:
+def pack_along_curve(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, length: int = 1024, digests: bool = False) -> DataFrame:
     """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset) of all of ``docs`` (doc_id, text).
 
     Each document's ids end with one id 0; NULL and empty texts are that id alone. Every id lies in one piece. Ties on
     the curve go by doc_id's hash and doc_id; repeated rows are packed as often as they occur. No rows, no pieces.
+    With ``digests`` the column ids_crc32 (of little-endian 32-bit ids) stands in place of ids.
     """
     rows = only(docs, "doc_id", "text")
     size, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     parts = int(min(MAX_PARTS, max(1, -(-(size or 0) // PART_BYTES))))
     borders: list[int] = []
+    tool = (tokenizer, ranks, pattern)
     if parts > 1:
         share = min(1.0, SAMPLE_DOCS / count)
         some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-        places = np.sort([r[0] for r in some.mapInArrow(_places, "place long").limit(2 * SAMPLE_DOCS).collect()])
+        places = np.sort([r[0] for r in some.mapInArrow(_sampled(tool), "place long").limit(2 * SAMPLE_DOCS).collect()])
         if len(places):
             borders = [int(places[len(places) * i // parts]) for i in range(1, parts)]
-    tokens = rows.mapInArrow(_tokenised(borders, (tokenizer, ranks, pattern)), "doc_id long, part int, place long, ids binary")
+    tokens = rows.mapInArrow(_tokenised(borders, tool), "doc_id long, part int, place long, ids binary")
     ordered = tokens.repartition(parts, "part").sortWithinPartitions("part", "place", "doc_id", F.crc32("ids"))
-    return ordered.mapInArrow(_packed(length), "doc_id long, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
+    ids = "ids_crc32 long" if digests else "ids array<int>"
+    return ordered.mapInArrow(_packed(length, digests), f"doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long")
 
 
 def piece_digests(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, length: int = 1024) -> DataFrame:
     """Pieces with the crc32 of their ids in place of the ids."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            crc = [zlib.crc32(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) for x in ids]
-            yield pa.record_batch(
-                [pa.array(crc, pa.int64()) if name == "ids" else batch.column(name) for name in PIECES.names],
-                ["ids_crc32" if name == "ids" else name for name in PIECES.names],
-            )
-
-    pieces = pack_along_curve(docs, tokenizer, ranks, pattern, length)
-    return pieces.mapInArrow(digest, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return pack_along_curve(docs, tokenizer, ranks, pattern, length, digests=True)

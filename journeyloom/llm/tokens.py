@@ -1,8 +1,8 @@
-"""Token ids of texts by a public byte-level tokenizer, with a cache of word-like chunks.
+"""Token ids of texts by a public byte-level tokenizer.
 
-A byte-level tokenizer of this family never merges across the start of white space that follows other characters, so
-a text may be cut there and equal chunks share one encoding. Where a text holds a special token's name or a
-character whose class differs between Unicode versions, the whole text goes to the tokenizer itself.
+Where the same vocabulary is also given as merge ranks, the faster public encoder of ranks does the work and yields the
+same ids. Where a text holds a special token's name or a character whose class differs between Unicode versions, the
+text goes to the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ import unicodedata
 
 import numpy as np
 
-CACHED_CHUNKS = 300_000
-
 
 def _stable_characters() -> str:
     """Character class of code points assigned in Unicode 3.2 whose letter/number/space kind has not changed since."""
@@ -50,29 +48,8 @@ class TokenIds:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self._part = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
             self._odd = re.compile(f"[^{_stable_characters()}]")
-        self._white = re.compile(r"\s\s")
-        self._chunks = re.compile(r"\s+\S+|\S+|\s+")
-        self._cache: dict[str, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
         if self._part is None or self._odd.search(text) or any(s in text for s in self._special):
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        if self._white.search(text):
-            return np.frombuffer(b"".join(self._encoded(self._chunks.findall(text), "")), np.uint32)
-        first, *rest = text.split(" ")
-        head = np.array(self._part(first), np.uint32).tobytes() if first else b""
-        return np.frombuffer(head + b"".join(self._encoded(rest, " ")), np.uint32)
-
-    def _encoded(self, chunks: list[str], lead: str) -> list[bytes]:
-        """Encodings of the chunks, each with ``lead`` before it."""
-        keys = chunks if lead else ["\0" + c for c in chunks]
-        found = list(map(self._cache.get, keys))
-        if None in found:
-            if len(self._cache) > CACHED_CHUNKS:
-                self._cache.clear()
-            for i, encoding in enumerate(found):
-                if encoding is None:
-                    found[i] = self._cache.get(keys[i])
-                    if found[i] is None:
-                        found[i] = self._cache[keys[i]] = np.array(self._part(lead + chunks[i]), np.uint32).tobytes()
-        return found
+        return np.array(self._part(text), np.uint32)
