@@ -23,6 +23,12 @@ def op1_weak_supervision_toxicity(spark: SparkSession, folder: str) -> DataFrame
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op3_crf_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.html_text import extract_pages
+
+    return extract_pages(_table(spark, folder, "pages"))
+
+
 def op4_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.sharding import shard_digests
 
@@ -61,6 +67,7 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_weak_supervision_toxicity": op1_weak_supervision_toxicity,
+    "op3_crf_main_text": op3_crf_main_text,
     "op4_best_fit_shards": op4_best_fit_shards,
     "op5_fm_index_dedup": op5_fm_index_dedup,
     "op7_multi_index_hashing": op7_multi_index_hashing,
