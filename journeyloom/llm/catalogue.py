@@ -23,6 +23,12 @@ def op1_weak_supervision_toxicity(spark: SparkSession, folder: str) -> DataFrame
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.decontaminate import leaks
+
+    return leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op3_crf_main_text(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.html_text import extract_pages
 
@@ -41,6 +47,12 @@ def op5_fm_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(_table(spark, folder, "documents")).drop("kept")
 
 
+def op6_compression_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.licenses import scan_licenses
+
+    return scan_licenses(_table(spark, folder, "documents"))
+
+
 def op7_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.neighbours import nearest
 
@@ -67,9 +79,11 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_weak_supervision_toxicity": op1_weak_supervision_toxicity,
+    "op2_template_decontamination": op2_template_decontamination,
     "op3_crf_main_text": op3_crf_main_text,
     "op4_best_fit_shards": op4_best_fit_shards,
     "op5_fm_index_dedup": op5_fm_index_dedup,
+    "op6_compression_licenses": op6_compression_licenses,
     "op7_multi_index_hashing": op7_multi_index_hashing,
     "op8_ppm_language": op8_ppm_language,
     "op9_hilbert_packing": op9_hilbert_packing,
