@@ -77,7 +77,14 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_weak_supervision_toxicity": op1_weak_supervision_toxicity,
     "op2_template_decontamination": op2_template_decontamination,
     "op3_crf_main_text": op3_crf_main_text,

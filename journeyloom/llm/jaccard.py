@@ -279,6 +279,18 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of ``docs`` for each group of linked documents: the one with the smallest id.
+
+    Documents without words link with nothing and stay. Repeated rows of one id count as one document; a NULL id stays
+    only if nothing links with it.
+    """
+    found = jaccard_components(docs, percent)
+    keep = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
+
+
 def _neighbours(hot: DataFrame, long: np.ndarray, counts: np.ndarray, parts: int, percent: int, salt: int) -> DataFrame:
     """Pairs of nodes that follow each other in the salted parts of frequent lists, a few for every node."""
     lists = hot.mapInArrow(_postings(long, counts, True, salt), "list long, node long, n long, hot boolean").distinct()
