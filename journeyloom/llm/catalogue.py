@@ -97,4 +97,45 @@ QUERIES = {
     "op10_t_occurrence_join": op10_t_occurrence_join,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+ORACLE: dict[str, str] = {
+    "op5_fm_index_dedup": f"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
+        win AS (
+          SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)
+        ),
+        least AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h),
+        gone AS (
+          SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM win JOIN least USING (h) WHERE first < doc_id
+        ),
+        every AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+        kept AS (
+          SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n
+          FROM every ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
+    "op10_t_occurrence_join": f"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS ws
+          FROM documents
+        ),
+        s AS (
+          SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS h
+          FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws) + 1, 2)))) AS i FROM w)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (h) GROUP BY ALL),
+        links AS (
+          SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+        ),
+        reach AS (
+          SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+        )
+        SELECT doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+}
