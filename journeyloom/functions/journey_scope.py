@@ -120,7 +120,14 @@ def with_neighbours(
 
 
 def renumber(df: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataFrame:
-    """Dense positions and lengths for a filtered subset of numbered touches."""
+    """Dense positions and lengths for any subset of numbered touches.
+
+    Operators whose result depends on a touch being first or last call this on what they
+    are given. It is part of the window over the customer that they need anyway.
+    """
+    missing = [c for c in ("touchpoint_number", "total_touchpoints") if c not in df.columns]
+    if missing:
+        raise KeyError(f"touches without {', '.join(missing)}: number_touches adds positions")
     order = F.col("touchpoint_number")
     if fits(df, chunk):
         whole = Window.partitionBy("customer_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from journeyloom.functions.dimensions import channels_of, join_dimension, pin
-from journeyloom.functions.journey_scope import CHUNK_TOUCHES, with_journey_totals
+from journeyloom.functions.journey_scope import CHUNK_TOUCHES, renumber, with_journey_totals
 from journeyloom.functions.numeric import ranked_top, ratio, roi, total
 from journeyloom.operators.markov import removal_effects_from_sets, shared_credit
 from journeyloom.operators.rules import RULES, rule_credit
@@ -52,7 +52,7 @@ def attribute_all(
         "_sh_all": F.sum("_sh"),
         "_mk_all": F.sum("_mk"),
     }
-    ready = with_journey_totals(valued, totals, chunk)
+    ready = with_journey_totals(renumber(valued, chunk), totals, chunk)
     return ready.select(
         *touches.columns,
         shared_credit("_sh", "_sh_all").alias("shapley_attribution"),

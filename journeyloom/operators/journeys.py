@@ -22,7 +22,7 @@ INLINE_STEPS = 10_000
 def enrich_touches(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataFrame:
     """Previous and next channel, seconds since the previous touch, end flags."""
     near = with_neighbours(
-        touches,
+        renumber(touches, chunk),
         {"prev_channel": ("channel", -1), "next_channel": ("channel", 1), "_prev_time": ("timestamp", -1)},
         chunk=chunk,
     )
@@ -41,7 +41,7 @@ def journey_states(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataFrame:
 
     Step 1 is the start state, steps 2..n+1 the channels, step n+2 the outcome.
     """
-    ended = with_journey_totals(touches, {"_converted": F.max("converted")}, chunk)
+    ended = with_journey_totals(renumber(touches, chunk), {"_converted": F.max("converted")}, chunk)
     p, n = F.col("touchpoint_number"), F.col("total_touchpoints")
     outcome = F.when(F.col("_converted") == 1, CONVERSION).otherwise(NULL)
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from journeyloom.functions.dimensions import freeze, join_dimension
 from journeyloom.functions.journey_scope import (
     CHUNK_TOUCHES,
+    renumber,
     with_journey_totals,
     with_neighbours,
 )
@@ -176,7 +177,7 @@ def flow_edges(
     if max_customers is not None:
         first = touches.select("customer_id").distinct().orderBy("customer_id").limit(max_customers)
         scope = touches.join(first, "customer_id", "left_semi")
-    ended = with_journey_totals(scope, {"_converted": F.max("converted")}, chunk)
+    ended = with_journey_totals(renumber(scope, chunk), {"_converted": F.max("converted")}, chunk)
     moved = with_neighbours(ended, {"_next": ("channel", 1)}, chunk=chunk)
     p = F.col("touchpoint_number")
     outcome = F.when(F.col("_converted") == 1, "Conversion").otherwise("No Conversion")

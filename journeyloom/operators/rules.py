@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from journeyloom.functions.journey_scope import CHUNK_TOUCHES, with_journey_totals
+from journeyloom.functions.journey_scope import CHUNK_TOUCHES, renumber, with_journey_totals
 
 # Fixed values of the rules.
 DECAY = 0.7
@@ -47,7 +47,7 @@ def rule_credit(rule: str) -> Column:
 
 
 def attribute_rules(touches: DataFrame, rules: list[str] | None = None, chunk: int = CHUNK_TOUCHES) -> DataFrame:
-    """Add one ``*_attribution`` column per rule."""
+    """Add one ``*_attribution`` column per rule; touches are numbered as given, gaps closed."""
     totals = {"_converted": F.max("converted"), "_value": F.max("revenue")}
-    valued = with_journey_totals(touches, totals, chunk)
+    valued = with_journey_totals(renumber(touches, chunk), totals, chunk)
     return valued.select(*touches.columns, *[rule_credit(r) for r in (rules or RULES)])

@@ -8,15 +8,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from journeyloom.functions.dimensions import channels_of, freeze, join_dimension
 from journeyloom.functions.journey_scope import CHUNK_TOUCHES
 from journeyloom.functions.numeric import hash_int, ratio, roi, total
 from journeyloom.operators.markov import channel_totals, share_out
 
-# Exact mode enumerates the subsets of each distinct channel set: at most 3^16 rows.
-EXACT_CHANNELS = 16
 # Channel sets fit a 64-bit mask up to here.
 MASK_CHANNELS = 62
 SAMPLES = 1000
@@ -56,29 +54,31 @@ def coalition_rates(
 ) -> DataFrame:
     """H1: journeys, conversions and rate of every coalition seen, incl. the empty one.
 
-    Only the distinct channel sets are expanded to their subsets, not the journeys.
+    Only the distinct channel sets are expanded to their subsets, not the journeys, so the
+    work follows the channels that meet in one journey, not their number in all.
+    ``members`` holds positions in ``channels``; ``mask`` has their bits, and is NULL
+    where a position does not fit.
     """
     channels = channels or channels_of(touches)
-    if len(channels) > EXACT_CHANNELS:
-        raise ValueError(f"subsets of {len(channels)} channels cannot be enumerated: use the sampled mode")
     sets = sets if sets is not None else channel_sets(touches, channels)
     subsets = F.aggregate(
         "members",
-        F.array(F.lit(0).cast("long")),
-        lambda found, i: F.concat(
-            found, F.transform(found, lambda s: s.bitwiseOR(F.element_at(F.lit([1 << b for b in range(63)]), i + 1)))
-        ),
+        F.array(F.array().cast("array<int>")),
+        lambda found, i: F.concat(found, F.transform(found, lambda s: F.array_append(s, i.cast("int")))),
     )
     rates = (
-        sets.select(F.explode(subsets).alias("mask"), "total", "conversions")
-        .groupBy("mask")
+        sets.select(F.explode(subsets).alias("members"), "total", "conversions")
+        .groupBy("members")
         .agg(F.sum("total").alias("total"), F.sum("conversions").alias("conversions"))
         .withColumn("rate", ratio(F.col("conversions"), F.col("total")))
     )
-    names = F.array_compact(
-        F.array(*[F.when(F.col("mask").bitwiseAND(1 << i) != 0, F.lit(c)) for i, c in enumerate(channels)])
+    one = F.lit(1).cast("long")
+    mask = F.when(
+        F.coalesce(F.array_max("members"), F.lit(0)) < MASK_CHANNELS,
+        F.aggregate("members", F.lit(0).cast("long"), lambda m, i: m.bitwiseOR(F.call_function("shiftleft", one, i))),
     )
-    return rates.select("mask", names.alias("coalition"), "total", "conversions", "rate")
+    names = F.transform("members", lambda i: F.element_at(F.lit(channels), i + 1))
+    return rates.select("members", mask.alias("mask"), names.alias("coalition"), "total", "conversions", "rate")
 
 
 def shapley_exact(
@@ -87,27 +87,40 @@ def shapley_exact(
     """H2, exact: the expectation the sampler estimates, as one weighted sum.
 
     Gathering the marginal contributions by coalition T gives channel i the weight
-    w(|T|-1) if T holds i and -w(|T|) if not, with w(k) = k! (n-k-1)! / n!. Coalitions
-    nobody was seen with are worth 0, so only the seen ones enter.
+    w(|T|-1) if T holds i and -w(|T|) if not, with w(k) = k! (n-k-1)! / n! and w(n) = 0.
+    Taking -w(|T|) v(T) over all T once, only the members of a coalition need a row:
+    they get w(|T|-1) + w(|T|) on top. Coalitions nobody was seen with are worth 0.
     """
     channels = channels or channels_of(touches)
     n = len(channels)
-    weights = F.lit([math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)])
-    size = F.bit_count("mask")
-    per_channel = (
-        coalition_rates(touches, channels, sets)
-        .filter(F.col("mask") != 0)
-        .select("mask", "rate", F.explode(F.lit(list(range(n)))).alias("i"))
-        .withColumn("held", F.getbit("mask", "i") == 1)
+    weights = F.lit([1 / (n * math.comb(n - 1, k)) for k in range(n)] + [0.0])
+    size = F.size("members")
+    worth = coalition_rates(touches, channels, sets).filter(size > 0).select("members", "rate", size.alias("k"))
+    without, held = F.element_at(weights, F.col("k") + 1), F.element_at(weights, F.col("k"))
+    # position -1 carries the sum that all channels share
+    parts = worth.select(
+        F.explode(
+            F.concat(
+                F.array(F.struct(F.lit(-1).alias("i"), (-without * F.col("rate")).alias("v"))),
+                F.transform("members", lambda i: F.struct(i.cast("int").alias("i"), ((held + without) * F.col("rate")).alias("v"))),
+            )
+        ).alias("p")
     )
-    weight = F.when(F.col("held"), F.element_at(weights, size)).otherwise(-F.element_at(weights, size + 1))
+    sums = parts.groupBy("p.i").agg(F.sum("p.v").alias("v"))
+    names = sets_session(touches, sets).createDataFrame(list(enumerate(channels)), "i int, channel string")
+    shared = F.sum(F.when(F.col("i") == -1, F.col("v"))).over(Window.partitionBy(F.lit(0)))
     return (
-        per_channel.groupBy("i")
-        .agg(F.sum(weight * F.col("rate")).alias("raw_value"))
-        .select(F.element_at(F.lit(channels), F.col("i") + 1).alias("channel"), "raw_value")
+        sums.join(names, "i", "full")
+        .withColumn("_shared", F.coalesce(shared, F.lit(0.0)))
+        .filter(F.col("i") >= 0)
+        .select("channel", (F.coalesce("v", F.lit(0.0)) + F.col("_shared")).alias("raw_value"))
     )
 
 
+def sets_session(touches: DataFrame | None, sets: DataFrame | None) -> SparkSession:
+    return (touches if touches is not None else sets).sparkSession
+
+
 def shapley_sampled(
     touches: DataFrame,
     n_samples: int = SAMPLES,
@@ -143,11 +156,16 @@ def shapley_sampled(
     run = F.coalesce(F.nullif(F.array_position(inside, F.lit(False)), F.lit(0)), F.lit(n + 1)) - 1
     tasks = spark.sparkContext.defaultParallelism
     # n_samples orders of n small numbers: the size is known before any data is read
-    drawn = F.broadcast(orders) if n_samples * n <= BROADCAST_PLACES else orders
+    small = n_samples * n <= BROADCAST_PLACES
+    drawn = F.broadcast(orders) if small else orders
+    # few channels start all orders: beyond a broadcast, orders are spread by sample
+    salts = 1 if small else 64
+    salt = F.pmod(F.col("sample"), F.lit(salts)).cast("int").alias("salt")
     runs = (
         sets.repartition(tasks, "members")
         .withColumn("first", F.explode("members"))
-        .join(drawn, "first")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        .join(drawn.select("*", salt), ["first", "salt"])
         .select("sample", run.alias("run"), "total", "conversions")
         .groupBy("sample", "run")
         .agg(F.sum("total").alias("total"), F.sum("conversions").alias("conversions"))
@@ -193,7 +211,7 @@ def normalise(values: DataFrame) -> DataFrame:
 
 def shapley_values(
     touches: DataFrame,
-    mode: str = "auto",
+    mode: str = "exact",
     n_samples: int = SAMPLES,
     seed: int = 42,
     channels: list[str] | None = None,
@@ -201,16 +219,16 @@ def shapley_values(
 ) -> DataFrame:
     """H2 + H3: channel, raw value and normalised value.
 
-    ``mode``: 'exact', 'sampled', or 'auto' (exact up to ``EXACT_CHANNELS`` channels).
+    ``mode`` 'exact' expands each distinct channel set to its subsets, whatever the number
+    of channels in all; 'sampled' (``n_samples`` random orders) estimates the same value
+    and is the choice where single journeys hold dozens of different channels.
     """
     channels = channels or channels_of(touches)
-    if mode == "auto":
-        mode = "exact" if len(channels) <= EXACT_CHANNELS else "sampled"
     if mode == "exact":
         return normalise(shapley_exact(touches, channels, sets))
     if mode == "sampled":
         return normalise(shapley_sampled(touches, n_samples, seed, channels, sets))
-    raise ValueError("mode must be 'auto', 'exact' or 'sampled'")
+    raise ValueError("mode must be 'exact' or 'sampled'")
 
 
 def attribute_shapley(

@@ -15,7 +15,7 @@ from journeyloom.operators import (
     timeseries as D,
 )
 from journeyloom.plans import jobs
-from journeyloom.plans.reference_sql import with_credit, with_touches
+from journeyloom.plans.reference_sql import with_credit, with_ga_touches, with_touches
 from journeyloom.schema import CHANNELS
 from journeyloom.session import fresh_path
 from journeyloom.sources.sinks import write_csv, write_json_summary, write_parquet
@@ -733,6 +733,22 @@ def _sinks(register) -> None:
         write_parquet(t.touches, path)
         return read_touchpoints(t.spark, path, "parquet").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
+    def ga_csv(t):
+        path = fresh_path(t.spark, "ga_csv")
+        flag = F.when(F.col("converted") == 1, F.when(F.length("session_id") % 2 == 0, "1.0").otherwise("True")).otherwise("0.0")
+        visitor = F.concat(F.lit("v-"), F.col("customer_id"), F.lit("-99999999999999999999"))
+        write_csv(t.ga_touches.withColumns({"converted": flag, "customer_id": visitor}), path)
+        return read_touchpoints(t.spark, path).withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+    register(
+        "s1_ga_touchpoints_csv",
+        "customer_id, touchpoint_number:i, session_id, channel, device, cost:4, converted:i, revenue:4, second",
+        ga_csv,
+        with_ga_touches(
+            """SELECT * REPLACE ('v-' || customer_id || '-99999999999999999999' AS customer_id),
+                      strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS second FROM tp"""
+        ),
+    )
     register("s1_s4_touchpoints_csv", _TOUCH_COLUMNS, csv_round_trip, with_touches(_TOUCH_SQL))
     register("s3_s8_touchpoints_parquet", _TOUCH_COLUMNS, parquet_round_trip, with_touches(_TOUCH_SQL))
 

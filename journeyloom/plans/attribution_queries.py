@@ -12,6 +12,7 @@ from journeyloom.plans.reference_sql import (
     with_models,
     with_sessions,
     with_touches,
+    without_email,
 )
 from journeyloom.schema import CHANNELS
 
@@ -19,6 +20,16 @@ _KEY = "customer_id:i, touchpoint_number:i"
 _METHODS = list(C.METHODS)
 _STATES = [*CHANNELS, "conversion", "null"]
 
+def _labelled(t):
+    """Touches of 60 channels, more than any list of their subsets could hold."""
+    return t.touches.withColumn("channel", F.concat_ws("|", "channel", "device", (F.col("pages_viewed") % 2).cast("string")))
+
+
+def _no_email(t):
+    """Touches with gaps in their positions, first and last ones among them."""
+    return t.touches.filter(F.col("channel") != "email")
+
+
 _STEPS = """
     , st AS (
       SELECT customer_id, touchpoint_number + 1 AS step, channel AS state FROM tp
@@ -51,6 +62,12 @@ def register_all(register) -> None:
         lambda t: R.attribute_rules(t.touches),
         with_credit("SELECT * FROM att"),
     )
+    register(
+        "t_all_rules_filtered",
+        f"{_KEY}, " + ", ".join(f"{r}_attribution:6" for r in R.RULES),
+        lambda t: R.attribute_rules(_no_email(t)),
+        without_email(with_credit("SELECT * FROM att")),
+    )
     register(
         "t_rules_ga_visitors",
         "customer_id, touchpoint_number:i, linear_attribution:6, time_decay_attribution:6",
@@ -70,6 +87,36 @@ def register_all(register) -> None:
             FROM coal2"""
         ),
     )
+    register(
+        "h2_shapley_exact_many_channels",
+        "channel, raw_value:8",
+        lambda t: H.shapley_exact(_labelled(t)),
+        with_touches(
+            """
+            , labelled AS (
+              SELECT customer_id, converted, channel || '|' || device || '|' || (pages_viewed % 2) AS label FROM tp
+            ),
+            per AS (
+              SELECT customer_id, max(converted) AS converted, list(DISTINCT label) AS members
+              FROM labelled GROUP BY customer_id
+            ),
+            subs AS (
+              SELECT customer_id, converted,
+                     list_sort(list_filter(members, lambda x, i: (s & CAST(1 << (i - 1) AS BIGINT)) <> 0)) AS coalition
+              FROM per, range(1, CAST(1 << len(members) AS BIGINT)) r(s)
+            ),
+            worth AS (
+              SELECT coalition, len(coalition) AS k, avg(converted) AS v FROM subs GROUP BY coalition
+            ),
+            names AS (SELECT label, (SELECT count(DISTINCT label) FROM labelled) AS n FROM labelled GROUP BY label),
+            pairs AS (SELECT label, n, k, v, list_contains(coalition, label) AS held FROM names, worth)
+            SELECT label AS channel,
+                   sum(CASE WHEN held THEN exp(lgamma(k) + lgamma(n - k + 1) - lgamma(n + 1)) * v
+                            WHEN k < n THEN -exp(lgamma(k + 1) + lgamma(n - k) - lgamma(n + 1)) * v
+                            ELSE 0 END) AS raw_value
+            FROM pairs GROUP BY label"""
+        ),
+    )
     register(
         "h2_shapley_exact",
         "channel, raw_value:8",
@@ -152,6 +199,12 @@ def register_all(register) -> None:
         lambda t: M.transitions(t.touches),
         with_touches(f"{_STEPS} SELECT * FROM edges"),
     )
+    register(
+        "m1_transitions_filtered",
+        "from_state, to_state, count:i, probability:6",
+        lambda t: M.transitions(_no_email(t)),
+        without_email(with_touches(f"{_STEPS} SELECT * FROM edges")),
+    )
     register(
         "m2_transitions_order2",
         "from_state:a, to_state, count:i, probability:6",
@@ -257,6 +310,12 @@ def register_all(register) -> None:
         lambda t: t.attributed,
         with_credit("SELECT * FROM att"),
     )
+    register(
+        "c1_filtered",
+        f"{_KEY}, channel, " + ", ".join(f"{m}:6" for m in _METHODS),
+        lambda t: C.attribute_all(_no_email(t)),
+        without_email(with_credit("SELECT * FROM att")),
+    )
     sums = ", ".join(f"sum({m}) AS {m}" for m in _METHODS)
     wide = f", wide AS (SELECT channel, {sums}, sum(cost) AS cost FROM att GROUP BY channel)"
     named = " UNION ALL ".join(

@@ -12,7 +12,7 @@ raw AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 ),
 tp AS (
-  SELECT user_id * 10000 + dayofyear(ts) AS customer_id,
+  SELECT user_id * 100000 + date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS customer_id,
          'e' || event_id AS session_id, ts AS "timestamp",
          {_list(CHANNELS)}[k % 10 + 1] AS channel,
          {_list(DEVICES)}[(k // 10) % 3 + 1] AS device,
@@ -20,8 +20,8 @@ tp AS (
          CAST({_list(CHANNEL_COST.values())}[k % 10 + 1] AS DOUBLE) AS cost,
          CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS converted,
          CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS revenue,
-         row_number() OVER (PARTITION BY user_id, dayofyear(ts) ORDER BY ts, event_id) AS touchpoint_number,
-         count(*) OVER (PARTITION BY user_id, dayofyear(ts)) AS total_touchpoints
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS touchpoint_number,
+         count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE)) AS total_touchpoints
   FROM raw
 )"""
 
@@ -56,25 +56,27 @@ gt AS (
 )"""
 
 # Coalitions by bit mask; exact Shapley values in the marginal-contribution form.
-SHAPLEY = f"""
+def shapley_sql(channels: list[str]) -> str:
+    n = len(channels)
+    return f"""
 masks AS (
   SELECT customer_id, max(converted) AS converted,
-         bit_or(CAST(1 << (list_position({_list(CHANNELS)}, channel) - 1) AS INTEGER)) AS mask
+         bit_or(CAST(1 << (list_position({_list(channels)}, channel) - 1) AS INTEGER)) AS mask
   FROM tp GROUP BY customer_id
 ),
 coal AS (
   SELECT CAST(s AS INTEGER) AS mask, count(*) AS total, sum(converted) AS conversions,
          sum(converted) / count(*) AS rate
-  FROM masks, range(1024) r(s) WHERE (masks.mask & CAST(s AS INTEGER)) = s GROUP BY s
+  FROM masks, range({2 ** n}) r(s) WHERE (masks.mask & CAST(s AS INTEGER)) = s GROUP BY s
 ),
 lattice AS (
   SELECT CAST(s AS INTEGER) AS s, CAST(1 << i AS INTEGER) AS b, i
-  FROM range(1024) r(s), range(10) q(i) WHERE (CAST(s AS INTEGER) & CAST(1 << i AS INTEGER)) = 0
+  FROM range({2 ** n}) r(s), range({n}) q(i) WHERE (CAST(s AS INTEGER) & CAST(1 << i AS INTEGER)) = 0
 ),
 raw_shap AS (
-  SELECT {_list(CHANNELS)}[i + 1] AS channel,
-         sum(factorial(bit_count(s)::INTEGER) * factorial((9 - bit_count(s))::INTEGER)
-             / CAST(factorial(10) AS DOUBLE)
+  SELECT {_list(channels)}[i + 1] AS channel,
+         sum(factorial(bit_count(s)::INTEGER) * factorial(({n - 1} - bit_count(s))::INTEGER)
+             / CAST(factorial({n}) AS DOUBLE)
              * (coalesce(a.rate, 0) - CASE WHEN s = 0 THEN 0 ELSE coalesce(z.rate, 0) END)) AS raw_value
   FROM lattice LEFT JOIN coal z ON z.mask = s LEFT JOIN coal a ON a.mask = (s | b)
   GROUP BY i
@@ -88,6 +90,9 @@ shap AS (
   FROM shifted
 )"""
 
+
+SHAPLEY = shapley_sql(CHANNELS)
+
 MARKOV = """
 conv_sets AS (
   SELECT customer_id, min(channel) AS lo, max(channel) AS hi FROM tp GROUP BY customer_id HAVING max(converted) = 1
@@ -141,6 +146,16 @@ def with_touches(body: str) -> str:
     return f"WITH {TOUCHES} {body}"
 
 
+def without_email(sql: str) -> str:
+    """The same SQL over the touches that are left without e-mail, numbered anew."""
+    rest = """, tp AS (
+      SELECT * REPLACE (row_number() OVER (PARTITION BY customer_id ORDER BY touchpoint_number) AS touchpoint_number,
+                        count(*) OVER (PARTITION BY customer_id) AS total_touchpoints)
+      FROM all_tp WHERE channel <> 'email')"""
+    others = shapley_sql([c for c in CHANNELS if c != "email"])
+    return sql.replace(SHAPLEY, others).replace(TOUCHES, TOUCHES.replace("\ntp AS (", "\nall_tp AS (") + rest)
+
+
 def with_sessions(body: str) -> str:
     return f"WITH {SESSIONS} {body}"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Default marketing channels and their unit cost per touch.
 CHANNEL_COST = {
@@ -25,6 +25,8 @@ DEVICES = ["desktop", "mobile", "tablet"]
 # States the Markov chain adds around a journey.
 START, CONVERSION, NULL = "start", "conversion", "null"
 RESERVED_STATES = (START, CONVERSION, NULL)
+# State of touches whose channel is missing: such a touch is a step of its journey like any other.
+NO_CHANNEL = "(none)"
 
 TOUCHPOINT_SCHEMA = T.StructType(
     [
@@ -62,8 +64,10 @@ REQUIRED = (
 def conform(df: DataFrame) -> DataFrame:
     """Cast a touch table to the model types.
 
-    ``converted`` may arrive as boolean, ISO strings as timestamps. Touches without
-    a customer belong to no journey and are left out. A channel named like a Markov
+    ``converted`` may arrive as boolean, number or text ("True", "1", "1.0", ...); text
+    that is neither fails the job, a missing value counts as not converted. Touches
+    without a customer belong to no journey and are left out (``without_customer``
+    gives them). A missing channel becomes NO_CHANNEL. A channel named like a Markov
     state fails the job when its row is read: the two could not be told apart.
     """
     missing = [c for c in REQUIRED if c not in df.columns]
@@ -73,13 +77,32 @@ def conform(df: DataFrame) -> DataFrame:
     channel = F.when(
         F.col("channel").isin(*RESERVED_STATES),
         F.raise_error(F.concat(F.lit("reserved channel name: "), F.col("channel"))),
-    ).otherwise(F.col("channel"))
+    ).otherwise(F.coalesce(F.col("channel"), F.lit(NO_CHANNEL)))
     # position counters stay wide: a journey may be longer than an int can count
     types["touchpoint_number"] = types["total_touchpoints"] = T.LongType()
     columns = []
     for name in df.columns:
         source = channel if name == "channel" else F.col(name)
         if name == "converted" and isinstance(df.schema[name].dataType, T.StringType):
-            source = F.when(F.lower(source).isin("true", "1"), 1).otherwise(0)
+            source = _flag(source)
+        elif name == "converted":
+            source = F.coalesce(source.cast("int"), F.lit(0))
         columns.append(source.cast(types[name]).alias(name) if name in types else source.alias(name))
     return df.filter(F.col("customer_id").isNotNull()).select(*columns)
+
+
+def _flag(text: Column) -> Column:
+    """0 or 1 from the text of a boolean or a number; anything else fails the job."""
+    word = F.lower(F.trim(text))
+    number = F.when(word.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), word.cast("double"))
+    return (
+        F.when(word.isNull() | (word == "") | word.isin("false", "f", "no", "n"), 0)
+        .when(word.isin("true", "t", "yes", "y"), 1)
+        .when(number.isin(0.0, 1.0), number.cast("int"))
+        .otherwise(F.raise_error(F.concat(F.lit("converted is neither 0 nor 1: "), text)).cast("int"))
+    )
+
+
+def without_customer(df: DataFrame) -> DataFrame:
+    """The rows that ``conform`` leaves out, as they came."""
+    return df.filter(F.col("customer_id").isNull())

@@ -6,25 +6,45 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from journeyloom.functions.journey_scope import number_touches
 from journeyloom.functions.numeric import hash_unit
-from journeyloom.schema import CHANNEL_COST, CHANNELS, DEVICES, TOUCHPOINT_SCHEMA, conform
+from journeyloom.schema import CHANNEL_COST, CHANNELS, DEVICES, TOUCHPOINT_SCHEMA, conform, without_customer
 
 
 def read_touchpoints(
-    spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = TOUCHPOINT_SCHEMA
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    schema: T.StructType = TOUCHPOINT_SCHEMA,
+    customer_type: T.DataType | None = None,
 ) -> DataFrame:
     """Touches from CSV with a header, or Parquet; typed, never inferred.
 
-    CSV files are read by the names in their header: columns may come in any order
-    and columns the schema lacks are kept as strings.
+    CSV columns may come in any order, the same in all files of a folder: a file whose
+    header differs fails the job, and so does a cell that its type cannot hold.
+    Columns the schema lacks are kept as strings. Customer ids from CSV are strings
+    unless ``customer_type`` says otherwise. Rows without a customer are left out;
+    ``rejected_touches`` gives them.
     """
+    return conform(_raw_touches(spark, path, fmt, schema, customer_type))
+
+
+def rejected_touches(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = TOUCHPOINT_SCHEMA) -> DataFrame:
+    """The rows that ``read_touchpoints`` leaves out because they name no customer."""
+    return without_customer(_raw_touches(spark, path, fmt, schema, None))
+
+
+def _raw_touches(
+    spark: SparkSession, path: str, fmt: str, schema: T.StructType, customer_type: T.DataType | None
+) -> DataFrame:
     if fmt == "csv":
         header = spark.read.option("header", True).csv(path).columns
         known = {f.name: f.dataType for f in schema}
-        known["converted"] = T.StringType()  # "True" in generated files, "1" in others
+        known["converted"] = T.StringType()  # "True" in generated files, "1" or "1.0" in others
+        known["customer_id"] = customer_type or T.StringType()
         given = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in header])
-        return conform(spark.read.schema(given).option("header", True).csv(path))
+        strict = {"header": True, "enforceSchema": False, "mode": "FAILFAST"}
+        return spark.read.schema(given).options(**strict).csv(path)
     if fmt == "parquet":
-        return conform(spark.read.parquet(path))
+        return spark.read.parquet(path)
     raise ValueError(f"unknown touchpoint format: {fmt}")
 
 
@@ -39,7 +59,7 @@ def events_to_touchpoints(events: DataFrame) -> DataFrame:
     cost = F.element_at(F.create_map(*[F.lit(v) for kv in CHANNEL_COST.items() for v in kv]), channel)
     purchase = F.col("event_type") == "purchase"
     touches = events.select(
-        (F.col("user_id") * 10000 + F.dayofyear("ts")).cast("long").alias("customer_id"),
+        (F.col("user_id") * 100000 + F.unix_date(F.to_date("ts"))).cast("long").alias("customer_id"),
         F.concat(F.lit("e"), F.col("event_id")).alias("session_id"),
         F.col("event_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),

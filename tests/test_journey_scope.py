@@ -1,7 +1,9 @@
 """Long journeys: chunked plans give what whole-journey windows give."""
 
+import math
 import random
 from collections import Counter
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,11 +187,33 @@ def test_sampled_shapley_on_many_channels(spark, sources):
     rng = random.Random(5)
     rows = [(r[0], r[1], r[2], f"src{rng.randint(0, sources - 1)}", *r[4:]) for r in random_journeys([4] * 100)]
     touches = spark.createDataFrame(rows, SCHEMA)
-    values = shapley.shapley_values(touches, n_samples=200)
+    values = shapley.shapley_values(touches, mode="sampled", n_samples=200)
     shares = {r["channel"]: r["shapley_value"] for r in values.collect()}
-    assert len(shares) == len({r[3] for r in rows}) and sum(shares.values()) == pytest.approx(1.0)
-    with pytest.raises(ValueError):
-        shapley.coalition_rates(touches)
+    channels = {r[3] for r in rows}
+    assert set(shares) == channels and sum(shares.values()) == pytest.approx(1.0)
+    # exact values by their definition: marginal contributions over the coalitions that matter
+    journeys = {}
+    for r in touches.collect():
+        seen, won = journeys.setdefault(r["customer_id"], (set(), []))
+        seen.add(r["channel"])
+        won.append(r["converted"])
+    counts = {}
+    for seen, won in journeys.values():
+        for k in range(len(seen) + 1):
+            for coalition in combinations(sorted(seen), k):
+                n, c = counts.get(coalition, (0, 0))
+                counts[coalition] = (n + 1, c + max(won))
+    worth = {t: c / n for t, (n, c) in counts.items() if t}
+    n = len(channels)
+    want = dict.fromkeys(channels, 0.0)
+    for t, v in worth.items():
+        for i in channels:
+            if i in t:
+                want[i] += v / (n * math.comb(n - 1, len(t) - 1))
+            elif len(t) < n:
+                want[i] -= v / (n * math.comb(n - 1, len(t)))
+    exact = {r["channel"]: r["raw_value"] for r in shapley.shapley_values(touches).collect()}
+    assert exact == pytest.approx(want, abs=1e-9)
 
 
 def test_wide_sets_equal_masked_sets(long, monkeypatch):

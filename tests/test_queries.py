@@ -21,7 +21,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not
 def database():
     db = duckdb.connect()
     db.execute("SET TimeZone='UTC'")
-    db.execute(f"CREATE VIEW events AS SELECT * FROM '{FOLDER}/events.parquet'")
+    for table in check.TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     return db
 
 
