@@ -9,7 +9,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from journeyloom.functions.dimensions import freeze
@@ -85,29 +84,25 @@ def train_pipeline(
     inputs = inputs or FEATURES
     assembler = VectorAssembler(inputCols=inputs, outputCol="features_raw")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features")
-    rows = _spread(train.select("customer_id", label, *inputs))
+    rows = _ordered(train.select("customer_id", label, *inputs))
     try:
         return Pipeline(stages=[assembler, scaler, model]).fit(rows)
     finally:
         rows.unpersist()
 
 
-def _spread(features: DataFrame) -> DataFrame:
-    """Cached over all cores in a fixed order: fitting is bound by computation, not by
-    bytes, and draws its samples by partition and row."""
-    tasks = features.sparkSession.sparkContext.defaultParallelism
-    return features.repartition(tasks, "customer_id").sortWithinPartitions("customer_id").persist()
+def _ordered(features: DataFrame) -> DataFrame:
+    """Cached in a fixed order, in partitions whose number follows the data: fitting passes
+    over the rows many times and draws its samples by partition and row."""
+    return features.repartition("customer_id").sortWithinPartitions("customer_id").persist()
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
     """L3: area under the curve and accuracy on the test part, one row."""
-    scored = _spread(model.transform(test).select("customer_id", label, "rawPrediction", "prediction"))
-    try:
-        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(scored)
-        hits = F.avg((F.col(label) == F.col("prediction")).cast("double"))
-        accuracy, rows = scored.agg(hits, F.count(F.lit(1))).first()
-    finally:
-        scored.unpersist()
+    scored = model.transform(test).select(label, "rawPrediction", "prediction")
+    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(scored)
+    hits = F.avg((F.col(label) == F.col("prediction")).cast("double"))
+    accuracy, rows = scored.agg(hits, F.count(F.lit(1))).first()
     return test.sparkSession.createDataFrame(
         [(float(auc), accuracy, rows)], "auc double, accuracy double, test_rows bigint"
     )
@@ -118,8 +113,7 @@ def feature_importance(model: PipelineModel, n: int | None = 10) -> DataFrame:
     names = model.stages[0].getInputCols()
     weights = model.stages[-1].featureImportances.toArray()
     rows = sorted(zip(names, (float(w) for w in weights), strict=True), key=lambda r: (-r[1], r[0]))
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows[:n], "feature string, importance double")
+    return SparkSession.active().createDataFrame(rows[:n], "feature string, importance double")
 
 
 def score_journeys(model: PipelineModel, touches: DataFrame) -> DataFrame:
@@ -149,7 +143,8 @@ def encode_end_channels(features: DataFrame) -> DataFrame:
     out = features
     for end in ("first_channel", "last_channel"):
         keyed = ranks.select(F.col("name").alias(end), F.col("rank").alias(f"{end}_encoded"))
-        out = out.join(F.broadcast(keyed), end)
+        # broadcast if the names were few enough to be read; every journey stays
+        out = out.join(keyed, end, "left")
     return out
 
 
@@ -225,7 +220,7 @@ def coefficient_table(model, inputs: list[str]) -> DataFrame:
         )
         for i, (name, j) in enumerate(zip(["(Intercept)", *inputs], shift, strict=True))
     ]
-    return SparkSession.getActiveSession().createDataFrame(
+    return SparkSession.active().createDataFrame(
         rows, "term string, estimate double, std_error double, statistic double, p_value double"
     )
 
@@ -247,11 +242,30 @@ def logit_validation(touches: DataFrame, seed: int = 42) -> tuple[DataFrame, Dat
     )
 
 
-def variance_inflation(touches: DataFrame) -> DataFrame:
-    """Inflation factor of each predictor from the inverse correlation matrix (7 x 7)."""
-    data = VectorAssembler(inputCols=LOGIT_INPUTS, outputCol="features").transform(logit_features(touches))
-    matrix = Correlation.corr(data.select("features"), "features").first()[0].toArray()
-    factors = np.diag(np.linalg.inv(matrix))
+def variance_inflation(touches: DataFrame, seed: int = 42) -> DataFrame:
+    """Inflation factors of the logistic validation model, fitted on its training part.
+
+    The covariance of the coefficients is the inverse of X'WX with W = p (1 - p), summed in
+    one pass; a factor is the diagonal of the inverse of their correlation, intercept left out.
+    """
+    train, _ = split(logit_features(touches), 0.2, seed)
+    train = train.persist()
+    try:
+        model = _logit(train, LOGIT_INPUTS)
+        names = ["_one", *LOGIT_INPUTS]
+        rows = model.transform(
+            VectorAssembler(inputCols=LOGIT_INPUTS, outputCol="features").transform(train.withColumn("_one", F.lit(1.0)))
+        )
+        p = F.col("prediction")
+        sums = [F.sum(p * (1 - p) * F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
+        upper = rows.agg(*sums).first()
+    finally:
+        train.unpersist()
+    weighted = np.zeros((len(names), len(names)))
+    weighted[np.triu_indices(len(names))] = [float(v) for v in upper]
+    covariance = np.linalg.inv(weighted + np.triu(weighted, 1).T)[1:, 1:]
+    scale = np.sqrt(np.diag(covariance))
+    factors = np.diag(np.linalg.inv(covariance / np.outer(scale, scale)))
     rows = [(n, float(v)) for n, v in zip(LOGIT_INPUTS, factors, strict=True)]
     return touches.sparkSession.createDataFrame(rows, "term string, vif double")
 

@@ -6,14 +6,11 @@ ridge fit, works on a table with one row per day.
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from journeyloom.functions.dimensions import channels_of
-from journeyloom.functions.numeric import ratio, ratio_or_zero, total
+from journeyloom.functions.numeric import hash_int, ratio, ratio_or_zero, total
 
 # Fixed values of the transformations.
 ADSTOCK_RATE, ADSTOCK_LAGS = 0.7, 8
@@ -100,41 +97,76 @@ def transformed_grid(touches: DataFrame, channels: list[str]) -> DataFrame:
     return with_saturation(with_adstock(daily_grid(daily_channel(touches), channels)))
 
 
-def ridge_coefficients(grid: DataFrame, channels: list[str], seed: int = 42, folds: int = 5) -> DataFrame:
-    """Ridge fit of daily revenue on saturated spend; penalty by cross-validation.
+def fold_sums(grid: DataFrame, channels: list[str], seed: int = 42, folds: int = 5) -> DataFrame:
+    """Sums of products of (1, saturated spend by channel, revenue) per fold of days.
 
-    Returns the non-zero coefficients, largest magnitude first.
+    A day's fold comes from the hash of its date. One row per fold: everything a ridge
+    fit on any union of folds needs, whatever the order or number of rows.
     """
-    spark = grid.sparkSession
-    wide = (
-        grid.groupBy("date")
-        .pivot("channel", channels)
-        .agg(F.max("saturated"))
-        .join(grid.groupBy("date").agg(F.max("total_revenue").alias("total_revenue")), "date")
-        .na.fill(0.0)
-    )
     names = [f"x{i}" for i in range(len(channels))]
-    inputs = wide.select(
-        "total_revenue", *[F.col(f"`{c}`").alias(n) for c, n in zip(channels, names, strict=True)]
+    wide = grid.groupBy("date").agg(
+        F.max("total_revenue").alias("y"),
+        *[F.coalesce(F.max(F.when(F.col("channel") == c, F.col("saturated"))), F.lit(0.0)).alias(n) for c, n in zip(channels, names, strict=True)],
     )
-    # one row per day: a single partition spares every fit its scheduling
-    data = VectorAssembler(inputCols=names, outputCol="features").transform(inputs).coalesce(1).persist()
-    try:
-        ridge = LinearRegression(featuresCol="features", labelCol="total_revenue", elasticNetParam=0.0, solver="normal")
-        grid_of = ParamGridBuilder().addGrid(ridge.regParam, LAMBDAS).build()
-        search = CrossValidator(
-            estimator=ridge,
-            estimatorParamMaps=grid_of,
-            evaluator=RegressionEvaluator(labelCol="total_revenue", metricName="rmse"),
-            numFolds=folds,
-            seed=seed,
-            parallelism=4,
-        )
-        best = search.fit(data).bestModel
-    finally:
-        data.unpersist()
-    rows = [(c, float(w)) for c, w in zip(channels, best.coefficients.toArray(), strict=True) if w != 0.0]
-    return spark.createDataFrame(rows, "channel string, coefficient double").orderBy(
+    rows = wide.select(
+        F.pmod(hash_int(F.lit(seed), F.col("date")), F.lit(folds)).cast("int").alias("fold"),
+        F.lit(1.0).alias("one"),
+        *names,
+        F.coalesce("y", F.lit(0.0)).alias("y"),
+    )
+    terms = ["one", *names, "y"]
+    products = [F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for i, a in enumerate(terms) for b in terms[i:]]
+    return rows.groupBy("fold").agg(*products)
+
+
+def _ridge(sums: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept from a product matrix of (1, x, y).
+
+    Predictors and response are scaled to unit deviation, and the penalty by that of the
+    response; constant predictors get 0.
+    """
+    mean = sums[0] / sums[0, 0]
+    covariance = sums / sums[0, 0] - np.outer(mean, mean)
+    deviation = np.sqrt(np.maximum(np.diag(covariance), 0.0))
+    weights = np.zeros(len(sums) - 2)
+    used = np.flatnonzero(deviation[1:-1] > 1e-12) + 1
+    if len(used) and deviation[-1] > 1e-12:
+        inner = covariance[np.ix_(used, used)] / np.outer(deviation[used], deviation[used])
+        outer = covariance[used, -1] / (deviation[used] * deviation[-1])
+        solved = np.linalg.solve(inner + penalty / deviation[-1] * np.eye(len(used)), outer)
+        weights[used - 1] = solved * deviation[-1] / deviation[used]
+    return weights, float(mean[-1] - weights @ mean[1:-1])
+
+
+def _mean_error(sums: np.ndarray, weights: np.ndarray, intercept: float) -> float:
+    """Root mean square error on the rows summed in ``sums``."""
+    v = np.concatenate(([-intercept], -weights, [1.0]))
+    return float(np.sqrt(max(v @ sums @ v, 0.0) / sums[0, 0]))
+
+
+def ridge_coefficients(grid: DataFrame, channels: list[str], seed: int = 42, folds: int = 5) -> DataFrame:
+    """Ridge fit of daily revenue on saturated spend; penalty by cross-validation.
+
+    The folds' sums of products, a few rows whose size the channels fix, are all that the
+    fits need. Returns the non-zero coefficients, largest magnitude first.
+    """
+    size = len(channels) + 2
+    parts = []
+    for row in fold_sums(grid, channels, seed, folds).drop("fold").collect():
+        upper = np.zeros((size, size))
+        upper[np.triu_indices(size)] = [float(v) for v in row]
+        parts.append(upper + np.triu(upper, 1).T)
+    if not parts:
+        return grid.sparkSession.createDataFrame([], "channel string, coefficient double")
+    everything = sum(parts)
+
+    def error(penalty: float) -> float:
+        held = [_mean_error(p, *_ridge(everything - p, penalty)) for p in parts if everything[0, 0] > p[0, 0]]
+        return sum(held) / max(1, len(held))
+
+    weights, _ = _ridge(everything, min(LAMBDAS, key=error))
+    rows = [(c, float(w)) for c, w in zip(channels, weights, strict=True) if w != 0.0]
+    return grid.sparkSession.createDataFrame(rows, "channel string, coefficient double").orderBy(
         F.desc(F.abs("coefficient")), "channel"
     )
 

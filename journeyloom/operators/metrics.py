@@ -20,7 +20,15 @@ def _flag(condition: Column) -> Column:
 
 
 def _per_customer(touches: DataFrame, *by: str) -> DataFrame:
-    """One row per (by, customer) with the sums every channel table needs."""
+    """One row per (by, customer) with the sums every channel table needs.
+
+    Sums over first and last touches are there if the touches have positions.
+    """
+    placed = [
+        _flag(F.col("touchpoint_number") == 1).alias("first_touches"),
+        _flag(is_last()).alias("last_touches"),
+        F.sum(F.when(is_last(), F.col("converted")).otherwise(0)).alias("last_conversions"),
+    ]
     return touches.groupBy(*by, "customer_id").agg(
         F.count(F.lit(1)).alias("touches"),
         F.sum("cost").alias("cost"),
@@ -31,9 +39,7 @@ def _per_customer(touches: DataFrame, *by: str) -> DataFrame:
         F.count("time_on_site").alias("timed"),
         F.sum("pages_viewed").alias("pages_viewed"),
         F.count("pages_viewed").alias("paged"),
-        _flag(F.col("touchpoint_number") == 1).alias("first_touches"),
-        _flag(is_last()).alias("last_touches"),
-        F.sum(F.when(is_last(), F.col("converted")).otherwise(0)).alias("last_conversions"),
+        *(placed if "touchpoint_number" in touches.columns else []),
     )
 
 

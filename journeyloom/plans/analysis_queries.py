@@ -162,7 +162,7 @@ def _statistics(register) -> None:
     register(
         "x8_sample_sizes",
         "scope, customers:i, baseline_rate:6, effect_size:6, one_sample_n:i, two_sample_n:i",
-        lambda t: X.sample_sizes(t.touches),
+        lambda t: X.sample_sizes(t.unnumbered),
         with_touches(
             f"""
             , base AS (
@@ -211,7 +211,7 @@ def _statistics(register) -> None:
     register(
         "x10_revenue_intervals",
         "channel, mean:6, ci_lower:6, ci_upper:6",
-        lambda t: X.revenue_intervals(t.touches),
+        lambda t: X.revenue_intervals(t.unnumbered),
         with_touches(
             """
             SELECT channel, avg(revenue) AS mean,
@@ -279,7 +279,7 @@ def _budget(register) -> None:
     register(
         "b2_optimal_budget",
         "channel, current_budget:4, optimal_budget:4, budget_change:4, change_pct:4, roi:6",
-        lambda t: B.optimal_budget(t.touches),
+        lambda t: B.optimal_budget(t.unnumbered),
         with_touches(
             optimal
             + """
@@ -290,7 +290,7 @@ def _budget(register) -> None:
     register(
         "b3_budget_comparison",
         "channel, budget_type, amount:4",
-        lambda t: B.budget_comparison(t.touches),
+        lambda t: B.budget_comparison(t.unnumbered),
         with_touches(
             optimal
             + """
@@ -301,7 +301,7 @@ def _budget(register) -> None:
     register(
         "b4_scenario_projection",
         "multiplier:4, total_budget:4, projected_revenue:4, projected_roi:6",
-        lambda t: B.scenario_projection(t.touches),
+        lambda t: B.scenario_projection(t.unnumbered),
         with_touches(
             """
             , s AS (SELECT sum(cost) AS c, sum(revenue) AS r FROM tp)
@@ -339,7 +339,7 @@ def _media_mix(register) -> None:
     register(
         "r1_daily_channel",
         "date, channel, spend:4, impressions:i, conversions:i, revenue:4",
-        lambda t: R.daily_channel(t.touches),
+        lambda t: R.daily_channel(t.unnumbered),
         with_touches(f"{_GRID} SELECT * FROM dc"),
     )
     spends = ", ".join(f"spend_{c}:4" for c in CHANNELS)
@@ -352,32 +352,32 @@ def _media_mix(register) -> None:
     register(
         "r2_daily_wide",
         f"date, {spends}, {revenues}, total_revenue:4",
-        lambda t: R.daily_wide(R.daily_channel(t.touches), CHANNELS),
+        lambda t: R.daily_wide(R.daily_channel(t.unnumbered), CHANNELS),
         with_touches(f"{_GRID} SELECT date, {cells}, sum(revenue) AS total_revenue FROM dc GROUP BY date"),
     )
     register(
         "r2_daily_grid",
         "date, channel, spend:4, total_revenue:4",
-        lambda t: R.daily_grid(R.daily_channel(t.touches), CHANNELS),
+        lambda t: R.daily_grid(R.daily_channel(t.unnumbered), CHANNELS),
         with_touches(f"{_GRID} SELECT * FROM grid"),
     )
     register(
         "r3_adstock",
         "date, channel, spend:4, adstock:4",
-        lambda t: R.with_adstock(R.daily_grid(R.daily_channel(t.touches), CHANNELS)),
+        lambda t: R.with_adstock(R.daily_grid(R.daily_channel(t.unnumbered), CHANNELS)),
         with_touches(f"{_GRID} SELECT * FROM ad"),
     )
     register(
         "r4_saturation",
         "date, channel, adstock:4, saturated:6",
-        lambda t: R.transformed_grid(t.touches, CHANNELS),
+        lambda t: R.transformed_grid(t.unnumbered, CHANNELS),
         with_touches(f"{_GRID} SELECT *, x / (x + 1) AS saturated FROM sat"),
     )
-    register("r5_r6_ridge_coefficients", "channel, coefficient:4", lambda t: R.media_mix(t.touches)[0])
+    register("r5_r6_ridge_coefficients", "channel, coefficient:4", lambda t: R.media_mix(t.unnumbered)[0])
     register(
         "r7_contributions",
         "channel, contribution:4, spend:4, roi:6, contribution_pct:4",
-        lambda t: R.media_mix(t.touches)[1],
+        lambda t: R.media_mix(t.unnumbered)[1],
     )
     # the same formulas on stated coefficients, so that the arithmetic has SQL to match
     fixed = [(c, 100.0 * (i + 1)) for i, c in enumerate(CHANNELS)]
@@ -391,7 +391,7 @@ def _media_mix(register) -> None:
 
     def given(t):
         weights = t.spark.createDataFrame(fixed, "channel string, coefficient double")
-        return R.contributions(R.transformed_grid(t.touches, CHANNELS), weights)
+        return R.contributions(R.transformed_grid(t.unnumbered, CHANNELS), weights)
 
     register(
         "r7_contributions_given_coefficients",
@@ -404,7 +404,7 @@ def _media_mix(register) -> None:
     register(
         "r8_budget_by_roi",
         "channel, current_spend:4, optimal_spend:4, spend_change:4, change_pct:4, roi:6",
-        lambda t: R.media_mix(t.touches)[2],
+        lambda t: R.media_mix(t.unnumbered)[2],
     )
     register(
         "r8_budget_by_roi_given_coefficients",
@@ -421,7 +421,7 @@ def _media_mix(register) -> None:
     register(
         "r9_calendar_terms",
         "date, trend:i, day_of_week:i, month:i",
-        lambda t: R.calendar_terms(R.daily_channel(t.touches)),
+        lambda t: R.calendar_terms(R.daily_channel(t.unnumbered)),
         with_touches(
             f"""{_GRID}
             SELECT date, row_number() OVER (ORDER BY date) AS trend, dayofweek(date) + 1 AS day_of_week,
@@ -459,13 +459,13 @@ def _time_series(register) -> None:
     register(
         "d2_weekly_channel",
         "week:i, channel, conversion_rate:6, revenue:4, cost:4, customers:i",
-        lambda t: D.weekly_channel(t.touches),
+        lambda t: D.weekly_channel(t.unnumbered),
         with_touches(f"{_WEEKLY} SELECT * FROM wk"),
     )
     register(
         "d2_weekly_channel_by_year",
         "iso_year:i, week:i, channel, conversion_rate:6, revenue:4, cost:4, customers:i",
-        lambda t: D.weekly_channel(t.touches, with_year=True),
+        lambda t: D.weekly_channel(t.unnumbered, with_year=True),
         with_touches(
             """
             SELECT isoyear("timestamp") AS iso_year, week("timestamp") AS week, channel,
@@ -477,7 +477,7 @@ def _time_series(register) -> None:
     register(
         "d3_channel_trends",
         "channel, trend_slope:6, trend_direction, current_conv_rate:6, weekly_data_points:i",
-        lambda t: D.channel_trends(D.weekly_channel(t.touches)),
+        lambda t: D.channel_trends(D.weekly_channel(t.unnumbered)),
         with_touches(
             f"""{_WEEKLY}
             SELECT channel, regr_slope(conversion_rate, week) AS trend_slope,
@@ -509,13 +509,13 @@ def _time_series(register) -> None:
     register(
         "d4_rolling_scores",
         "date, metric, value:4, rolling_mean:4, rolling_std:4, deviation:6, is_anomaly:i",
-        lambda t: D.rolling_scores(t.touches),
+        lambda t: D.rolling_scores(t.unnumbered),
         with_touches(f"{rolling} SELECT * FROM sc"),
     )
     register(
         "d4_anomaly_summary",
         "metric, anomaly_dates:a, anomaly_count:i, max_deviation:6",
-        lambda t: D.anomaly_summary(D.rolling_scores(t.touches)),
+        lambda t: D.anomaly_summary(D.rolling_scores(t.unnumbered)),
         with_touches(
             f"""{rolling}
             SELECT metric, coalesce(list(CAST(date AS VARCHAR) ORDER BY date) FILTER (is_anomaly), [])
@@ -540,7 +540,7 @@ def _time_series(register) -> None:
         return D.daily_series(t.attributed, methods)
 
     def weekly_series(t):
-        return D.weekly_channel(t.touches).select(F.col("channel").alias("series"), "week", "conversion_rate")
+        return D.weekly_channel(t.unnumbered).select(F.col("channel").alias("series"), "week", "conversion_rate")
 
     ahead = _AHEAD.format(h="h")
     register(
@@ -668,12 +668,12 @@ def _models(register) -> None:
     register(
         "l8_logit_coefficients",
         "term, estimate:6, std_error:6, statistic:4, p_value:6",
-        lambda t: L.logit_validation(t.touches)[0],
+        lambda t: L.logit_validation(t.unnumbered)[0],
     )
     register(
         "l8_logit_quality",
         "auc:6, accuracy:6, test_rows:i",
-        lambda t: L.logit_validation(t.touches)[1],
+        lambda t: L.logit_validation(t.unnumbered)[1],
     )
     flags = """
         SELECT customer_id, max(converted) AS converted, count(*) AS journey_length,
@@ -686,15 +686,15 @@ def _models(register) -> None:
         "l8_logit_features",
         "customer_id:i, converted:i, journey_length:i, unique_channels:i, total_cost:4, total_time:4, "
         "has_paid_search:i, has_email:i, has_social:i",
-        lambda t: L.logit_features(t.touches),
+        lambda t: L.logit_features(t.unnumbered),
         with_touches(flags),
     )
-    register("l9_variance_inflation", "term, vif:6", lambda t: L.variance_inflation(t.touches))
+    register("l9_variance_inflation", "term, vif:6", lambda t: L.variance_inflation(t.unnumbered))
     register(
         "l10_interaction_counts",
         "has_search:i, has_social:i, has_email:i, has_display:i, search_social:i, search_email:i, social_email:i, "
         "journeys:i, conversions:i, converted:6",
-        lambda t: L.interaction_counts(t.touches),
+        lambda t: L.interaction_counts(t.unnumbered),
         with_touches(
             """
             , j AS (
@@ -713,24 +713,24 @@ def _models(register) -> None:
         ),
     )
     register(
-        "l10_interaction_test", "lr_statistic:4, df:i, p_value:6", lambda t: L.interaction_test(t.touches)[0]
+        "l10_interaction_test", "lr_statistic:4, df:i, p_value:6", lambda t: L.interaction_test(t.unnumbered)[0]
     )
     register(
         "l10_interaction_terms",
         "term, estimate:6, std_error:6, statistic:4, p_value:6",
-        lambda t: L.interaction_test(t.touches)[1],
+        lambda t: L.interaction_test(t.unnumbered)[1],
     )
 
 
 def _sinks(register) -> None:
     def csv_round_trip(t):
         path = fresh_path(t.spark, "touchpoints_csv")
-        write_csv(t.touches, path)
+        write_csv(t.unnumbered, path)
         return read_touchpoints(t.spark, path, "csv").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
     def parquet_round_trip(t):
         path = fresh_path(t.spark, "touchpoints")
-        write_parquet(t.touches, path)
+        write_parquet(t.unnumbered, path)
         return read_touchpoints(t.spark, path, "parquet").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
     def ga_csv(t):

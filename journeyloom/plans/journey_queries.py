@@ -237,7 +237,7 @@ def register_all(register) -> None:
     register(
         "a1_dataset_stats",
         "total_records:i, unique_customers:i, unique_channels:i",
-        lambda t: A.dataset_stats(t.touches),
+        lambda t: A.dataset_stats(t.unnumbered),
         with_touches(
             """
             SELECT count(*) AS total_records, count(DISTINCT customer_id) AS unique_customers,
@@ -266,7 +266,7 @@ def register_all(register) -> None:
     register(
         "a3_time_patterns",
         "hour:i, day_of_week:i, touches:i, conversions:i, avg_engagement:6, conversion_rate:6",
-        lambda t: A.time_patterns(t.touches),
+        lambda t: A.time_patterns(t.unnumbered),
         with_touches(
             """
             SELECT hour("timestamp") AS hour, dayofweek("timestamp") + 1 AS day_of_week, count(*) AS touches,
@@ -279,7 +279,7 @@ def register_all(register) -> None:
         "a4_kpi_overview",
         "total_customers:i, total_touchpoints:i, total_conversions:i, conversion_rate:6, total_revenue:4, "
         "total_cost:4, roas:6, avg_customer_value:6",
-        lambda t: A.kpi_overview(t.touches),
+        lambda t: A.kpi_overview(t.unnumbered),
         with_touches(
             """
             SELECT count(DISTINCT customer_id) AS total_customers, count(*) AS total_touchpoints,
@@ -298,7 +298,7 @@ def register_all(register) -> None:
     register(
         "a5_channel_overview",
         "channel, customers:i, cost:4, revenue:4, converted:i, roi:6, conversion_rate:6",
-        lambda t: A.channel_overview(t.touches),
+        lambda t: A.channel_overview(t.unnumbered),
         with_touches(
             f"""
             SELECT channel, count(DISTINCT customer_id) AS customers, sum(cost) AS cost, sum(revenue) AS revenue,
@@ -319,11 +319,11 @@ def register_all(register) -> None:
                coalesce((sum(revenue) - sum(cost)) / nullif(sum(cost), 0), 0) AS roi,
                avg(time_on_site) AS avg_time_on_site
         FROM tp GROUP BY channel"""
-    register("a6_channel_detail", detail_columns, lambda t: A.channel_detail(t.touches), with_touches(detail))
+    register("a6_channel_detail", detail_columns, lambda t: A.channel_detail(t.unnumbered), with_touches(detail))
     register(
         "a6_channel_detail_email",
         detail_columns,
-        lambda t: A.channel_detail(t.touches, "email"),
+        lambda t: A.channel_detail(t.unnumbered, "email"),
         with_touches(f"SELECT * FROM ({detail}) WHERE channel = 'email'"),
     )
     daily = """
@@ -333,13 +333,13 @@ def register_all(register) -> None:
     register(
         "a7_daily_channel_metrics",
         "channel, date, customers:i, cost:4, revenue:4, converted:i",
-        lambda t: A.daily_metrics(t.touches),
+        lambda t: A.daily_metrics(t.unnumbered),
         with_touches(daily.format(by="channel,")),
     )
     register(
         "a7_daily_metrics",
         "date, customers:i, cost:4, revenue:4, converted:i",
-        lambda t: A.daily_metrics(t.touches, by_channel=False),
+        lambda t: A.daily_metrics(t.unnumbered, by_channel=False),
         with_touches(daily.format(by="")),
     )
     register(

@@ -34,6 +34,13 @@ class Tables:
 
         return self._once("touches", lambda: events_to_touchpoints(self.raw("events")))
 
+    @property
+    def unnumbered(self) -> DataFrame:
+        """Touches without positions, for what reads none: no pass to number them."""
+        from journeyloom.sources.touchpoints import events_to_touchpoints
+
+        return self._once("unnumbered", lambda: events_to_touchpoints(self.raw("events"), numbered=False))
+
     @property
     def sessions(self) -> DataFrame:
         from journeyloom.sources.touchpoints import events_to_ga_sessions

@@ -52,8 +52,11 @@ def _pick(names: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), index + 1)
 
 
-def events_to_touchpoints(events: DataFrame) -> DataFrame:
-    """Touches from an event stream: one journey per user and calendar day."""
+def events_to_touchpoints(events: DataFrame, numbered: bool = True) -> DataFrame:
+    """Touches from an event stream: one journey per user and calendar day.
+
+    Numbering costs a pass over the data; without it the touches have no positions.
+    """
     k = F.get_json_object("props", "$.k").cast("int")
     channel = _pick(CHANNELS, k % 10)
     cost = F.element_at(F.create_map(*[F.lit(v) for kv in CHANNEL_COST.items() for v in kv]), channel)
@@ -71,7 +74,10 @@ def events_to_touchpoints(events: DataFrame) -> DataFrame:
         F.when(purchase, 1).otherwise(0).alias("converted"),
         F.when(purchase, F.col("value")).otherwise(0.0).alias("revenue"),
     )
-    return number_touches(conform(touches), ["timestamp", "event_id"]).drop("event_id")
+    touches = conform(touches)
+    if numbered:
+        touches = number_touches(touches, ["timestamp", "event_id"])
+    return touches.drop("event_id")
 
 
 def events_to_ga_sessions(events: DataFrame) -> DataFrame:

@@ -65,9 +65,15 @@ def test_logit_terms_start_with_the_intercept(touches):
 
 
 def test_variance_inflation(touches):
-    x = L.logit_features(touches).select(*L.LOGIT_INPUTS).toPandas().to_numpy(float)
-    expected = np.diag(np.linalg.inv(np.corrcoef(x, rowvar=False)))
-    assert [r["vif"] for r in L.variance_inflation(touches).collect()] == pytest.approx(list(expected), rel=1e-6)
+    data = L.split(L.logit_features(touches), 0.2, 42)[0].toPandas()
+    x = data[L.LOGIT_INPUTS].to_numpy(float)
+    b, _, _ = logit(x, data["converted"].to_numpy(float))
+    ones = np.column_stack([np.ones(len(x)), x])
+    p = 1 / (1 + np.exp(-ones @ b))
+    covariance = np.linalg.inv((ones.T * (p * (1 - p))) @ ones)[1:, 1:]
+    scale = np.sqrt(np.diag(covariance))
+    expected = np.diag(np.linalg.inv(covariance / np.outer(scale, scale)))
+    assert [r["vif"] for r in L.variance_inflation(touches).collect()] == pytest.approx(list(expected), rel=1e-2)
 
 
 def test_stratified_split_meets_the_share_in_each_class(touches):
@@ -108,6 +114,27 @@ def test_media_mix_runs_to_the_budget(touches):
     assert total[0] == pytest.approx(total[1])
 
 
+def test_ridge_does_not_depend_on_partitions(touches):
+    channels = sorted(r[0] for r in touches.select("channel").distinct().collect())
+    grid = R.transformed_grid(touches, channels)
+    want = {r["channel"]: r["coefficient"] for r in R.ridge_coefficients(grid, channels).collect()}
+    got = {r["channel"]: r["coefficient"] for r in R.ridge_coefficients(grid.repartition(7), channels).collect()}
+    assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_ridge_solves_its_equations():
+    rng = np.random.default_rng(4)
+    x, penalty = rng.normal(size=(80, 3)) * [1, 5, 0.2] + 2, 0.7
+    y = x @ [1.0, -2.0, 3.0] + rng.normal(size=80)
+    rows = np.column_stack([np.ones(80), x, y])
+    weights, intercept = R._ridge(rows.T @ rows, penalty)
+    z, v = (x - x.mean(0)) / x.std(0), (y - y.mean()) / y.std()
+    scaled = weights * x.std(0) / y.std()
+    assert z.T @ (v - z @ scaled) == pytest.approx(penalty / y.std() * 80 * scaled)
+    assert intercept == pytest.approx(y.mean() - x.mean(0) @ weights)
+    assert R._mean_error(rows.T @ rows, weights, intercept) == pytest.approx(np.sqrt(np.mean((y - x @ weights - intercept) ** 2)))
+
+
 def test_ridge_matches_a_closed_form(spark):
     rng = np.random.default_rng(3)
     days = 60
