@@ -5,7 +5,7 @@ share. Stretches of windows with one anchor are segments. Segments whose anchor
 repeat and go no further. The others are sharded by anchor, so equal windows meet in one shard. A shard builds
 a suffix order to a depth of 16 words, its Burrows-Wheeler transform in a wavelet matrix, and searches all windows of the
 streamed segments backwards; windows that end in one interval are equal, and those with a smaller document in it
-go. Word ids are 32-bit hashes; a second hash of the whole window confirms each match.
+go. Word ids are 32-bit hashes; a second hash of the whole window confirms a match.
 
 Hot passages: within a batch, only the smallest document of equal segments is searched, the others are known
 repeats at once and travel under random keys. A shard so gets a hot segment once a batch at most.
@@ -119,7 +119,7 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segment_rows(window: int, gram: int):
-    names = ["anchor", "doc_id", "text_key", "start", "windows", "words", "checks"]
+    names = ["anchor", "doc_id", "text_key", "place", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,7 +135,7 @@ def _segment_rows(window: int, gram: int):
                     continue
                 small = (h >> np.uint64(32)).astype(np.uint32)
                 full = run_hashes(h, window)
-                checks = full.astype(np.uint32)
+                checks = full.astype(np.uint16)
                 doc = ids[row + of]
                 # Equal segments of the slice: all but those of the smallest document are repeats.
                 total = np.concatenate(([np.uint64(0)], np.cumsum(full)))
@@ -144,41 +144,37 @@ def _segment_rows(window: int, gram: int):
                 lead = np.maximum.accumulate(np.where(np.concatenate(([True], same[order][1:] != same[order][:-1])), np.arange(len(order)), 0))
                 repeat = np.zeros(len(doc), bool)
                 repeat[order] = doc[order] > doc[order][lead]
-                out: dict[str, list] = {c: [] for c in names}
                 away = signed(mix(doc.view(np.uint64) ^ mix(local.astype(np.uint64))))
-                for i, (a, f, n, r) in enumerate(zip(signed(anchor).tolist(), first.tolist(), count.tolist(), repeat.tolist(), strict=True)):
-                    out["anchor"].append(int(away[i]) if r else a)
-                    out["words"].append(None if r else small[f : f + n + window - 1].tobytes())
-                    out["checks"].append(None if r else checks[f : f + n].tobytes())
-                yield pa.record_batch(
-                    [
-                        pa.array(out["anchor"], pa.int64()),
-                        pa.array(doc),
-                        pa.array(keys[row + of]),
-                        pa.array(local.astype(np.int32)),
-                        pa.array(count.astype(np.int32)),
-                        pa.array(out["words"], pa.binary()),
-                        pa.array(out["checks"], pa.binary()),
-                    ],
-                    names,
-                )
+                send = np.where(repeat, away, signed(anchor))
+                blobs = [
+                    None if r else small[f : f + n + window - 1].tobytes() + checks[f : f + n].tobytes()
+                    for f, n, r in zip(first.tolist(), count.tolist(), repeat.tolist(), strict=True)
+                ]
+                # place: first window and, in the lowest byte, the number of windows.
+                yield pa.record_batch([pa.array(send), pa.array(doc), pa.array(keys[row + of]), pa.array((local << 8) | count), pa.array(blobs, pa.binary())], names)
 
     return run
 
 
 class Bits:
-    """A bit vector with rank: 64-bit words and the number of ones before each."""
+    """A bit vector with rank: every number holds 32 bits and, above them, how many ones come before."""
 
     def __init__(self, bits: np.ndarray):
-        padded = np.zeros(-(-(len(bits) + 1) // 64) * 64, np.uint8)
+        padded = np.zeros((len(bits) // 32 + 1) * 32, np.uint8)
         padded[: len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view("<u8")
-        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)[:-1])).astype(np.int32)
+        words = np.packbits(padded, bitorder="little").view("<u4").astype(np.uint64)
+        ones = np.cumsum(np.bitwise_count(words), dtype=np.uint64)
+        self.blocks = words | (np.concatenate(([np.uint64(0)], ones[:-1])) << np.uint64(32))
 
     def ones(self, at: np.ndarray) -> np.ndarray:
-        block = at >> 6
-        mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[block] + np.bitwise_count(self.words[block] & mask)
+        block = self.blocks[at >> 5]
+        inside = np.bitwise_count(block & _BELOW[at & 31])
+        return (block >> np.uint64(32)).astype(np.int32) + inside
+
+
+_BELOW = (np.uint64(1) << np.arange(32, dtype=np.uint64)) - np.uint64(1)
+#: Searches advance in blocks of this many patterns, so that their state stays in the processor's cache.
+BLOCK = 8_192
 
 
 class FmIndex:
@@ -194,37 +190,43 @@ class FmIndex:
             step *= 2
         suffixes = np.argsort(rank, kind="stable")
         current = text[suffixes - 1].astype(np.uint32)
-        self.counts = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=int(text.max()) + 1 if n else 1))))
+        symbols = int(text.max()) + 1
+        self.counts = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols)))).astype(np.int32)
         self.levels: list[tuple[int, Bits, int]] = []
-        for level in range(max(1, int(text.max()).bit_length() if n else 1) - 1, -1, -1):
+        for level in range(max(1, (symbols - 1).bit_length()) - 1, -1, -1):
             bits = ((current >> level) & 1).astype(np.uint8)
             zeros = int(n - bits.sum())
             self.levels.append((level, Bits(bits), zeros))
             current = np.concatenate((current[bits == 0], current[bits == 1]))
+        # Where each symbol's run begins below the last level.
+        self.begins = np.zeros(symbols, np.int32)
+        self.begins = self._descended(np.arange(symbols, dtype=np.int32), self.begins)
+
+    def _descended(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        for level, bits, zeros in self.levels:
+            ones = bits.ones(at)
+            at = np.where((symbols >> level) & 1, zeros + ones, at - ones)
+        return at
 
     def occurrences(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol occurs in the transform before each position."""
-        low = np.zeros_like(at)
-        for level, bits, zeros in self.levels:
-            one = ((symbols >> level) & 1).astype(bool)
-            left, right = bits.ones(low), bits.ones(at)
-            low = np.where(one, zeros + left, low - left)
-            at = np.where(one, zeros + right, at - right)
-        return at - low
+        return self._descended(symbols, at) - self.begins[symbols]
 
     def search(self, text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the runs of ``length`` symbols at ``starts``; a run that occurs once may end its search early."""
+        text = text.astype(np.int32)
         symbol = text[starts + length - 1]
-        low, high = self.counts[symbol].astype(np.int64), self.counts[symbol + 1].astype(np.int64)
-        alive = np.arange(len(starts))
-        for step in range(length - 2, -1, -1):
-            alive = alive[high[alive] - low[alive] > 1]
-            if not len(alive):
-                break
-            symbol = text[starts[alive] + step].astype(np.int64)
-            base = self.counts[symbol]
-            found = self.occurrences(np.concatenate((symbol, symbol)), np.concatenate((low[alive], high[alive])))
-            low[alive], high[alive] = base + found[: len(alive)], base + found[len(alive) :]
+        low, high = self.counts[symbol], self.counts[symbol + 1]
+        for block in range(0, len(starts), BLOCK):
+            alive = np.arange(block, min(block + BLOCK, len(starts)))
+            for step in range(length - 2, -1, -1):
+                alive = alive[high[alive] - low[alive] > 1]
+                if not len(alive):
+                    break
+                symbol = text[starts[alive] + step]
+                base = self.counts[symbol]
+                found = self.occurrences(np.concatenate((symbol, symbol)), np.concatenate((low[alive], high[alive])))
+                low[alive], high[alive] = base + found[: len(alive)], base + found[len(alive) :]
         return low, high
 
 
@@ -237,35 +239,47 @@ def _searched(window: int):
             known = batch.column("words").is_null()
             repeats = batch.filter(known)
             if repeats.num_rows:
-                start = repeats.column("start").to_numpy()
-                yield _spans(repeats.column("doc_id"), repeats.column("text_key"), start, start + repeats.column("windows").to_numpy() + window - 1)
+                place = repeats.column("place").to_numpy()
+                yield _spans(repeats.column("doc_id"), repeats.column("text_key"), place >> 8, (place >> 8) + (place & 255) + window - 1)
             rows.append(batch.filter(pa.compute.invert(known)))
         if not any(b.num_rows for b in rows):
             return
         table = pa.Table.from_batches(rows).combine_chunks()
         rows.clear()
-        doc, count, start = (table[c].to_numpy() for c in ("doc_id", "windows", "start"))
-        words = np.frombuffer(b"".join(table["words"].to_pylist()), np.uint32)
-        checks = np.frombuffer(b"".join(table["checks"].to_pylist()), np.uint32)
-        lengths = count.astype(np.int64) + window - 1
+        doc, place = table["doc_id"].to_numpy(), table["place"].to_numpy()
+        start, count = place >> 8, place & 255
+        # Equal segments are indexed and searched once, for the smallest of their documents.
+        blobs = table["words"].combine_chunks().dictionary_encode()
+        which = blobs.indices.to_numpy()
+        first_of = np.full(len(blobs.dictionary), len(doc), np.int64)
+        np.minimum.at(first_of, which, np.arange(len(doc)))
+        least = np.full(len(blobs.dictionary), LAST, np.int64)
+        np.minimum.at(least, which, doc)
+        distinct = count[first_of]
+        lengths = distinct + window - 1
+        parts = [x.as_py() for x in blobs.dictionary]
+        words = np.frombuffer(b"".join([x[: 4 * n] for x, n in zip(parts, lengths.tolist(), strict=True)]), np.uint32)
+        checks = np.frombuffer(b"".join([x[4 * n :] for x, n in zip(parts, lengths.tolist(), strict=True)]), np.uint16)
         # Symbol 0 stands between segments.
-        text = np.zeros(len(words) + len(doc), np.int64)
-        within = np.arange(len(words)) + np.repeat(np.arange(len(doc)), lengths)
-        _, symbols = np.unique(words, return_inverse=True)
-        text[within] = symbols + 1
+        text = np.zeros(len(words) + len(distinct), np.int64)
+        within = np.arange(len(words)) + np.repeat(np.arange(len(distinct)), lengths)
+        text[within] = np.unique(words, return_inverse=True)[1] + 1
         begin = np.cumsum(lengths + 1) - lengths - 1
+        of = np.repeat(np.arange(len(distinct)), distinct)
+        offset = np.cumsum(distinct) - distinct
+        low, high = FmIndex(text).search(text, begin[of] + np.arange(len(of)) - offset[of], window)
+        # The smallest document of each window: of its segment, or of all in its interval with the same check.
+        owner = least[of]
+        many = np.flatnonzero(high - low > 1)
+        keys = (low[many].astype(np.int64) << 16) | checks[many]
+        order = np.lexsort((owner[many], keys))
+        k, o = keys[order], owner[many][order]
+        lead = np.maximum.accumulate(np.where(np.concatenate(([True], k[1:] != k[:-1])), np.arange(len(k)), 0)) if len(k) else order
+        owner[many[order]] = o[lead]
+        # Back to all segments.
         segment = np.repeat(np.arange(len(doc)), count)
         order_in = np.arange(len(segment)) - np.repeat(np.cumsum(count) - count, count)
-        low, high = FmIndex(text).search(text, begin[segment] + order_in, window)
-        many = np.flatnonzero(high - low > 1)
-        gone = np.zeros(len(segment), bool)
-        if len(many):
-            keys = (low[many].astype(np.uint64) << np.uint64(32)) | checks[many]
-            owner = doc[segment[many]]
-            order = np.lexsort((owner, keys))
-            k, o = keys[order], owner[order]
-            lead = np.maximum.accumulate(np.where(np.concatenate(([True], k[1:] != k[:-1])), np.arange(len(k)), 0))
-            gone[many[order]] = o > o[lead]
+        gone = doc[segment] > owner[offset[which[segment]] + order_in]
         # Runs of removed windows within a segment become one span.
         runs = gone & ~np.concatenate(([False], gone[:-1] & (segment[1:] == segment[:-1])))
         last = gone & ~np.concatenate((gone[1:] & (segment[1:] == segment[:-1]), [False]))
@@ -282,26 +296,35 @@ def _spans(doc: pa.Array, key: pa.Array, first: np.ndarray, last: np.ndarray) ->
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return only(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return only(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.hash("text").alias("text_key"), "text")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Word spans [first, last) of each text (doc_id, text_key) whose windows also start in a smaller document.
 
-    Rows are (doc_id, text_key, first, last); spans may touch or overlap. text_key is xxhash64 of the text. A NULL id
+    Rows are (doc_id, text_key, first, last); spans may touch or overlap. text_key is a hash of the text. A NULL id
     counts as the largest one; rows with the same id never remove each other's words.
     """
     rows = _keyed(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, int(size * DENSITY / PART_POSTINGS) + 1)
-    anchors = rows.where("text is not null").mapInArrow(_anchors(window, gram), "anchor long, doc_id long, text_key long, place long")
-    stay = anchors.repartition(parts, "anchor").mapInArrow(_survivors, "doc_id long, text_key long, start int")
+    anchors = rows.where("text is not null").mapInArrow(_anchors(window, gram), "anchor long, doc_id long, text_key int, place long")
+    stay = anchors.repartition(parts, "anchor").mapInArrow(_survivors, "doc_id long, text_key int, start int")
     stay = stay.groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("starts"))
     found = rows.join(stay, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "starts").mapInArrow(
-        _segment_rows(window, gram), "anchor long, doc_id long, text_key long, start int, windows int, words binary, checks binary"
+        _segment_rows(window, gram), "anchor long, doc_id long, text_key int, place long, words binary"
     )
     shards = max(1, int(size * DENSITY / 4 / PART_SEGMENTS) + 1)
-    return found.repartition(shards, "anchor").mapInArrow(_searched(window), "doc_id long, text_key long, first int, last int")
+    return found.repartition(shards, "anchor").mapInArrow(_searched(window), "doc_id long, text_key int, first int, last int")
+
+
+def _removed(words: Words, spans: pa.Scalar) -> np.ndarray:
+    """Whether each word lies in a span."""
+    change = np.zeros(len(words.starts) + 1, np.int64)
+    if spans.is_valid:
+        np.add.at(change, spans.values.field("first").to_numpy(), 1)
+        np.add.at(change, spans.values.field("last").to_numpy(), -1)
+    return np.cumsum(change[:-1]) > 0
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,11 +336,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = raw[offsets[i] : offsets[i + 1]]
             words = split_words(data, np.array([0, len(data)]), separators)
             n = len(words.starts)
-            change = np.zeros(n + 1, np.int64)
-            if spans.is_valid:
-                np.add.at(change, spans.values.field("first").to_numpy(), 1)
-                np.add.at(change, spans.values.field("last").to_numpy(), -1)
-            keep = np.flatnonzero(np.cumsum(change[:-1]) == 0)
+            keep = np.flatnonzero(~_removed(words, spans))
             blob = data.tobytes()
             out["n_words"].append(n)
             out["n_removed"].append(n - len(keep))
@@ -336,7 +355,47 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     shorter than a window keep all; of equal texts the one with the smallest id keeps its words; repeated rows are
     treated alike. No rows give no rows.
     """
-    spans = repeated_spans(docs, window, gram).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    rows = _keyed(docs).join(spans, ["doc_id", "text_key"], "left")
+    rows = _keyed(docs).join(_grouped(docs, window, gram), ["doc_id", "text_key"], "left")
     rows = rows.select(F.when(F.col("doc_id") != LAST, F.col("doc_id")).alias("row_doc"), "text", "spans")
     return rows.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept binary, kept_sha256 string")
+
+
+def _grouped(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    return repeated_spans(docs, window, gram).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+
+
+def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeated words, and the white space after each, cut from ``text``; all other text stays as it is.
+
+    Columns and rows stay; n_chars, if there is one, is counted anew for the texts that change. NULL texts stay NULL.
+    """
+    spans = _grouped(docs, window, gram).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
+    keys = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("_doc")) & (F.hash("text") == F.col("_key"))
+    rows = docs.join(spans, keys, "left").drop("_doc", "_key")
+    at = docs.columns.index("text")
+    count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    separators = white_table()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, columns = batch.column(at).to_pylist(), batch.columns[:-1]
+            counts = columns[count].to_pylist() if count is not None else None
+            for i, marks in enumerate(batch.column(batch.num_columns - 1)):
+                if texts[i] is None or not marks.is_valid:
+                    continue
+                data = texts[i].encode()
+                words = split_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), separators)
+                gone = _removed(words, marks)
+                # Every stretch of kept words goes from its first byte to the start of the next removed word.
+                edges = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])).astype(np.int8)))
+                begin = np.append(words.starts, len(data))
+                begin[0] = 0 if len(gone) and not gone[0] else begin[0]
+                texts[i] = b"".join([data[begin[a] : begin[b]] for a, b in edges.reshape(-1, 2).tolist()]).decode()
+                if counts is not None:
+                    counts[i] = len(texts[i])
+            columns[at] = pa.array(texts, columns[at].type)
+            if counts is not None:
+                columns[count] = pa.array(counts, columns[count].type)
+            yield pa.record_batch(columns, batch.schema.names[:-1])
+
+    return rows.mapInArrow(run, docs.schema)
