@@ -8,8 +8,8 @@ short lists select the pairs; the remaining lists are then probed by binary sear
 is reached or out of reach. Equal sets are one node throughout.
 
 Nodes that consist of frequent shingles only (large groups of near copies) have long lists even so. Those lists are
-split by salt and only neighbours in a part are compared, in rounds; what then still joins different
-components through such a list is compared in full.
+split by salt and only neighbours in a part are compared, in rounds. What then still shares such lists with other
+components is compared in full, in blocks: the lists of one block are merged for every node of the other.
 """
 
 from __future__ import annotations
@@ -31,9 +31,11 @@ SAMPLE = 16
 LONG_IN_SAMPLE = 5
 #: At most so many shingles (the most frequent) are treated as long; a missed one only makes its list slower.
 MAX_LONG = 1_000_000
-PART_POSTINGS = 1_500_000
+PART_POSTINGS = 800_000
 SALTED = 64
-PARTNERS, ROUNDS = 3, 4
+PARTNERS, ROUNDS = 3, 2
+#: Nodes of a block where nodes that share frequent lists are compared in full.
+BLOCK_NODES = 1_024
 
 
 def required(n, percent: int = PERCENT):
@@ -202,12 +204,17 @@ def _verified(percent: int):
     return run
 
 
-def similar_pairs(rows: DataFrame, table: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The stored pairs (a, b) of nodes whose sets reach the similarity, from the texts of one document per node."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _token_sets(rows: DataFrame, table: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, tokens) of the wanted nodes, from the text of one document for each."""
     ids = stored(table.join(nodes, "node", "left_semi").groupBy("node", "check").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "ids")
     sets = keep_keys(rows.where(F.col("doc_id").isNotNull()), ids, "doc_id").select("text").mapInArrow(_blobs, "node long, tokens binary")
-    sets = sets.groupBy("node").agg(F.first("tokens").alias("tokens"))
+    return sets.groupBy("node").agg(F.first("tokens").alias("tokens"))
+
+
+def similar_pairs(rows: DataFrame, table: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The stored pairs (a, b) of nodes whose sets reach the similarity."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _token_sets(rows, table, nodes)
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
     return stored(both.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long"), "links")
@@ -253,20 +260,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     hot = stored(full.where("hot"), "hot")
     any_hot = hot.limit(1).count() > 0
     if any_hot:
-        first = first.unionByName(_neighbours(hot, long, counts, parts, percent, 0)).distinct()
+        first = first.unionByName(_neighbours(hot, long, counts, percent, 0, None)).distinct()
     links = similar_pairs(rows, table, stored(first, "first"), percent)
     joined = components(links)
     for salt in range(1, ROUNDS if any_hot else 1):
-        more = stored(_apart(_neighbours(hot, long, counts, parts, percent, salt), joined), "more")
-        fresh = similar_pairs(rows, table, more, percent)
-        if not fresh.limit(1).count():
-            break
-        links = links.unionByName(fresh)
+        more = stored(_neighbours(hot, long, counts, percent, salt, joined), "more")
+        links = links.unionByName(similar_pairs(rows, table, more, percent))
         joined = components(links)
-    rest = _apart(counted.select("a", "b"), joined)
     if any_hot:
-        rest = rest.unionByName(_across(hot, long, counts, joined, percent)).distinct()
-    rest = stored(rest, "rest")
+        links = links.unionByName(stored(_across(rows, table, hot, long, counts, joined, percent), "across"))
+        joined = components(links)
+    rest = stored(_apart(counted.select("a", "b"), joined), "rest")
     if rest.limit(1).count():
         links = links.unionByName(similar_pairs(rows, table, rest, percent))
         joined = components(links)
@@ -282,38 +286,84 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of ``docs`` for each group of linked documents: the one with the smallest id.
 
-    Documents without words link with nothing and stay. Repeated rows of one id count as one document; a NULL id stays
-    only if nothing links with it.
+    Documents without words link with nothing and stay. Repeated rows of one id count as one document. Rows without id
+    stay, once for each text, if no row with an id has their shingles.
     """
     found = jaccard_components(docs, percent)
     keep = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
     kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    text = F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    return kept.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")
+
 
+def _neighbours(hot: DataFrame, long: np.ndarray, counts: np.ndarray, percent: int, salt: int, joined: DataFrame | None) -> DataFrame:
+    """Pairs of nodes that follow each other in the salted parts of frequent lists, a few for every node.
 
-def _neighbours(hot: DataFrame, long: np.ndarray, counts: np.ndarray, parts: int, percent: int, salt: int) -> DataFrame:
-    """Pairs of nodes that follow each other in the salted parts of frequent lists, a few for every node."""
+    With ``joined``, only pairs of different components count.
+    """
     lists = hot.mapInArrow(_postings(long, counts, True, salt), "list long, node long, n long, hot boolean").distinct()
     row = Window.partitionBy("list").orderBy("n", "node")
     pairs = lists.withColumn("b", F.lag("node").over(row)).withColumn("n_b", F.lag("n").over(row)).where("b is not null").where(_near("n", "n_b", percent))
     pairs = pairs.groupBy(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    if joined is not None:
+        pairs = _apart(pairs, joined)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "c"))
     best = Window.partitionBy("a").orderBy(F.desc("c"), F.xxhash64("b"))
-    return pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= PARTNERS).select("a", "b")
+    few = both.withColumn("r", F.row_number().over(best)).where(F.col("r") <= PARTNERS)
+    return few.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
     of = lambda end: joined.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
     both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
-
-
-def _across(hot: DataFrame, long: np.ndarray, counts: np.ndarray, joined: DataFrame, percent: int) -> DataFrame:
-    """Every pair of nodes of different components that share a frequent short list."""
-    rows = hot.mapInArrow(_postings(long, counts, True, -1), "list long, node long, n long, hot boolean").distinct()
-    rows = rows.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
-    rows = stored(rows.join(mixed, "list", "left_semi").select("list", "node", "n", "component"), "mixed")
-    one, two = (rows.select("list", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "component")]) for k in ("a", "b"))
-    pairs = one.join(two, "list").where("node_a < node_b and component_a <> component_b").where(_near("n_a", "n_b", percent))
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return both.where("coalesce(of_a, a) <> coalesce(of_b, b)").select(*pairs.columns)
+
+
+def _across(rows: DataFrame, table: DataFrame, hot: DataFrame, long: np.ndarray, counts: np.ndarray, joined: DataFrame, percent: int) -> DataFrame:
+    """Links between components whose nodes share frequent short lists, each pair of components once a block and node.
+
+    Nodes that are connected through such lists form a family. All nodes outside a family's largest component meet all
+    of its nodes, block against block.
+    """
+    shared = stored(hot.mapInArrow(_postings(long, counts, True, -1), "list long, node long, n long, hot boolean").select("list", "node").distinct(), "shared")
+    family = components(shared.select(F.col("node").alias("a"), F.col("list").alias("b"))).withColumnRenamed("component", "family")
+    nodes = shared.select("node").distinct().join(family, "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    nodes = stored(nodes, "family")
+    parts = nodes.groupBy("family", "component").agg(F.count(F.lit(1)).alias("m"))
+    mixed = parts.groupBy("family").agg(F.sum("m").alias("size"), F.max_by("component", F.struct("m", "component")).alias("largest"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    nodes = nodes.join(mixed, "family").withColumn("blocks", F.ceil(F.col("size") / BLOCK_NODES).cast("int"))
+    nodes = stored(nodes.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "nodes")
+    full = stored(nodes.join(_token_sets(rows, table, nodes.select("node").distinct()), "node"), "full")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = full.where("component <> largest").withColumn("other", every).select("family", "block", "other", "node", "component", "tokens")
+    right = full.withColumnRenamed("block", "other").withColumn("block", every)
+    right = right.select(*[F.col(c).alias(c) for c in ("family", "block", "other", "node", "component", "tokens")])
+    keys = ["family", "block", "other"]
+    return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(_compared(percent), "a long, b long")
+
+
+def _compared(percent: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: tuple[list, list] = ([], [])
+        if left.num_rows and right.num_rows:
+            sets = [np.frombuffer(x.as_py(), np.uint64) for x in right["tokens"]]
+            sizes = np.array([len(x) for x in sets])
+            tokens = np.concatenate(sets)
+            order = np.argsort(tokens, kind="stable")
+            owner, tokens = np.repeat(np.arange(len(sets)), sizes)[order], tokens[order]
+            nodes, component = right["node"].to_numpy(), right["component"].to_numpy()
+            for node, own, blob in zip(left["node"].to_pylist(), left["component"].to_pylist(), left["tokens"], strict=True):
+                query = np.frombuffer(blob.as_py(), np.uint64)
+                low, high = np.searchsorted(tokens, query, "left"), np.searchsorted(tokens, query, "right")
+                found = np.zeros(len(sets), np.int64)
+                # A document is in a list once, so every list adds one to each of its documents.
+                for a, b in zip(low.tolist(), high.tolist(), strict=True):
+                    found[owner[a:b]] += 1
+                linked = np.flatnonzero((100 * found >= percent * (len(query) + sizes - found)) & (component != own))
+                _, at = np.unique(component[linked], return_index=True)
+                out[0].extend([node] * len(at))
+                out[1].extend(nodes[linked[at]].tolist())
+        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
+
+    return run
