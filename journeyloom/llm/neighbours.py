@@ -1,9 +1,11 @@
 """Nearest neighbours by multi-index hashing of learned binary codes.
 
 Codes come from several rotations of the centred vectors, each learnt on a bounded sample by alternating between
-signs and the rotation nearest to them. A code is cut into 16-bit substrings and each substring is indexed. By the
+signs and the rotation nearest to them. A code is cut into 64-bit substrings and each substring is indexed. By the
 pigeonhole principle a code within radius r of a query's has a substring within its share of r, so probing all
-substrings to that share finds every code within r. Those are ranked by their exact inner product.
+substrings to that share finds every code within r. Those are ranked by their exact inner product. Radii that hold the
+neighbours of unclustered vectors are far too wide to enumerate all keys near a query's, so a probe runs over the keys
+that the block's index has.
 
 The table is indexed in blocks of bounded size; blocks of queries meet blocks of the index, so nothing that grows with the
 data is broadcast or gathered. The radius is set on the sample: the smallest that holds RECALL of its true neighbours.
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-ROTATIONS, SUBSTRING = 4, 16
+ROTATIONS, SUBSTRING = 4, 64
 SAMPLE_VECTORS, SAMPLE_QUERIES = 6_000, 200
 RECALL = 0.97
 BLOCK_ROWS, BLOCK_QUERIES = 20_000, 2_000
@@ -25,7 +27,7 @@ HITS = "query_id long, vec_id long, score double"
 
 
 class Codes:
-    """Rotated sign codes: bits per rotation = dimensions, packed into 16-bit substrings."""
+    """Rotated sign codes: bits per rotation = dimensions, packed into 64-bit substrings."""
 
     def __init__(self, centre: np.ndarray, rotations: list[np.ndarray]):
         self.centre, self.rotations = centre, rotations
@@ -48,7 +50,7 @@ class Codes:
         bits = np.concatenate([(vectors - self.centre) @ r > 0 for r in self.rotations], 1)
         if bits.shape[1] % SUBSTRING:
             bits = np.pad(bits, ((0, 0), (0, SUBSTRING - bits.shape[1] % SUBSTRING)))
-        return np.packbits(bits, axis=1).view(np.uint16)
+        return np.packbits(bits, axis=1).view(np.uint64)
 
 
 def distances(code: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -76,16 +78,8 @@ class MultiIndex:
             allowed = share if k <= more else share - 1
             if allowed < 0:
                 continue
-            near = np.flatnonzero(np.bitwise_count(values ^ code[k]) <= allowed)
-            if 2 * len(near) > len(values):
-                member = np.zeros(len(values), bool)
-                member[near] = True
-                maybe[order[np.repeat(member, np.diff(first))]] = True
-            else:
-                for v in near.tolist():
-                    maybe[order[first[v] : first[v + 1]]] = True
-            if maybe.all():
-                break
+            near = np.bitwise_count(values ^ code[k]) <= allowed
+            maybe[order[near if len(values) == len(order) else np.repeat(near, np.diff(first))]] = True
         rows = np.flatnonzero(maybe)
         return rows[distances(code, self.codes[rows]) <= radius]
 
