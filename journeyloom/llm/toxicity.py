@@ -111,20 +111,20 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> np.nd
     n, k = votes.shape
     p = np.where(known >= 0, known, votes[:, :-1].any(1).astype(float))
     prior = 0.5
-    votes = votes.astype(np.float64)
+    votes = votes.astype(np.float32)
     for _ in range(rounds):
         before = p
         prior = (p.sum() + 1) / (n + 2)
         rate1 = (p @ votes + 0.5) / (p.sum() + 1)
         rate0 = ((1 - p) @ votes + 0.5) / ((1 - p).sum() + 1)
-        rest = votes - np.outer(p, rate1) - np.outer(1 - p, rate0)
+        rest = votes - np.outer(p, rate1).astype(np.float32) - np.outer(1 - p, rate0).astype(np.float32)
         covariance = rest.T @ rest / n
         scale = np.sqrt(np.maximum(np.diag(covariance), 1e-12))
         together = np.clip(covariance / np.outer(scale, scale), 0, 1)
         np.fill_diagonal(together, 0)
-        together[together < 0.1] = 0
-        fires = votes / (1 + votes @ together) * np.log(rate1 / rate0)
-        silent = (1 - votes) * np.log((1 - rate1) / (1 - rate0)) / (1 + together.sum(1))
+        together = np.where(together < 0.1, 0, together).astype(np.float32)
+        fires = votes / (1 + votes @ together) * np.log(rate1 / rate0).astype(np.float32)
+        silent = (1 - votes) * (np.log((1 - rate1) / (1 - rate0)) / (1 + together.sum(1))).astype(np.float32)
         logit = np.log(prior / (1 - prior)) + fires.sum(1) + silent[:, :-1].sum(1)
         p = np.where(known >= 0, 0.98 * known + 0.01, 1 / (1 + np.exp(-np.clip(logit, -30, 30))))
         if np.abs(p - before).max() < 1e-4:
