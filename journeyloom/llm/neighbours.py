@@ -9,6 +9,8 @@ that the block's index has.
 
 The table is indexed in blocks of bounded size; blocks of queries meet blocks of the index, so nothing that grows with the
 data is broadcast or gathered. The radius is set on the sample: the smallest that holds RECALL of its true neighbours.
+One radius suits no table whose density varies, so queries that it leaves with fewer rows than there are candidates for
+are asked again without one: they meet every vector.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from journeyloom.session import checkpointed
+
 ROTATIONS, SUBSTRING = 4, 64
 SAMPLE_VECTORS, SAMPLE_QUERIES = 6_000, 200
 RECALL = 0.97
@@ -88,7 +92,10 @@ def calibrated_radius(codes: Codes, sample: np.ndarray, neighbours: int) -> int:
     """Smallest radius that holds RECALL of the sample's own nearest neighbours."""
     some = sample[:SAMPLE_QUERIES]
     packed = codes.of(sample)
-    near = np.argsort(-(some @ sample.T), axis=1)[:, 1 : neighbours + 1]
+    scores = some @ sample.T
+    # Without the query itself, which need not be its own best hit.
+    scores[np.arange(len(some)), np.arange(len(some))] = -np.inf
+    near = np.argsort(-scores, axis=1)[:, : min(neighbours, len(sample) - 1)]
     found = np.concatenate([distances(packed[i], packed[near[i]]) for i in range(len(some))]) if near.size else np.zeros(1)
     return int(np.quantile(found, RECALL, method="higher"))
 
@@ -107,17 +114,19 @@ def best_first(ids: np.ndarray, scores: np.ndarray, neighbours: int) -> np.ndarr
     return keep[np.lexsort((ids[keep], -scores[keep]))][:neighbours]
 
 
-def _searched(codes: Codes, radius: int, neighbours: int):
+def _searched(codes: Codes, radius: int | None, neighbours: int):
+    """Hits of a block of queries in a block of the index, of all its vectors without a radius."""
+
     def search(queries: pa.Table, block: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
         if queries.num_rows and block.num_rows:
             ids = block["vec_id"].to_numpy()
             vectors = _matrix(block["embedding"].combine_chunks())
-            index = MultiIndex(codes.of(vectors))
+            index = None if radius is None else MultiIndex(codes.of(vectors))
             asked = _matrix(queries["embedding"].combine_chunks())
             asked_codes = codes.of(asked)
             for q, vector, code in zip(queries["vec_id"].to_numpy(), asked, asked_codes, strict=True):
-                rows = index.within(code, radius)
+                rows = np.arange(len(ids)) if index is None else index.within(code, radius)
                 rows = rows[ids[rows] != q]
                 # One sum order for all blocks, so that equal vectors get equal scores.
                 scores = np.einsum("ij,j->i", vectors[rows], vector)
@@ -137,7 +146,8 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20) -> DataFr
 
     ``vectors`` has vec_id and embedding; queries are the rows whose vec_id is divisible by ``every``. Vectors that are
     NULL, zero, of another length than most, or hold NULL or non-finite components take no part, nor do
-    NULL ids; of rows that repeat an id one (the least vector) is used. No usable rows give no rows.
+    NULL ids; of rows that repeat an id one (the least vector) is used. Every query gets ``neighbours`` rows, or as many as
+    there are other vectors. No usable rows give no rows.
     """
     usable = (
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -159,14 +169,25 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20) -> DataFr
     sample = np.stack([np.asarray(x, np.float64) for x in sample]) if len(sample) else np.zeros((1, length["n"]))
     codes = Codes.learnt(sample)
     # Fewer vectors than neighbours: everything is near enough.
-    radius = calibrated_radius(codes, sample, neighbours) if count > 10 * neighbours else 1 << 20
-    radius = min(radius, codes.of(sample[:1]).shape[1] * SUBSTRING)
-    blocks, askers = -(-count // BLOCK_ROWS), -(-count // every // BLOCK_QUERIES) or 1
-    hashed = F.xxhash64("vec_id")
-    index = usable.withColumn("block", F.pmod(hashed, F.lit(blocks)).cast("int"))
-    queries = usable.where(F.col("vec_id") % every == 0).withColumn("asker", F.pmod(hashed, F.lit(askers)).cast("int"))
-    grid_i = index.withColumn("asker", F.explode(F.sequence(F.lit(0), F.lit(askers - 1))))
-    grid_q = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = grid_q.groupBy("asker", "block").cogroup(grid_i.groupBy("asker", "block")).applyInArrow(_searched(codes, radius, neighbours), HITS)
+    radius = calibrated_radius(codes, sample, neighbours) if count > 10 * neighbours else None
+    queries = usable.where(F.col("vec_id") % every == 0)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= neighbours).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def asked(some: DataFrame, n: int, within: int | None) -> DataFrame:
+        """The best hits of ``n`` queries; blocks of queries meet blocks of the index."""
+        blocks, askers = -(-count // BLOCK_ROWS), -(-n // BLOCK_QUERIES) or 1
+        hashed = F.xxhash64("vec_id")
+        index = usable.withColumn("block", F.pmod(hashed, F.lit(blocks)).cast("int"))
+        grid_i = index.withColumn("asker", F.explode(F.sequence(F.lit(0), F.lit(askers - 1))))
+        grid_q = some.withColumn("asker", F.pmod(hashed, F.lit(askers)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        hits = grid_q.groupBy("asker", "block").cogroup(grid_i.groupBy("asker", "block")).applyInArrow(_searched(codes, within, neighbours), HITS)
+        return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= neighbours)
+
+    found = asked(queries, -(-count // every), radius)
+    if radius is not None:
+        found = checkpointed(found)
+        full = found.where(F.col("rank") == min(neighbours, count - 1)).select(F.col("query_id").alias("vec_id"))
+        short = checkpointed(queries.join(full, "vec_id", "left_anti"))
+        if n := short.count():
+            found = found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").unionByName(asked(short, n, None))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

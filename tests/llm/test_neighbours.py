@@ -52,3 +52,29 @@ def test_odd_vectors(spark):
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.5), (20, 1, 0, 0.5), (20, 2, 1, 0.5), (20, 3, 2, 0.5)]
     assert nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     assert nearest(docs.where("vec_id = 3")).count() == 0
+
+
+def test_every_query_of_a_skewed_table_gets_its_rows(spark, monkeypatch):
+    # As the clusters set it.
+    monkeypatch.setattr("journeyloom.llm.neighbours.calibrated_radius", lambda *_: 2)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 32))
+    x = np.concatenate([centres[rng.integers(0, 40, 3_900)] + 1e-4 * rng.standard_normal((3_900, 32)), rng.standard_normal((40, 32))])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    ids = np.concatenate([np.arange(3_900) * 20 + 1, np.arange(40) * 20])
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)]
+    rows += [(20 * i, v) for i, (_, v) in enumerate(rows[:60], 100)]
+    want, got = exact(rows), {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert {q: len(v) for q, v in got.items()} == dict.fromkeys(want, 20)
+    assert all(len(set(v)) == 20 and q not in v for q, v in got.items())
+    assert all(got[q] == [v for v, _ in want[q]] for q in range(0, 800, 20))
+
+
+def test_the_radius_leaves_out_the_query_only():
+    from journeyloom.llm.neighbours import Codes, calibrated_radius
+
+    codes = Codes(np.zeros(2), [np.eye(2)])
+    # The longer vector is the best hit of the shorter one, ahead of the query itself.
+    assert calibrated_radius(codes, np.array([[1.0, 0.1], [9.0, -0.1], [-1.0, -0.2]]), 1) >= 1
