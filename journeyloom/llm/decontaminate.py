@@ -2,7 +2,8 @@
 
 A text becomes a template: numbers, names and units turn into typed placeholders (a run of names is one), other words count
 in lower case without outer punctuation. Windows of template tokens are hashed and joined with those of the
-benchmark. Matches of one item that lie together in a document are aligned, and the values in the slots are compared:
+benchmark. A capital at the start of a sentence may begin a name or not, so each text has two readings, with those words
+as they are and as names; items and documents meet in each. Matches of one item that lie together in a document are aligned, and the values in the slots are compared:
 the same value of the item must always stand for the same value of the document, as it does when a question is asked
 again with other parameters. A document leaks an item if the aligned matches cover enough of it consistently.
 """
@@ -25,6 +26,8 @@ LEAST_LITERAL = 0.5
 #: Benchmarks of up to this many windows also filter the documents' windows before the join.
 FILTER_WINDOWS = 2_000_000
 NUMBER, NAME, UNIT, WORD = 1, 2, 3, 0
+#: Whether a capitalised word at the start of a sentence is a name.
+READINGS = (False, True)
 # Measures, currencies and times that follow a number.
 UNITS = (
     "mm cm m km inch inches in ft foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ton tons lb lbs pound pounds oz ounce ounces ml l liter liters litre litres gallon gallons"
@@ -38,10 +41,11 @@ def _unit_hashes() -> np.ndarray:
     return np.unique(next(word_slices(column, lower=True))[2].hashes())
 
 
-def templates(words: Words, lowered: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def templates(words: Words, lowered: Words, units: np.ndarray, names_begin: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, kind, place) of the template tokens of a slice; place is the index of the token's word.
 
-    ``words`` and ``lowered`` are the slice as written and with A-Z lower-cased.
+    ``words`` and ``lowered`` are the slice as written and with A-Z lower-cased. With ``names_begin`` a capitalised word at
+    the start of a sentence is a name too.
     """
     data, starts, ends = words.data, words.starts.copy(), words.ends.copy()
     if not len(starts):
@@ -68,59 +72,60 @@ def templates(words: Words, lowered: Words, units: np.ndarray) -> tuple[np.ndarr
     same = row[1:] == row[:-1]
     last = data[ends[:-1] - 1]
     begins[1:] = ~same | np.isin(last, list(b".!?:")) | (data[starts[1:] - 1] == 10)
-    kind[capital & ~begins & (digits == 0)] = NAME
+    kind[capital & (names_begin | ~begins) & (digits == 0)] = NAME
     cores = Words(lowered.data, core_start, core_end, words.first, lowered._table).hashes()
     after = np.concatenate(([False], same & (kind[:-1] == NUMBER)))
     kind[after & np.isin(cores, units)] = UNIT
     token = np.where(kind == WORD, cores, mix(kind.astype(np.uint64)))
     keep = np.ones(len(starts), bool)
-    keep[1:] = ~((kind[1:] == NAME) & (kind[:-1] == NAME) & same)
+    keep[1:] = ~((kind[1:] == NAME) & (kind[:-1] == NAME) & same & ~begins[1:])
     at = np.flatnonzero(keep)
     return token[at], kind[at], at
 
 
-def _windows(column: pa.Array, lengths: dict[int, np.ndarray | None] | None, units: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, np.ndarray, np.ndarray]]:
-    """(row, hash, length, token place, first word, end word, slot offsets, slot values) of windows.
+def _windows(column: pa.Array, lengths: dict[int, np.ndarray | None] | None, units: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int, np.ndarray, np.ndarray]]:
+    """(row, reading, hash, length, token place, first word, end word, slot offsets, slot values) of windows.
 
     ``lengths`` maps a window length to the sorted hashes to keep (None: all). Without it every row gives its own
     windows: of WINDOW tokens, or one of all its tokens if it has fewer (SHORTEST at least).
     """
     for (row0, stop, words), (_, _, lowered) in zip(word_slices(column), word_slices(column, lower=True), strict=True):
-        token, kind, at = templates(words, lowered, units)
-        bounds = np.searchsorted(at, words.first)
-        row = np.repeat(np.arange(stop - row0), np.diff(bounds))
-        values = lowered.hashes()
-        sizes = np.diff(bounds)
-        wanted = {WINDOW: None, **{int(n): None for n in np.unique(sizes) if SHORTEST <= n < WINDOW}} if lengths is None else lengths
-        for length, known in wanted.items():
-            hashes = run_hashes(token, length)
-            if not len(hashes):
-                continue
-            start = np.arange(len(hashes))
-            good = start + length <= bounds[row[start] + 1]
-            if lengths is None and length < WINDOW:
-                good &= sizes[row[start]] == length
-            literal = np.concatenate(([0], np.cumsum(kind == WORD)))
-            good &= literal[start + length] - literal[start] >= LEAST_LITERAL * length
-            good = np.flatnonzero(good)
-            if known is not None:
-                place = np.searchsorted(known, hashes[good])
-                place[place == len(known)] = 0
-                good = good[known[place] == hashes[good]] if len(known) else good[:0]
-            for i in good.tolist():
-                r = int(row[i])
-                slots = i + np.flatnonzero(kind[i : i + length])
-                yield row0 + r, int(signed(hashes[i : i + 1])[0]), length, i - int(bounds[r]), int(at[i] - words.first[r]), int(at[i + length - 1] - words.first[r]) + 1, (slots - i).astype(np.int32), signed(values[at[slots]])
-
-
-SIDE = "hash long, length int, place int, first int, last int, offsets array<int>, values array<long>"
+        for reading in range(len(READINGS)):
+            token, kind, at = templates(words, lowered, units, READINGS[reading])
+            bounds = np.searchsorted(at, words.first)
+            row = np.repeat(np.arange(stop - row0), np.diff(bounds))
+            values = lowered.hashes()
+            sizes = np.diff(bounds)
+            wanted = {WINDOW: None, **{int(n): None for n in np.unique(sizes) if SHORTEST <= n < WINDOW}} if lengths is None else lengths
+            for length, known in wanted.items():
+                hashes = run_hashes(token, length)
+                if not len(hashes):
+                    continue
+                start = np.arange(len(hashes))
+                good = start + length <= bounds[row[start] + 1]
+                if lengths is None and length < WINDOW:
+                    good &= sizes[row[start]] == length
+                literal = np.concatenate(([0], np.cumsum(kind == WORD)))
+                good &= literal[start + length] - literal[start] >= LEAST_LITERAL * length
+                good = np.flatnonzero(good)
+                if known is not None:
+                    place = np.searchsorted(known, hashes[good])
+                    place[place == len(known)] = 0
+                    good = good[known[place] == hashes[good]] if len(known) else good[:0]
+                for i in good.tolist():
+                    r = int(row[i])
+                    slots = i + np.flatnonzero(kind[i : i + length])
+                    yield row0 + r, reading, int(signed(hashes[i : i + 1])[0]), length, i - int(bounds[r]), int(at[i] - words.first[r]), int(at[i + length - 1] - words.first[r]) + 1, (slots - i).astype(np.int32), signed(values[at[slots]])
+
+
+SIDE = "reading int, hash long, length int, place int, first int, last int, offsets array<int>, values array<long>"
 
 
 def _side(key: str, lengths: dict[int, np.ndarray | None] | None, size: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _unit_hashes()
-        names = [key, "hash", "length", "place", "first", "last", "offsets", "values"]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        names = [key, "reading", "hash", "length", "place", "first", "last", "offsets", "values"]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         for batch in batches:
             ids = batch.column(key).to_pylist()
             rows = [(ids[r], *rest) for r, *rest in _windows(batch.column("text"), lengths, units)]
@@ -171,10 +176,10 @@ RESULT = "doc_id long, item_id long, matched_tokens int, item_tokens int, longes
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaks of (document, item) groups, whose rows follow each other."""
+    """Leaks of (document, item) groups, whose rows follow each other by reading; of two readings that leak the fuller counts."""
     names = [c.split()[0] for c in RESULT.split(", ")]
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.bool_(), pa.int32(), pa.int32()]
-    group, pairs, tokens, out = None, [], 0, []
+    group, pairs, tokens, out, passed = None, [], 0, [], []
 
     def close() -> None:
         if pairs:
@@ -182,7 +187,12 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             consistency = agreeing / slots if slots else 1.0
             enough = run >= RUN or covered >= SHARE * tokens and covered >= SHORTEST
             if enough and consistency >= CONSISTENT:
-                out.append((*group, covered, tokens, run, slots, consistency, equal, first, last))
+                passed.append((covered / tokens, -group[2], (*group[:2], covered, tokens, run, slots, consistency, equal, first, last)))
+
+    def settle() -> None:
+        if passed:
+            out.append(max(passed)[2])
+            passed.clear()
 
     def flushed() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) or [[] for _ in names]
@@ -192,12 +202,16 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for r in batch.to_pylist():
-            if (r["doc_id"], r["item_id"]) != group:
+            here = (r["doc_id"], r["item_id"], r["reading"])
+            if here != group:
                 close()
-                group, pairs, tokens = (r["doc_id"], r["item_id"]), [], r["item_tokens"]
+                if group and here[:2] != group[:2]:
+                    settle()
+                group, pairs, tokens = here, [], r["item_tokens"]
             pairs.append((r["place"], r["length"], r["item_place"], r["first"], r["last"], r["offsets"], r["values"], r["item_values"]))
         yield flushed()
     close()
+    settle()
     yield flushed()
 
 
@@ -216,10 +230,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             lengths[length] = np.sort(known.view(np.uint64))
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = rows.mapInArrow(_side("doc_id", lengths, False), f"doc_id long, {SIDE}")
-    extent = asked.groupBy("item_id").agg(F.max(F.col("place") + F.col("length")).alias("item_tokens"))
-    of_item = asked.join(extent, "item_id").select("hash", "length", "item_id", F.col("place").alias("item_place"), "item_tokens", F.col("values").alias("item_values"), F.col("offsets").alias("item_offsets"))
-    both = found.join(of_item, ["hash", "length"]).where("offsets = item_offsets").drop("item_offsets", "hash")
-    return both.repartition("doc_id").sortWithinPartitions("doc_id", "item_id", "place", "item_place").mapInArrow(_judged, RESULT)
+    extent = asked.groupBy("item_id", "reading").agg(F.max(F.col("place") + F.col("length")).alias("item_tokens"))
+    of_item = asked.join(extent, ["item_id", "reading"]).select("reading", "hash", "length", "item_id", F.col("place").alias("item_place"), "item_tokens", F.col("values").alias("item_values"), F.col("offsets").alias("item_offsets"))
+    both = found.join(of_item, ["reading", "hash", "length"]).where("offsets = item_offsets").drop("item_offsets", "hash")
+    return both.repartition("doc_id").sortWithinPartitions("doc_id", "item_id", "reading", "place", "item_place").mapInArrow(_judged, RESULT)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

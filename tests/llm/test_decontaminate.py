@@ -47,3 +47,24 @@ def test_odd_tables(spark):
     assert left.columns == docs.columns and left.count() == 4
     assert leaks(docs_of(spark, []), items).count() == 0
     assert leaks(docs, spark.createDataFrame([], ITEMS)).count() == 0
+
+
+def items_of(spark, *texts):
+    return spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts, 1)], ITEMS)
+
+
+def test_names_and_words_that_open_a_sentence(spark):
+    apples = "Tom has 5 apples. Tom buys 3 more apples from Ann. How many apples does Tom have?"
+    decide = "Decide whether the given number is odd"
+    rows = [
+        (1, apples.replace("Tom", "Sam").replace("5", "7").replace("3", "2").replace("Ann", "Eve")),
+        (2, f"we were told, {decide}, and so we did"),
+        (3, f"we were told, {decide.lower()}, and so we did"),
+        (4, f"First. {decide}. Last."),
+        (5, "Sam has a dog. Ann buys more bread from a shop. How many days does it last?"),
+        (6, f"we ask: {apples}"),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in leaks(docs_of(spark, rows), items_of(spark, apples, decide)).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 2), (4, 2), (6, 1)}
+    assert got[1, 1].matched_tokens == got[1, 1].item_tokens == 17 and not got[1, 1].verbatim
+    assert got[6, 1].verbatim and got[4, 2].verbatim and got[3, 2].verbatim
