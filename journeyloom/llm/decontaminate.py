@@ -5,7 +5,8 @@ in lower case without outer punctuation. Windows of template tokens are hashed a
 benchmark. A capital at the start of a sentence may begin a name or not, so each text has two readings, with those words
 as they are and as names; items and documents meet in each. Matches of one item that lie together in a document are aligned, and the values in the slots are compared:
 the same value of the item must always stand for the same value of the document, as it does when a question is asked
-again with other parameters. A document leaks an item if the aligned matches cover enough of it consistently.
+again with other parameters. Windows that are mostly slots are hashed with their values and so meet equal ones only. A
+document leaks an item if the aligned matches of any place cover enough of it consistently.
 """
 
 from __future__ import annotations
@@ -41,15 +42,15 @@ def _unit_hashes() -> np.ndarray:
     return np.unique(next(word_slices(column, lower=True))[2].hashes())
 
 
-def templates(words: Words, lowered: Words, units: np.ndarray, names_begin: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, kind, place) of the template tokens of a slice; place is the index of the token's word.
+def templates(words: Words, lowered: Words, units: np.ndarray, names_begin: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(token, kind, place, value) of the template tokens of a slice: index of the token's word, its hash without outer punctuation.
 
     ``words`` and ``lowered`` are the slice as written and with A-Z lower-cased. With ``names_begin`` a capitalised word at
     the start of a sentence is a name too.
     """
     data, starts, ends = words.data, words.starts.copy(), words.ends.copy()
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     alnum = np.isin(data, list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")) | (data >= 128)
     # The core runs from the word's first to its last letter, digit or other non-ASCII byte.
     solid = np.flatnonzero(alnum)
@@ -80,7 +81,7 @@ def templates(words: Words, lowered: Words, units: np.ndarray, names_begin: bool
     keep = np.ones(len(starts), bool)
     keep[1:] = ~((kind[1:] == NAME) & (kind[:-1] == NAME) & same & ~begins[1:])
     at = np.flatnonzero(keep)
-    return token[at], kind[at], at
+    return token[at], kind[at], at, cores[at]
 
 
 def _windows(column: pa.Array, lengths: dict[int, np.ndarray | None] | None, units: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int, np.ndarray, np.ndarray]]:
@@ -91,10 +92,9 @@ def _windows(column: pa.Array, lengths: dict[int, np.ndarray | None] | None, uni
     """
     for (row0, stop, words), (_, _, lowered) in zip(word_slices(column), word_slices(column, lower=True), strict=True):
         for reading in range(len(READINGS)):
-            token, kind, at = templates(words, lowered, units, READINGS[reading])
+            token, kind, at, values = templates(words, lowered, units, READINGS[reading])
             bounds = np.searchsorted(at, words.first)
             row = np.repeat(np.arange(stop - row0), np.diff(bounds))
-            values = lowered.hashes()
             sizes = np.diff(bounds)
             wanted = {WINDOW: None, **{int(n): None for n in np.unique(sizes) if SHORTEST <= n < WINDOW}} if lengths is None else lengths
             for length, known in wanted.items():
@@ -106,7 +106,8 @@ def _windows(column: pa.Array, lengths: dict[int, np.ndarray | None] | None, uni
                 if lengths is None and length < WINDOW:
                     good &= sizes[row[start]] == length
                 literal = np.concatenate(([0], np.cumsum(kind == WORD)))
-                good &= literal[start + length] - literal[start] >= LEAST_LITERAL * length
+                few = literal[start + length] - literal[start] < LEAST_LITERAL * length
+                hashes = np.where(few, mix(run_hashes(values, length)), hashes)
                 good = np.flatnonzero(good)
                 if known is not None:
                     place = np.searchsorted(known, hashes[good])
@@ -115,7 +116,7 @@ def _windows(column: pa.Array, lengths: dict[int, np.ndarray | None] | None, uni
                 for i in good.tolist():
                     r = int(row[i])
                     slots = i + np.flatnonzero(kind[i : i + length])
-                    yield row0 + r, reading, int(signed(hashes[i : i + 1])[0]), length, i - int(bounds[r]), int(at[i] - words.first[r]), int(at[i + length - 1] - words.first[r]) + 1, (slots - i).astype(np.int32), signed(values[at[slots]])
+                    yield row0 + r, reading, int(signed(hashes[i : i + 1])[0]), length, i - int(bounds[r]), int(at[i] - words.first[r]), int(at[i + length - 1] - words.first[r]) + 1, (slots - i).astype(np.int32), signed(values[slots])
 
 
 SIDE = "reading int, hash long, length int, place int, first int, last int, offsets array<int>, values array<long>"
@@ -136,10 +137,14 @@ def _side(key: str, lengths: dict[int, np.ndarray | None] | None, size: bool):
     return run
 
 
-def _aligned(pairs: list[tuple]) -> tuple | None:
-    """The best cluster of one document's matches of one item: (tokens, run, slots, agreeing, equal, first, last)."""
+def _aligned(pairs: list[tuple]) -> Iterator[tuple]:
+    """Every place of one document's matches of one item: (tokens, run, slots, agreeing, equal, first, last).
+
+    A place is a cluster of near matches, and also each part of it that goes through the item once or has one shift, so
+    that another copy beside it with other values does not count against it.
+    """
     pairs.sort()
-    best, cluster = None, []
+    cluster = []
     reach = 2 * max(p[2] for p in pairs) + WINDOW
 
     def judged(rows: list[tuple]) -> tuple:
@@ -165,11 +170,16 @@ def _aligned(pairs: list[tuple]) -> tuple | None:
 
     for p in [*pairs, None]:
         if cluster and (p is None or p[0] - cluster[-1][0] > reach):
-            found = judged(cluster)
-            best = max(best, found) if best else found
+            yield judged(cluster)
+            passes, shifts = [[]], defaultdict(list)
+            for r in cluster:
+                if passes[-1] and r[2] < passes[-1][-1][2]:
+                    passes.append([])
+                passes[-1].append(r)
+                shifts[r[0] - r[2]].append(r)
+            yield from (judged(rows) for parts in (passes, shifts.values()) if len(parts) > 1 for rows in parts)
             cluster = []
         cluster.append(p)
-    return best
 
 
 RESULT = "doc_id long, item_id long, matched_tokens int, item_tokens int, longest_run int, slots int, consistency double, verbatim boolean, first_word int, last_word int"
@@ -183,15 +193,15 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> None:
         if pairs:
-            covered, run, slots, agreeing, equal, first, last = _aligned(pairs)
-            consistency = agreeing / slots if slots else 1.0
-            enough = run >= RUN or covered >= SHARE * tokens and covered >= SHORTEST
-            if enough and consistency >= CONSISTENT:
-                passed.append((covered / tokens, -group[2], (*group[:2], covered, tokens, run, slots, consistency, equal, first, last)))
+            for covered, run, slots, agreeing, equal, first, last in _aligned(pairs):
+                consistency = agreeing / slots if slots else 1.0
+                enough = run >= RUN or covered >= SHARE * tokens and covered >= SHORTEST
+                if enough and consistency >= CONSISTENT:
+                    passed.append((covered / tokens, consistency, -group[2], (*group[:2], covered, tokens, run, slots, consistency, equal, first, last)))
 
     def settle() -> None:
         if passed:
-            out.append(max(passed)[2])
+            out.append(max(passed)[-1])
             passed.clear()
 
     def flushed() -> pa.RecordBatch:
@@ -219,7 +229,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per (doc_id, item_id) of ``docs`` (doc_id, text) that leaks an item of ``benchmark`` (item_id, text).
 
     NULL ids, NULL and empty texts and items of fewer than SHORTEST template tokens take no part. Repeated rows and
-    repeated items count once. Windows that are mostly placeholders are no evidence. No rows give no rows.
+    repeated items count once. Windows that are mostly placeholders are evidence only
+    with the item's own values. No rows give no rows.
     """
     items = benchmark.where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_side("item_id", None, True), f"item_id long, {SIDE}")

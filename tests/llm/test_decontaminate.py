@@ -68,3 +68,19 @@ def test_names_and_words_that_open_a_sentence(spark):
     assert set(got) == {(1, 1), (2, 2), (3, 2), (4, 2), (6, 1)}
     assert got[1, 1].matched_tokens == got[1, 1].item_tokens == 17 and not got[1, 1].verbatim
     assert got[6, 1].verbatim and got[4, 2].verbatim and got[3, 2].verbatim
+
+
+def test_items_that_are_mostly_slots(spark):
+    powers, numbers = "Find the next term: 2, 4, 8, 16, 32, 64, 128, 256", "3 1 4 1 5 9 2 6 5 3"
+    rows = [(1, f"so {powers}. And"), (2, f"x {numbers}, y"), (3, "7 8 9 1 2 3 4 5 6 7 8 9 1 2"), (4, "Find the next term: 1, 3, 5, 7, 9, 11, 13, 15")]
+    got = {(r.doc_id, r.item_id): r for r in leaks(docs_of(spark, rows), items_of(spark, powers, numbers)).collect()}
+    assert set(got) == {(1, 1), (2, 2)}
+    assert got[1, 1].matched_tokens == got[1, 1].item_tokens == 12 and got[1, 1].verbatim
+
+
+def test_any_consistent_place_is_a_leak(spark):
+    muddled = QUESTION.replace("Maria Lopez at", "Tom at").replace("60 km", "75 miles").replace("Maria Lopez has", "Eve has").replace("120", "75").replace("after 3", "after 75")
+    most = QUESTION[: QUESTION.index(" near the river")].replace("Maria Lopez", "Tom").replace("60 km", "75 miles")
+    far = " ".join(["filler"] * 200)
+    rows = [(1, f"x {muddled} {far} y {most} z"), (2, f"x {most} {far} y {muddled} z"), (3, f"x {muddled} y {most} z")]
+    assert {r.doc_id for r in leaks(docs_of(spark, rows), items_of(spark, QUESTION)).collect()} == {1, 2, 3}
