@@ -1,9 +1,10 @@
 """License scan by conditional compression.
 
-Candidate blocks are runs of lines around license words. Each is compressed alone and with every template as raw
-dictionary of the compressor; the relative size reduction ranks the templates. The best ones are confirmed by the
-exact wording: the differing words between template and block are listed, and a license is confirmed
-only if its key words all stand in the block and enough of the template does.
+Candidate blocks are runs of lines around license words. In each, windows about as long as a template are cut around its
+rarest key word and aligned with it; the aligned stretch is compressed alone and with the template as raw dictionary of
+the compressor. A license is confirmed by the relative size reduction of that stretch and by the exact wording: the
+differing words are listed, the key words must all stand in it and enough of the template must. So text before and
+after a statement does not count. Where no window confirms any license the whole block is tried in the same way.
 """
 
 from __future__ import annotations
@@ -99,6 +100,10 @@ TEMPLATES: list[tuple[str, str, str]] = [
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 
+#: Words a window has on either side beyond its template: half of it, this many at least.
+SLACK = 4
+
+
 def wording(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -117,8 +122,77 @@ def _compressors():
     return plain, with_template
 
 
+def _compared(wanted: list[str], words: list[str]) -> tuple[list[tuple[int, int]], list[str], list[str]]:
+    """(spans of matched words, template words missing, words added) of a template's words and others."""
+    spans, missing, added = [], [], []
+    for kind, a, b, c, d in difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes():
+        if kind == "equal":
+            spans.append((c, d))
+        else:
+            missing += wanted[a:b]
+            added += words[c:d]
+    return spans, missing, added
+
+
+def _stretches(text: str) -> Iterator[tuple[tuple, tuple[int, int], str, float, str, str]]:
+    """(strength, word span, license, reduction, missing, added) of the parts of a block that confirm a template."""
+    plain, templates = _compressors()
+    found = list(_WORD.finditer(text.lower()))
+    words = [m.group() for m in found]
+    places: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        places.setdefault(w, []).append(i)
+    # Lower-casing may change the length of other letters; spans are then taken in the lower-case text.
+    shown = text if len(text.lower()) == len(text) else text.lower()
+    for name, own, wanted, keys in templates:
+        if not all(k in places for k in keys):
+            continue
+        rare = min(sorted(keys), key=lambda k: len(places[k]))
+        own_places = [i for i, w in enumerate(wanted) if w == rare]
+        slack, done = max(SLACK, len(wanted) // 2), -1
+        for p in places[rare]:
+            if p < done:
+                continue
+            low, high = max(0, p - own_places[-1] - slack), p + len(wanted) - own_places[0] + slack
+            if not keys <= set(words[low:high]):
+                continue
+            spans, missing, _ = _compared(wanted, words[low:high])
+            if not spans or sum(d - c for c, d in spans) < LEAST_SHARE * len(wanted):
+                continue
+            first, last = low + spans[0][0], low + spans[-1][1]
+            stretch = words[first:last]
+            if not keys <= set(stretch):
+                continue
+            data = shown[found[first].start() : found[last - 1].end()].encode()
+            reduction = 1 - len(own.compress(data)) / len(plain.compress(data))
+            if reduction < LEAST_REDUCTION:
+                continue
+            spans, missing, added = _compared(wanted, stretch)
+            done = last
+            yield (not missing, sum(d - c for c, d in spans), reduction), (first, last), name, reduction, " ".join(missing), " ".join(added)
+
+
 @lru_cache(maxsize=4096)
+def scan_licenses_of(text: str) -> list[tuple[str | None, float, int, str, str]]:
+    """(license, reduction, words of the block, template words it lacks, words it adds) of the licenses that one block confirms.
+
+    Licenses stand on disjoint words and come best first, each once. Without any there is one row of no license.
+    """
+    taken, chosen, size = [], {}, len(wording(text))
+    for _, (first, last), name, reduction, missing, added in sorted(_stretches(text), key=lambda x: x[0], reverse=True):
+        if not any(first < d and c < last for c, d in taken):
+            if name not in chosen:
+                chosen[name] = (name, reduction, size, missing, added)
+            taken.append((first, last))
+    return list(chosen.values()) or [_whole_block(text)]
+
+
 def scan_block(text: str) -> tuple[str | None, float, int, str, str]:
+    """The best of ``scan_licenses_of``."""
+    return scan_licenses_of(text)[0]
+
+
+def _whole_block(text: str) -> tuple[str | None, float, int, str, str]:
     """(license or None, best reduction, words of the block, template words it lacks, words it adds) of one block."""
     plain, templates = _compressors()
     data = text.encode()
@@ -169,13 +243,13 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             for line, block in candidate_blocks(text.as_py(), cues):
-                rows.append((doc, line, *scan_block(block)))
+                rows.extend((doc, line, *found) for found in scan_licenses_of(block))
         columns = list(zip(*rows, strict=True)) or [[] for _ in names]
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """One row per candidate block of ``docs`` (doc_id, text), whether or not a license is confirmed for it.
+    """One row per candidate block of ``docs`` (doc_id, text) and license confirmed in it, or one row if none is.
 
     line counts from 0; license is NULL if no template is confirmed; missing_words and added_words are the exact
     differences in wording. NULL and empty texts have no block; repeated rows and equal blocks give equal rows; ties go to

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import types as T
 
-from journeyloom.llm.licenses import CUES, TEMPLATES, candidate_blocks, scan_block, scan_licenses
+from journeyloom.llm.licenses import CUES, TEMPLATES, candidate_blocks, scan_block, scan_licenses, scan_licenses_of
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("license", T.StringType()), T.StructField("line", T.StringType())])
 
@@ -42,3 +42,19 @@ def test_table_and_odd_rows(spark):
     statements = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "All rights reserved": "Proprietary"}
     want = {(r.doc_id, k) for r in docs.collect() for s, k in statements.items() if s in (r.text or "")}
     assert found == want and want
+
+
+PROSE = "the old mill by the river has stood there since anyone in the village can remember and its wheel still turns every spring "
+
+
+@pytest.mark.parametrize("name,text,_", TEMPLATES)
+def test_statements_inside_a_long_line_are_found(name, text, _):
+    for before, after in ((f"{PROSE[:60]} ", ""), (PROSE * 3, PROSE), ("", PROSE * 2)):
+        assert name in {r[0] for r in scan_licenses_of(f"{before}{text}. {after}")}
+
+
+def test_every_license_of_a_block_is_a_row(spark):
+    text = "Released under the MIT License.\nLicensed under the Apache License, Version 2.0."
+    rows = scan_licenses(spark.createDataFrame([(1, text, "x", "y"), (2, PROSE + text.replace("\n", f" {PROSE}"), "x", "y")], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.license) for r in rows) == [(1, "Apache-2.0"), (1, "MIT"), (2, "Apache-2.0"), (2, "MIT")]
+    assert scan_block(f"{PROSE}licensed under the GNU General Public License, version 4. {PROSE} 3")[0] is None
