@@ -14,10 +14,6 @@ from journeyloom.functions.journey_scope import (
 from journeyloom.functions.numeric import ranked_top
 from journeyloom.schema import CONVERSION, NULL, START
 
-# Journeys up to this length carry their whole path inline; longer ones are told
-# apart by length and a 128-bit digest of their steps, see ``journey_paths``.
-INLINE_STEPS = 10_000
-
 
 def enrich_touches(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataFrame:
     """Previous and next channel, seconds since the previous touch, end flags."""
@@ -61,15 +57,17 @@ def journey_states(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataFrame:
     )
 
 
-def journey_sequences(touches: DataFrame, inline_steps: int = INLINE_STEPS) -> DataFrame:
+def journey_sequences(touches: DataFrame, inline_steps: int | None = None) -> DataFrame:
     """J4 as one array per journey: start, channels in order, outcome.
 
-    A journey longer than ``inline_steps`` gets a NULL array here; its steps are the
-    rows of ``journey_states``.
+    Journeys of every length are whole. A caller may give ``inline_steps``: a longer
+    journey then gets a NULL array; its steps are the rows of ``journey_states``.
     """
-    inline = F.col("total_touchpoints") <= inline_steps
-    step = F.when(inline, F.struct("touchpoint_number", "channel"))
+    step = F.struct("touchpoint_number", "channel")
+    if inline_steps is not None:
+        step = F.when(F.col("total_touchpoints") <= inline_steps, step)
     outcome = F.when(F.col("converted") == 1, CONVERSION).otherwise(NULL)
+    sequence = F.concat(F.array(F.lit(START)), F.col("steps.channel"), F.array(outcome))
     return (
         touches.groupBy("customer_id")
         .agg(
@@ -80,10 +78,7 @@ def journey_sequences(touches: DataFrame, inline_steps: int = INLINE_STEPS) -> D
         .select(
             "customer_id",
             "touches",
-            F.when(
-                F.col("touches") <= inline_steps,
-                F.concat(F.array(F.lit(START)), F.col("steps.channel"), F.array(outcome)),
-            ).alias("sequence"),
+            (sequence if inline_steps is None else F.when(F.col("touches") <= inline_steps, sequence)).alias("sequence"),
         )
     )
 
@@ -208,18 +203,20 @@ def with_journey_length(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataF
 
 
 def journey_paths(
-    touches: DataFrame, extra: list[Column], separator: str = " -> ", inline_steps: int = INLINE_STEPS
+    touches: DataFrame, extra: list[Column], separator: str = " -> ", inline_steps: int | None = None
 ) -> DataFrame:
     """One row per journey with its ordered path and further aggregates.
 
-    Up to ``inline_steps`` touches the path is the text of its channels. A longer path
-    is named by its length and two 64-bit hashes combined over (position, channel), so
-    equal paths still fall together although no task ever holds one whole.
+    The path is the text of its channels at every length. A caller may give
+    ``inline_steps``: a longer path is then named by its length and two 64-bit hashes
+    combined over (position, channel), so equal paths still fall together although no
+    task ever holds one whole.
     """
     p, n = F.col("touchpoint_number"), F.col("total_touchpoints")
-    steps = F.collect_list(F.when(n <= inline_steps, F.struct(p.alias("p"), F.col("channel"))))
+    step = F.struct(p.alias("p"), F.col("channel"))
+    steps = F.collect_list(step if inline_steps is None else F.when(n <= inline_steps, step))
     text = F.array_join(F.array_sort(F.col("_steps"))["channel"], separator)
-    if fits(touches, inline_steps):
+    if inline_steps is None or fits(touches, inline_steps):
         grouped = touches.groupBy("customer_id").agg(steps.alias("_steps"), *extra)
         return grouped.withColumn("path", text).drop("_steps")
 
@@ -235,7 +232,7 @@ def journey_paths(
     )
 
 
-def path_patterns(touches: DataFrame, inline_steps: int = INLINE_STEPS) -> DataFrame:
+def path_patterns(touches: DataFrame, inline_steps: int | None = None) -> DataFrame:
     """Frequency, average revenue and average length per path and outcome."""
     journeys = journey_paths(
         touches,
@@ -258,7 +255,7 @@ def path_patterns(touches: DataFrame, inline_steps: int = INLINE_STEPS) -> DataF
 
 
 def conversion_touch_paths(
-    touches: DataFrame, inline_steps: int = INLINE_STEPS, chunk: int = CHUNK_TOUCHES
+    touches: DataFrame, inline_steps: int | None = None, chunk: int = CHUNK_TOUCHES
 ) -> DataFrame:
     """Paths made of converted touches only."""
     converted = renumber(touches.filter(F.col("converted") == 1), chunk)
@@ -275,7 +272,7 @@ def conversion_touch_paths(
 
 
 def converting_paths(
-    touches: DataFrame, n: int | None = 10, max_journeys: int | None = None, inline_steps: int = INLINE_STEPS
+    touches: DataFrame, n: int | None = 10, max_journeys: int | None = None, inline_steps: int | None = None
 ) -> DataFrame:
     """Whole paths of converting customers, most frequent first.
 

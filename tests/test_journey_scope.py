@@ -232,3 +232,19 @@ def test_wide_sets_equal_masked_sets(long, monkeypatch):
     from_sets = markov.removal_effects_from_sets(shapley.channel_sets(long, channels), channels).collect()
     plain = {r["channel"]: r["removal_effect"] for r in markov.removal_effects(long).collect()}
     assert {r["channel"]: r["removal_effect"] for r in from_sets} == pytest.approx(plain)
+
+
+def test_paths_and_sequences_are_whole_at_every_length(spark):
+    # one customer owns a third of the touches, twice what the default once held
+    touches = spark.createDataFrame(random_journeys([20_000] + [8_000] * 5), SCHEMA)
+    channels = {}
+    for r in touches.orderBy("customer_id", "touchpoint_number").select("customer_id", "channel").collect():
+        channels.setdefault(r[0], []).append(r[1])
+    want = sorted(" -> ".join(c) for c in channels.values())
+    assert sorted(r["journey_path"] for r in journeys.path_patterns(touches).collect()) == want
+    sequences = {r["customer_id"]: r["sequence"][1:-1] for r in journeys.journey_sequences(touches).collect()}
+    assert sequences == channels
+    for paths in (journeys.converting_paths(touches, None), journeys.conversion_touch_paths(touches)):
+        assert all("#" not in r["path"] for r in paths.collect())
+    converting = {r["customer_id"] for r in touches.filter("converted = 1").select("customer_id").distinct().collect()}
+    assert {r["path"] for r in journeys.converting_paths(touches, None).collect()} == {" -> ".join(channels[c]) for c in converting}
