@@ -77,6 +77,12 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
 
+def op13_sparse_diagonal_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.runs import periodic_runs, run_digests
+
+    return run_digests(periodic_runs(_table(spark, folder, "documents"), planted=True))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,10 +101,21 @@ QUERIES = {
     "op8_ppm_language": op8_ppm_language,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_t_occurrence_join": op10_t_occurrence_join,
+    "op13_sparse_diagonal_runs": op13_sparse_diagonal_runs,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
+
+
+def _crc32(number: str) -> str:
+    """SQL: unsigned crc32 of a number's decimal digits."""
+    rounds = ", ".join(["-1"] * 8)
+    steps = f"flatten(list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: [ascii(c), {rounds}]))"
+    shift = "xor(acc >> 1, 3988292384 * (acc & 1))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda acc, x: CASE WHEN x < 0 THEN {shift} ELSE xor(acc, x) END), 4294967295)"
+
+
 ORACLE: dict[str, str] = {
     "op5_fm_index_dedup": f"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
@@ -138,4 +155,33 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
         FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op13_sparse_diagonal_runs": f"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws, {_crc32("doc_id")} AS h FROM documents),
+        plan AS (
+          SELECT *, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, (h // 10) % greatest(len(ws), 1) AS a, (h // 10) % 8 AS e FROM w
+        ),
+        place AS (SELECT *, 1 + (n - a) // (3 + e) AS p, unnest(range(n)) AS i FROM plan),
+        word AS (SELECT doc_id, i, ws[CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word FROM place),
+        step AS (
+          SELECT doc_id, x.i, x.i - y.i AS lag FROM word x JOIN word y USING (doc_id, word) WHERE x.i > y.i
+        ),
+        stretch AS (
+          SELECT doc_id, lag, min(i) - lag AS start, max(i) + 1 AS stop
+          FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS part FROM step)
+          GROUP BY doc_id, lag, part
+        ),
+        run AS (
+          SELECT doc_id, start, stop - start AS length, min(lag) AS period
+          FROM stretch WHERE stop - start >= greatest(12, 2 * lag) GROUP BY doc_id, start, stop
+        ),
+        best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) AS r FROM run),
+        lines AS (
+          SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS t
+          FROM run GROUP BY doc_id
+        ),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+               sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+        FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE r = 1) USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
