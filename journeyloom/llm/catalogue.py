@@ -77,6 +77,18 @@ def op10_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
 
+def op11_bayesian_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.minhash import kept_documents
+
+    return kept_documents(_table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from journeyloom.llm.prefixes import prefix_trie
+
+    return prefix_trie(_table(spark, folder, "conversations"), family=20, most=4)
+
+
 def op13_sparse_diagonal_runs(spark: SparkSession, folder: str) -> DataFrame:
     from journeyloom.llm.runs import periodic_runs, run_digests
 
@@ -101,6 +113,8 @@ QUERIES = {
     "op8_ppm_language": op8_ppm_language,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_t_occurrence_join": op10_t_occurrence_join,
+    "op11_bayesian_minhash": op11_bayesian_minhash,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_sparse_diagonal_runs": op13_sparse_diagonal_runs,
 }
 
@@ -116,6 +130,30 @@ def _crc32(number: str) -> str:
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda acc, x: CASE WHEN x < 0 THEN {shift} ELSE xor(acc, x) END), 4294967295)"
 
 
+def _near_duplicates(words: int, percent: int, more: str = "") -> str:
+    """SQL: components of documents whose sets of ``words``-word shingles reach the similarity."""
+    return f"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS ws
+          FROM documents
+        ),
+        s AS (
+          SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + {words} - 1], ' ')) AS h
+          FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {words} + 2, least(len(ws) + 1, 2)))) AS i FROM w)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (h) GROUP BY ALL),
+        links AS (
+          SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)
+        ),
+        reach AS (
+          SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+        )
+        SELECT doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id{more}
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
+
 ORACLE: dict[str, str] = {
     "op5_fm_index_dedup": f"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
@@ -135,26 +173,41 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
                sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id)""",
-    "op10_t_occurrence_join": f"""
-        WITH RECURSIVE w AS (
-          SELECT doc_id, regexp_extract_all(
-                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS ws
-          FROM documents
+    "op10_t_occurrence_join": _near_duplicates(5, 75),
+    "op11_bayesian_minhash": _near_duplicates(2, 80, ", doc_id = min(other) AS kept"),
+    "op12_prefix_trie": f"""
+        WITH turn_ AS (
+          SELECT conv_id, md5(concat(md5(coalesce(role, '')), md5(coalesce(text, '')))) AS d,
+                 len(regexp_extract_all(coalesce(text, ''), {_WORDS})) AS words,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                    md5(concat(md5(coalesce(role, '')), md5(coalesce(text, ''))))) AS pos
+          FROM conversations WHERE conv_id IS NOT NULL
         ),
-        s AS (
-          SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS h
-          FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws) + 1, 2)))) AS i FROM w)
+        conv AS (SELECT conv_id, list(struct_pack(d := d, words := words) ORDER BY pos) AS own FROM turn_ GROUP BY conv_id),
+        rebuilt AS (
+          SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:{_crc32("c.conv_id")} % 4], c.own[{_crc32("c.conv_id")} % 4 + 1:]) AS turns
+          FROM conv c LEFT JOIN conv b ON b.conv_id = c.conv_id - c.conv_id % 20
         ),
-        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-        both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (h) GROUP BY ALL),
-        links AS (
-          SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+        chain AS (
+          SELECT conv_id, len(turns) AS size, depth, md5(array_to_string(list_transform(turns[1:depth], lambda t: t.d), '')) AS key,
+                 CASE WHEN depth > 0 THEN md5(array_to_string(list_transform(turns[1:depth - 1], lambda t: t.d), '')) END AS up,
+                 coalesce(turns[depth].words, 0) AS words
+          FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)
         ),
-        reach AS (
-          SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+        node AS (
+          SELECT depth, key, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+          FROM chain GROUP BY depth, key
+        ),
+        child AS (SELECT depth - 1 AS depth, up AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+        full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (depth, key)),
+        below AS (
+          SELECT a.depth, a.key, sum(CAST(v.n_children = 0 AS BIGINT)) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens
+          FROM full_ v JOIN chain a ON a.conv_id = v.conv_id AND a.depth <= v.depth GROUP BY a.depth, a.key
         )
-        SELECT doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
-        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM full_ n JOIN below USING (depth, key) LEFT JOIN node p ON p.depth = n.depth - 1 AND p.key = n.up""",
     "op13_sparse_diagonal_runs": f"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws, {_crc32("doc_id")} AS h FROM documents),
         plan AS (
