@@ -1,4 +1,4 @@
-"""Journey construction: enrichment, sequences, feature rows, paths."""
+"""Journey construction: enrichment, states, feature rows (J1-J11, J15); paths are in ``paths``."""
 
 from __future__ import annotations
 
@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from journeyloom.functions.journey_scope import (
     CHUNK_TOUCHES,
-    fits,
     renumber,
     with_journey_totals,
     with_neighbours,
 )
-from journeyloom.functions.numeric import ranked_top
 from journeyloom.schema import CONVERSION, NULL, START
 
 
@@ -57,32 +55,6 @@ def journey_states(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataFrame:
     )
 
 
-def journey_sequences(touches: DataFrame, inline_steps: int | None = None) -> DataFrame:
-    """J4 as one array per journey: start, channels in order, outcome.
-
-    Journeys of every length are whole. A caller may give ``inline_steps``: a longer
-    journey then gets a NULL array; its steps are the rows of ``journey_states``.
-    """
-    step = F.struct("touchpoint_number", "channel")
-    if inline_steps is not None:
-        step = F.when(F.col("total_touchpoints") <= inline_steps, step)
-    outcome = F.when(F.col("converted") == 1, CONVERSION).otherwise(NULL)
-    sequence = F.concat(F.array(F.lit(START)), F.col("steps.channel"), F.array(outcome))
-    return (
-        touches.groupBy("customer_id")
-        .agg(
-            F.array_sort(F.collect_list(step)).alias("steps"),
-            F.count(F.lit(1)).alias("touches"),
-            F.max("converted").alias("converted"),
-        )
-        .select(
-            "customer_id",
-            "touches",
-            (sequence if inline_steps is None else F.when(F.col("touches") <= inline_steps, sequence)).alias("sequence"),
-        )
-    )
-
-
 def journey_features(touches: DataFrame, channels: list[str]) -> DataFrame:
     """The feature row of the Python models; revenue is the sum over touches."""
     counts = [F.sum(F.when(F.col("channel") == c, 1).otherwise(0)).alias(f"channel_{c}_count") for c in channels]
@@ -202,98 +174,6 @@ def with_journey_length(touches: DataFrame, chunk: int = CHUNK_TOUCHES) -> DataF
     return with_journey_totals(touches, {"journey_length": F.max("touchpoint_number")}, chunk)
 
 
-def journey_paths(
-    touches: DataFrame, extra: list[Column], separator: str = " -> ", inline_steps: int | None = None
-) -> DataFrame:
-    """One row per journey with its ordered path and further aggregates.
-
-    The path is the text of its channels at every length. A caller may give
-    ``inline_steps``: a longer path is then named by its length and two 64-bit hashes
-    combined over (position, channel), so equal paths still fall together although no
-    task ever holds one whole.
-    """
-    p, n = F.col("touchpoint_number"), F.col("total_touchpoints")
-    step = F.struct(p.alias("p"), F.col("channel"))
-    steps = F.collect_list(step if inline_steps is None else F.when(n <= inline_steps, step))
-    text = F.array_join(F.array_sort(F.col("_steps"))["channel"], separator)
-    if inline_steps is None or fits(touches, inline_steps):
-        grouped = touches.groupBy("customer_id").agg(steps.alias("_steps"), *extra)
-        return grouped.withColumn("path", text).drop("_steps")
-
-    def digest(salt: int) -> Column:
-        return F.bit_xor(F.when(n > inline_steps, F.xxhash64(F.lit(salt), p.cast("long"), F.col("channel"))))
-
-    grouped = touches.groupBy("customer_id").agg(
-        steps.alias("_steps"), digest(1).alias("_d1"), digest(2).alias("_d2"), F.max(n).alias("_n"), *extra
-    )
-    named = F.format_string("[%d touches #%016x%016x]", "_n", "_d1", "_d2")
-    return grouped.withColumn("path", F.when(F.col("_n") <= inline_steps, text).otherwise(named)).drop(
-        "_steps", "_d1", "_d2", "_n"
-    )
-
-
-def path_patterns(touches: DataFrame, inline_steps: int | None = None) -> DataFrame:
-    """Frequency, average revenue and average length per path and outcome."""
-    journeys = journey_paths(
-        touches,
-        [
-            F.max("converted").alias("converted"),
-            F.max("revenue").alias("revenue"),
-            F.count(F.lit(1)).alias("journey_length"),
-        ],
-        inline_steps=inline_steps,
-    )
-    return (
-        journeys.groupBy(F.col("path").alias("journey_path"), "converted")
-        .agg(
-            F.count(F.lit(1)).alias("frequency"),
-            F.avg("revenue").alias("avg_revenue"),
-            F.avg("journey_length").alias("avg_length"),
-        )
-        .orderBy(F.desc("frequency"), "journey_path", "converted")
-    )
-
-
-def conversion_touch_paths(
-    touches: DataFrame, inline_steps: int | None = None, chunk: int = CHUNK_TOUCHES
-) -> DataFrame:
-    """Paths made of converted touches only."""
-    converted = renumber(touches.filter(F.col("converted") == 1), chunk)
-    paths = journey_paths(converted, [F.max("revenue").alias("revenue")], inline_steps=inline_steps)
-    return (
-        paths.groupBy("path")
-        .agg(
-            F.count(F.lit(1)).alias("conversions"),
-            F.sum("revenue").alias("total_revenue"),
-            F.avg("revenue").alias("avg_revenue"),
-        )
-        .orderBy(F.desc("conversions"), "path")
-    )
-
-
-def converting_paths(
-    touches: DataFrame, n: int | None = 10, max_journeys: int | None = None, inline_steps: int | None = None
-) -> DataFrame:
-    """Whole paths of converting customers, most frequent first.
-
-    ``max_journeys`` restricts the report to the first customers by id, the display
-    limit of the dashboard page; the default covers every journey.
-    """
-    journeys = journey_paths(
-        touches,
-        [F.max("converted").alias("converted"), F.max("revenue").alias("revenue")],
-        inline_steps=inline_steps,
-    ).filter(F.col("converted") == 1)
-    if max_journeys is not None:
-        journeys = journeys.orderBy("customer_id").limit(max_journeys)
-    summary = journeys.groupBy("path").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.sum("revenue").alias("total_revenue"),
-        F.avg("revenue").alias("avg_revenue"),
-    )
-    return ranked_top(summary, n, F.desc("count"), F.asc("path"))
-
-
 def sample_converting_journey(ga: DataFrame) -> DataFrame:
     """All sessions of the visitor with the earliest conversion."""
     key = F.struct("date", "visitStartTime", "visitNumber", "fullVisitorId")

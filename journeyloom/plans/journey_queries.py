@@ -4,13 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from journeyloom.operators import journeys as J, metrics as A
+from journeyloom.operators import journeys as J, metrics as A, paths as P
 from journeyloom.plans.reference_sql import with_sessions, with_touches
 from journeyloom.schema import CHANNELS
 
 _KEY = "customer_id:i, touchpoint_number:i"
 
 
+def _path_key() -> str:
+    """SQL: the digest of a path from the words of its touches' md5."""
+    words = [
+        f"lpad(lower(to_hex(bit_xor(CAST('0x' || substr(md5(touchpoint_number || '|' || channel), {at}, {n}) AS BIGINT)))), {n}, '0')"
+        for at, n in ((1, 15), (16, 15), (31, 2))
+    ]
+    return " || ".join(words)
+
+
+_PATH_KEY = _path_key()
+PATH_KEYS = f"""
+        , key AS (
+          SELECT customer_id, count(*) AS path_length,
+                 {_PATH_KEY} AS path_key,
+                 max(converted) AS converted, max(revenue) AS revenue
+          FROM tp GROUP BY customer_id
+        )"""
+CONVERSION_KEYS = f"""
+            , won AS (
+              SELECT * REPLACE (row_number() OVER (PARTITION BY customer_id ORDER BY touchpoint_number) AS touchpoint_number)
+              FROM tp WHERE converted = 1
+            )
+            SELECT path_length, path_key, count(*) AS conversions, sum(revenue) AS total_revenue, avg(revenue) AS avg_revenue
+            FROM (SELECT customer_id, count(*) AS path_length, {_PATH_KEY} AS path_key, max(revenue) AS revenue
+                  FROM won GROUP BY customer_id)
+            GROUP BY path_length, path_key"""
+
+
 def register_all(register) -> None:
     register(
         "s0_touchpoints_from_events",
@@ -62,7 +90,7 @@ def register_all(register) -> None:
     register(
         "j4_journey_sequences",
         "customer_id:i, touches:i, sequence:a",
-        lambda t: J.journey_sequences(t.touches),
+        lambda t: P.journey_sequences(t.touches),
         with_touches(
             """
             SELECT customer_id, count(*) AS touches,
@@ -71,6 +99,22 @@ def register_all(register) -> None:
             FROM tp GROUP BY customer_id"""
         ),
     )
+    register(
+        "j4_sequence_chunks",
+        "customer_id:i, chunk:i, touches:i, states:a",
+        lambda t: P.sequence_chunks(t.touches, 4),
+        with_touches(
+            """
+            , whole AS (
+              SELECT customer_id, count(*) AS touches,
+                     list_concat(list_concat(['start'], list(channel ORDER BY touchpoint_number)),
+                       [CASE WHEN max(converted) = 1 THEN 'conversion' ELSE 'null' END]) AS s
+              FROM tp GROUP BY customer_id
+            ),
+            piece AS (SELECT *, unnest(range((touches + 1) // 4 + 1)) AS chunk FROM whole)
+            SELECT customer_id, chunk, touches, s[4 * chunk + 1:4 * chunk + 4] AS states FROM piece"""
+        ),
+    )
     named = ", ".join(f"channel_{c}_count:i" for c in CHANNELS)
     register(
         "j5_journey_features",
@@ -179,7 +223,7 @@ def register_all(register) -> None:
     register(
         "j12_path_patterns",
         "journey_path, converted:i, frequency:i, avg_revenue:4, avg_length:6",
-        lambda t: J.path_patterns(t.touches),
+        lambda t: P.path_patterns(t.touches),
         with_touches(
             """
             SELECT journey_path, converted, count(*) AS frequency, avg(revenue) AS avg_revenue,
@@ -190,6 +234,48 @@ def register_all(register) -> None:
             GROUP BY journey_path, converted"""
         ),
     )
+    register(
+        "j12_pattern_keys",
+        "path_length:i, path_key, converted:i, frequency:i, avg_revenue:4, avg_length:6",
+        lambda t: P.pattern_keys(t.touches),
+        with_touches(
+            PATH_KEYS
+            + """
+            SELECT path_length, path_key, converted, count(*) AS frequency, avg(revenue) AS avg_revenue,
+                   path_length AS avg_length
+            FROM key GROUP BY path_length, path_key, converted"""
+        ),
+    )
+    register(
+        "j12_path_steps",
+        "path_length:i, path_key, chunk:i, steps",
+        lambda t: P.path_steps(t.touches, P.journey_keys(t.touches), 3),
+        with_touches(
+            PATH_KEYS
+            + """
+            , one AS (SELECT path_length, path_key, min(customer_id) AS customer_id FROM key GROUP BY 1, 2)
+            SELECT path_length, path_key, (touchpoint_number - 1) // 3 AS chunk,
+                   string_agg(channel, ' -> ' ORDER BY touchpoint_number) AS steps
+            FROM one JOIN tp USING (customer_id) GROUP BY 1, 2, 3"""
+        ),
+    )
+    register(
+        "j13_conversion_touch_keys",
+        "path_length:i, path_key, conversions:i, total_revenue:4, avg_revenue:4",
+        lambda t: P.conversion_touch_keys(t.touches),
+        with_touches(CONVERSION_KEYS),
+    )
+    register(
+        "j14_converting_keys",
+        "path_length:i, path_key, count:i, total_revenue:4, avg_revenue:4",
+        lambda t: P.converting_keys(t.touches, None),
+        with_touches(
+            PATH_KEYS
+            + """
+            SELECT path_length, path_key, count(*) AS "count", sum(revenue) AS total_revenue, avg(revenue) AS avg_revenue
+            FROM key WHERE converted = 1 GROUP BY path_length, path_key"""
+        ),
+    )
     paths = """
         SELECT path, count(*) AS {count}, sum(revenue) AS total_revenue, avg(revenue) AS avg_revenue
         FROM (SELECT customer_id, string_agg(channel, ' -> ' ORDER BY touchpoint_number) AS path,
@@ -199,13 +285,13 @@ def register_all(register) -> None:
     register(
         "j13_conversion_touch_paths",
         "path, conversions:i, total_revenue:4, avg_revenue:4",
-        lambda t: J.conversion_touch_paths(t.touches),
+        lambda t: P.conversion_touch_paths(t.touches),
         with_touches(paths.format(count="conversions", where="WHERE converted = 1", having="", top="")),
     )
     register(
         "j14_top_converting_paths",
         "path, count:i, total_revenue:4, avg_revenue:4",
-        lambda t: J.converting_paths(t.touches, 10),
+        lambda t: P.converting_paths(t.touches, 10),
         with_touches(
             paths.format(
                 count='"count"',
@@ -218,7 +304,7 @@ def register_all(register) -> None:
     register(
         "j14_all_converting_paths",
         "path, count:i, total_revenue:4, avg_revenue:4",
-        lambda t: J.converting_paths(t.touches, None),
+        lambda t: P.converting_paths(t.touches, None),
         with_touches(paths.format(count='"count"', where="", having="HAVING max(converted) = 1", top="")),
     )
     register(

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from journeyloom.operators import compare, experiments, journeys, markov, metrics, rules, shapley, timeseries
+from journeyloom.operators import compare, experiments, journeys, markov, metrics, paths, rules, shapley, timeseries
 from journeyloom.schema import conform
 from journeyloom.sources.touchpoints import ga_sessions_to_touchpoints, read_touchpoints
 
@@ -39,7 +39,7 @@ def test_no_conversions(spark):
     assert all(v == 0 for v in sums)
     assert all(r["attribution_share"] == pytest.approx(0.5) for r in markov.removal_effects(df).collect())
     assert {r["shapley_value"] for r in shapley.shapley_values(df).collect()} == {0.5}
-    assert journeys.converting_paths(df).count() == 0
+    assert paths.converting_paths(df).count() == 0
     assert metrics.kpi_overview(df).first()["conversion_rate"] == 0
 
 

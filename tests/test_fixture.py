@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from journeyloom.operators import compare, journeys, markov, rules, shapley
+from journeyloom.operators import compare, journeys, markov, paths, rules, shapley
 
 from touch_data import by_touch, nine_touches
 
@@ -66,7 +66,7 @@ def test_markov(nine):
 
 
 def test_sequences_have_ends(nine):
-    for r in journeys.journey_sequences(nine).collect():
+    for r in paths.journey_sequences(nine).collect():
         assert r["sequence"][0] == "start" and r["sequence"][-1] in ("conversion", "null")
         assert len(r["sequence"]) == r["touches"] + 2
 

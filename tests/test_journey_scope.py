@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from journeyloom.functions import journey_scope as scope
-from journeyloom.operators import compare, journeys, markov, rules, shapley
+from journeyloom.operators import compare, journeys, markov, paths, rules, shapley
 
 from touch_data import SCHEMA, by_touch, random_journeys
 
@@ -136,30 +136,61 @@ def test_long_paths_keep_their_groups(spark):
     twin = [(5, f"t{r[5]}", *r[2:]) for r in fourth]
     other = [(6, f"o{r[5]}", r[2], "video" if r[5] == 2 else r[3], *r[4:]) for r in fourth]
     touches = spark.createDataFrame(base + twin + other, SCHEMA)
-    whole = journeys.path_patterns(touches).collect()
-    short = journeys.path_patterns(touches, inline_steps=6).collect()
-    assert sorted(r["frequency"] for r in whole) == sorted(r["frequency"] for r in short) == [1, 1, 1, 1, 2]
-    inline = {r["journey_path"] for r in short if not r["journey_path"].startswith("[8 touches #")}
-    assert inline == {r["journey_path"] for r in whole if r["journey_path"].count("->") < 6}
+    keyed = paths.pattern_keys(touches).collect()
+    whole = paths.path_patterns(touches).collect()
+    assert sorted(r["frequency"] for r in whole) == sorted(r["frequency"] for r in keyed) == [1, 1, 1, 1, 2]
+    assert {(r["path_length"], r["path_key"]) for r in keyed} == {(r["path_length"], r["path_key"]) for r in whole}
+    assert len({r["path_key"] for r in keyed}) == 5 and {len(r["path_key"]) for r in keyed} == {32}
     for n in (None, 2):
-        a = journeys.converting_paths(touches, n, inline_steps=6).collect()
-        b = journeys.converting_paths(touches, n).collect()
+        a = paths.converting_keys(touches, n).collect()
+        b = paths.converting_paths(touches, n).collect()
         assert sorted((r["count"], r["total_revenue"]) for r in a) == sorted((r["count"], r["total_revenue"]) for r in b)
-    a = journeys.conversion_touch_paths(touches, inline_steps=0, chunk=3).collect()
-    b = journeys.conversion_touch_paths(touches).collect()
+    a = paths.conversion_touch_keys(touches, chunk=3).collect()
+    b = paths.conversion_touch_paths(touches).collect()
     assert sorted((r["conversions"], r["total_revenue"]) for r in a) == sorted(
         (r["conversions"], r["total_revenue"]) for r in b
     )
 
 
-def test_sequences_of_long_journeys_are_in_the_states(long):
-    arrays = {r["customer_id"]: r["sequence"] for r in journeys.journey_sequences(long, inline_steps=9).collect()}
+@pytest.mark.parametrize("chunk", [1, 4, 1000])
+def test_chunks_are_the_whole_path_and_sequence(long, chunk):
+    keys = paths.journey_keys(long)
     steps = {}
+    for r in sorted(paths.path_steps(long, keys, chunk).collect(), key=lambda r: r["chunk"]):
+        assert len(r["steps"].split(" -> ")) <= chunk
+        steps.setdefault((r["path_length"], r["path_key"]), []).append(r["steps"])
+    channels = {}
+    for r in long.orderBy("customer_id", "touchpoint_number").select("customer_id", "channel").collect():
+        channels.setdefault(r[0], []).append(r[1])
+    got = {r["customer_id"]: " -> ".join(steps[r["path_length"], r["path_key"]]) for r in keys.collect()}
+    assert got == {c: " -> ".join(x) for c, x in channels.items()}
+    states, pieces = {}, {}
     for r in sorted(journeys.journey_states(long, chunk=4).collect(), key=lambda r: r["step"]):
-        steps.setdefault(r["customer_id"], []).append(r["state"])
-    assert {c for c, s in arrays.items() if s is None} == {c for c, n in enumerate(LENGTHS, 1) if n > 9}
-    assert all(s is None or s == steps[c] for c, s in arrays.items())
-    assert all(len(steps[c]) == n + 2 for c, n in enumerate(LENGTHS, 1))
+        states.setdefault(r["customer_id"], []).append(r["state"])
+    for r in sorted(paths.sequence_chunks(long, chunk).collect(), key=lambda r: r["chunk"]):
+        assert len(r["states"]) <= chunk
+        pieces.setdefault(r["customer_id"], []).extend(r["states"])
+    assert pieces == states == {r["customer_id"]: r["sequence"] for r in paths.journey_sequences(long).collect()}
+
+
+def test_one_customer_with_a_third_of_three_million_touches(spark):
+    """No row grows with the customer: keys have a fixed size, chunks at most CHUNK_STEPS steps."""
+    n, hot = 3_000_000, 1_000_000
+    touch = F.col("id")
+    rows = spark.range(0, n, 1, 16).select(
+        F.when(touch < hot, 0).otherwise(1 + F.floor((touch - hot) / 4)).cast("long").alias("customer_id"),
+        F.when(touch < hot, touch + 1).otherwise((touch - hot) % 4 + 1).cast("long").alias("touchpoint_number"),
+        F.when(touch < hot, hot).otherwise(4).cast("long").alias("total_touchpoints"),
+        F.concat(F.lit("c"), (touch * 7 % 13 % 5).cast("string")).alias("channel"),
+        F.lit(1).alias("converted"),
+        F.lit(2.0).alias("revenue"),
+    )
+    patterns = paths.pattern_keys(rows).orderBy("path_length").collect()
+    assert sum(r["frequency"] for r in patterns) == 500_001 and patterns[-1]["path_length"] == hot
+    assert {r["path_length"] for r in patterns[:-1]} == {4} and len(patterns) <= 14
+    steps = paths.path_steps(rows, paths.journey_keys(rows)).filter(F.col("path_length") == hot)
+    count, longest, last = steps.agg(F.count("*"), F.max(F.length("steps")), F.max("chunk")).first()
+    assert (count, last) == (1000, 999) and longest == 1000 * 2 + 999 * 4
 
 
 def test_flow_edges(long, rows):
@@ -241,10 +272,9 @@ def test_paths_and_sequences_are_whole_at_every_length(spark):
     for r in touches.orderBy("customer_id", "touchpoint_number").select("customer_id", "channel").collect():
         channels.setdefault(r[0], []).append(r[1])
     want = sorted(" -> ".join(c) for c in channels.values())
-    assert sorted(r["journey_path"] for r in journeys.path_patterns(touches).collect()) == want
-    sequences = {r["customer_id"]: r["sequence"][1:-1] for r in journeys.journey_sequences(touches).collect()}
+    assert sorted(r["journey_path"] for r in paths.path_patterns(touches).collect()) == want
+    sequences = {r["customer_id"]: r["sequence"][1:-1] for r in paths.journey_sequences(touches).collect()}
     assert sequences == channels
-    for paths in (journeys.converting_paths(touches, None), journeys.conversion_touch_paths(touches)):
-        assert all("#" not in r["path"] for r in paths.collect())
+    assert all("#" not in r["path"] for r in paths.conversion_touch_paths(touches).collect())
     converting = {r["customer_id"] for r in touches.filter("converted = 1").select("customer_id").distinct().collect()}
-    assert {r["path"] for r in journeys.converting_paths(touches, None).collect()} == {" -> ".join(channels[c]) for c in converting}
+    assert {r["path"] for r in paths.converting_paths(touches, None).collect()} == {" -> ".join(channels[c]) for c in converting}

@@ -3,7 +3,7 @@
 import pytest
 
 from journeyloom.functions.journey_scope import declare_longest_journey
-from journeyloom.operators import compare, journeys, markov, metrics, rules, shapley
+from journeyloom.operators import compare, journeys, markov, metrics, paths, rules, shapley
 
 from touch_data import SCHEMA, random_journeys
 
@@ -47,7 +47,7 @@ def test_scans_read_only_what_is_used(stored):
         lambda t: compare.comparison(compare.attribute_all(t)),
         lambda t: markov.transitions(t, 2),
         lambda t: shapley.shapley_values(t),
-        lambda t: journeys.path_patterns(t),
+        lambda t: paths.path_patterns(t),
         lambda t: metrics.channel_metrics(t),
     ],
 )
