@@ -8,15 +8,20 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from journeyloom.functions.dimensions import channels_of, freeze, join_dimension
 from journeyloom.functions.journey_scope import CHUNK_TOUCHES
 from journeyloom.functions.numeric import hash_int, ratio, roi, total
 from journeyloom.operators.markov import channel_totals, share_out
+from journeyloom.session import checkpointed
 
-# Channel sets fit a 64-bit mask up to here.
-MASK_CHANNELS = 62
+# Channels in one word of a mask, and words of a mask.
+MASK_CHANNELS, MASK_WORDS = 62, 2
+# Channels whose subsets one row may list.
+LAYER = 12
+# Most channels of one journey for exact values.
+MAX_MEMBERS = 26
 SAMPLES = 1000
 # Sampled orders are broadcast up to this many channel places in all.
 BROADCAST_PLACES = 5_000_000
@@ -49,36 +54,112 @@ def channel_sets(touches: DataFrame, channels: list[str]) -> DataFrame:
     )
 
 
+def _member_bits(members: Column, words: int) -> list[Column]:
+    """Positions as bits of ``words`` longs of MASK_CHANNELS bits each."""
+
+    def word(w: int) -> Column:
+        low = w * MASK_CHANNELS
+        here = F.filter(members, lambda i: (i >= low) & (i < low + MASK_CHANNELS))
+        one = F.lit(1).cast("long")
+        return F.aggregate(here, F.lit(0).cast("long"), lambda m, i: m.bitwiseOR(F.call_function("shiftleft", one, (i - low).cast("int"))))
+
+    return [word(w).alias(f"word{w}") for w in range(words)]
+
+
+def _submasks(word: str, bits: range) -> Column:
+    """The masks that keep any of ``bits`` of a word and all its other bits."""
+    inside = F.filter(F.lit(list(bits)), lambda i: F.getbit(word, i) == 1)
+    rest = F.col(word).bitwiseAND(F.lit(~sum(1 << i for i in bits)))
+    one = F.lit(1).cast("long")
+    return F.aggregate(
+        inside,
+        F.array(rest),
+        lambda found, i: F.concat(found, F.transform(found, lambda s: s.bitwiseOR(F.call_function("shiftleft", one, i.cast("int"))))),
+    )
+
+
+def _subsets(members: Column) -> Column:
+    """All subsets of an array of at most LAYER positions."""
+    return F.aggregate(
+        members,
+        F.array(F.array().cast("array<int>")),
+        lambda found, i: F.concat(found, F.transform(found, lambda s: F.array_append(s, i.cast("int")))),
+    )
+
+
+def _summed(rows: DataFrame, key: list[str]) -> DataFrame:
+    return rows.groupBy(*key).agg(F.sum("total").alias("total"), F.sum("conversions").alias("conversions"))
+
+
+def _coalitions(sets: DataFrame, n: int) -> DataFrame:
+    """(members, total, conversions) of every subset of the channel sets.
+
+    A row never lists more than 2^LAYER subsets. Sets of at most LAYER channels are expanded in one step. Larger ones are
+    masks (one or two longs), and the subsets grow by layers of LAYER channels: what a layer gives is summed by mask and
+    stored before the next, so the work follows the distinct coalitions, not the sum over the sets. Beyond the masks the
+    members of each set are expanded LAYER at a time.
+    """
+    widest = n
+    if n > LAYER:
+        sets = checkpointed(sets)
+        widest = sets.agg(F.max(F.size("members"))).first()[0] or 0
+    if widest > MAX_MEMBERS:
+        raise ValueError(
+            f"a journey holds {widest} channels: exact values list its 2^{widest} coalitions, more than 2^{MAX_MEMBERS}; "
+            "use mode='sampled' (shapley_sampled or shapley_stratified)"
+        )
+    words = -(-n // MASK_CHANNELS)
+    if words > MASK_WORDS:
+        table = sets.withColumn("found", F.array().cast("array<int>"))
+        for first in range(1, max(widest, 1) + 1, LAYER):
+            more = F.explode(_subsets(F.slice("members", first, LAYER)))
+            table = table.withColumn("more", more).withColumn("found", F.concat("found", "more")).drop("more")
+        return _summed(table.withColumn("members", F.col("found")), ["members"])
+    key = [f"word{w}" for w in range(words)]
+    table = sets.select(*_member_bits(F.col("members"), words), "total", "conversions")
+    if n <= LAYER:
+        table = _summed(table.withColumn("word0", F.explode(_submasks("word0", range(n)))), key)
+    elif widest <= LAYER:
+        subsets = sets.select(F.explode(_subsets(F.col("members"))).alias("members"), "total", "conversions")
+        table = _summed(subsets.select(*_member_bits(F.col("members"), words), "total", "conversions"), key)
+    else:
+        for w in range(words):
+            for low in range(0, min(MASK_CHANNELS, n - w * MASK_CHANNELS), LAYER):
+                bits = range(low, min(low + LAYER, MASK_CHANNELS, n - w * MASK_CHANNELS))
+                table = checkpointed(_summed(table.withColumn(key[w], F.explode(_submasks(key[w], bits))), key))
+    return table.select(_positions(n), "total", "conversions", *key)
+
+
+def _positions(n: int) -> Column:
+    """The positions of the bits of the words."""
+    return F.filter(F.lit(list(range(n))), lambda i: _bit(i, n) == 1).alias("members")
+
+
+def _bit(i: Column, n: int) -> Column:
+    bit = F.getbit("word0", F.least(i, F.lit(MASK_CHANNELS - 1)))
+    if n > MASK_CHANNELS:
+        bit = F.when(i < MASK_CHANNELS, bit).otherwise(F.getbit("word1", F.greatest(i - MASK_CHANNELS, F.lit(0))))
+    return bit
+
+
 def coalition_rates(
     touches: DataFrame | None, channels: list[str] | None = None, sets: DataFrame | None = None
 ) -> DataFrame:
     """H1: journeys, conversions and rate of every coalition seen, incl. the empty one.
 
     Only the distinct channel sets are expanded to their subsets, not the journeys, so the
-    work follows the channels that meet in one journey, not their number in all.
+    work follows the channels that meet in one journey, not their number in all. A journey
+    of more than MAX_MEMBERS channels is an error.
     ``members`` holds positions in ``channels``; ``mask`` has their bits, and is NULL
     where a position does not fit.
     """
     channels = channels or channels_of(touches)
     sets = sets if sets is not None else channel_sets(touches, channels)
-    subsets = F.aggregate(
-        "members",
-        F.array(F.array().cast("array<int>")),
-        lambda found, i: F.concat(found, F.transform(found, lambda s: F.array_append(s, i.cast("int")))),
-    )
-    rates = (
-        sets.select(F.explode(subsets).alias("members"), "total", "conversions")
-        .groupBy("members")
-        .agg(F.sum("total").alias("total"), F.sum("conversions").alias("conversions"))
-        .withColumn("rate", ratio(F.col("conversions"), F.col("total")))
-    )
-    one = F.lit(1).cast("long")
-    mask = F.when(
-        F.coalesce(F.array_max("members"), F.lit(0)) < MASK_CHANNELS,
-        F.aggregate("members", F.lit(0).cast("long"), lambda m, i: m.bitwiseOR(F.call_function("shiftleft", one, i))),
-    )
+    rates = _coalitions(sets, len(channels)).withColumn("rate", ratio(F.col("conversions"), F.col("total")))
+    small = F.coalesce(F.array_max("members"), F.lit(0)) < MASK_CHANNELS
+    mask = F.col("word0") if "word0" in rates.columns else _member_bits(F.col("members"), 1)[0]
     names = F.transform("members", lambda i: F.element_at(F.lit(channels), i + 1))
-    return rates.select("members", mask.alias("mask"), names.alias("coalition"), "total", "conversions", "rate")
+    return rates.select("members", F.when(small, mask).alias("mask"), names.alias("coalition"), "total", "conversions", "rate")
 
 
 def shapley_exact(
@@ -137,20 +218,66 @@ def shapley_sampled(
     """
     channels = channels or channels_of(touches)
     n = len(channels)
-    spark = touches.sparkSession
+    spark = sets_session(touches, sets)
+    sets = sets if sets is not None else channel_sets(touches, channels)
+    gains = _marginals(sets, _orders(spark, n, n_samples, seed), n, n_samples)
+    # a channel that no order could place in a seen coalition is worth 0
+    none = spark.createDataFrame([(i, 0.0) for i in range(n)], "c int, gain double")
+    return (
+        gains.select("c", "gain")
+        .unionByName(none)
+        .groupBy("c")
+        .agg((F.sum("gain") / n_samples).alias("raw_value"))
+        .select(F.element_at(F.lit(channels), F.col("c") + 1).alias("channel"), "raw_value")
+    )
+
+
+def shapley_stratified(
+    touches: DataFrame | None,
+    n_orders: int = 100,
+    seed: int = 42,
+    channels: list[str] | None = None,
+    sets: DataFrame | None = None,
+) -> DataFrame:
+    """H2, sampled by strata: channel, raw value and its standard error.
+
+    Each of ``n_orders`` random orders is used in all its rotations, so every channel
+    stands once at every place of it. The rotations of one order make one independent
+    estimate; the standard error is that of their mean.
+    """
+    channels = channels or channels_of(touches)
+    n = len(channels)
+    spark = sets_session(touches, sets)
+    sets = sets if sets is not None else channel_sets(touches, channels)
+    turned = F.concat(F.slice("perm", F.col("turn") + 1, F.lit(n)), F.slice("perm", F.lit(1), F.col("turn")))
+    orders = _orders(spark, n, n_orders, seed).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    orders = orders.select((F.col("sample") * n + F.col("turn")).alias("sample"), turned.alias("perm")).withColumn("first", F.col("perm")[0])
+    gains = _marginals(sets, orders, n, n_orders * n).select(F.floor(F.col("sample") / n).alias("base"), "c", "gain")
+    # an order that places a channel in no seen coalition estimates 0 for it
+    grid = spark.range(n_orders).select(F.col("id").alias("base"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("c"), F.lit(0.0).alias("gain"))
+    estimates = gains.unionByName(grid).groupBy("base", "c").agg((F.sum("gain") / n).alias("estimate"))
+    return (
+        estimates.groupBy("c")
+        .agg(F.avg("estimate").alias("raw_value"), (F.stddev_samp("estimate") / F.sqrt(F.count(F.lit(1)))).alias("std_error"))
+        .select(F.element_at(F.lit(channels), F.col("c") + 1).alias("channel"), "raw_value", "std_error")
+    )
+
+
+def _orders(spark: SparkSession, n: int, count: int, seed: int) -> DataFrame:
+    """(sample, perm, first): ``count`` random orders of ``n`` positions, by hash."""
     shuffled = F.array_sort(
         F.transform(
             F.sequence(F.lit(0), F.lit(n - 1)),
             lambda i: F.struct(hash_int(F.lit(seed), F.col("sample"), i).alias("h"), i.alias("i")),
         )
     )
-    orders = (
-        spark.range(n_samples)
-        .withColumnRenamed("id", "sample")
-        .select("sample", shuffled["i"].alias("perm"))
-        .withColumn("first", F.col("perm")[0])
-    )
-    sets = sets if sets is not None else channel_sets(touches, channels)
+    orders = spark.range(count).withColumnRenamed("id", "sample").select("sample", shuffled["i"].alias("perm"))
+    return orders.withColumn("first", F.col("perm")[0])
+
+
+def _marginals(sets: DataFrame, orders: DataFrame, n: int, n_samples: int) -> DataFrame:
+    """(sample, c, gain): for each order, what v of its prefixes adds to and takes from each channel."""
+    spark = sets.sparkSession
     # first place in the order that lies outside the set, or past its end
     inside = F.transform("perm", lambda c: F.array_contains("members", c))
     run = F.coalesce(F.nullif(F.array_position(inside, F.lit(False)), F.lit(0)), F.lit(n + 1)) - 1
@@ -177,6 +304,7 @@ def shapley_sampled(
     )
     # v(prefix j) counts for the channel that completes it and against the next one
     signed = prefixes.join(drawn, "sample").select(
+        "sample",
         F.explode(
             F.array_compact(
                 F.array(
@@ -189,15 +317,7 @@ def shapley_sampled(
             )
         ).alias("m")
     )
-    # a channel that no order could place in a seen coalition is worth 0
-    none = spark.createDataFrame([(i, 0.0) for i in range(n)], "c int, gain double")
-    return (
-        signed.select("m.c", "m.gain")
-        .unionByName(none)
-        .groupBy("c")
-        .agg((F.sum("gain") / n_samples).alias("raw_value"))
-        .select(F.element_at(F.lit(channels), F.col("c") + 1).alias("channel"), "raw_value")
-    )
+    return signed.select("sample", "m.c", "m.gain")
 
 
 def normalise(values: DataFrame) -> DataFrame:

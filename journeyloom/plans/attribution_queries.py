@@ -148,6 +148,35 @@ def register_all(register) -> None:
             GROUP BY c"""
         ),
     )
+    register(
+        "h2_shapley_stratified",
+        "channel, raw_value:8, std_error:8",
+        lambda t: H.shapley_stratified(t.touches, 100, 42),
+        _alphabetical(
+            """
+            , draws AS (
+              SELECT s AS sample, i, row_number() OVER (PARTITION BY s ORDER BY
+                     CAST('0x' || substr(md5('42|' || s || '|' || i), 1, 8) AS BIGINT), i) - 1 AS j
+              FROM range(100) a(s), range(10) b(i)
+            ),
+            turned AS (SELECT sample, turn, i, (j - turn + 10) % 10 + 1 AS j FROM draws, range(10) r(turn)),
+            prefixes AS (
+              SELECT sample, turn, i, j,
+                     sum(CAST(1 << i AS BIGINT)) OVER (PARTITION BY sample, turn ORDER BY j) AS after_mask
+              FROM turned
+            ),
+            estimates AS (
+              SELECT c AS channel, sample,
+                     avg(coalesce(a.rate, 0) - CASE WHEN j = 1 THEN 0 ELSE coalesce(z.rate, 0) END) AS e
+              FROM prefixes
+              LEFT JOIN coal2 a ON a.mask = CAST(after_mask AS INTEGER)
+              LEFT JOIN coal2 z ON z.mask = CAST(after_mask - CAST(1 << i AS BIGINT) AS INTEGER)
+              JOIN names ON ix = i
+              GROUP BY c, sample
+            )
+            SELECT channel, avg(e) AS raw_value, stddev_samp(e) / sqrt(count(*)) AS std_error FROM estimates GROUP BY channel"""
+        ),
+    )
     register(
         "h3_shapley_normalised",
         "channel, shapley_value:8",
