@@ -66,8 +66,7 @@ def conform(df: DataFrame) -> DataFrame:
 
     ``converted`` may arrive as boolean, number or text ("True", "1", "1.0", ...); text
     that is neither fails the job, a missing value counts as not converted. Touches
-    without a customer belong to no journey and are left out (``without_customer``
-    gives them). A missing channel becomes NO_CHANNEL. A channel named like a Markov
+    without a customer belong to no journey and are left out. A missing channel becomes NO_CHANNEL. A channel named like a Markov
     state fails the job when its row is read: the two could not be told apart.
     """
     missing = [c for c in REQUIRED if c not in df.columns]
@@ -91,18 +90,18 @@ def conform(df: DataFrame) -> DataFrame:
     return df.filter(F.col("customer_id").isNotNull()).select(*columns)
 
 
-def _flag(text: Column) -> Column:
-    """0 or 1 from the text of a boolean or a number; anything else fails the job."""
+def flag_or_null(text: Column) -> Column:
+    """0 or 1 from the text of a boolean or a number, 0 for none; NULL for anything else."""
     word = F.lower(F.trim(text))
     number = F.when(word.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), word.cast("double"))
     return (
         F.when(word.isNull() | (word == "") | word.isin("false", "f", "no", "n"), 0)
         .when(word.isin("true", "t", "yes", "y"), 1)
         .when(number.isin(0.0, 1.0), number.cast("int"))
-        .otherwise(F.raise_error(F.concat(F.lit("converted is neither 0 nor 1: "), text)).cast("int"))
     )
 
 
-def without_customer(df: DataFrame) -> DataFrame:
-    """The rows that ``conform`` leaves out, as they came."""
-    return df.filter(F.col("customer_id").isNull())
+def _flag(text: Column) -> Column:
+    """0 or 1 from the text of a boolean or a number; anything else fails the job."""
+    wrong = F.raise_error(F.concat(F.lit("converted is neither 0 nor 1: "), text)).cast("int")
+    return F.coalesce(flag_or_null(text), wrong)

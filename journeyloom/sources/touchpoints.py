@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from journeyloom.functions.journey_scope import number_touches
 from journeyloom.functions.numeric import hash_unit
-from journeyloom.schema import CHANNEL_COST, CHANNELS, DEVICES, TOUCHPOINT_SCHEMA, conform, without_customer
+from journeyloom.schema import CHANNEL_COST, CHANNELS, DEVICES, RESERVED_STATES, TOUCHPOINT_SCHEMA, conform, flag_or_null
+
+_RECORD = "_record"
 
 
 def read_touchpoints(
@@ -15,24 +17,104 @@ def read_touchpoints(
     fmt: str = "csv",
     schema: T.StructType = TOUCHPOINT_SCHEMA,
     customer_type: T.DataType | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Touches from CSV with a header, or Parquet; typed, never inferred.
 
-    CSV columns may come in any order, the same in all files of a folder: a file whose
-    header differs fails the job, and so does a cell that its type cannot hold.
+    Rows that cannot be touches are left out; ``rejected_touches`` gives them with their
+    reasons. With ``strict`` a line or cell that its type cannot hold fails the job
+    instead, and only rows without a customer are left out. CSV columns may come in any
+    order, the same in all files of a folder: a file whose header differs fails the job.
     Columns the schema lacks are kept as strings. Customer ids from CSV are strings
-    unless ``customer_type`` says otherwise. Rows without a customer are left out;
-    ``rejected_touches`` gives them.
+    unless ``customer_type`` says otherwise.
     """
-    return conform(_raw_touches(spark, path, fmt, schema, customer_type))
-
+    if strict:
+        return conform(_strict_touches(spark, path, fmt, schema, customer_type))
+    return sort_touches(spark, path, fmt, schema, customer_type)[0]
 
-def rejected_touches(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = TOUCHPOINT_SCHEMA) -> DataFrame:
-    """The rows that ``read_touchpoints`` leaves out because they name no customer."""
-    return without_customer(_raw_touches(spark, path, fmt, schema, None))
 
+def rejected_touches(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    schema: T.StructType = TOUCHPOINT_SCHEMA,
+    customer_type: T.DataType | None = None,
+) -> DataFrame:
+    """The rows that ``read_touchpoints`` leaves out, as they came, with ``reasons`` (array) and ``record``.
 
-def _raw_touches(
+    ``record`` is the text of a CSV line that does not have the header's fields, else NULL.
+    """
+    return sort_touches(spark, path, fmt, schema, customer_type)[1]
+
+
+def reject_counts(rejected: DataFrame) -> DataFrame:
+    """Rejected rows by reason; a row with two reasons counts for both."""
+    return rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def sort_touches(
+    spark: SparkSession, path: str, fmt: str, schema: T.StructType = TOUCHPOINT_SCHEMA, customer_type: T.DataType | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted touches and rejected rows of one folder."""
+    raw = _text_touches(spark, path) if fmt == "csv" else _strict_touches(spark, path, fmt, schema, customer_type)
+    types = {f.name: f.dataType for f in schema}
+    types["touchpoint_number"] = types["total_touchpoints"] = T.LongType()
+    types["customer_id"] = customer_type or (T.StringType() if fmt == "csv" else raw.schema["customer_id"].dataType)
+    values = {c: typed(c, raw.schema[c].dataType, types[c]) for c in raw.columns if c in types}
+    columns = [c for c in raw.columns if c != _RECORD]
+    if _RECORD not in raw.columns:
+        raw = raw.withColumn(_RECORD, F.lit(None).cast("string"))
+
+    def given(name: str) -> Column:
+        text = isinstance(raw.schema[name].dataType, T.StringType)
+        return F.col(name).isNotNull() & (F.trim(name) != "") if text else F.col(name).isNotNull()
+
+    reasons = [F.when(F.col(_RECORD).isNotNull(), F.lit("line: other fields than the header"))]
+    reasons += [F.when(given(c) & v.isNull(), F.lit(f"{c}: not a {types[c].simpleString() if c != 'converted' else 'flag'}")) for c, v in values.items()]
+    reasons.append(F.when(~given("customer_id"), F.lit("customer_id: missing")))
+    reasons.append(F.when(F.col("channel").isin(*RESERVED_STATES), F.lit("channel: reserved name")))
+    judged = raw.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    fine = F.size("reasons") == 0
+    accepted = judged.filter(fine).select(*[values.get(c, F.col(c)).alias(c) for c in columns])
+    rejected = judged.filter(~fine).select(*columns, "reasons", F.col(_RECORD).alias("record"))
+    return conform(accepted), rejected
+
+
+def typed(name: str, given: T.DataType, wanted: T.DataType) -> Column:
+    """A column in the wanted type, NULL where its value does not fit."""
+    value = F.col(name)
+    if not isinstance(given, T.StringType):
+        return value if given == wanted or name == "converted" else value.try_cast(wanted)
+    if name == "converted":
+        return flag_or_null(value)
+    if isinstance(wanted, T.StringType):
+        return value
+    number = F.trim(value).try_cast("double")
+    if isinstance(wanted, T.IntegralType):
+        # "3" and "3.0" are whole numbers, "3.5" is none
+        whole = F.when(number == F.floor(number), number.try_cast(wanted))
+        return F.coalesce(F.trim(value).try_cast(wanted), whole)
+    if isinstance(wanted, T.DoubleType):
+        return F.when(F.abs(number) < float("inf"), number)
+    return F.trim(value).try_cast(wanted)
+
+
+def _text_touches(spark: SparkSession, path: str) -> DataFrame:
+    """CSV cells as text; a line with other fields than the header has it whole in _RECORD."""
+    header = spark.read.option("header", True).csv(path).columns
+    given = T.StructType([T.StructField(n, T.StringType()) for n in [*header, _RECORD]])
+    lenient = {
+        "header": True,
+        "enforceSchema": False,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _RECORD,
+        # a line is judged by all of its fields, whatever columns a query reads
+        "columnPruning": False,
+    }
+    return spark.read.schema(given).options(**lenient).csv(path)
+
+
+def _strict_touches(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType, customer_type: T.DataType | None
 ) -> DataFrame:
     if fmt == "csv":
@@ -41,8 +123,7 @@ def _raw_touches(
         known["converted"] = T.StringType()  # "True" in generated files, "1" or "1.0" in others
         known["customer_id"] = customer_type or T.StringType()
         given = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in header])
-        strict = {"header": True, "enforceSchema": False, "mode": "FAILFAST"}
-        return spark.read.schema(given).options(**strict).csv(path)
+        return spark.read.schema(given).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
     if fmt == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unknown touchpoint format: {fmt}")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 from journeyloom.operators import compare, journeys, markov, rules
-from journeyloom.sources.touchpoints import events_to_touchpoints, read_touchpoints, rejected_touches
+from journeyloom.sources.touchpoints import events_to_touchpoints, read_touchpoints, reject_counts, rejected_touches
 
 from touch_data import nine_touches
 
@@ -42,7 +42,41 @@ def test_typed_ids(spark, tmp_path):
 @pytest.mark.parametrize("bad", [row("1", "maybe"), row("1", "2.0"), row("1", "1").replace("10.5", "long")])
 def test_broken_cells_fail(spark, tmp_path, bad):
     with pytest.raises(Exception, match="converted is neither|MALFORMED|Malformed|malformed"):
-        read_touchpoints(spark, folder(tmp_path, [HEADER, bad])).collect()
+        read_touchpoints(spark, folder(tmp_path, [HEADER, bad]), strict=True).collect()
+
+
+def test_broken_rows_are_set_aside(spark, tmp_path):
+    good = row("1", "1")
+    lines = {
+        row("2", "maybe"): ["converted: not a flag"],
+        good.replace("10.5", "long"): ["time_on_site: not a double"],
+        good.replace("2023-01-01 10:00:00", "yesterday").replace(",3,", ",3.5,"): ["timestamp: not a timestamp", "pages_viewed: not a int"],
+        row("", "1", "start"): ["customer_id: missing", "channel: reserved name"],
+        "3,2023-01-01 10:00:00,email": ["line: other fields than the header"],
+        good + ",more": ["line: other fields than the header"],
+        good.replace("1.5", "NaN"): ["cost: not a double"],
+    }
+    path = folder(tmp_path, [HEADER, good, *lines, good.replace(",3,", ",3.0,").replace("50.0", "")])
+    accepted = read_touchpoints(spark, path).collect()
+    assert [(r.customer_id, r.pages_viewed, r.cost) for r in accepted] == [("1", 3, 1.5)] * 2
+    assert sorted(r.revenue is None for r in accepted) == [False, True]
+    rejected = rejected_touches(spark, path)
+    assert sorted(r.reasons for r in rejected.collect()) == sorted(lines.values())
+    records = {r.record for r in rejected.collect() if r.record}
+    assert records == {"3,2023-01-01 10:00:00,email", good + ",more"}
+    counts = {r.reason: r["rows"] for r in reject_counts(rejected).collect()}
+    assert counts["line: other fields than the header"] == 2 and sum(counts.values()) == 9
+    # counting alone judges the same rows
+    assert read_touchpoints(spark, path).count() == 2 and rejected.count() == 7
+
+
+def test_typed_parquet_cells(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "x", 2**40), ("2", "4.5", 3), (None, "1", 1)], "customer_id string, cost string, pages_viewed bigint")
+    full = rows.selectExpr("*", "timestamp'2023-01-01 10:00:00' AS timestamp", "'email' AS channel", "'m' AS device", "1.0 AS time_on_site", "1 AS converted", "2.0D AS revenue")
+    full.write.parquet(str(tmp_path / "t"))
+    assert [(r.customer_id, r.cost) for r in read_touchpoints(spark, str(tmp_path / "t"), "parquet").collect()] == [("2", 4.5)]
+    reasons = sorted(r.reasons for r in rejected_touches(spark, str(tmp_path / "t"), "parquet").collect())
+    assert reasons == [["cost: not a double", "pages_viewed: not a int"], ["customer_id: missing"]] or reasons == [["customer_id: missing"], ["pages_viewed: not a int", "cost: not a double"]]
 
 
 def test_other_column_order(spark, tmp_path):
