@@ -5,16 +5,17 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from journeyloom.functions.dimensions import freeze
 from journeyloom.functions.distributions import chi2_tail
-from journeyloom.functions.numeric import hash_int
+from journeyloom.functions.least_squares import swept
+from journeyloom.functions.numeric import hash_int, ratio, side_by_side
 from journeyloom.operators.journeys import COUNTED_CHANNELS, conversion_features, journey_features
+from journeyloom.session import checkpointed
 
 FEATURES = [
     "journey_length",
@@ -99,13 +100,11 @@ def _ordered(features: DataFrame) -> DataFrame:
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
     """L3: area under the curve and accuracy on the test part, one row."""
-    scored = model.transform(test).select(label, "rawPrediction", "prediction")
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(scored)
+    scored = model.transform(test).select(label, vector_to_array("rawPrediction")[1].alias("raw"), "prediction")
+    auc = rank_auc(scored, label, "raw").first()[0]
     hits = F.avg((F.col(label) == F.col("prediction")).cast("double"))
     accuracy, rows = scored.agg(hits, F.count(F.lit(1))).first()
-    return test.sparkSession.createDataFrame(
-        [(float(auc), accuracy, rows)], "auc double, accuracy double, test_rows bigint"
-    )
+    return test.sparkSession.createDataFrame([(auc, accuracy, rows)], "auc double, accuracy double, test_rows bigint")
 
 
 def feature_importance(model: PipelineModel, n: int | None = 10) -> DataFrame:
@@ -116,10 +115,22 @@ def feature_importance(model: PipelineModel, n: int | None = 10) -> DataFrame:
     return SparkSession.active().createDataFrame(rows[:n], "feature string, importance double")
 
 
+def linear_weights(model: PipelineModel) -> DataFrame:
+    """Weights of a logistic model on its scaled features, largest first."""
+    names = model.stages[0].getInputCols()
+    rows = sorted(zip(names, map(float, model.stages[-1].coefficients), strict=True), key=lambda r: (-abs(r[1]), r[0]))
+    return SparkSession.active().createDataFrame(rows, "feature string, weight double")
+
+
 def score_journeys(model: PipelineModel, touches: DataFrame) -> DataFrame:
     """Conversion probability and score of every journey, best first."""
+    return score_features(model, conversion_features(touches))
+
+
+def score_features(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """L5 from the feature rows of the journeys."""
     return (
-        model.transform(conversion_features(touches))
+        model.transform(features)
         .select(
             "customer_id",
             F.col("label").alias("actual_conversion"),
@@ -200,7 +211,7 @@ def logit_features(touches: DataFrame) -> DataFrame:
 
 def _logit(data: DataFrame, inputs: list[str], weight: str | None = None):
     assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(data)
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="converted", maxIter=50)
+    glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="converted", maxIter=100, tol=1e-10)
     return (glm.setWeightCol(weight) if weight else glm).fit(assembled)
 
 
@@ -235,11 +246,92 @@ def logit_validation(touches: DataFrame, seed: int = 42) -> tuple[DataFrame, Dat
     finally:
         train.unpersist()
     scored = model.transform(VectorAssembler(inputCols=LOGIT_INPUTS, outputCol="features").transform(test))
-    auc = BinaryClassificationEvaluator(labelCol="converted", rawPredictionCol="prediction").evaluate(scored)
     hit = F.avg(((F.col("prediction") > 0.5).cast("int") == F.col("converted")).cast("double"))
-    return terms, scored.agg(
-        F.lit(float(auc)).alias("auc"), hit.alias("accuracy"), F.count(F.lit(1)).alias("test_rows")
+    quality = scored.agg(hit.alias("accuracy"), F.count(F.lit(1)).alias("test_rows"))
+    row = side_by_side(rank_auc(scored, "converted", "prediction"), quality)
+    return terms, row.select("auc", "accuracy", "test_rows")
+
+
+def score_equations(rows: DataFrame, inputs: list[str], weight: str | None = None) -> DataFrame:
+    """What a fitted logistic model must satisfy, from one aggregation of its scored rows.
+
+    ``rows`` has the response ``converted``, the fitted ``prediction`` and the inputs. For each term: ``observed`` (sum of
+    response times term), ``fitted`` (sum of prediction times term; equal to it at the maximum of the likelihood) and
+    ``std_error`` from the inverse of the information matrix, the sums of p (1 - p) times products of terms.
+    """
+    names = ["one", *inputs]
+    w = F.col(weight) if weight else F.lit(1.0)
+    p = F.col("prediction")
+    whole = rows.withColumn("one", F.lit(1.0))
+    size = len(names)
+    cells = {(i, j): F.sum(w * p * (1 - p) * F.col(names[i]) * F.col(names[j])).alias(f"i{i}_{j}") for i in range(size) for j in range(i, size)}
+    sums = whole.agg(
+        *[F.sum(w * F.col("converted") * F.col(n)).alias(f"o{i}") for i, n in enumerate(names)],
+        *[F.sum(w * p * F.col(n)).alias(f"f{i}") for i, n in enumerate(names)],
+        *cells.values(),
+    )
+    # inputs of very different size: the matrix is swept in units of its diagonal
+    unit = [F.sqrt(F.col(f"i{i}_{i}")) for i in range(size)]
+    matrix = F.array(*[ratio(F.col(f"i{min(i, j)}_{max(i, j)}"), unit[i] * unit[j]) for i in range(size) for j in range(size)])
+    inverse = sums.withColumn("inverse", swept(matrix, size, size))
+    terms = F.array(
+        *[
+            F.struct(
+                F.lit("(Intercept)" if i == 0 else n).alias("term"),
+                F.col(f"o{i}").cast("double").alias("observed"),
+                F.col(f"f{i}").alias("fitted"),
+                ratio(F.sqrt(F.col("inverse")[i * size + i]), unit[i]).alias("std_error"),
+            )
+            for i, n in enumerate(names)
+        ]
+    )
+    return inverse.select(F.inline(terms))
+
+
+def logit_score_equations(touches: DataFrame, seed: int = 42) -> DataFrame:
+    """``score_equations`` of the validation model on its training part."""
+    train, _ = split(logit_features(touches), 0.2, seed)
+    train = train.persist()
+    model = _logit(train, LOGIT_INPUTS)
+    return score_equations(model.transform(VectorAssembler(inputCols=LOGIT_INPUTS, outputCol="features").transform(train)), LOGIT_INPUTS)
+
+
+def rank_auc(scored: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
+    """L3: area under the curve by the rank-sum formula, one row.
+
+    Rows are reduced to counts per distinct score, range-partitioned by score; a pair of a positive and a negative counts
+    1 if the positive scores higher and 1/2 if they tie. Partitions add the negatives of all lower ones.
+    """
+    positive = F.col(label).cast("int") == 1
+    counts = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.sum(F.when(positive, 1).otherwise(0)).alias("pos"), F.sum(F.when(positive, 0).otherwise(1)).alias("neg")
     )
+    parts = parts or scored.sparkSession.sparkContext.defaultParallelism
+    ranged = checkpointed(counts.repartitionByRange(parts, "score").withColumn("part", F.spark_partition_id()))
+    by_part = ranged.groupBy("part").agg(F.sum("neg").alias("all_neg"))
+    lower = F.coalesce(F.sum("all_neg").over(Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row per partition
+    offsets = F.broadcast(by_part.select("part", lower.alias("below_part")))
+    inside = F.coalesce(F.sum("neg").over(Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = ranged.withColumn("below", inside).join(offsets, "part")
+    wins = F.sum(F.col("pos") * (F.col("below") + F.col("below_part") + F.col("neg") / 2))
+    return ranked.agg(ratio(wins, F.sum("pos") * F.sum("neg").cast("double")).alias("auc"))
+
+
+def score_bins(scored: DataFrame, label: str, score: str, bins: int = 100) -> DataFrame:
+    """L3: how scores from 0 to 1 relate to outcomes: bins with their rows, mean score and rate, and an isotonic rate.
+
+    Rows are reduced to ``bins`` equal bins first; the isotonic fit, which never falls as the score rises, runs on those.
+    """
+    place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    table = scored.groupBy(place.alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("rate")
+    )
+    table = freeze(table, bins).coalesce(1)
+    fitted = IsotonicRegression(featuresCol="mean_score", labelCol="rate", weightCol="weight", predictionCol="isotonic_rate").fit(
+        table.withColumn("weight", F.col("rows").cast("double"))
+    )
+    return fitted.transform(table).select("bin", "rows", "mean_score", "rate", "isotonic_rate").orderBy("bin")
 
 
 def variance_inflation(touches: DataFrame, seed: int = 42) -> DataFrame:
@@ -302,9 +394,7 @@ def interaction_test(touches: DataFrame) -> tuple[DataFrame, DataFrame]:
     All predictors are flags, so the fits run on one row per combination: its share of
     conversions, weighted by its journeys. The likelihood ratio is that of single rows.
     """
-    counts = freeze(interaction_counts(touches)).coalesce(1)
-    plain = _logit(counts, MAIN_EFFECTS, "journeys")
-    full = _logit(counts, [*MAIN_EFFECTS, *INTERACTIONS], "journeys")
+    counts, plain, full = _interaction_fits(touches)
     statistic = float(plain.summary.deviance - full.summary.deviance)
     test = touches.sparkSession.createDataFrame(
         [(statistic, len(INTERACTIONS), chi2_tail(statistic, len(INTERACTIONS)))],
@@ -314,6 +404,28 @@ def interaction_test(touches: DataFrame) -> tuple[DataFrame, DataFrame]:
     return test, terms.filter(F.col("term").isin(*INTERACTIONS))
 
 
+def _interaction_fits(touches: DataFrame):
+    counts = freeze(interaction_counts(touches)).coalesce(1)
+    return counts, _logit(counts, MAIN_EFFECTS, "journeys"), _logit(counts, [*MAIN_EFFECTS, *INTERACTIONS], "journeys")
+
+
+def interaction_score_equations(touches: DataFrame) -> DataFrame:
+    """``score_equations`` of the models without and with interactions, with the likelihood of each.
+
+    ``log_likelihood`` is that of single journeys; twice the difference of the two is the likelihood ratio.
+    """
+    counts, plain, full = _interaction_fits(touches)
+    parts = []
+    for name, model, inputs in (("main", plain, MAIN_EFFECTS), ("interactions", full, [*MAIN_EFFECTS, *INTERACTIONS])):
+        scored = model.transform(VectorAssembler(inputCols=inputs, outputCol="features").transform(counts))
+        p, n, k = F.col("prediction"), F.col("journeys"), F.col("conversions")
+        # at most 16 rows
+        likelihood = scored.agg(F.sum(k * F.log(p) + (n - k) * F.log1p(-p))).first()[0]
+        equations = score_equations(scored, inputs, "journeys")
+        parts.append(equations.withColumns({"model": F.lit(name), "log_likelihood": F.lit(likelihood)}))
+    return parts[0].unionByName(parts[1])
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Overwrite a saved pipeline."""
     model.write().overwrite().save(path)

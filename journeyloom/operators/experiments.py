@@ -1,36 +1,21 @@
 """Tests and intervals on attribution.
 
-Spark reduces the data to moments per group; tail probabilities are added to the
-resulting handful of rows.
+Spark reduces the data to moments per group; tail probabilities are columns of the
+reduced tables.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from journeyloom.functions import distributions as dist
+from journeyloom.functions import distributions as dist, poisson, tails
+from journeyloom.functions.dimensions import freeze
 from journeyloom.functions.numeric import hash_int, ratio, ratio_or_zero
 
 ANOVA_METHODS = ["shapley_attribution", "markov_attribution", "last_touch_attribution"]
 TOUCH_METHODS = [*ANOVA_METHODS, "linear_attribution"]
-_SMALL = 10_000
-
-
-def _with_tail(df: DataFrame, name: str, tail: Callable[..., float], *inputs: str) -> DataFrame:
-    """Add a tail probability to a table of a few rows."""
-    rows = df.limit(_SMALL + 1).collect()
-    if len(rows) > _SMALL:
-        raise ValueError("tail probabilities are meant for reduced tables")
-    done = []
-    for row in rows:
-        values = [row[i] for i in inputs]
-        done.append((*row, None if any(v is None for v in values) else float(tail(*values))))
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
-    return df.sparkSession.createDataFrame(done, schema)
 
 
 def customer_method_values(attributed: DataFrame, methods: list[str] = ANOVA_METHODS) -> DataFrame:
@@ -69,46 +54,43 @@ def anova_table(moments: DataFrame) -> DataFrame:
 
 def anova(values: DataFrame, alpha: float = 0.05) -> DataFrame:
     """X1, X2 with p-value and verdict."""
-    tested = _with_tail(
-        anova_table(group_moments(values)), "p_value", dist.f_tail, "f_statistic", "df_between", "df_within"
-    )
+    p = tails.f_tail(F.col("f_statistic"), F.col("df_between"), F.col("df_within"))
+    tested = anova_table(group_moments(values)).withColumn("p_value", p)
     return tested.withColumn("significant_difference", F.col("p_value") < alpha)
 
 
 def tukey_hsd(values: DataFrame, alpha: float = 0.05) -> DataFrame:
     """All pairs of methods with adjusted p and confidence interval.
 
-    The groups are the attribution methods, so the pairs come from a few moment rows.
+    The groups are the attribution methods, so their moments fit one row; the pairs,
+    tails and the critical value are columns from there on.
     """
-    groups = sorted(group_moments(values).collect(), key=lambda r: r["method"])
-    k = len(groups)
-    df = sum(g["n"] for g in groups) - k
-    within = sum((g["n"] - 1) * (g["variance"] or 0.0) for g in groups)
-    mse = within / df if df > 0 else 0.0
-    critical = dist.studentized_range_critical(alpha, k, df) if df > 0 and k > 1 else float("nan")
-    rows = []
-    for a, b in combinations(groups, 2):
-        difference = b["mean"] - a["mean"]
-        error = math.sqrt(mse / 2.0 * (1.0 / a["n"] + 1.0 / b["n"]))
-        q = abs(difference) / error if error > 0 else None
-        p = dist.studentized_range_tail(q, k, df) if q is not None else None
-        rows.append(
-            (
-                a["method"],
-                b["method"],
-                difference,
-                q,
-                p,
-                difference - critical * error,
-                difference + critical * error,
-                None if p is None else p < alpha,
-            )
-        )
-    schema = (
-        "group1 string, group2 string, mean_difference double, q_statistic double, p_adjusted double, "
-        "lower double, upper double, reject boolean"
+    moments = F.sort_array(F.collect_list(F.struct("method", "n", "mean", F.coalesce("variance", F.lit(0.0)).alias("variance"))))
+    within = F.aggregate("g", F.lit(0.0), lambda total, m: total + (m["n"] - 1) * m["variance"])
+    whole = group_moments(values).agg(moments.alias("g"), F.count(F.lit(1)).alias("k"), (F.sum("n") - F.count(F.lit(1))).alias("df"))
+    whole = whole.withColumn("mse", F.coalesce(ratio(within, F.col("df")), F.lit(0.0)))
+    critical = F.when(F.col("k") > 1, tails.studentized_range_critical(alpha, F.col("k"), F.col("df")))
+    # a one-row table, frozen so that no pair evaluates the search again
+    whole = freeze(whole.withColumn("critical", critical), 1)
+    pairs = F.flatten(F.transform("g", lambda a, i: F.transform(F.slice("g", i + 2, F.size("g")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    table = whole.select(F.explode(pairs).alias("p"), "k", "df", "mse", "critical").select("p.a", "p.b", "k", "df", "mse", "critical")
+    table = table.withColumn("difference", F.col("b.mean") - F.col("a.mean")).withColumn(
+        "error", F.sqrt(F.col("mse") / 2 * (1 / F.col("a.n") + 1 / F.col("b.n")))
+    )
+    table = table.withColumn("q_statistic", ratio(F.abs("difference"), F.col("error"))).withColumn(
+        "p_adjusted", tails.studentized_range_tail(F.col("q_statistic"), F.col("k"), F.col("df"))
+    )
+    reach = F.col("critical") * F.col("error")
+    return table.select(
+        F.col("a.method").alias("group1"),
+        F.col("b.method").alias("group2"),
+        F.col("difference").alias("mean_difference"),
+        "q_statistic",
+        "p_adjusted",
+        (F.col("difference") - reach).alias("lower"),
+        (F.col("difference") + reach).alias("upper"),
+        (F.col("p_adjusted") < alpha).alias("reject"),
     )
-    return values.sparkSession.createDataFrame(rows, schema)
 
 
 def incrementality(
@@ -180,14 +162,8 @@ def incrementality_test(
 ) -> DataFrame:
     """X4-X6 with the equal-variance t-test's p-value."""
     table = incrementality(touches, channels, holdout_pct, seed)
-    tested = _with_tail(
-        table.withColumn("df", F.col("control_n") + F.col("treatment_n") - 2),
-        "p_value",
-        dist.t_two_sided,
-        "t_statistic",
-        "df",
-    )
-    return tested.drop("df").withColumn("significant", F.col("p_value") < alpha)
+    p = tails.t_two_sided(F.col("t_statistic"), F.col("control_n") + F.col("treatment_n") - 2)
+    return table.withColumn("p_value", p).withColumn("significant", F.col("p_value") < alpha)
 
 
 def _power_constant(alpha: float, power: float) -> float:
@@ -262,28 +238,74 @@ def poisson_thresholds(terms: int = 12) -> list[int]:
     return out
 
 
+# Values are resampled in whole millionths.
+UNITS = 1_000_000
+
+
 def bootstrap_means(
     attributed: DataFrame,
     value: str = "shapley_attribution",
     replicates: int = 1000,
-    blocks: int = 1000,
     seed: int = 42,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Bootstrap mean per channel with percentile interval and standard error.
 
-    Touches fall at random (by hash) into ``blocks`` groups per channel, reduced to a
-    count and a sum in one pass. Each replicate weights the groups with Poisson(1)
-    draws, kept as one byte per (block, replicate): a table whose size the parameters
-    fix. The work after the pass is channels x blocks x replicates whatever the data size.
+    Every touch is resampled with a Poisson(1) weight of its own. Touches of one channel
+    with the same value (to the millionth) are one row with their number n, and their
+    weights add up to a Poisson(n) draw, so the work is bounded by distinct values, not
+    touches. ``blocks`` asks for the coarser bootstrap of that many random groups of
+    touches per channel, whose work does not grow with the data.
+    """
+    rows = attributed.filter(F.col(value).isNotNull())
+    means = _touch_replicates(rows, value, replicates, seed) if blocks is None else _block_replicates(rows, value, replicates, blocks, seed)
+    resampled = F.when(F.col("draw") > 0, F.col("mean"))
+    return (
+        means.groupBy("channel")
+        .agg(
+            F.max(F.when(F.col("draw") == 0, F.col("mean"))).alias("mean_attribution"),
+            F.percentile(resampled, F.lit(0.025)).alias("ci_lower"),
+            F.percentile(resampled, F.lit(0.975)).alias("ci_upper"),
+            F.stddev_samp(resampled).alias("std_error"),
+        )
+        .orderBy(F.desc("mean_attribution"), "channel")
+    )
+
+
+def _touch_replicates(rows: DataFrame, value: str, replicates: int, seed: int) -> DataFrame:
+    """(channel, draw, mean); draw 0 is the observed mean.
+
+    One md5 gives the bits of four replicates.
     """
-    spark = attributed.sparkSession
+    spark = rows.sparkSession
+    units = F.round(F.col(value) * UNITS).cast("long")
+    counts = rows.groupBy("channel", units.alias("units")).agg(F.count(F.lit(1)).alias("n"))
+    parts = counts.repartition(4 * spark.sparkContext.defaultParallelism, "channel", "units").select(
+        "channel", "units", F.inline(poisson.rate_parts(F.col("n")))
+    )
+    quads = parts.withColumn("quad", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1))))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ("channel", "units", "level", "piece", "quad")]))
+    words = F.array(*[F.conv(F.substring("digest", 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)])
+    drawn = quads.withColumn("digest", digest).select("channel", "units", "level", "quad", F.posexplode(words).alias("place", "bits"))
+    drawn = drawn.withColumn("draw", F.col("quad") * 4 + F.col("place") + 1).filter(F.col("draw") <= replicates)
+    cells = poisson.poisson_cells(spark).withColumnRenamed("cell", "of_cell").withColumnRenamed("level", "of_level")
+    hit = (F.col("level") == F.col("of_level")) & (poisson.cell_of(F.col("bits")) == F.col("of_cell"))
+    weighed = drawn.join(F.broadcast(cells), hit).withColumn("w", poisson.count_at(F.col("bits")))
+    mean = ratio(F.sum(F.col("w") * F.col("units").cast("double")) / UNITS, F.sum("w"))
+    seen = counts.groupBy("channel").agg(ratio(F.sum(F.col("n") * F.col("units").cast("double")) / UNITS, F.sum("n")).alias("mean"))
+    resampled = weighed.groupBy("channel", "draw").agg(mean.alias("mean"))
+    return resampled.unionByName(seen.withColumn("draw", F.lit(0)))
+
+
+def _block_replicates(rows: DataFrame, value: str, replicates: int, blocks: int, seed: int) -> DataFrame:
+    """(channel, draw, mean) from Poisson(1) weights of random groups of touches.
+
+    The weights are one byte per (block, replicate): a table whose size the parameters fix.
+    """
+    spark = rows.sparkSession
     tasks = spark.sparkContext.defaultParallelism
     block = F.pmod(hash_int(F.col("customer_id"), F.col("touchpoint_number")), F.lit(blocks)).cast("int")
-    sums = (
-        attributed.filter(F.col(value).isNotNull())
-        .groupBy("channel", block.alias("block"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
-    )
+    sums = rows.groupBy("channel", block.alias("block")).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
     # draw 0 gives every group weight 1: the observed mean comes out of the same pass
     drawn = F.transform(
         F.sequence(F.lit(-1), F.lit(replicates - 1)), lambda r: hash_int(F.lit(seed), F.col("block"), r)
@@ -298,7 +320,7 @@ def bootstrap_means(
         .agg(F.array_sort(F.collect_list(F.struct("draw", passed.cast("tinyint").alias("w")))).alias("draws"))
         .select("block", F.col("draws.w").alias("draws"))
     )
-    means = (
+    return (
         sums.repartition(tasks, "channel", "block")
         .join(F.broadcast(weights), "block")
         .select("channel", "n", "s", F.posexplode("draws").alias("draw", "w"))
@@ -306,17 +328,6 @@ def bootstrap_means(
         .groupBy("channel", "draw")
         .agg(ratio(F.sum(F.col("w") * F.col("s")), F.sum(F.col("w") * F.col("n"))).alias("mean"))
     )
-    resampled = F.when(F.col("draw") > 0, F.col("mean"))
-    return (
-        means.groupBy("channel")
-        .agg(
-            F.max(F.when(F.col("draw") == 0, F.col("mean"))).alias("mean_attribution"),
-            F.percentile(resampled, F.lit(0.025)).alias("ci_lower"),
-            F.percentile(resampled, F.lit(0.975)).alias("ci_upper"),
-            F.stddev_samp(resampled).alias("std_error"),
-        )
-        .orderBy(F.desc("mean_attribution"), "channel")
-    )
 
 
 def revenue_intervals(touches: DataFrame, z: float = 1.96) -> DataFrame:

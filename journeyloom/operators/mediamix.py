@@ -7,7 +7,7 @@ ridge fit, works on a table with one row per day.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from journeyloom.functions.dimensions import channels_of
 from journeyloom.functions.numeric import hash_int, ratio, ratio_or_zero, total
@@ -29,22 +29,16 @@ def daily_channel(touches: DataFrame) -> DataFrame:
 
 
 def daily_wide(daily: DataFrame, channels: list[str]) -> DataFrame:
-    """R2: one row per day, spend and revenue columns per channel, 0 where absent."""
-    wide = (
-        daily.groupBy("date")
-        .pivot("channel", channels)
-        .agg(F.sum("spend").alias("spend"), F.sum("revenue").alias("revenue"))
-        .na.fill(0.0)
-    )
-    named = wide.select(
-        "date",
-        *[F.col(f"`{c}_spend`").alias(f"spend_{c}") for c in channels],
-        *[F.col(f"`{c}_revenue`").alias(f"revenue_{c}") for c in channels],
-    )
-    revenue = F.lit(0.0)
-    for c in channels:
-        revenue = revenue + F.col(f"`revenue_{c}`")
-    return named.withColumn("total_revenue", revenue)
+    """R2: one row per day, spend and revenue columns per channel, 0 where absent.
+
+    ``total_revenue`` is that of all channels, named here or not.
+    """
+
+    def of(channel: str, value: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("channel") == channel, F.col(value))), F.lit(0.0)).alias(f"{value}_{channel}")
+
+    cells = [of(c, value) for value in ("spend", "revenue") for c in channels]
+    return daily.groupBy("date").agg(*cells, F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("total_revenue"))
 
 
 def daily_grid(daily: DataFrame, channels: list[str]) -> DataFrame:
@@ -119,23 +113,34 @@ def fold_sums(grid: DataFrame, channels: list[str], seed: int = 42, folds: int =
     return rows.groupBy("fold").agg(*products)
 
 
-def _ridge(sums: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
-    """Coefficients and intercept from a product matrix of (1, x, y).
+class _Ridge:
+    """Ridge fits for any penalty from one product matrix of (1, x, y): one eigen-decomposition for all of them.
 
     Predictors and response are scaled to unit deviation, and the penalty by that of the
     response; constant predictors get 0.
     """
-    mean = sums[0] / sums[0, 0]
-    covariance = sums / sums[0, 0] - np.outer(mean, mean)
-    deviation = np.sqrt(np.maximum(np.diag(covariance), 0.0))
-    weights = np.zeros(len(sums) - 2)
-    used = np.flatnonzero(deviation[1:-1] > 1e-12) + 1
-    if len(used) and deviation[-1] > 1e-12:
-        inner = covariance[np.ix_(used, used)] / np.outer(deviation[used], deviation[used])
-        outer = covariance[used, -1] / (deviation[used] * deviation[-1])
-        solved = np.linalg.solve(inner + penalty / deviation[-1] * np.eye(len(used)), outer)
-        weights[used - 1] = solved * deviation[-1] / deviation[used]
-    return weights, float(mean[-1] - weights @ mean[1:-1])
+
+    def __init__(self, sums: np.ndarray):
+        self.mean = sums[0] / sums[0, 0]
+        covariance = sums / sums[0, 0] - np.outer(self.mean, self.mean)
+        self.deviation = np.sqrt(np.maximum(np.diag(covariance), 0.0))
+        self.size = len(sums) - 2
+        self.used = np.flatnonzero(self.deviation[1:-1] > 1e-12) + 1
+        if self.deviation[-1] <= 1e-12:
+            self.used = self.used[:0]
+        scale = self.deviation[self.used]
+        inner = covariance[np.ix_(self.used, self.used)] / np.outer(scale, scale)
+        outer = covariance[self.used, -1] / (scale * self.deviation[-1]) if len(self.used) else np.zeros(0)
+        self.values, self.vectors = np.linalg.eigh(inner)
+        self.turned = self.vectors.T @ outer
+
+    def fit(self, penalty: float) -> tuple[np.ndarray, float]:
+        """Coefficients and intercept."""
+        weights = np.zeros(self.size)
+        if len(self.used):
+            solved = self.vectors @ (self.turned / (self.values + penalty / self.deviation[-1]))
+            weights[self.used - 1] = solved * self.deviation[-1] / self.deviation[self.used]
+        return weights, float(self.mean[-1] - weights @ self.mean[1:-1])
 
 
 def _mean_error(sums: np.ndarray, weights: np.ndarray, intercept: float) -> float:
@@ -144,11 +149,13 @@ def _mean_error(sums: np.ndarray, weights: np.ndarray, intercept: float) -> floa
     return float(np.sqrt(max(v @ sums @ v, 0.0) / sums[0, 0]))
 
 
-def ridge_coefficients(grid: DataFrame, channels: list[str], seed: int = 42, folds: int = 5) -> DataFrame:
-    """Ridge fit of daily revenue on saturated spend; penalty by cross-validation.
+def ridge_path(
+    grid: DataFrame, channels: list[str], seed: int = 42, folds: int = 5, penalties: list[float] = LAMBDAS
+) -> DataFrame:
+    """Coefficients for every penalty, its cross-validated error and whether it is chosen.
 
-    The folds' sums of products, a few rows whose size the channels fix, are all that the
-    fits need. Returns the non-zero coefficients, largest magnitude first.
+    (penalty, cv_error, chosen, channel, coefficient, intercept). The folds' sums of products, a few rows whose size the
+    channels fix, are all that the fits need; each union of folds is decomposed once for all penalties.
     """
     size = len(channels) + 2
     parts = []
@@ -156,18 +163,51 @@ def ridge_coefficients(grid: DataFrame, channels: list[str], seed: int = 42, fol
         upper = np.zeros((size, size))
         upper[np.triu_indices(size)] = [float(v) for v in row]
         parts.append(upper + np.triu(upper, 1).T)
+    schema = "penalty double, cv_error double, chosen boolean, channel string, coefficient double, intercept double"
     if not parts:
-        return grid.sparkSession.createDataFrame([], "channel string, coefficient double")
+        return grid.sparkSession.createDataFrame([], schema)
     everything = sum(parts)
+    held = [(p, _Ridge(everything - p)) for p in parts if everything[0, 0] > p[0, 0]]
+    errors = {x: sum(_mean_error(p, *fit.fit(x)) for p, fit in held) / max(1, len(held)) for x in penalties}
+    best, whole = min(penalties, key=errors.get), _Ridge(everything)
+    rows = []
+    for penalty in penalties:
+        weights, intercept = whole.fit(penalty)
+        rows += [(float(penalty), errors[penalty], penalty == best, c, float(w), intercept) for c, w in zip(channels, weights, strict=True)]
+    return grid.sparkSession.createDataFrame(rows, schema)
 
-    def error(penalty: float) -> float:
-        held = [_mean_error(p, *_ridge(everything - p, penalty)) for p in parts if everything[0, 0] > p[0, 0]]
-        return sum(held) / max(1, len(held))
 
-    weights, _ = _ridge(everything, min(LAMBDAS, key=error))
-    rows = [(c, float(w)) for c, w in zip(channels, weights, strict=True) if w != 0.0]
-    return grid.sparkSession.createDataFrame(rows, "channel string, coefficient double").orderBy(
-        F.desc(F.abs("coefficient")), "channel"
+def ridge_coefficients(grid: DataFrame, channels: list[str], seed: int = 42, folds: int = 5) -> DataFrame:
+    """Ridge fit of daily revenue on saturated spend; penalty by cross-validation.
+
+    Returns the non-zero coefficients, largest magnitude first.
+    """
+    chosen = ridge_path(grid, channels, seed, folds).filter(F.col("chosen") & (F.col("coefficient") != 0))
+    return chosen.select("channel", "coefficient").orderBy(F.desc(F.abs("coefficient")), "channel")
+
+
+def ridge_equations(grid: DataFrame, path: DataFrame) -> DataFrame:
+    """R5 checked on the days themselves: per penalty and channel, ``product`` and ``shrinkage``.
+
+    A fit b solves its normal equations: on predictors and response in units of their deviations, the mean product of a
+    predictor with what the fit leaves (``product``) is the penalty, in units of the response, times b (``shrinkage``).
+    """
+    by_channel, everywhere = Window.partitionBy("channel"), Window.partitionBy(F.lit(0))
+    days = grid.groupBy("date").agg(F.max("total_revenue").alias("y"))
+    days = days.select("date", "y", F.avg("y").over(everywhere).alias("mean_y"), F.stddev_pop("y").over(everywhere).alias("dev_y"))
+    units = grid.select(
+        "date",
+        "channel",
+        F.coalesce(ratio(F.col("saturated") - F.avg("saturated").over(by_channel), F.stddev_pop("saturated").over(by_channel)), F.lit(0.0)).alias("z"),
+        F.stddev_pop("saturated").over(by_channel).alias("dev"),
+    )
+    fitted = units.join(F.broadcast(path), "channel").join(days, "date")
+    scaled = fitted.withColumn("b", F.coalesce(ratio(F.col("coefficient") * F.col("dev"), F.col("dev_y")), F.lit(0.0)))
+    left = ratio(F.col("y") - F.col("mean_y"), F.col("dev_y")) - F.sum(F.col("z") * F.col("b")).over(Window.partitionBy("penalty", "date"))
+    return (
+        scaled.withColumn("left", left)
+        .groupBy("penalty", "channel")
+        .agg(F.avg(F.col("z") * F.col("left")).alias("product"), (F.first("penalty") / F.first("dev_y") * F.first("b")).alias("shrinkage"))
     )
 
 

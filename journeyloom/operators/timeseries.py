@@ -6,8 +6,9 @@ it run over one row per date or week.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from journeyloom.functions.least_squares import product_sums, swept
 from journeyloom.functions.numeric import ratio
 from journeyloom.operators.metrics import daily_metrics
 
@@ -146,6 +147,95 @@ def ar1_holdout_mae(series: DataFrame, group: str, order: str, value: str, train
     )
 
 
+def ar_fits(series: DataFrame, group: str, order: str, value: str, max_order: int = 5) -> DataFrame:
+    """An autoregression per series whose order, 0 to ``max_order``, has the least AIC.
+
+    Autocovariances of all lags come from one pass. The Levinson-Durbin recursion is a fold over the lags that gives the
+    coefficients of every order from those of the one before, with n ln(variance) + 2 (order + 1) as its AIC. Returns
+    group, points, mean, order, phi (coefficients, first lag first), variance and recent (last values, newest first).
+    """
+    steps = Window.partitionBy(group).orderBy(order)
+    centred = series.select(group, F.row_number().over(steps).alias("t"), F.col(value).cast("double").alias("y")).withColumn(
+        "m", F.avg("y").over(Window.partitionBy(group))
+    )
+    centred = centred.withColumn("d", F.col("y") - F.col("m"))
+    by_time = Window.partitionBy(group).orderBy("t")
+    lags = centred.select("*", *[F.lag("d", k).over(by_time).alias(f"d{k}") for k in range(1, max_order + 1)])
+    points = F.count("y")
+    # missing days of a series have no row here, so every lag is one row back
+    covariance = [F.coalesce(F.sum(F.col("d") * F.col(f"d{k}" if k else "d")), F.lit(0.0)) / points for k in range(max_order + 1)]
+    newest = F.transform(F.sort_array(F.collect_list(F.when(F.col("t") > F.col("n") - max_order, F.struct("t", "y"))), asc=False), lambda s: s["y"])
+    sums = (
+        lags.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(group)))
+        .groupBy(group)
+        .agg(points.alias("points"), F.avg("y").alias("mean"), F.array(*covariance).alias("c"), newest.alias("recent"))
+    )
+    best = F.array_min("found")
+    return sums.withColumn("found", _levinson(max_order)).select(
+        group, "points", "mean", best["order"].alias("order"), best["phi"].alias("phi"), best["v"].alias("variance"), "recent"
+    )
+
+
+def _levinson(max_order: int) -> Column:
+    """(aic, order, phi, v) of every order that the series is long enough for, from its autocovariances ``c``."""
+
+    def fit(order: Column, phi: Column, v: Column) -> Column:
+        aic = F.when(v > 0, F.col("points") * F.log(v) + 2 * (order + 1)).otherwise(F.lit(float("-inf")))
+        return F.struct(aic.alias("aic"), order.cast("int").alias("order"), phi.alias("phi"), v.alias("v"))
+
+    def longer(found: Column, k: Column) -> Column:
+        last = F.element_at(found, -1)
+        c = F.col("c")
+        ahead = F.aggregate(F.sequence(F.lit(1), k), F.lit(0.0), lambda s, j: s + F.when(j < k, F.get(last["phi"], j - 1) * c[F.greatest(k - j, F.lit(0))]).otherwise(0.0))
+        # one element each, so that the reflection is computed once
+        added = F.transform(F.array((c[k] - ahead) / last["v"]), lambda r: fit(k, _reflected(last["phi"], r), last["v"] * (1 - r * r)))
+        enough = (last["v"] > 1e-12 * c[0]) & (k < F.col("points") - 1)
+        return F.when(enough, F.concat(found, added)).otherwise(found)
+
+    start = F.array(fit(F.lit(0), F.array().cast("array<double>"), F.col("c")[0]))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max_order)), start, longer)
+
+
+def _reflected(phi: Column, r: Column) -> Column:
+    """Coefficients of the next order from the reflection ``r``."""
+    turned = F.transform(phi, lambda x, j: x - r * phi[F.size(phi) - 1 - j])
+    return F.concat(turned, F.array(r))
+
+
+def ar_forecast(series: DataFrame, group: str, order: str, value: str, steps: int, max_order: int = 5) -> DataFrame:
+    """Group, order, step and forecast of the next ``steps`` values, each from the values and forecasts before it."""
+
+    def following(path: Column, _: Column) -> Column:
+        gaps = F.transform("phi", lambda x, j: x * (path[j] - F.col("mean")))
+        return F.concat(F.array(F.col("mean") + F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x)), path)
+
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("recent"), following)
+    newest_last = F.reverse(F.slice(path, F.lit(1), F.lit(steps)))
+    fits = ar_fits(series, group, order, value, max_order)
+    return fits.select(group, "order", F.posexplode(newest_last).alias("at", "forecast")).select(
+        group, "order", (F.col("at") + 1).alias("step"), "forecast"
+    )
+
+
+def augmented_dickey_fuller(series: DataFrame, group: str, order: str, value: str, lags: int = 1) -> DataFrame:
+    """T statistic of the level in the regression of the change on it, a constant and ``lags`` earlier changes.
+
+    The normal equations of every series come from one pass of cross moments.
+    """
+    by_time = Window.partitionBy(group).orderBy(order)
+    level = F.col(value) - F.avg(value).over(Window.partitionBy(group))
+    moved = series.select(group, order, level.alias("y")).withColumn("y1", F.lag("y").over(by_time))
+    moved = moved.withColumn("dy", F.col("y") - F.col("y1"))
+    earlier = [f"dy{k}" for k in range(1, lags + 1)]
+    rows = moved.select(group, F.lit(1.0).alias("one"), "y1", "dy", *[F.lag("dy", k).over(by_time).alias(c) for k, c in enumerate(earlier, 1)])
+    terms = ["y1", "one", *earlier, "dy"]
+    size = len(terms)
+    solved = product_sums(rows, group, terms).withColumn("s", swept(F.col("products"), size, size - 1))
+    gamma, spread, residual = F.col("s")[size - 1], F.col("s")[0], F.col("s")[size * size - 1]
+    error = F.sqrt(ratio(residual, F.col("n") - (size - 1)) * spread)
+    return solved.select(group, F.col("n").alias("rows"), gamma.alias("gamma"), ratio(gamma, error).alias("df_statistic"))
+
+
 def dickey_fuller(series: DataFrame, group: str, order: str, value: str) -> DataFrame:
     """T statistic of the level in the regression of the change on it, no lags."""
     pairs = _lagged(series, group, order, value).withColumn("dy", F.col("y") - F.col("y_before"))

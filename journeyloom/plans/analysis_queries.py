@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from datetime import date
 
+from pyspark.sql import Window, functions as F, types as T
+
+from journeyloom.functions.numeric import side_by_side
 from journeyloom.operators import (
     budget as B,
     compare as C,
@@ -15,11 +18,13 @@ from journeyloom.operators import (
     timeseries as D,
 )
 from journeyloom.plans import jobs
+from journeyloom.plans.journey_queries import CONVERSION_KEYS, PATH_KEYS
 from journeyloom.plans.reference_sql import with_credit, with_ga_touches, with_touches
+from journeyloom.plans.tail_sql import beta_tail, range_critical, range_tail
 from journeyloom.schema import CHANNELS
 from journeyloom.session import fresh_path
 from journeyloom.sources.sinks import write_csv, write_json_summary, write_parquet
-from journeyloom.sources.touchpoints import read_touchpoints
+from journeyloom.sources.touchpoints import read_touchpoints, reject_counts, rejected_touches
 
 _KEY = "customer_id:i, touchpoint_number:i"
 _TOUCH_COLUMNS = (
@@ -42,14 +47,20 @@ def _long(methods: list[str], source: str) -> str:
     return " UNION ALL ".join(f"SELECT '{m}' AS method, {m} AS value FROM {source}" for m in methods)
 
 
-_ANOVA = """
+_INTERVALS = """
+    SELECT channel, avg(revenue) AS mean,
+           avg(revenue) - 1.96 * stddev_pop(revenue) / sqrt(count(*)) AS ci_lower,
+           avg(revenue) + 1.96 * stddev_pop(revenue) / sqrt(count(*)) AS ci_upper
+    FROM tp GROUP BY channel"""
+_ANOVA_TABLE = """
     , mom AS (SELECT method, count(*) AS n, avg(value) AS m, coalesce(var_samp(value), 0) AS v
               FROM vals GROUP BY method),
     grand AS (SELECT sum(n * m) / sum(n) AS g, count(*) AS k, sum(n) AS total FROM mom),
     sq AS (SELECT sum(n * (m - g) * (m - g)) AS between_, sum((n - 1) * v) AS within_,
-                  any_value(k) AS k, any_value(total) AS total FROM mom, grand)
-    SELECT k - 1 AS df_between, total - k AS df_within,
-           (between_ / (k - 1)) / (within_ / (total - k)) AS f_statistic FROM sq"""
+                  any_value(k) AS k, any_value(total) AS total FROM mom, grand),
+    tested AS (SELECT k - 1 AS df_between, total - k AS df_within,
+                      (between_ / (k - 1)) / (within_ / (total - k)) AS f_statistic FROM sq)"""
+_ANOVA = _ANOVA_TABLE + " SELECT * FROM tested"
 
 
 def _statistics(register) -> None:
@@ -79,6 +90,14 @@ def _statistics(register) -> None:
         "x1_anova_p_value",
         "f_statistic:6, p_value:8, significant_difference:i",
         lambda t: X.anova(X.customer_method_values(t.attributed)),
+        with_credit(
+            per_customer
+            + _ANOVA_TABLE
+            + ", p AS ("
+            + beta_tail("tested", "df_within / (df_within + df_between * f_statistic)", "df_within / 2", "df_between / 2", "f_statistic")
+            + """)
+            SELECT f_statistic, tail AS p_value, tail < 0.05 AS significant_difference FROM p"""
+        ),
     )
     register(
         "x2_anova_converted_touches",
@@ -86,12 +105,15 @@ def _statistics(register) -> None:
         lambda t: X.anova_table(X.group_moments(X.converted_touch_values(t.attributed))),
         with_credit(per_touch + _ANOVA),
     )
-    pairs = """
+    pair_table = """
         , mom AS (SELECT method, count(*) AS n, avg(value) AS m, var_samp(value) AS v FROM vals GROUP BY method),
-        err AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM mom)
-        SELECT a.method AS group1, b.method AS group2, b.m - a.m AS mean_difference,
-               abs(b.m - a.m) / sqrt(mse / 2 * (1.0 / a.n + 1.0 / b.n)) AS q_statistic
-        FROM mom a JOIN mom b ON a.method < b.method, err"""
+        err AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM mom),
+        pairs AS (
+          SELECT a.method AS group1, b.method AS group2, b.m - a.m AS mean_difference,
+                 sqrt(mse / 2 * (1.0 / a.n + 1.0 / b.n)) AS error, abs(b.m - a.m) / error AS q_statistic
+          FROM mom a JOIN mom b ON a.method < b.method, err
+        )"""
+    pairs = pair_table + " SELECT * FROM pairs"
     tukey = "group1, group2, mean_difference:6, q_statistic:6"
     register(
         "x3_tukey_pairs_customers",
@@ -107,16 +129,24 @@ def _statistics(register) -> None:
     )
     register(
         "x3_tukey_p_values",
-        f"{tukey}, p_adjusted:6, lower:6, upper:6, reject:i",
+        f"{tukey}, p_adjusted:6, lower:5, upper:5, reject:i",
         lambda t: X.tukey_hsd(X.converted_touch_values(t.attributed)),
+        with_credit(
+            per_touch
+            + pair_table
+            + f"""
+            , degrees AS (SELECT count(*) AS k, CAST(sum(n) - count(*) AS DOUBLE) AS n FROM mom),
+            {range_critical(0.05)},
+            asked AS (SELECT pairs.*, q_statistic AS q, k, n FROM pairs, degrees),
+            p AS ({range_tail("asked", "group1, group2, mean_difference, q_statistic, error")})
+            SELECT group1, group2, mean_difference, q_statistic, tail AS p_adjusted, mean_difference - value * error AS lower,
+                   mean_difference + value * error AS upper, tail < 0.05 AS reject
+            FROM p, critical"""
+        ),
     )
-    tested = ["email", "paid_search", "social_media"]
-    register(
-        "x4_channel_incrementality",
-        "channel, control_rate:6, treatment_rate:6, lift:6, t_statistic:6, cohens_d:6, control_n:i, treatment_n:i",
-        lambda t: X.incrementality(t.touches, tested),
-        with_touches(
-            """
+    tested = CHANNELS
+    labels = ", ".join(f"('{c}')" for c in CHANNELS)
+    arms = f"""
             , arms AS (
               SELECT *, CAST('0x' || substr(md5('42|' || customer_id), 1, 8) AS BIGINT) % 100 < 20 AS held FROM tp
             ),
@@ -124,21 +154,34 @@ def _statistics(register) -> None:
             ts AS (SELECT count(*) AS n, avg(y) AS m, var_samp(y) AS v FROM treat),
             ctl AS (
               SELECT c AS channel, customer_id, max(converted) AS y
-              FROM arms, (VALUES ('email'), ('paid_search'), ('social_media')) w(c)
+              FROM arms, (VALUES {labels}) w(c)
               WHERE held AND channel <> c GROUP BY c, customer_id
             ),
-            cs AS (SELECT channel, count(*) AS n, avg(y) AS m, var_samp(y) AS v FROM ctl GROUP BY channel)
-            SELECT channel, cs.m AS control_rate, ts.m AS treatment_rate, (ts.m - cs.m) / cs.m AS lift,
-                   (cs.m - ts.m) / sqrt(((cs.n - 1) * cs.v + (ts.n - 1) * ts.v) / (cs.n + ts.n - 2)
-                                        * (1.0 / cs.n + 1.0 / ts.n)) AS t_statistic,
-                   (ts.m - cs.m) / sqrt((cs.v + ts.v) / 2) AS cohens_d, cs.n AS control_n, ts.n AS treatment_n
-            FROM cs, ts"""
-        ),
+            cs AS (SELECT channel, count(*) AS n, avg(y) AS m, var_samp(y) AS v FROM ctl GROUP BY channel),
+            effect AS (
+              SELECT channel, cs.m AS control_rate, ts.m AS treatment_rate, (ts.m - cs.m) / cs.m AS lift,
+                     (cs.m - ts.m) / sqrt(((cs.n - 1) * cs.v + (ts.n - 1) * ts.v) / (cs.n + ts.n - 2)
+                                          * (1.0 / cs.n + 1.0 / ts.n)) AS t_statistic,
+                     (ts.m - cs.m) / sqrt((cs.v + ts.v) / 2) AS cohens_d, cs.n AS control_n, ts.n AS treatment_n,
+                     CAST(cs.n + ts.n - 2 AS DOUBLE) AS df
+              FROM cs, ts
+            )"""
+    register(
+        "x4_channel_incrementality",
+        "channel, control_rate:6, treatment_rate:6, lift:6, t_statistic:6, cohens_d:6, control_n:i, treatment_n:i",
+        lambda t: X.incrementality(t.unnumbered, tested),
+        with_touches(arms + " SELECT * FROM effect"),
     )
     register(
         "x5_incrementality_p_values",
         "channel, t_statistic:6, p_value:6, significant:i",
-        lambda t: X.incrementality_test(t.touches, tested),
+        lambda t: X.incrementality_test(t.unnumbered, tested),
+        with_touches(
+            arms
+            + ", p AS ("
+            + beta_tail("effect", "df / (df + t_statistic * t_statistic)", "df / 2", "0.5", "channel, t_statistic")
+            + ") SELECT channel, t_statistic, tail AS p_value, tail < 0.05 AS significant FROM p"
+        ),
     )
     register(
         "x7_method_effect_size",
@@ -183,6 +226,55 @@ def _statistics(register) -> None:
         "x9_bootstrap_means",
         "channel, mean_attribution:6, ci_lower:6, ci_upper:6, std_error:6",
         lambda t: X.bootstrap_means(t.attributed),
+        with_credit(
+            """
+            , counts AS (
+              SELECT channel, CAST(round(shapley_attribution * 1000000) AS BIGINT) AS units, count(*) AS n FROM att GROUP BY 1, 2
+            ),
+            parts AS (
+              SELECT channel, units, level, 0 AS piece FROM counts, range(16) l(level) WHERE (n >> level) & 1 = 1
+              UNION ALL SELECT channel, units, 16, unnest(range(1, n // 65536 + 1)) FROM counts
+            ),
+            words AS (
+              SELECT channel, units, level, quad,
+                     md5(concat_ws('|', '42', channel, units, level, piece, quad)) AS d
+              FROM parts, range(250) q(quad)
+            ),
+            draws AS (
+              SELECT channel, units, level, quad * 4 + place + 1 AS draw,
+                     CAST('0x' || substr(d, CAST(1 + 8 * place AS INTEGER), 8) AS BIGINT) AS bits
+              FROM words, range(4) w(place)
+            ),
+            rate AS (SELECT level, CAST(1 << level AS DOUBLE) AS r FROM (SELECT CAST(unnest(range(17)) AS INTEGER) AS level)),
+            span AS (
+              SELECT level, r, CAST(greatest(0, floor(r - 9 * sqrt(r) - 12)) AS BIGINT) AS low,
+                     CAST(ceil(r + 9 * sqrt(r) + 12) AS BIGINT) AS high FROM rate
+            ),
+            chance AS (
+              SELECT level, j, exp(j * ln(r) - r - lgamma(j + 1)) AS p FROM (SELECT level, r, unnest(range(low, high)) AS j FROM span)
+            ),
+            step AS (
+              SELECT level, j + 1 AS w, CAST(floor(sum(p) OVER (PARTITION BY level ORDER BY j) * 4294967296.0) AS BIGINT) AS t FROM chance
+              UNION ALL SELECT level, low, -1 FROM span
+            ),
+            bounds AS (SELECT level, t, max(w) AS w FROM step GROUP BY level, t),
+            weighed AS (
+              SELECT channel, units, draw, w FROM draws ASOF JOIN bounds ON draws.level = bounds.level AND draws.bits >= bounds.t
+            ),
+            means AS (
+              SELECT channel, draw, sum(CAST(w AS DOUBLE) * units) / 1000000 / nullif(sum(w), 0) AS mean
+              FROM weighed GROUP BY channel, draw
+            ),
+            seen AS (SELECT channel, sum(CAST(n AS DOUBLE) * units) / 1000000 / sum(n) AS mean_attribution FROM counts GROUP BY channel)
+            SELECT channel, any_value(mean_attribution) AS mean_attribution, quantile_cont(mean, 0.025) AS ci_lower,
+                   quantile_cont(mean, 0.975) AS ci_upper, stddev_samp(mean) AS std_error
+            FROM means JOIN seen USING (channel) GROUP BY channel"""
+        ),
+    )
+    register(
+        "x9_bootstrap_blocks",
+        "channel, mean_attribution:6, ci_lower:6, ci_upper:6, std_error:6",
+        lambda t: X.bootstrap_means(t.attributed, blocks=1000),
         with_credit(
             f"""
             , sums AS (
@@ -212,13 +304,7 @@ def _statistics(register) -> None:
         "x10_revenue_intervals",
         "channel, mean:6, ci_lower:6, ci_upper:6",
         lambda t: X.revenue_intervals(t.unnumbered),
-        with_touches(
-            """
-            SELECT channel, avg(revenue) AS mean,
-                   avg(revenue) - 1.96 * stddev_pop(revenue) / sqrt(count(*)) AS ci_lower,
-                   avg(revenue) + 1.96 * stddev_pop(revenue) / sqrt(count(*)) AS ci_upper
-            FROM tp GROUP BY channel"""
-        ),
+        with_touches(_INTERVALS),
     )
     register(
         "x11_validation_report",
@@ -226,6 +312,23 @@ def _statistics(register) -> None:
         "required_sample_size:i",
         lambda t: jobs.validation_report(t.attributed),
     )
+    effect = f"""
+        , m AS (
+          SELECT count(*) AS n, avg(shapley_attribution) AS a, avg(last_touch_attribution) AS b,
+                 var_samp(shapley_attribution) AS va, var_samp(last_touch_attribution) AS vb
+          FROM att WHERE converted = 1
+        ),
+        e AS (SELECT (a - b) / sqrt(((n - 1) * va + (n - 1) * vb) / (n + n - 2)) AS effect_size FROM m)
+        SELECT '2024-01-31' AS test_date, (SELECT count(DISTINCT customer_id) FROM att) AS n_customers,
+               (SELECT count(*) FROM att) AS n_touchpoints, effect_size,
+               ceil({2 * X._power_constant(0.05, 0.8)!r} / (effect_size * effect_size)) AS required_sample_size
+        FROM e"""
+    register(
+        "x11_report_sizes",
+        "test_date, n_customers:i, n_touchpoints:i, effect_size:6, required_sample_size:i",
+        lambda t: jobs.validation_report(t.attributed, on=date(2024, 1, 31)),
+        with_credit(effect),
+    )
 
 
 def _budget(register) -> None:
@@ -374,6 +477,24 @@ def _media_mix(register) -> None:
         with_touches(f"{_GRID} SELECT *, x / (x + 1) AS saturated FROM sat"),
     )
     register("r5_r6_ridge_coefficients", "channel, coefficient:4", lambda t: R.media_mix(t.unnumbered)[0])
+
+    def equations(t):
+        grid = R.transformed_grid(t.unnumbered, CHANNELS)
+        found = R.ridge_equations(grid, R.ridge_path(grid, CHANNELS))
+        return found.withColumn("gap", F.col("product") - F.col("shrinkage"))
+
+    penalties = ", ".join(f"({x})" for x in R.LAMBDAS)
+    register(
+        "r5_ridge_equations",
+        "penalty:4, channel, gap:8",
+        equations,
+        with_touches(f"SELECT penalty, channel, 0.0 AS gap FROM (VALUES {penalties}) v(penalty), (SELECT DISTINCT channel FROM tp)"),
+    )
+    register(
+        "r5_ridge_path",
+        "penalty:4, chosen:i, channel, coefficient:4, cv_error:4",
+        lambda t: R.ridge_path(R.transformed_grid(t.unnumbered, CHANNELS), CHANNELS),
+    )
     register(
         "r7_contributions",
         "channel, contribution:4, spend:4, roi:6, contribution_pct:4",
@@ -448,6 +569,76 @@ _FIT = """SELECT series, coalesce(regr_slope(y, z), 0) AS b, coalesce(regr_inter
 _AHEAD = "pow(b, {h}) * y_last + CASE WHEN b = 1 THEN a * {h} ELSE a * (1 - pow(b, {h})) / (1 - b) END"
 
 
+# Autoregressions of order 0 to 3 by the recursion written out, the one of least AIC, and its forecasts.
+_ORDERS = """
+    dev AS (
+      SELECT series, row_number() OVER (PARTITION BY series ORDER BY pos) AS t, value,
+             value - avg(value) OVER (PARTITION BY series) AS d, avg(value) OVER (PARTITION BY series) AS m,
+             count(*) OVER (PARTITION BY series) AS n FROM obs
+    ),
+    cov AS (
+      SELECT a.series, any_value(a.n) AS n, any_value(a.m) AS m,
+             coalesce(sum(a.d * b.d) FILTER (a.t = b.t), 0) / any_value(a.n) AS c0,
+             coalesce(sum(a.d * b.d) FILTER (a.t = b.t + 1), 0) / any_value(a.n) AS c1,
+             coalesce(sum(a.d * b.d) FILTER (a.t = b.t + 2), 0) / any_value(a.n) AS c2,
+             coalesce(sum(a.d * b.d) FILTER (a.t = b.t + 3), 0) / any_value(a.n) AS c3
+      FROM dev a JOIN dev b ON a.series = b.series AND a.t - b.t BETWEEN 0 AND 3 GROUP BY a.series
+    ),
+    one AS (SELECT *, c1 / c0 AS r1, c0 * (1 - pow(c1 / c0, 2)) AS v1 FROM cov),
+    two AS (SELECT *, (c2 - r1 * c1) / v1 AS r2 FROM one),
+    twov AS (SELECT *, r1 - r2 * r1 AS p21, v1 * (1 - r2 * r2) AS v2 FROM two),
+    three AS (SELECT *, (c3 - p21 * c2 - r2 * c1) / v2 AS r3 FROM twov),
+    threev AS (SELECT *, v2 * (1 - r3 * r3) AS v3 FROM three),
+    choice AS (
+      SELECT series, m, 0 AS k, n * ln(c0) + 2 AS aic, 0.0 AS f1, 0.0 AS f2, 0.0 AS f3 FROM threev
+      UNION ALL SELECT series, m, 1, n * ln(v1) + 4, r1, 0, 0 FROM threev WHERE n > 2
+      UNION ALL SELECT series, m, 2, n * ln(v2) + 6, p21, r2, 0 FROM threev WHERE n > 3
+      UNION ALL SELECT series, m, 3, n * ln(v3) + 8, p21 - r3 * r2, r2 - r3 * p21, r3 FROM threev WHERE n > 4
+    ),
+    fit AS (SELECT * FROM choice QUALIFY row_number() OVER (PARTITION BY series ORDER BY aic, k) = 1),
+    ends AS (
+      SELECT series, max(value) FILTER (t = n) AS y1, max(value) FILTER (t = n - 1) AS y2, max(value) FILTER (t = n - 2) AS y3
+      FROM dev GROUP BY series
+    ),
+    s0 AS (SELECT fit.*, 0 AS h, y1, coalesce(y2, 0) AS y2, coalesce(y3, 0) AS y3 FROM fit JOIN ends USING (series)),
+    path AS ({path})
+    SELECT series, k AS "order", h AS step, y1 AS forecast FROM path WHERE h > 0"""
+_STEP = "m + f1 * (y1 - m) + f2 * (y2 - m) + f3 * (y3 - m)"
+
+
+def _orders(steps: int) -> str:
+    """The forecasts one step after the other, as a chain of tables."""
+    parts = ["SELECT * FROM s0"]
+    for h in range(1, steps + 1):
+        source = parts[-1]
+        parts.append(f"SELECT series, m, k, aic, f1, f2, f3, {h} AS h, {_STEP} AS y1, y1 AS y2, y2 AS y3 FROM ({source})")
+    return _ORDERS.replace("{path}", " UNION ALL ".join(parts))
+
+
+def _partialled(lags: int) -> str:
+    """The unit-root regression with ``lags`` earlier changes, each taken out of all columns in turn."""
+    columns = ["dy", "y1", *[f"d{k}" for k in range(1, lags + 1)]]
+    moved = ", ".join(f"lag(dy, {k}) OVER w AS d{k}" for k in range(1, lags + 1))
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    body = f"""
+      SELECT series, {", ".join(columns)} FROM (
+        SELECT series, pos, y1, dy {"," + moved if moved else ""} FROM (
+          SELECT series, pos, lag(value) OVER w AS y1, value - lag(value) OVER w AS dy FROM obs
+          WINDOW w AS (PARTITION BY series ORDER BY pos)
+        ) WINDOW w AS (PARTITION BY series ORDER BY pos)
+      ) WHERE {whole}"""
+    for k in range(lags, 0, -1):
+        left = columns[: k + 1]
+        rest = ", ".join(f"{c} - regr_intercept({c}, d{k}) OVER g - d{k} * regr_slope({c}, d{k}) OVER g AS {c}" for c in left)
+        body = f"SELECT series, {rest} FROM ({body}) WINDOW g AS (PARTITION BY series)"
+    return f"""adf{lags} AS (
+      SELECT series, {lags} AS lags, n AS rows, sxy / sxx AS gamma,
+             (sxy / sxx) / sqrt((syy - sxy * sxy / sxx) / (n - {2 + lags}) / sxx) AS df_statistic
+      FROM (SELECT series, count(*) AS n, regr_sxx(dy, y1) AS sxx, regr_syy(dy, y1) AS syy, regr_sxy(dy, y1) AS sxy
+            FROM ({body}) GROUP BY series)
+    )"""
+
+
 def _time_series(register) -> None:
     daily = ", ".join(f"sum({c}) AS {c}" for c in D.SERIES)
     register(
@@ -561,6 +752,18 @@ def _time_series(register) -> None:
             f"SELECT series, h AS step, {ahead} AS forecast FROM fit, range(1, 5) r(h)"
         ),
     )
+    register(
+        "d5_daily_order_forecast",
+        "series, order:i, step:i, forecast:4",
+        lambda t: D.ar_forecast(daily_series(t), "series", "date", "value", 7, 3),
+        with_credit(by_day + "," + _orders(7)),
+    )
+    register(
+        "d5_weekly_order_forecast",
+        "series, order:i, step:i, forecast:6",
+        lambda t: D.ar_forecast(weekly_series(t), "series", "week", "conversion_rate", 4, 3),
+        with_touches(by_week + "," + _orders(4)),
+    )
     held = _AHEAD.format(h="(t - t_last)")
     register(
         "d5_holdout_error",
@@ -572,6 +775,16 @@ def _time_series(register) -> None:
             FROM lagged JOIN fit USING (series) WHERE t > floor(points * 0.8) GROUP BY series"""
         ),
     )
+    def with_lags(t):
+        parts = [D.augmented_dickey_fuller(daily_series(t), "series", "date", "value", p).withColumn("lags", F.lit(p)) for p in range(3)]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    register(
+        "d6_lagged_stationarity",
+        "series, lags:i, rows:i, gamma:6, df_statistic:5",
+        with_lags,
+        with_credit(by_day + ", " + ", ".join(_partialled(p) for p in range(3)) + " " + " UNION ALL ".join(f"SELECT * FROM adf{p}" for p in range(3))),
+    )
     register(
         "d6_stationarity",
         "series, pairs:i, gamma:6, df_statistic:6",
@@ -689,6 +902,45 @@ def _models(register) -> None:
         lambda t: L.logit_features(t.unnumbered),
         with_touches(flags),
     )
+    register(
+        "l8_score_equations",
+        "term, observed:2, fitted:2",
+        lambda t: L.logit_score_equations(t.unnumbered),
+        with_touches(
+            f"""
+            , f AS ({flags}),
+            train AS (SELECT * FROM f WHERE CAST('0x' || substr(md5('42|' || customer_id), 1, 8) AS BIGINT) % 10000 >= 2000),
+            s AS (
+              SELECT '(Intercept)' AS term, sum(converted) AS observed FROM train
+              {" ".join(f"UNION ALL SELECT '{x}', sum(converted * {x}) FROM train" for x in L.LOGIT_INPUTS)}
+            )
+            SELECT term, observed, observed AS fitted FROM s"""
+        ),
+    )
+    both_terms = [("main", x) for x in L.MAIN_EFFECTS] + [("interactions", x) for x in [*L.MAIN_EFFECTS, *L.INTERACTIONS]]
+    register(
+        "l10_score_equations",
+        "model, term, observed:4, fitted:4",
+        lambda t: L.interaction_score_equations(t.unnumbered),
+        with_touches(
+            f"""
+            , j AS (
+              SELECT customer_id, max(converted) AS converted,
+                     max(CASE WHEN channel IN ('paid_search', 'organic_search') THEN 1 ELSE 0 END) AS has_search,
+                     max(CASE WHEN channel = 'social_media' THEN 1 ELSE 0 END) AS has_social,
+                     max(CASE WHEN channel = 'email' THEN 1 ELSE 0 END) AS has_email,
+                     max(CASE WHEN channel = 'display' THEN 1 ELSE 0 END) AS has_display
+              FROM tp GROUP BY customer_id
+            ),
+            k AS (SELECT *, has_search * has_social AS search_social, has_search * has_email AS search_email,
+                         has_social * has_email AS social_email FROM j),
+            s AS (
+              SELECT unnest(['main', 'interactions']) AS model, '(Intercept)' AS term, sum(converted) AS observed FROM k
+              {" ".join(f"UNION ALL SELECT '{m}', '{x}', sum(converted * {x}) FROM k" for m, x in both_terms)}
+            )
+            SELECT model, term, observed, observed AS fitted FROM s"""
+        ),
+    )
     register("l9_variance_inflation", "term, vif:6", lambda t: L.variance_inflation(t.unnumbered))
     register(
         "l10_interaction_counts",
@@ -725,12 +977,12 @@ def _models(register) -> None:
 def _sinks(register) -> None:
     def csv_round_trip(t):
         path = fresh_path(t.spark, "touchpoints_csv")
-        write_csv(t.unnumbered, path)
+        write_csv(t.touches, path)
         return read_touchpoints(t.spark, path, "csv").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
     def parquet_round_trip(t):
         path = fresh_path(t.spark, "touchpoints")
-        write_parquet(t.unnumbered, path)
+        write_parquet(t.touches, path)
         return read_touchpoints(t.spark, path, "parquet").withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
     def ga_csv(t):
@@ -752,12 +1004,92 @@ def _sinks(register) -> None:
     register("s1_s4_touchpoints_csv", _TOUCH_COLUMNS, csv_round_trip, with_touches(_TOUCH_SQL))
     register("s3_s8_touchpoints_parquet", _TOUCH_COLUMNS, parquet_round_trip, with_touches(_TOUCH_SQL))
 
+    def spoiled(t):
+        """A CSV folder in which one event in seven of fifty has a bad cell, a reserved channel or no customer."""
+        n = F.substring("session_id", 2, 20).cast("long") % 50
+        bad = {"cost": n.isin(0, 6), "timestamp": n == 1, "converted": n == 2, "pages_viewed": n == 5, "time_on_site": n == 6}
+        cells = {c: F.when(where, F.lit("n/a")).otherwise(F.col(c).cast("string")) for c, where in bad.items()}
+        cells |= {"customer_id": F.when(n != 3, F.col("customer_id")), "channel": F.when(n == 4, "start").otherwise(F.col("channel"))}
+        path = fresh_path(t.spark, "spoiled_csv")
+        write_csv(t.touches.withColumns(cells), path)
+        return path
+
+    event = "CAST(substr(session_id, 2) AS BIGINT) % 50"
+    reasons = f"""
+        SELECT session_id, CASE {event} WHEN 0 THEN ['cost: not a double'] WHEN 1 THEN ['timestamp: not a timestamp']
+                                        WHEN 2 THEN ['converted: not a flag'] WHEN 3 THEN ['customer_id: missing']
+                                        WHEN 4 THEN ['channel: reserved name'] WHEN 5 THEN ['pages_viewed: not a int']
+                                        ELSE ['cost: not a double', 'time_on_site: not a double'] END AS reasons
+        FROM tp WHERE {event} < 7"""
+    register(
+        "s1_accepted_touchpoints",
+        _TOUCH_COLUMNS,
+        lambda t: read_touchpoints(t.spark, spoiled(t), customer_type=T.LongType()).withColumn("second", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")),
+        with_touches(f"{_TOUCH_SQL} WHERE {event} > 6"),
+    )
+    register(
+        "s1_rejected_touchpoints",
+        "session_id, reasons:a",
+        lambda t: rejected_touches(t.spark, spoiled(t)).withColumn("reasons", F.array_sort("reasons")),
+        with_touches(f"SELECT session_id, list_sort(reasons) AS reasons FROM ({reasons})"),
+    )
+    register(
+        "s1_reject_counts",
+        "reason, rows:i",
+        lambda t: reject_counts(rejected_touches(t.spark, spoiled(t))),
+        with_touches(f"SELECT reason, count(*) AS rows FROM (SELECT unnest(reasons) AS reason FROM ({reasons})) GROUP BY reason"),
+    )
+
     def etl_table(name):
         def build(t):
-            return t.spark.read.parquet(jobs.run_etl(t.touches, fresh_path(t.spark, "etl"))[name])
+            out = fresh_path(t.spark, "etl")
+            jobs.run_etl(t.touches, out)
+            # the second run replaces what the first one wrote
+            return t.spark.read.parquet(jobs.run_etl(t.touches, out)[name])
 
         return build
 
+    register(
+        "s3_etl_journeys",
+        f"{_KEY}, channel, date, prev_channel, next_channel, time_since_prev:i, revenue:4",
+        etl_table("journeys"),
+        with_touches(
+            """
+            SELECT *, CAST("timestamp" AS DATE) AS date, lag(channel) OVER w AS prev_channel, lead(channel) OVER w AS next_channel,
+                   coalesce(floor(epoch("timestamp")) - floor(epoch(lag("timestamp") OVER w)), 0) AS time_since_prev
+            FROM tp WINDOW w AS (PARTITION BY customer_id ORDER BY touchpoint_number)"""
+        ),
+    )
+    register(
+        "s3_etl_journey_patterns",
+        "path_length:i, path_key, converted:i, frequency:i, avg_revenue:4",
+        etl_table("journey_patterns"),
+        with_touches(
+            PATH_KEYS
+            + """
+            SELECT path_length, path_key, converted, count(*) AS frequency, avg(revenue) AS avg_revenue
+            FROM key GROUP BY path_length, path_key, converted"""
+        ),
+    )
+    register(
+        "s3_etl_conversion_paths",
+        "path_length:i, path_key, conversions:i, total_revenue:4, avg_revenue:4",
+        etl_table("conversion_paths"),
+        with_touches(CONVERSION_KEYS),
+    )
+    register(
+        "s3_etl_path_steps",
+        "path_length:i, path_key, chunk:i, steps",
+        etl_table("path_steps"),
+        with_touches(
+            PATH_KEYS
+            + """
+            , one AS (SELECT path_length, path_key, min(customer_id) AS customer_id FROM key GROUP BY 1, 2)
+            SELECT path_length, path_key, (touchpoint_number - 1) // 1000 AS chunk,
+                   string_agg(channel, ' -> ' ORDER BY touchpoint_number) AS steps
+            FROM one JOIN tp USING (customer_id) GROUP BY 1, 2, 3"""
+        ),
+    )
     register(
         "s3_etl_channel_metrics",
         "channel, total_touches:i, unique_customers:i, total_cost:4, total_revenue:4",
@@ -795,6 +1127,57 @@ def _sinks(register) -> None:
         return scores.groupBy("actual_conversion", "predicted_conversion").agg(F.count(F.lit(1)).alias("journeys"))
 
     register("s6_saved_model_scores", "actual_conversion:i, predicted_conversion:i, journeys:i", saved_model)
+
+    def model_tables(t):
+        """Sizes of the job's tables, and how its scores differ from those of the features scored anew by the saved model."""
+        paths = jobs.run_conversion_model(t.touches, fresh_path(t.spark, "model"), "logistic")
+        scores = t.spark.read.parquet(paths["scores"]).withColumnRenamed("conversion_probability", "p")
+        features = t.spark.read.parquet(paths["features"])
+        again = L.score_features(L.load_model(paths["model"]), features).select("customer_id", "conversion_probability")
+        differ = (F.abs(F.col("p") - F.col("conversion_probability")) > 1e-12).cast("long")
+        both = scores.join(again, "customer_id").agg(F.count(F.lit(1)).alias("journeys"), F.sum(differ).alias("different"))
+        test = L.split(features, 0.2, 42)[1].select("customer_id")
+        held = scores.join(test, "customer_id", "left_semi")
+        gap = (F.col("auc") - F.col("ranks")).alias("auc_gap")
+        quality = t.spark.read.parquet(paths["quality"])
+        bins = t.spark.read.parquet(paths["score_bins"]).agg(F.sum("rows").alias("binned"), F.max(F.abs("isotonic_rate")).alias("top"))
+        row = side_by_side(both, quality, L.rank_auc(held, "actual_conversion", "p").withColumnRenamed("auc", "ranks"), bins)
+        return row.select("journeys", "different", "test_rows", "binned", gap, (F.col("top") <= 1).alias("rates_in_range"))
+
+    register(
+        "s6_model_tables",
+        "journeys:i, different:i, test_rows:i, binned:i, auc_gap:8, rates_in_range:i",
+        model_tables,
+        with_touches(
+            """
+            , f AS (SELECT customer_id, CAST('0x' || substr(md5('42|' || customer_id), 1, 8) AS BIGINT) % 10000 AS bucket FROM tp GROUP BY customer_id)
+            SELECT count(*) AS journeys, 0 AS different, count(*) FILTER (bucket < 2000) AS test_rows,
+                   count(*) FILTER (bucket < 2000) AS binned, 0.0 AS auc_gap, true AS rates_in_range FROM f"""
+        ),
+    )
+
+    def mix_tables(t):
+        """Written contributions against the written grid and coefficients."""
+        paths = jobs.run_media_mix(t.unnumbered, fresh_path(t.spark, "mix"))
+        read = lambda name: t.spark.read.parquet(paths[name])
+        inputs = read("grid").groupBy("channel").agg(F.sum("saturated").alias("x"))
+        weights = read("ridge_path").filter("chosen").select("channel", "coefficient")
+        gap = F.col("contribution") - F.col("x") * F.col("coefficient")
+        share = F.sum("contribution_pct").over(Window.partitionBy(F.lit(0)))
+        return read("contributions").join(inputs, "channel").join(weights, "channel").select("channel", "spend", gap.alias("gap"), share.alias("all_pct"))
+
+    register(
+        "s3_media_mix_contributions",
+        "channel, spend:4, gap:6, all_pct:4",
+        mix_tables,
+        with_touches("SELECT channel, sum(cost) AS spend, 0.0 AS gap, 100.0 AS all_pct FROM tp GROUP BY channel"),
+    )
+    register(
+        "s3_validation_intervals",
+        "channel, mean:6, ci_lower:6, ci_upper:6",
+        lambda t: t.spark.read.parquet(jobs.run_validation(t.attributed, fresh_path(t.spark, "validation"))["revenue_intervals"]),
+        with_touches(_INTERVALS),
+    )
     register(
         "s7_attribution_run",
         "channel, method, attributed_revenue:4, channel_cost:4",
