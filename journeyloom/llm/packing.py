@@ -113,9 +113,8 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob[4:], "<u4") if blob[:4] == b"\xff" * 4 else np.frombuffer(blob, "<u2").astype(np.uint32)
 
 
-def _packed(length: int, digests: bool):
-    name = "ids_crc32" if digests else "ids"
-    names = ["doc_id", "start", "length", name, "doc_tokens", "sequence_id", "offset"]
+def _packed(length: int, values: list[str]):
+    names = ["doc_id", "start", "length", *values, "doc_tokens", "sequence_id", "offset"]
     schema = pa.schema([(c, pa.list_(pa.int32()) if c == "ids" else pa.int64()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,8 +131,8 @@ def _packed(length: int, digests: bool):
                         offset = filled % length
                         take = min(length - offset, len(ids) - start)
                         piece = ids[start : start + take]
-                        value = zlib.crc32(piece.astype("<u4").tobytes()) if digests else piece.astype(np.int32)
-                        for c, v in zip(names, (doc, start, take, value, len(ids), (p << 32) + filled // length, offset), strict=True):
+                        value = [zlib.crc32(piece.astype("<u4").tobytes()) if c == "ids_crc32" else piece.astype(np.int32) for c in values]
+                        for c, v in zip(names, (doc, start, take, *value, len(ids), (p << 32) + filled // length, offset), strict=True):
                             out[c].append(v)
                         start, filled = start + take, filled + take
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
@@ -141,12 +140,12 @@ def _packed(length: int, digests: bool):
     return run
 
 
-def pack_along_curve(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, length: int = 1024, digests: bool = False) -> DataFrame:
+def pack_along_curve(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, length: int = 1024, values: tuple[str, ...] = ("ids",)) -> DataFrame:
     """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset) of all of ``docs`` (doc_id, text).
 
     Each document's ids end with one id 0; NULL and empty texts are that id alone. Every id lies in one piece. Ties on
     the curve go by doc_id's hash and doc_id; repeated rows are packed as often as they occur. No rows, no pieces.
-    With ``digests`` the column ids_crc32 (of little-endian 32-bit ids) stands in place of ids.
+    ``values`` may name ids_crc32 (of the little-endian 32-bit ids) beside or in place of ids.
     """
     rows = only(docs, "doc_id", "text")
     size, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
@@ -161,10 +160,10 @@ def pack_along_curve(docs: DataFrame, tokenizer: str, ranks: str | None = None,
             borders = [int(places[len(places) * i // parts]) for i in range(1, parts)]
     tokens = rows.mapInArrow(_tokenised(borders, tool), "doc_id long, part int, place long, ids binary")
     ordered = tokens.repartition(parts, "part").sortWithinPartitions("part", "place", "doc_id", F.crc32("ids"))
-    ids = "ids_crc32 long" if digests else "ids array<int>"
-    return ordered.mapInArrow(_packed(length, digests), f"doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long")
+    ids = ", ".join("ids array<int>" if c == "ids" else f"{c} long" for c in values)
+    return ordered.mapInArrow(_packed(length, list(values)), f"doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long")
 
 
 def piece_digests(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, length: int = 1024) -> DataFrame:
     """Pieces with the crc32 of their ids in place of the ids."""
-    return pack_along_curve(docs, tokenizer, ranks, pattern, length, digests=True)
+    return pack_along_curve(docs, tokenizer, ranks, pattern, length, ("ids_crc32",))

@@ -107,18 +107,22 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> np.nd
     Rates of firing under each label are smoothed counts. A voter's evidence is divided by one plus its correlations
     with the other firing voters within the labels, so copies of one signal count about once. Silence of the last voter
     says nothing that the others do not.
+
+    Rows with equal votes and equal label are one row with their number, so memory follows the different ones.
     """
-    n, k = votes.shape
+    n = len(votes)
+    packed = np.concatenate((np.packbits(votes, axis=1), (known + 1).astype(np.uint8)[:, None]), axis=1)
+    _, first, of, times = np.unique(packed, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    votes, known, times = votes[first].astype(np.float32), known[first], times.astype(np.float64)
     p = np.where(known >= 0, known, votes[:, :-1].any(1).astype(float))
-    prior = 0.5
-    votes = votes.astype(np.float32)
     for _ in range(rounds):
         before = p
-        prior = (p.sum() + 1) / (n + 2)
-        rate1 = (p @ votes + 0.5) / (p.sum() + 1)
-        rate0 = ((1 - p) @ votes + 0.5) / ((1 - p).sum() + 1)
+        toxic, clean = p * times, (1 - p) * times
+        prior = (toxic.sum() + 1) / (n + 2)
+        rate1 = (toxic @ votes + 0.5) / (toxic.sum() + 1)
+        rate0 = (clean @ votes + 0.5) / (clean.sum() + 1)
         rest = votes - np.outer(p, rate1).astype(np.float32) - np.outer(1 - p, rate0).astype(np.float32)
-        covariance = rest.T @ rest / n
+        covariance = (rest * times[:, None].astype(np.float32)).T @ rest / n
         scale = np.sqrt(np.maximum(np.diag(covariance), 1e-12))
         together = np.clip(covariance / np.outer(scale, scale), 0, 1)
         np.fill_diagonal(together, 0)
@@ -129,7 +133,7 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> np.nd
         p = np.where(known >= 0, 0.98 * known + 0.01, 1 / (1 + np.exp(-np.clip(logit, -30, 30))))
         if np.abs(p - before).max() < 1e-4:
             break
-    return p
+    return p[of.ravel()]
 
 
 def fit_linear(rows: np.ndarray, places: np.ndarray, n_features: int, target: np.ndarray, share: np.ndarray | None = None, rounds: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -196,10 +200,11 @@ def train(rows: DataFrame, labels: DataFrame) -> Classifier:
     wanted, strong = wanted[order], strong.iloc[order].reset_index(drop=True)
     sample = labelled.unionByName(free.select("text", F.lit(-1).cast("long").alias("toxic")))
     # Bounded by the two samples: one short list of places a document.
-    seen = sample.mapInArrow(_present(wanted), "toxic long, places array<int>").toPandas()
-    known = seen["toxic"].to_numpy(np.int64)
-    places = np.concatenate([np.asarray(x, np.int64) for x in seen["places"]] + [np.zeros(0, np.int64)])
-    of = np.repeat(np.arange(len(seen)), [len(x) for x in seen["places"]])
+    seen = sample.mapInArrow(_present(wanted), "toxic long, places array<int>").toArrow().combine_chunks()
+    known = seen["toxic"].to_numpy()
+    lists = pa.concat_arrays(seen["places"].chunks) if seen.num_rows else pa.array([], pa.list_(pa.int32()))
+    places = lists.flatten().to_numpy()
+    of = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     width = len(wanted) * len(LEVELS)
     hits = [np.bincount(places[known[of] == k], minlength=width) for k in (0, 1)]
     precise = np.flatnonzero((hits[1] >= LEAST_TEXTS) & (hits[1] >= LEAST_PRECISION * (hits[0] + hits[1] + 1)))
