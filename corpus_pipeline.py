@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from journeyloom.llm.catalogue import tokenizer_files
 from journeyloom.llm.decontaminate import without_leaks
 from journeyloom.llm.jaccard import without_near_duplicates
-from journeyloom.llm.packing import piece_digests
+from journeyloom.llm.packing import pack_along_curve
 from journeyloom.llm.substring import cut_repeats
 from journeyloom.llm.toxicity import without_toxic
 from journeyloom.session import fresh_path
@@ -38,8 +38,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences along the Hilbert curve."""
-    return piece_digests(docs, *tokenizer_files(), length=1024)
+    """Pieces of token sequences along the Hilbert curve, with their ids and the ids' crc32."""
+    return pack_along_curve(docs, *tokenizer_files(), length=1024, values=("ids", "ids_crc32"))
 
 
 STAGES = [
