@@ -30,6 +30,8 @@ FEATURES = [
     "desktop_touches",
 ]
 _BUCKETS = 10_000
+# Rows of one task of a fit, and most tasks.
+TASK_ROWS, MAX_TASKS = 4_000, 4_000
 
 # Forest size as in the reference; more memory for histograms means fewer passes.
 FOREST = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "sqrt", "maxMemoryInMB": 512}
@@ -93,9 +95,10 @@ def train_pipeline(
 
 
 def _ordered(features: DataFrame) -> DataFrame:
-    """Cached in a fixed order, in partitions whose number follows the data: fitting passes
+    """Cached in a fixed order, in partitions whose number follows the rows: fitting passes
     over the rows many times and draws its samples by partition and row."""
-    return features.repartition("customer_id").sortWithinPartitions("customer_id").persist()
+    parts = max(1, min(MAX_TASKS, -(-features.count() // TASK_ROWS)))
+    return features.repartition(parts, "customer_id").sortWithinPartitions("customer_id").persist()
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
@@ -148,8 +151,11 @@ def score_features(model: PipelineModel, features: DataFrame) -> DataFrame:
 def encode_end_channels(features: DataFrame) -> DataFrame:
     """First and last channel as ranks over the union of both columns."""
     ends = features.select(F.explode(F.array("first_channel", "last_channel")).alias("name")).distinct()
+    names = freeze(ends)
+    if names is ends:
+        raise ValueError("too many end channels to rank: group rare ones before modelling")
     ranks = freeze(
-        ends.select("name", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("name")) - 1).alias("rank"))
+        names.select("name", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("name")) - 1).alias("rank"))
     )
     out = features
     for end in ("first_channel", "last_channel"):

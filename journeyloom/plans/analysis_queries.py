@@ -20,6 +20,7 @@ from journeyloom.operators import (
 from journeyloom.plans import jobs
 from journeyloom.plans.journey_queries import CONVERSION_KEYS, PATH_KEYS
 from journeyloom.plans.reference_sql import with_credit, with_ga_touches, with_touches
+from journeyloom.plans.solve_sql import coefficients, logistic, ridge_path as ridge_sql, swept as swept_sql
 from journeyloom.plans.tail_sql import beta_tail, range_critical, range_tail
 from journeyloom.schema import CHANNELS
 from journeyloom.session import fresh_path
@@ -306,28 +307,34 @@ def _statistics(register) -> None:
         lambda t: X.revenue_intervals(t.unnumbered),
         with_touches(_INTERVALS),
     )
-    register(
-        "x11_validation_report",
-        "test_date, n_customers:i, n_touchpoints:i, model_accuracy:6, model_auc:6, effect_size:6, "
-        "required_sample_size:i",
-        lambda t: jobs.validation_report(t.attributed),
-    )
-    effect = f"""
-        , m AS (
+    report = f"""
+        m AS (
           SELECT count(*) AS n, avg(shapley_attribution) AS a, avg(last_touch_attribution) AS b,
                  var_samp(shapley_attribution) AS va, var_samp(last_touch_attribution) AS vb
           FROM att WHERE converted = 1
         ),
-        e AS (SELECT (a - b) / sqrt(((n - 1) * va + (n - 1) * vb) / (n + n - 2)) AS effect_size FROM m)
+        e AS (SELECT (a - b) / sqrt(((n - 1) * va + (n - 1) * vb) / (n + n - 2)) AS effect_size FROM m),
+        report AS (
         SELECT '2024-01-31' AS test_date, (SELECT count(DISTINCT customer_id) FROM att) AS n_customers,
                (SELECT count(*) FROM att) AS n_touchpoints, effect_size,
                ceil({2 * X._power_constant(0.05, 0.8)!r} / (effect_size * effect_size)) AS required_sample_size
-        FROM e"""
+        FROM e)"""
+    register(
+        "x11_validation_report",
+        "test_date, n_customers:i, n_touchpoints:i, model_accuracy:6, model_auc:6, effect_size:6, "
+        "required_sample_size:i",
+        lambda t: jobs.validation_report(t.attributed),
+        with_credit(
+            f"""{_LOGIT.replace("FROM tp", "FROM att")}, {_LOGIT_QUALITY}, {report}
+            SELECT CAST(current_date AS VARCHAR) AS test_date, report.* EXCLUDE (test_date), accuracy AS model_accuracy, auc AS model_auc
+            FROM report, quality"""
+        ),
+    )
     register(
         "x11_report_sizes",
         "test_date, n_customers:i, n_touchpoints:i, effect_size:6, required_sample_size:i",
         lambda t: jobs.validation_report(t.attributed, on=date(2024, 1, 31)),
-        with_credit(effect),
+        with_credit(f", {report} SELECT * FROM report"),
     )
 
 
@@ -476,7 +483,19 @@ def _media_mix(register) -> None:
         lambda t: R.transformed_grid(t.unnumbered, CHANNELS),
         with_touches(f"{_GRID} SELECT *, x / (x + 1) AS saturated FROM sat"),
     )
-    register("r5_r6_ridge_coefficients", "channel, coefficient:4", lambda t: R.media_mix(t.unnumbered)[0])
+    xs = ", ".join(f"coalesce(max(x / (x + 1)) FILTER (channel = '{c}'), 0) AS x{i}" for i, c in enumerate(CHANNELS))
+    fitted = f"""{_GRID},
+        days AS MATERIALIZED (
+          SELECT CAST('0x' || substr(md5('42|' || date), 1, 8) AS BIGINT) % 5 AS fold, max(total_revenue) AS y, {xs} FROM sat GROUP BY date
+        ),
+        {ridge_sql("days", CHANNELS, R.LAMBDAS)},
+        chosen_ridge AS (SELECT channel, coefficient FROM ridge WHERE chosen)"""
+    register(
+        "r5_r6_ridge_coefficients",
+        "channel, coefficient:4",
+        lambda t: R.media_mix(t.unnumbered)[0],
+        with_touches(f"{fitted} SELECT * FROM chosen_ridge WHERE coefficient <> 0"),
+    )
 
     def equations(t):
         grid = R.transformed_grid(t.unnumbered, CHANNELS)
@@ -494,11 +513,24 @@ def _media_mix(register) -> None:
         "r5_ridge_path",
         "penalty:4, chosen:i, channel, coefficient:4, cv_error:4",
         lambda t: R.ridge_path(R.transformed_grid(t.unnumbered, CHANNELS), CHANNELS),
+        with_touches(f"{fitted} SELECT * FROM ridge"),
     )
+    explained = f"""{fitted},
+        con AS (
+          SELECT channel, sum(x / (x + 1)) * coalesce(any_value(coefficient), 0) AS contribution, sum(spend) AS spend
+          FROM sat LEFT JOIN chosen_ridge USING (channel) GROUP BY channel
+        ),
+        conr AS (SELECT *, CASE WHEN spend > 0 THEN contribution / spend ELSE 0 END AS roi FROM con)"""
+    budget = """
+            o AS (SELECT channel, spend AS current_spend,
+                         sum(spend) OVER () * roi / nullif(sum(roi) OVER (), 0) AS optimal_spend, roi FROM conr)
+            SELECT *, optimal_spend - current_spend AS spend_change,
+                   (optimal_spend - current_spend) / nullif(current_spend, 0) * 100 AS change_pct FROM o"""
     register(
         "r7_contributions",
         "channel, contribution:4, spend:4, roi:6, contribution_pct:4",
         lambda t: R.media_mix(t.unnumbered)[1],
+        with_touches(f"{explained} SELECT *, contribution / sum(contribution) OVER () * 100 AS contribution_pct FROM conr"),
     )
     # the same formulas on stated coefficients, so that the arithmetic has SQL to match
     fixed = [(c, 100.0 * (i + 1)) for i, c in enumerate(CHANNELS)]
@@ -526,6 +558,7 @@ def _media_mix(register) -> None:
         "r8_budget_by_roi",
         "channel, current_spend:4, optimal_spend:4, spend_change:4, change_pct:4, roi:6",
         lambda t: R.media_mix(t.unnumbered)[2],
+        with_touches(f"{explained}, {budget}"),
     )
     register(
         "r8_budget_by_roi_given_coefficients",
@@ -807,6 +840,40 @@ def _forest(t):
     return L.train_pipeline(train), test
 
 
+_FLAGS = """
+        SELECT customer_id, max(converted) AS converted, count(*) AS journey_length,
+               count(DISTINCT channel) AS unique_channels, sum(cost) AS total_cost, sum(time_on_site) AS total_time,
+               max(CASE WHEN channel = 'paid_search' THEN 1 ELSE 0 END) AS has_paid_search,
+               max(CASE WHEN channel = 'email' THEN 1 ELSE 0 END) AS has_email,
+               max(CASE WHEN channel = 'social_media' THEN 1 ELSE 0 END) AS has_social
+        FROM tp GROUP BY customer_id"""
+_FLAGGED = """
+            , flagged AS MATERIALIZED (
+              SELECT *, has_search * has_social AS search_social, has_search * has_email AS search_email,
+                     has_social * has_email AS social_email
+              FROM (SELECT customer_id, max(converted) AS converted,
+                           max(CASE WHEN channel IN ('paid_search', 'organic_search') THEN 1 ELSE 0 END) AS has_search,
+                           max(CASE WHEN channel = 'social_media' THEN 1 ELSE 0 END) AS has_social,
+                           max(CASE WHEN channel = 'email' THEN 1 ELSE 0 END) AS has_email,
+                           max(CASE WHEN channel = 'display' THEN 1 ELSE 0 END) AS has_display
+                    FROM tp GROUP BY customer_id)
+            )"""
+_HELD = "CAST('0x' || substr(md5('42|' || customer_id), 1, 8) AS BIGINT) % 10000 < 2000"
+_LOGIT = f""", flags AS MATERIALIZED ({_FLAGS}), train AS MATERIALIZED (SELECT * FROM flags WHERE NOT ({_HELD})),
+    {logistic("fit", "train", L.LOGIT_INPUTS)}"""
+_LOGIT_QUALITY = f"""
+    held AS MATERIALIZED (
+      SELECT converted, 1 / (1 + exp(-({" + ".join(f"beta[{i + 1}] * {x}" for i, x in enumerate(["1", *L.LOGIT_INPUTS]))}))) AS p
+      FROM flags, fit WHERE {_HELD}
+    ),
+    ranked AS (SELECT converted, avg(r) OVER (PARTITION BY p) AS r FROM (SELECT converted, p, row_number() OVER (ORDER BY p) AS r FROM held)),
+    quality AS (
+      SELECT (sum(r) FILTER (converted = 1) - sum(converted) * (sum(converted) + 1) / 2.0) / (sum(converted) * (count(*) - sum(converted))) AS auc,
+             (SELECT avg(CAST((p > 0.5) = (converted = 1) AS INTEGER)) FROM held) AS accuracy, count(*) AS test_rows
+      FROM ranked
+    )"""
+
+
 def _models(register) -> None:
     def quality(t):
         model, test = _forest(t)
@@ -882,25 +949,20 @@ def _models(register) -> None:
         "l8_logit_coefficients",
         "term, estimate:6, std_error:6, statistic:4, p_value:6",
         lambda t: L.logit_validation(t.unnumbered)[0],
+        with_touches(f"{_LOGIT} {coefficients('fit', L.LOGIT_INPUTS)}"),
     )
     register(
         "l8_logit_quality",
         "auc:6, accuracy:6, test_rows:i",
         lambda t: L.logit_validation(t.unnumbered)[1],
+        with_touches(f"{_LOGIT}, {_LOGIT_QUALITY} SELECT * FROM quality"),
     )
-    flags = """
-        SELECT customer_id, max(converted) AS converted, count(*) AS journey_length,
-               count(DISTINCT channel) AS unique_channels, sum(cost) AS total_cost, sum(time_on_site) AS total_time,
-               max(CASE WHEN channel = 'paid_search' THEN 1 ELSE 0 END) AS has_paid_search,
-               max(CASE WHEN channel = 'email' THEN 1 ELSE 0 END) AS has_email,
-               max(CASE WHEN channel = 'social_media' THEN 1 ELSE 0 END) AS has_social
-        FROM tp GROUP BY customer_id"""
     register(
         "l8_logit_features",
         "customer_id:i, converted:i, journey_length:i, unique_channels:i, total_cost:4, total_time:4, "
         "has_paid_search:i, has_email:i, has_social:i",
         lambda t: L.logit_features(t.unnumbered),
-        with_touches(flags),
+        with_touches(_FLAGS),
     )
     register(
         "l8_score_equations",
@@ -908,7 +970,7 @@ def _models(register) -> None:
         lambda t: L.logit_score_equations(t.unnumbered),
         with_touches(
             f"""
-            , f AS ({flags}),
+            , f AS ({_FLAGS}),
             train AS (SELECT * FROM f WHERE CAST('0x' || substr(md5('42|' || customer_id), 1, 8) AS BIGINT) % 10000 >= 2000),
             s AS (
               SELECT '(Intercept)' AS term, sum(converted) AS observed FROM train
@@ -941,7 +1003,21 @@ def _models(register) -> None:
             SELECT model, term, observed, observed AS fitted FROM s"""
         ),
     )
-    register("l9_variance_inflation", "term, vif:6", lambda t: L.variance_inflation(t.unnumbered))
+    q = len(L.LOGIT_INPUTS)
+    spread = f"m[(c // {q} + 1) * {q + 2} + c % {q} + 2]"
+    own = lambda i: f"m[({i} + 1) * {q + 2} + {i} + 2]"
+    related = f"list_transform(range({q * q}), lambda c: {spread} / sqrt({own(f'c // {q}')} * {own(f'c % {q}')}))"
+    inverse = swept_sql(f"SELECT {related} AS m FROM fit", "1 AS one", q, q)
+    names = ", ".join(f"'{x}'" for x in L.LOGIT_INPUTS)
+    register(
+        "l9_variance_inflation",
+        "term, vif:6",
+        lambda t: L.variance_inflation(t.unnumbered),
+        with_touches(
+            f"""{_LOGIT} SELECT unnest([{names}]) AS term, unnest(list_transform(range({q}), lambda i: m[i * {q} + i + 1])) AS vif
+                FROM ({inverse})"""
+        ),
+    )
     register(
         "l10_interaction_counts",
         "has_search:i, has_social:i, has_email:i, has_display:i, search_social:i, search_email:i, social_email:i, "
@@ -964,13 +1040,30 @@ def _models(register) -> None:
                   FROM j GROUP BY ALL)"""
         ),
     )
+    every = [*L.MAIN_EFFECTS, *L.INTERACTIONS]
+    likelihood = lambda fit, inputs: f"""SELECT sum(converted * ln(p) + (1 - converted) * ln(1 - p)) AS v FROM (
+        SELECT converted, 1 / (1 + exp(-({" + ".join(f"beta[{i + 1}] * {x}" for i, x in enumerate(["1", *inputs]))}))) AS p FROM flagged, {fit})"""
+    fits = f"""{_FLAGGED}, {logistic("plain", "flagged", L.MAIN_EFFECTS)}, {logistic("rich", "flagged", every)}"""
     register(
-        "l10_interaction_test", "lr_statistic:4, df:i, p_value:6", lambda t: L.interaction_test(t.unnumbered)[0]
+        "l10_interaction_test",
+        "lr_statistic:4, df:i, p_value:6",
+        lambda t: L.interaction_test(t.unnumbered)[0],
+        with_touches(
+            f"""{fits},
+            lr AS (SELECT 2 * (b.v - a.v) AS x FROM ({likelihood("plain", L.MAIN_EFFECTS)}) a, ({likelihood("rich", every)}) b)
+            SELECT any_value(x) AS lr_statistic, 3 AS df,
+                   sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                       * sqrt(2 / pi()) * pow(sqrt(x) + i / 200.0, 2) * exp(-pow(sqrt(x) + i / 200.0, 2) / 2)) / 600 AS p_value
+            FROM lr, range(2001) r(i)"""
+        ),
     )
     register(
         "l10_interaction_terms",
         "term, estimate:6, std_error:6, statistic:4, p_value:6",
         lambda t: L.interaction_test(t.unnumbered)[1],
+        with_touches(
+            f"""{fits} SELECT * FROM ({coefficients("rich", every)}) WHERE term IN ({", ".join(f"'{x}'" for x in L.INTERACTIONS)})"""
+        ),
     )
 
 
@@ -1040,19 +1133,19 @@ def _sinks(register) -> None:
         with_touches(f"SELECT reason, count(*) AS rows FROM (SELECT unnest(reasons) AS reason FROM ({reasons})) GROUP BY reason"),
     )
 
-    def etl_table(name):
+    def etl_table(name, runs=1):
         def build(t):
             out = fresh_path(t.spark, "etl")
-            jobs.run_etl(t.touches, out)
-            # the second run replaces what the first one wrote
-            return t.spark.read.parquet(jobs.run_etl(t.touches, out)[name])
+            for _ in range(runs):  # a further run replaces what the one before wrote
+                paths = jobs.run_etl(t.touches, out)
+            return t.spark.read.parquet(paths[name])
 
         return build
 
     register(
         "s3_etl_journeys",
         f"{_KEY}, channel, date, prev_channel, next_channel, time_since_prev:i, revenue:4",
-        etl_table("journeys"),
+        etl_table("journeys", runs=2),
         with_touches(
             """
             SELECT *, CAST("timestamp" AS DATE) AS date, lag(channel) OVER w AS prev_channel, lead(channel) OVER w AS next_channel,

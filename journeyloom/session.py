@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder.
+    Only a session that runs in one process (``local``, ``local[n]``) may fall back to a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     in_use = spark.sparkContext.getCheckpointDir()
     if in_use:
         return in_use.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="journeyloom-")
     spark.sparkContext.setCheckpointDir(folder)
