@@ -232,14 +232,14 @@ def _statistics(register) -> None:
             , counts AS (
               SELECT channel, CAST(round(shapley_attribution * 1000000) AS BIGINT) AS units, count(*) AS n FROM att GROUP BY 1, 2
             ),
-            parts AS (
+            digits AS (
               SELECT channel, units, level, 0 AS piece FROM counts, range(16) l(level) WHERE (n >> level) & 1 = 1
               UNION ALL SELECT channel, units, 16, unnest(range(1, n // 65536 + 1)) FROM counts
             ),
             words AS (
               SELECT channel, units, level, quad,
                      md5(concat_ws('|', '42', channel, units, level, piece, quad)) AS d
-              FROM parts, range(250) q(quad)
+              FROM digits, range(250) q(quad)
             ),
             draws AS (
               SELECT channel, units, level, quad * 4 + place + 1 AS draw,
@@ -635,7 +635,7 @@ _ORDERS = """
     ),
     s0 AS (SELECT fit.*, 0 AS h, y1, coalesce(y2, 0) AS y2, coalesce(y3, 0) AS y3 FROM fit JOIN ends USING (series)),
     path AS ({path})
-    SELECT series, k AS "order", h AS step, y1 AS forecast FROM path WHERE h > 0"""
+    SELECT series, k AS ar_order, h AS step, y1 AS forecast FROM path WHERE h > 0"""
 _STEP = "m + f1 * (y1 - m) + f2 * (y2 - m) + f3 * (y3 - m)"
 
 
@@ -787,14 +787,14 @@ def _time_series(register) -> None:
     )
     register(
         "d5_daily_order_forecast",
-        "series, order:i, step:i, forecast:4",
-        lambda t: D.ar_forecast(daily_series(t), "series", "date", "value", 7, 3),
+        "series, ar_order:i, step:i, forecast:4",
+        lambda t: D.ar_forecast(daily_series(t), "series", "date", "value", 7, 3).withColumnRenamed("order", "ar_order"),
         with_credit(by_day + "," + _orders(7)),
     )
     register(
         "d5_weekly_order_forecast",
-        "series, order:i, step:i, forecast:6",
-        lambda t: D.ar_forecast(weekly_series(t), "series", "week", "conversion_rate", 4, 3),
+        "series, ar_order:i, step:i, forecast:6",
+        lambda t: D.ar_forecast(weekly_series(t), "series", "week", "conversion_rate", 4, 3).withColumnRenamed("order", "ar_order"),
         with_touches(by_week + "," + _orders(4)),
     )
     held = _AHEAD.format(h="(t - t_last)")

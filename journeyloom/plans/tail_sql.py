@@ -21,22 +21,22 @@ def range_tail(source: str, keep: str) -> str:
         SELECT {keep}, sum(weight * (1 - below)) AS tail
         FROM (
           SELECT {keep}, j, any_value(weight) AS weight,
-                 any_value(k) * sum(0.2 * exp(-z * z / 2) / sqrt(2 * pi()) * pow(inside, k - 1)) AS below
+                 any_value(means) * sum(0.2 * exp(-z * z / 2) / sqrt(2 * pi()) * pow(inside, means - 1)) AS below
           FROM (
-            SELECT {keep}, j, k, z, any_value(weight) AS weight,
-                   w / 600 * sum(CASE WHEN u IN (0, 200) THEN 1 WHEN u % 2 = 1 THEN 4 ELSE 2 END
-                                 * exp(-pow(z - w * u / 200, 2) / 2) / sqrt(2 * pi())) AS inside
+            SELECT {keep}, j, means, z, any_value(weight) AS weight,
+                   w / 240 * sum(CASE WHEN u IN (0, 80) THEN 1 WHEN u % 2 = 1 THEN 4 ELSE 2 END
+                                 * exp(-pow(z - w * u / 80, 2) / 2) / sqrt(2 * pi())) AS inside
             FROM (
-              SELECT *, -8.4 + 0.2 * zi AS z, q * exp(t) AS w,
-                     h * exp(ln(2) + n / 2 * ln(n / 2) - lgamma(n / 2) + n * t - n / 2 * exp(2 * t)) AS weight
+              SELECT *, k AS means, -8.4 + 0.2 * zi AS z, q * exp(place) AS w,
+                     step * exp(ln(2) + n / 2 * ln(n / 2) - lgamma(n / 2) + n * place - n / 2 * exp(2 * place)) AS weight
               FROM (
-                SELECT *, low + j * h AS t FROM (
-                  SELECT *, -(9 / sqrt(2 * n) + 36 / n) AS low, 1 / sqrt(2 * n) / 3 AS h FROM {source}
+                SELECT *, least_place + j * step AS place FROM (
+                  SELECT *, -(9 / sqrt(2 * n) + 36 / n) AS least_place, 1 / sqrt(2 * n) / 3 AS step FROM {source}
                 ), range(400) s(j)
               ), range(85) zr(zi)
-              WHERE t <= 9 / sqrt(2 * n) + h
-            ), range(201) ur(u)
-            GROUP BY {keep}, j, k, z, w
+              WHERE place <= 9 / sqrt(2 * n) + step
+            ), range(81) ur(u)
+            GROUP BY {keep}, j, means, z, w
           ) GROUP BY {keep}, j
         ) GROUP BY {keep}"""
 
@@ -44,20 +44,19 @@ def range_tail(source: str, keep: str) -> str:
 def range_critical(alpha: float) -> str:
     """CTEs that end in ``critical`` (value): the q exceeded with chance ``alpha``, from ``degrees`` (k, n).
 
-    The place is bracketed on three ever finer grids and interpolated in the last.
+    The place is bracketed on three ever finer grids (up to 12) and interpolated in the last.
     """
     parts, bracket = [], "SELECT 0.0 AS low, 0.5 AS h, k, n FROM degrees"
     for r in range(3):
-        count = 60 if r == 0 else 51
         parts.append(
             f"""
-        grid{r} AS (SELECT low + h * g AS q, h, k, n FROM ({bracket}), range(1, {count}) x(g)),
-        tail{r} AS ({range_tail(f'grid{r}', 'q, h, k, n')}),
+        grid{r} AS (SELECT low + h * g AS q, h, k, n FROM ({bracket}), range(27) x(g) WHERE low + g > 0),
+        tail{r} AS MATERIALIZED ({range_tail(f'grid{r}', 'q, h, k, n')}),
         bracket{r} AS (
           SELECT max(q) FILTER (tail > {alpha}) AS low, any_value(h) AS h, any_value(k) AS k, any_value(n) AS n FROM tail{r}
         )"""
         )
-        bracket = f"SELECT low - h / 50 AS low, h / 50 AS h, k, n FROM bracket{r}"
+        bracket = f"SELECT low, h / 25 AS h, k, n FROM bracket{r}"
     parts.append(
         f"""
         critical AS (
