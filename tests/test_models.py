@@ -127,7 +127,7 @@ def test_ridge_solves_its_equations():
     x, penalty = rng.normal(size=(80, 3)) * [1, 5, 0.2] + 2, 0.7
     y = x @ [1.0, -2.0, 3.0] + rng.normal(size=80)
     rows = np.column_stack([np.ones(80), x, y])
-    weights, intercept = R._ridge(rows.T @ rows, penalty)
+    weights, intercept = R._Ridge(rows.T @ rows).fit(penalty)
     z, v = (x - x.mean(0)) / x.std(0), (y - y.mean()) / y.std()
     scaled = weights * x.std(0) / y.std()
     assert z.T @ (v - z @ scaled) == pytest.approx(penalty / y.std() * 80 * scaled)
