@@ -7,10 +7,10 @@ Beta(m + 1, n - m + 1) of the similarity; the pair is given up as soon as the po
 threshold is below MISS. The survivors are confirmed on their full sets, so every link is exact.
 
 A bucket of m sets gives no m * m pairs. Its sets are ordered by size and each meets its NEAR predecessors, which is all
-there is in a small bucket. The links found merge most of a large bucket into one component; only buckets that still
-hold several components are then compared in blocks of signatures, sets outside the bucket's largest component against
-all, and a pair leaves the block only if it survives. Large buckets are cut at borders of a range partitioning, so no key
-is gathered in one task.
+there is in a small bucket. The links found merge most of a large bucket into one component; only sets connected through
+buckets that still hold several components are then compared in blocks, those outside the largest component against all:
+signatures batch by batch, survivors on the spot against inverted lists of their sets. Large buckets are cut at borders of
+a range partitioning, so no key is gathered in one task.
 """
 
 from __future__ import annotations
@@ -37,10 +37,10 @@ NEAR = 4
 PARTNERS = 2
 #: Band rows of one task.
 PART_ROWS = 400_000
-#: Sets of a block where open buckets are compared.
-BLOCK_SETS = 512
-#: Rows (signatures) of block comparisons in one task.
-PART_BLOCKS = 20_000
+#: Sets of a block where families of open buckets are compared.
+BLOCK_SETS, BLOCK_TOKENS = 1_024, 4_000_000
+#: Tokens of block comparisons in one task, about.
+PART_TOKENS = 2_000_000
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -244,15 +244,18 @@ class _Sets:
         ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ids")
         return self.ends(pairs, self.nodes(ids), "sig", ("sig_a", "sig_b")).mapInArrow(_unpruned(self.percent), "a long, b long")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of the stored pairs whose full sets reach the similarity."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def tokens(self, ids: DataFrame) -> DataFrame:
+        """(node, tokens) of the nodes ``ids``, from the text of one document each."""
         docs = self.table.join(ids, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
         docs = stored(docs.where("doc_id is not null").select("doc_id").distinct(), "ids")
         text = keep_keys(self.rows.where("doc_id is not null"), docs, "doc_id").unionByName(self.rows.where("doc_id is null")).select("text")
         found = text.mapInArrow(_tokens(self.words), "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
-        both = self.ends(pairs, found.join(ids, "node", "left_semi"), "tokens", ("x", "y"))
-        return both.mapInArrow(_confirmed(self.percent), "a long, b long")
+        return found.join(ids, "node", "left_semi")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Those of the stored pairs whose full sets reach the similarity."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return self.ends(pairs, self.tokens(ids), "tokens", ("x", "y")).mapInArrow(_confirmed(self.percent), "a long, b long")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         survivors = stored(self.unpruned(pairs), "survivors")
@@ -266,20 +269,21 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return pairs.where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
 
 
-def _blocks(percent: int):
-    """Surviving pairs of different components, block of a bucket against block."""
+def _linked(percent: int):
+    """Confirmed links between different components, block of a family against block; enough to join what is linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = least_agreements(percent)
-        parts = list(batches)
-        if not sum(p.num_rows for p in parts):
+        parts = [p for p in batches if p.num_rows]
+        if not parts:
             return
-        columns = {c: np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("bucket", "low", "high", "node", "component", "n")}
+        columns = {c: np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("family", "low", "high", "node", "component", "n")}
         right = np.concatenate([p.column("right").to_numpy(zero_copy_only=False) for p in parts])
         sig = np.concatenate([_matrix(p.column("sig")) for p in parts])
+        tokens = [np.frombuffer(t.as_py(), np.uint64) for p in parts for t in p.column("tokens")]
         del parts
-        order = np.lexsort((right, columns["high"], columns["low"], columns["bucket"]))
-        key = np.stack([columns[c][order] for c in ("bucket", "low", "high")])
+        order = np.lexsort((right, columns["high"], columns["low"], columns["family"]))
+        key = np.stack([columns[c][order] for c in ("family", "low", "high")])
         cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
         for group in np.split(order, cuts):
             x, y = group[~right[group]], group[right[group]]
@@ -292,32 +296,96 @@ def _blocks(percent: int):
                 & (100 * n[y][None] >= percent * n[x][:, None])
             )
             at = surviving(sig, sig, x[i], y[j], least)
-            ends = np.sort(np.stack((columns["node"][x[i[at]]], columns["node"][y[j[at]]]), 1), axis=1)
-            yield pa.record_batch([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+            i, j = _overlapping([tokens[k] for k in x], [tokens[k] for k in y], i[at], j[at], percent)
+            i, j = _spanning(component[x[i]], component[y[j]], x[i], y[j])
+            yield pa.record_batch([pa.array(columns["node"][i]), pa.array(columns["node"][j])], ["a", "b"])
 
     return run
 
 
+def _overlapping(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (left[i], right[j]) that reach the similarity, from the inverted lists of the right sets; sorted by i."""
+    if not len(i):
+        return i, j
+    sizes = np.array([len(t) for t in right])
+    every = np.concatenate(right)
+    order = np.argsort(every, kind="stable")
+    owner, every = np.repeat(np.arange(len(right)), sizes)[order], every[order]
+    found: list[tuple[np.ndarray, np.ndarray]] = [(i[:0], j[:0])]
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    first = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
+    for a, b in zip(first.tolist(), np.append(first[1:], len(i)).tolist(), strict=True):
+        query, some = left[i[a]], j[a:b]
+        low, high = np.searchsorted(every, query, "left"), np.searchsorted(every, query, "right")
+        length = high - low
+        places = np.repeat(low - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        both = np.bincount(owner[places], minlength=len(right))[some]
+        fine = 100 * both >= percent * (len(query) + sizes[some] - both)
+        found.append((i[a:b][fine], some[fine]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _spanning(p: np.ndarray, q: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the links (i, j) between components (p, q) that join what earlier ones have not joined."""
+    if not len(i):
+        return i, j
+    ends = np.stack((np.minimum(p, q), np.maximum(p, q)))
+    _, at = np.unique(ends, axis=1, return_index=True)
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    keep = []
+    for k in at.tolist():
+        a, b = root(int(p[k])), root(int(q[k]))
+        if a != b:
+            parent[a] = b
+            keep.append(k)
+    return i[keep], j[keep]
+
+
 def _across(sets: _Sets, members: DataFrame, joined: DataFrame) -> DataFrame | None:
-    """Surviving pairs of the buckets that still hold several components; None if there is no such bucket."""
+    """Links within the buckets that still hold several components; None if there is no such bucket.
+
+    Sets that are connected through such buckets form a family; those outside its largest component meet all of it, block
+    against block. Every set is copied once for each block of its family, however many buckets it is in.
+    """
     named = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named.distinct(), "members")
-    size = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
-    size = size.groupBy("bucket").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("k"), F.max_by("component", F.struct("m", "component")).alias("largest"), F.max("m").alias("top"))
-    wide = stored(size.where("k > 1").select("bucket", "m", (F.col("m") - F.col("top")).alias("others"), "largest"), "open")
-    if not wide.limit(1).count():
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    shared = stored(named.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
+    if not shared.limit(1).count():
         return None
-    rows = named.join(wide, "bucket").withColumn("rows", F.ceil(F.col("others") / BLOCK_SETS).cast("int")).withColumn("columns", F.ceil(F.col("m") / BLOCK_SETS).cast("int"))
-    ids = stored(rows.select("node").distinct(), "ids")
-    rows = rows.join(sets.nodes(ids).select("node", "n", "sig"), "node")
+    family = components(shared.select(F.col("node").alias("a"), F.col("bucket").alias("b"))).withColumnRenamed("component", "family")
+    nodes = stored(shared.select("node", "component").distinct().join(family, "node"), "families")
+    ids = stored(nodes.select("node"), "ids")
+    full = stored(nodes.join(sets.nodes(ids), "node").join(sets.tokens(ids), "node"), "full")
+    size = full.groupBy("family", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    size = size.groupBy("family").agg(F.sum("m").alias("m"), F.sum("n").alias("tokens_in"), F.max(F.struct("m", "component", "n")).alias("top"))
+    blocks = lambda m, n: F.ceil(F.greatest(m / BLOCK_SETS, n / BLOCK_TOKENS)).cast("int")
+    size = size.select(
+        "family",
+        F.col("top.component").alias("largest"),
+        blocks(F.col("m") - F.col("top.m"), F.col("tokens_in") - F.col("top.n")).alias("rows"),
+        blocks(F.col("m"), F.col("tokens_in")).alias("columns"),
+        (F.col("tokens_in") - F.col("top.n")).alias("tokens_out"),
+        "tokens_in",
+    )
+    size = stored(size, "sizes")
     block = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    carried = ["bucket", "low", "high", "node", "component", "n", "sig"]
-    left = rows.where("component <> largest").withColumn("low", block("rows")).withColumn("high", every("columns")).select(*carried, F.lit(False).alias("right"))
-    right = rows.withColumn("high", block("columns")).withColumn("low", every("rows")).select(*carried, F.lit(True).alias("right"))
-    copies = wide.selectExpr(f"sum(others * ceil(m / {BLOCK_SETS}) + m * ceil(others / {BLOCK_SETS}))").first()[0]
-    dealt = left.unionByName(right).repartition(int(copies // PART_BLOCKS) + 8, "bucket", "low", "high")
-    return dealt.mapInArrow(_blocks(sets.percent), "a long, b long").distinct()
+    carried = ["family", "low", "high", "node", "component", "n", "sig", "tokens"]
+    full = full.join(size.drop("tokens_in", "tokens_out"), "family")
+    left = full.where("component <> largest").withColumn("low", block("rows")).withColumn("high", every("columns")).select(*carried, F.lit(False).alias("right"))
+    right = full.withColumn("high", block("columns")).withColumn("low", every("rows")).select(*carried, F.lit(True).alias("right"))
+    copied, groups = size.selectExpr("sum(tokens_out * columns + tokens_in * rows)", "sum(rows * columns)").first()
+    parts = int(min(groups, copied // PART_TOKENS)) + 8
+    dealt = left.unionByName(right).repartition(parts, "family", "low", "high")
+    return dealt.mapInArrow(_linked(sets.percent), "a long, b long")
 
 
 def minhash_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -348,7 +416,7 @@ def minhash_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     members = met.where("member").select(F.col("a").alias("bucket"), F.col("b").alias("node"))
     across = _across(sets, members, joined)
     if across is not None:
-        links = links.unionByName(stored(sets.confirmed(stored(across, "across")), "links"))
+        links = links.unionByName(stored(across, "across"))
         joined = components(links)
     # Back to documents: the smallest id of each set, then of each component.
     named = table.groupBy("node", "check", "n").agg(F.min("doc_id").alias("least")).where("n > 0")

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import types as T
 
 from journeyloom.llm import minhash
-from journeyloom.llm.minhash import kept_documents, least_agreements, minhash_components, signatures, surviving
+from journeyloom.llm.minhash import _overlapping, _spanning, kept_documents, least_agreements, minhash_components, signatures, surviving
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("node", T.StringType()), T.StructField("n", T.LongType())])
 
@@ -106,3 +106,17 @@ def test_agreement_estimates_similarity_and_true_pairs_survive():
         agree.append((sig[0] == sig[1]).mean())
         survived += len(surviving(sig, sig, np.array([0]), np.array([1]), least_agreements(80)))
     assert abs(np.mean(agree) - 0.8) < 0.01 and survived == 200
+
+
+def test_links_of_a_block():
+    rng = np.random.default_rng(5)
+    left, right = ([np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(12)] for _ in range(2))
+    every = [(i, j) for i in range(12) for j in range(12)]
+    i, j = (np.array(c) for c in zip(*every, strict=True))
+    near = [(a, b) for a, b in every if 100 * len(np.intersect1d(left[a], right[b])) >= 40 * len(np.union1d(left[a], right[b]))]
+    a, b = _overlapping(left, right, i, j, 40)
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == near and 0 < len(near) < 144
+    none = np.zeros(0, np.int64)
+    assert all(len(x) == 0 for x in (*_overlapping(left, right, none, none, 40), *_spanning(none, none, none, none)))
+    p, q = np.array([5, 5, 7, 8, 5]), np.array([7, 8, 8, 9, 7])
+    assert _spanning(p, q, np.arange(5), np.arange(5))[0].tolist() == [0, 1, 3]
