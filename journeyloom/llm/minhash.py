@@ -6,8 +6,8 @@ pair are compared BATCH hashes at a time. With a uniform prior, m agreements amo
 Beta(m + 1, n - m + 1) of the similarity; the pair is given up as soon as the posterior chance that it reaches the
 threshold is below MISS. The survivors are confirmed on their full sets, so every link is exact.
 
-A bucket of m sets gives no m * m pairs. Its sets are ordered by size and each meets its NEAR predecessors, which is all
-there is in a small bucket. The links found merge most of a large bucket into one component; only sets connected through
+A bucket of m sets gives no m * m pairs. The sets of a bucket of at most NEAR + 1 all meet; in a larger one, ordered by
+size, each meets the one before it. The links found merge most of a large bucket into one component; only sets connected through
 buckets that still hold several components are then compared in blocks, those outside the largest component against all:
 signatures batch by batch, survivors on the spot against inverted lists of their sets. Large buckets are cut at borders of
 a range partitioning, so no key is gathered in one task.
@@ -31,7 +31,7 @@ BANDS, BAND_ROWS = 32, 4
 BATCH = 16
 #: Posterior chance of reaching the threshold below which a pair is given up.
 MISS = 1e-8
-#: Predecessors that a set of a bucket meets in the first pass.
+#: Predecessors that a set of a small bucket meets in the first pass.
 NEAR = 4
 #: Partners of a set that are verified before the components are asked which pairs are left.
 PARTNERS = 2
@@ -137,16 +137,19 @@ def _neighbours(percent: int):
         bucket, n, node = bucket[order], n[order], node[order]
         if not len(bucket):
             return
+        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        size = np.diff(np.append(first, len(bucket)))
+        small = np.repeat(size <= NEAR + 1, size)
         pairs = []
         for k in range(1, min(NEAR, len(bucket) - 1) + 1):
-            both = np.flatnonzero((bucket[k:] == bucket[:-k]) & (100 * n[:-k] >= percent * n[k:]))
+            both = (bucket[k:] == bucket[:-k]) & (100 * n[:-k] >= percent * n[k:])
+            # all pairs of a small bucket; in a large one each set meets the one before
+            both = np.flatnonzero(both if k == 1 else both & small[k:])
             pairs.append(np.stack((node[both], node[both + k]), 1))
         ends = np.sort(np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64), axis=1)
         a, b = ends[np.lexsort((ends[:, 1], ends[:, 0]))].T
         new = np.concatenate((np.full(min(1, len(a)), True), (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         a, b = a[new], b[new]
-        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        size = np.diff(np.append(first, len(bucket)))
         # A range partitioning may have cut the first and the last bucket.
         whole = size <= NEAR + 1
         whole[[0, -1]] = False
