@@ -26,10 +26,11 @@ TRAIN_PAGES = 150
 DRESSES = 3
 TAGS_OF_BLOCKS = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html"
-    " label legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
+    " label legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = set("script style noscript template head title textarea select svg math iframe object canvas audio video".split())
+#: Elements whose content is no text of the page: code, styles, form controls, raw mark-up of frames, sources of formulas.
+NO_TEXT = set("script style template head title textarea select iframe annotation annotation-xml".split())
 CLOSES_ITSELF = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "td": "td th", "th": "td th", "option": "option", "p": "p"}
 SCOPES = set("ul ol dl table article section div main body aside nav td th blockquote form".split())
 OUTSIDE = set("nav aside footer header form menu dialog search".split())
@@ -130,6 +131,12 @@ def leaf_blocks(html: str | None) -> list[Block]:
     return tree.blocks
 
 
+def heads_article(tags: tuple[str, ...]) -> bool:
+    """Whether a block is a heading in an article's own header."""
+    inner = next((i for i, t in enumerate(tags) if t in ("article", "main")), len(tags))
+    return bool({"h1", "h2"} & set(tags)) and OUTSIDE & set(tags[inner:]) == {"header"} and not OUTSIDE & set(tags[:inner])
+
+
 def block_features(block: Block, place: int, count: int) -> list[str]:
     n = len(block.text)
     words = block.text.count(" ") + 1
@@ -139,6 +146,8 @@ def block_features(block: Block, place: int, count: int) -> list[str]:
     found += [f"own {t}" for t in block.tags[-1:]] + [f"over {t}" for t in block.tags[-2:-1]]
     found += [f"in {t}" for t in set(block.tags)] + [f"name {n}" for n in block.names]
     found += [f"near {n}" for n in block.near]
+    if heads_article(block.tags):
+        found.append("heads article")
     if "©" in block.text or "copyright" in block.text.lower():
         found.append("copyright")
     if place == 0:
@@ -149,13 +158,17 @@ def block_features(block: Block, place: int, count: int) -> list[str]:
 
 
 def seed_labels(blocks: list[Block]) -> list[int]:
-    """1 for blocks of an article or main element outside its own menus and asides; without one, long unlinked texts."""
+    """1 for blocks of an article or main element outside its own menus and asides; without one, long unlinked texts.
+
+    Headings in the article's own header belong to it.
+    """
     semantic = any("article" in b.tags or "main" in b.tags for b in blocks)
     out = []
     for b in blocks:
         outside = bool(OUTSIDE & set(b.tags)) or bool(b.names & OUTER_NAMES)
         inside = ("article" in b.tags or "main" in b.tags) if semantic else len(b.text) >= 80 and 4 * b.linked < len(b.text)
-        out.append(int(inside and not outside))
+        heads = heads_article(b.tags) and not b.names & OUTER_NAMES - {"header"}
+        out.append(int(inside and not outside or heads))
     return out
 
 
@@ -185,7 +198,9 @@ def _attribute(rng: random.Random, names: str) -> str:
 def _surround(rng: random.Random, kind: str, texts: list[str]) -> list[tuple[str, int]]:
     """One part of a page that is no article: rows of (html, label)."""
     element = ELEMENTS[kind] if rng.random() < 0.5 else rng.choice(["div", "div", "section", "aside" if kind in ("aside", "ad") else "div"])
-    named = "" if element not in ("div", "section") and rng.random() < 0.4 else _attribute(rng, OUTER[kind])
+    # Menus need no name: their links tell.
+    bare = element not in ("div", "section") and rng.random() < 0.4 or kind == "nav" and rng.random() < 0.2
+    named = "" if bare else _attribute(rng, OUTER[kind])
     rows: list[tuple[str, int]] = [(f"<{element}{named}>", -1)]
     if kind in ("nav", "share") or kind in ("footer", "header", "aside") and rng.random() < 0.5:
         rows += [("<ul>", -1)] + [(f'<li><a href="#">{escape(" ".join(t.split()[: rng.randint(1, 4)]))}</a></li>', 0) for t in texts[:5]] + [("</ul>", -1)]
@@ -220,7 +235,8 @@ def dressed_page(rng: random.Random, content: list[str], other: list[str]) -> tu
         body = escape(text)
         if rng.random() < 0.2:
             body = f'<a href="#">{body[:20].split("&")[0]}</a>{body[len(body[:20].split("&")[0]):]}'
-        rows.append((f"<{tag}>{body}</{tag}>", 1))
+        own = element in ("article", "main") and tag in ("h1", "h2") and rng.random() < 0.3
+        rows.append((f"<header><{tag}>{body}</{tag}></header>" if own else f"<{tag}>{body}</{tag}>", 1))
     if inside and rng.random() < 0.4:
         rows += _surround(rng, "comments", [rng.choice(content) for _ in range(4)])
     rows.append((f"</{element}>", -1))

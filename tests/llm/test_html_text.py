@@ -51,6 +51,19 @@ def test_given_pages_and_unseen_dresses(spark):
     assert right >= 0.97 * total
     page = '<body><div id="sideBar"><p>Other stories you may like</p></div><div class="post-content"><p>First words of the story.</p><form><p>Sign up</p></form><p>Second part.</p></div><div class="comments"><p>I liked this story a lot.</p></div></body>'
     assert main_text(model, page) == "First words of the story.\nSecond part."
+    page = '<body><header><h1>Site of the town</h1></header><article><header class="article-header"><h1>A title of the story</h1></header><p>First words of the story.</p></article></body>'
+    assert main_text(model, page) == "A title of the story\nFirst words of the story."
+
+
+def test_text_of_formulas_and_fall_backs_is_kept():
+    html = "<p>Energy is <math><mi>E</mi><annotation>\\\\E</annotation></math> here.</p><noscript><p>Without scripts</p></noscript><p><object data=x>a fall-back</object> <svg><title>t</title><text>label</text></svg><iframe><b>raw</b></iframe></p>"
+    assert [b.text for b in leaf_blocks(html)] == ["Energy is E here.", "Without scripts", "a fall-back label"]
+
+
+def test_very_long_page():
+    model = Field({"own p": (0.0, 1.0)})
+    html = "<div>menu</div>" + "<p>some words &amp; more</p>" * 20_000 + "<p>" + "long " * 200_000 + "</p>"
+    assert main_text(model, html) == "\n".join(["some words & more"] * 20_000 + [("long " * 200_000).strip()])
 
 
 def test_odd_rows(spark):
