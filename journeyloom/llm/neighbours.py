@@ -27,7 +27,7 @@ ROTATIONS, SUBSTRING = 4, 64
 SAMPLE_VECTORS, SAMPLE_QUERIES = 6_000, 200
 RECALL = 0.97
 BLOCK_ROWS, BLOCK_QUERIES = 20_000, 2_000
-HITS = "query_id long, vec_id long, score double"
+HITS = "query_id long, row long, vec_id long, score double"
 
 
 class Codes:
@@ -118,25 +118,24 @@ def _searched(codes: Codes, radius: int | None, neighbours: int):
     """Hits of a block of queries in a block of the index, of all its vectors without a radius."""
 
     def search(queries: pa.Table, block: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         if queries.num_rows and block.num_rows:
-            ids = block["vec_id"].to_numpy()
+            ids, own = block["vec_id"].to_numpy(), block["row"].to_numpy()
             vectors = _matrix(block["embedding"].combine_chunks())
             index = None if radius is None else MultiIndex(codes.of(vectors))
             asked = _matrix(queries["embedding"].combine_chunks())
             asked_codes = codes.of(asked)
-            for q, vector, code in zip(queries["vec_id"].to_numpy(), asked, asked_codes, strict=True):
+            for q, self, vector, code in zip(queries["vec_id"].to_numpy(), queries["row"].to_numpy(), asked, asked_codes, strict=True):
                 rows = np.arange(len(ids)) if index is None else index.within(code, radius)
-                rows = rows[ids[rows] != q]
+                rows = rows[(ids[rows] != q) | (own[rows] != self)]
                 # One sum order for all blocks, so that equal vectors get equal scores.
                 scores = np.einsum("ij,j->i", vectors[rows], vector)
                 best = best_first(ids[rows], scores, neighbours)
-                out[0].append(np.full(len(best), q))
-                out[1].append(ids[rows[best]])
-                out[2].append(scores[best])
-        types = (pa.int64(), pa.int64(), pa.float64())
+                for column, values in zip(out, (np.full(len(best), q), np.full(len(best), self), ids[rows[best]], scores[best]), strict=True):
+                    column.append(values)
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         arrays = [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, types, strict=True)]
-        return pa.table(arrays, ["query_id", "vec_id", "score"])
+        return pa.table(arrays, ["query_id", "row", "vec_id", "score"])
 
     return search
 
@@ -146,15 +145,18 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20) -> DataFr
 
     ``vectors`` has vec_id and embedding; queries are the rows whose vec_id is divisible by ``every``. Vectors that are
     NULL, zero, of another length than most, or hold NULL or non-finite components take no part, nor do
-    NULL ids; of rows that repeat an id one (the least vector) is used. Every query gets ``neighbours`` rows, or as many as
-    there are other vectors. No usable rows give no rows.
+    NULL ids. Rows that repeat an id are vectors of their own: each of them is found, and each asks if the id does, leaving
+    out itself only. Every query gets ``neighbours`` rows, or as many as there are other vectors. No usable rows give no rows.
     """
     usable = (
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
         .where("vec_id is not null and embedding is not null and size(embedding) > 0")
         .where(F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(embedding, x -> x <> 0)"))
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
+        .groupBy("vec_id", "embedding")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .select("vec_id", "embedding", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+        # Tells rows of one id apart, whatever partition computes them.
+        .select("vec_id", "embedding", F.xxhash64("vec_id", "embedding", "copy").alias("row"))
     )
     length = usable.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     spark = vectors.sparkSession
@@ -171,12 +173,12 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20) -> DataFr
     # Fewer vectors than neighbours: everything is near enough.
     radius = calibrated_radius(codes, sample, neighbours) if count > 10 * neighbours else None
     queries = usable.where(F.col("vec_id") % every == 0)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
 
     def asked(some: DataFrame, n: int, within: int | None) -> DataFrame:
         """The best hits of ``n`` queries; blocks of queries meet blocks of the index."""
         blocks, askers = -(-count // BLOCK_ROWS), -(-n // BLOCK_QUERIES) or 1
-        hashed = F.xxhash64("vec_id")
+        hashed = F.xxhash64("row")
         index = usable.withColumn("block", F.pmod(hashed, F.lit(blocks)).cast("int"))
         grid_i = index.withColumn("asker", F.explode(F.sequence(F.lit(0), F.lit(askers - 1))))
         grid_q = some.withColumn("asker", F.pmod(hashed, F.lit(askers)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -186,8 +188,8 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20) -> DataFr
     found = asked(queries, -(-count // every), radius)
     if radius is not None:
         found = checkpointed(found)
-        full = found.where(F.col("rank") == min(neighbours, count - 1)).select(F.col("query_id").alias("vec_id"))
-        short = checkpointed(queries.join(full, "vec_id", "left_anti"))
+        full = found.where(F.col("rank") == min(neighbours, count - 1)).select("query_id", "row")
+        short = checkpointed(queries.join(full.withColumnRenamed("query_id", "vec_id"), ["vec_id", "row"], "left_anti"))
         if n := short.count():
-            found = found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").unionByName(asked(short, n, None))
+            found = found.join(full, ["query_id", "row"], "left_semi").unionByName(asked(short, n, None))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -49,11 +49,30 @@ def test_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, []), (9, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (40, None)]
     docs = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA)
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in nearest(docs).orderBy("query_id", "rank").collect()]
-    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.5), (20, 1, 0, 0.5), (20, 2, 1, 0.5), (20, 3, 2, 0.5)]
+    # Both rows of id 20 ask, and each finds the other.
+    twice = [x for rank, other in enumerate((0, 1, 2, 20), 1) for x in [(20, rank, other, 0.5)] * 2]
+    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.5), (0, 4, 20, 0.5), *twice]
     assert nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     assert nearest(docs.where("vec_id = 3")).count() == 0
 
 
+def test_one_id_with_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr("journeyloom.llm.neighbours.calibrated_radius", lambda *_: 10_000)
+    rng = np.random.default_rng(8)
+    ids = np.concatenate([np.arange(200), np.full(100, 40)])
+    x = rng.integers(-3, 4, (300, 8)).astype(float)
+    x[250:] = x[249]
+    x[:, 0] += 0.5
+    found = nearest(spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>"))
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect())
+    want = []
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = x @ x[i]
+        order = [j for j in np.lexsort((ids, -scores)) if j != i][:20]
+        want += [(int(ids[i]), rank, int(ids[j]), float(scores[j])) for rank, j in enumerate(order, 1)]
+    assert got == sorted(want)
+
+
 def test_every_query_of_a_skewed_table_gets_its_rows(spark, monkeypatch):
     # As the clusters set it.
     monkeypatch.setattr("journeyloom.llm.neighbours.calibrated_radius", lambda *_: 2)
