@@ -159,7 +159,8 @@ def pack_along_curve(docs: DataFrame, tokenizer: str, ranks: str | None = None,
         if len(places):
             borders = [int(places[len(places) * i // parts]) for i in range(1, parts)]
     tokens = rows.mapInArrow(_tokenised(borders, tool), "doc_id long, part int, place long, ids binary")
-    ordered = tokens.repartition(parts, "part").sortWithinPartitions("part", "place", "doc_id", F.crc32("ids"))
+    # One task a part: hashed part numbers would meet in some tasks and leave others empty.
+    ordered = tokens.repartitionById(parts, "part").sortWithinPartitions("part", "place", "doc_id", F.crc32("ids"))
     ids = ", ".join("ids array<int>" if c == "ids" else f"{c} long" for c in values)
     return ordered.mapInArrow(_packed(length, list(values)), f"doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long")
 

@@ -55,5 +55,14 @@ def test_pieces_rebuild_every_document(spark):
     assert digests.ids_crc32.tolist() == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in at.ids]
 
 
+def test_every_part_has_its_own_task(spark, monkeypatch):
+    monkeypatch.setattr("journeyloom.llm.packing.PART_BYTES", 1_000)
+    docs = spark.createDataFrame([(i, f"{i} word " * (i % 40)) for i in range(800)], "doc_id long, text string")
+    pieces = pack_along_curve(docs, *tokenizer_files(), length=64)
+    assert pieces.rdd.getNumPartitions() > 100
+    parts = pieces.selectExpr("shiftright(sequence_id, 32) as part", "spark_partition_id() as task").distinct().toPandas()
+    assert len(parts) > 80 and parts.part.is_unique and parts.task.is_unique
+
+
 def test_no_documents_no_pieces(spark):
     assert pack_along_curve(spark.createDataFrame([], SCHEMA), *tokenizer_files()).count() == 0
