@@ -148,3 +148,16 @@ def test_ridge_matches_a_closed_form(spark):
     grid = spark.createDataFrame(rows, "date string, channel string, saturated double, total_revenue double")
     got = {r["channel"]: r["coefficient"] for r in R.ridge_coefficients(grid, ["a", "b"]).collect()}
     assert got["a"] == pytest.approx(30.0, rel=0.05) and abs(got.get("b", 0.0)) < 1.0
+
+
+@pytest.mark.parametrize("kind, per_core", [("gradient_boost", 1), ("random_forest", 2), (None, 2)])
+def test_tree_fits_have_partitions_by_cores(spark, touches, kind, per_core, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L.Pipeline, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()))
+    set_to = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        L.train_pipeline(conversion_features(touches), kind=kind)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", set_to)
+    assert seen == [per_core * spark.sparkContext.defaultParallelism]
