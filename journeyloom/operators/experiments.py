@@ -6,8 +6,11 @@ reduced tables.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from journeyloom.functions import distributions as dist, poisson, tails
@@ -275,26 +278,56 @@ def bootstrap_means(
 def _touch_replicates(rows: DataFrame, value: str, replicates: int, seed: int) -> DataFrame:
     """(channel, draw, mean); draw 0 is the observed mean.
 
-    One md5 gives the bits of four replicates.
+    One md5 gives the bits of four replicates. Draws never become rows: a task adds up all replicates of a channel and
+    returns one row a replicate.
     """
-    spark = rows.sparkSession
     units = F.round(F.col(value) * UNITS).cast("long")
     counts = rows.groupBy("channel", units.alias("units")).agg(F.count(F.lit(1)).alias("n"))
-    parts = counts.repartition(4 * spark.sparkContext.defaultParallelism, "channel", "units").select(
-        "channel", "units", F.inline(poisson.rate_parts(F.col("n")))
+    parts = counts.select("channel", "units", F.inline(poisson.rate_parts(F.col("n"))))
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ("channel", "units", "level", "piece")])
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    dealt = parts.repartition(tasks, "channel", "units", "level", "piece").sortWithinPartitions("channel")
+    channel = rows.schema["channel"].dataType.simpleString()
+    sums = dealt.select("channel", "units", "level", key.alias("key")).mapInArrow(
+        _resampled(replicates), f"channel {channel}, draw int, w bigint, s double"
     )
-    quads = parts.withColumn("quad", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // 4) - 1))))
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ("channel", "units", "level", "piece", "quad")]))
-    words = F.array(*[F.conv(F.substring("digest", 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)])
-    drawn = quads.withColumn("digest", digest).select("channel", "units", "level", "quad", F.posexplode(words).alias("place", "bits"))
-    drawn = drawn.withColumn("draw", F.col("quad") * 4 + F.col("place") + 1).filter(F.col("draw") <= replicates)
-    cells = poisson.poisson_cells(spark).withColumnRenamed("cell", "of_cell").withColumnRenamed("level", "of_level")
-    hit = (F.col("level") == F.col("of_level")) & (poisson.cell_of(F.col("bits")) == F.col("of_cell"))
-    weighed = drawn.join(F.broadcast(cells), hit).withColumn("w", poisson.count_at(F.col("bits")))
-    mean = ratio(F.sum(F.col("w") * F.col("units").cast("double")) / UNITS, F.sum("w"))
-    seen = counts.groupBy("channel").agg(ratio(F.sum(F.col("n") * F.col("units").cast("double")) / UNITS, F.sum("n")).alias("mean"))
-    resampled = weighed.groupBy("channel", "draw").agg(mean.alias("mean"))
-    return resampled.unionByName(seen.withColumn("draw", F.lit(0)))
+    return sums.groupBy("channel", "draw").agg(ratio(F.sum("s") / UNITS, F.sum("w")).alias("mean"))
+
+
+def _resampled(replicates: int):
+    """Rows (channel, units, level, key), sorted by channel, to sums of weight and of weight times units by draw.
+
+    Draw 0 gives every part its rate 2^level, the number of touches it stands for.
+    """
+
+    def run(batches):
+        quads = [f"|{q}".encode() for q in range(-(-replicates // 4))]
+        steps: dict[int, tuple] = {}
+        at, draws = None, pa.array(range(replicates + 1), pa.int32())
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([at] * len(draws), kind), draws, pa.array(w), pa.array(s)], ["channel", "draw", "w", "s"])
+
+        w = s = None
+        for batch in batches:
+            kind = batch.schema.field("channel").type
+            for channel, units, level, key in zip(*(batch.column(c).to_pylist() for c in ("channel", "units", "level", "key")), strict=True):
+                if w is None or channel != at:
+                    if w is not None:
+                        yield out()
+                    at, w, s = channel, np.zeros(replicates + 1, np.int64), np.zeros(replicates + 1)
+                if level not in steps:
+                    steps[level] = poisson.thresholds(1 << level)
+                low, passed = steps[level]
+                start = key.encode()
+                bits = np.frombuffer(b"".join([hashlib.md5(start + q).digest() for q in quads]), ">u4")[:replicates].astype(np.int64)
+                drawn = np.concatenate([[1 << level], low + np.searchsorted(passed, bits, side="right")])
+                w += drawn
+                s += drawn * float(units)
+        if w is not None:
+            yield out()
+
+    return run
 
 
 def _block_replicates(rows: DataFrame, value: str, replicates: int, blocks: int, seed: int) -> DataFrame:

@@ -1,5 +1,6 @@
 """Tails, Poisson draws, autoregressions, ridge path, ranks: columns against plain Python and numpy."""
 
+import hashlib
 import math
 import random
 from datetime import date, timedelta
@@ -81,6 +82,31 @@ def test_bootstrap_of_touches_has_the_deviation_of_means(spark):
     assert got["b"]["ci_lower"] == got["b"]["ci_upper"] == pytest.approx(2.5)
 
 
+def test_bootstrap_draws_never_become_rows(spark):
+    counts = [("a", 2.5, 3), ("a", 0.0, 70_000), ("b", 1.25, 9), (None, 4.0, 1), (None, 1.0, 2)]
+    one = spark.createDataFrame(counts, "channel string, credit double, n int")
+    rows = one.select("channel", "credit", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    means = experiments._touch_replicates(rows, "credit", 6, 42)
+    got = {(r["channel"], r["draw"]): r["mean"] for r in means.collect()}
+    want = {}
+    for channel in ("a", "b", None):
+        mine = [(v, n) for c, v, n in counts if c == channel]
+        want[channel, 0] = sum(v * n for v, n in mine) / sum(n for _, n in mine)
+        for draw in range(1, 7):
+            total = weight = 0
+            for v, n in mine:
+                for level, piece in [(i, 0) for i in range(16) if n >> i & 1] + [(16, p + 1) for p in range(n >> 16)]:
+                    key = [x for x in ("42", channel, str(int(v * 1e6)), str(level), str(piece), str((draw - 1) // 4)) if x is not None]
+                    bits = int(hashlib.md5("|".join(key).encode()).hexdigest()[8 * ((draw - 1) % 4) :][:8], 16)
+                    low, steps = poisson.thresholds(1 << level)
+                    drawn = low + sum(int(t) <= bits for t in steps)
+                    total, weight = total + drawn * v, weight + drawn
+            want[channel, draw] = total / weight if weight else None
+    assert got == pytest.approx(want)
+    text = means._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in text.split("MapInArrow")[0] and "Join" not in text
+
+
 def days(values, series="s"):
     return [(series, date(2024, 1, 1) + timedelta(i), float(v)) for i, v in enumerate(values)]
 
