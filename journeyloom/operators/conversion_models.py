@@ -177,11 +177,16 @@ def model_inputs(touches: DataFrame, channels: list[str]) -> tuple[DataFrame, li
 def compare_models(touches: DataFrame, channels: list[str], kinds: list[str], seed: int = 42) -> DataFrame:
     """AUC and accuracy of each model family on one stratified split."""
     features, inputs = model_inputs(touches, channels)
-    train, test = split(features, 0.2, seed, "converted")
-    parts = []
-    for kind in kinds:
-        model = train_pipeline(train, inputs, kind, "converted", seed)
-        parts.append((kind, *evaluate(model, test, "converted").first()))
+    # read for the cuts, for each fit and twice for its quality
+    features = features.persist()
+    try:
+        train, test = split(features, 0.2, seed, "converted")
+        parts = []
+        for kind in kinds:
+            model = train_pipeline(train, inputs, kind, "converted", seed)
+            parts.append((kind, *evaluate(model, test, "converted").first()))
+    finally:
+        features.unpersist()
     return touches.sparkSession.createDataFrame(
         parts, "model string, auc double, accuracy double, test_rows bigint"
     )
