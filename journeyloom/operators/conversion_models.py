@@ -85,21 +85,21 @@ def train_pipeline(
     inputs = inputs or FEATURES
     assembler = VectorAssembler(inputCols=inputs, outputCol="features_raw")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features")
-    rows = _ordered(train.select("customer_id", label, *inputs), 1 if kind == "gradient_boost" else 2)
+    rows = _ordered(train.select("customer_id", label, *inputs))
     try:
         return Pipeline(stages=[assembler, scaler, model]).fit(rows)
     finally:
         rows.unpersist()
 
 
-def _ordered(features: DataFrame, per_core: int = 2) -> DataFrame:
+def _ordered(features: DataFrame) -> DataFrame:
     """Cached in a fixed order: fitting passes over the rows many times and draws its samples by partition and row.
 
     Each task of a tree stage sends the histograms of all its nodes, and boosting runs a thousand such stages, each over
-    before the next: the number of partitions follows the cores, whatever the number of shuffle partitions.
+    before the next: at most two partitions a core, whatever the number of shuffle partitions.
     """
     spark = features.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), per_core * spark.sparkContext.defaultParallelism)
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     return features.repartition(parts, "customer_id").sortWithinPartitions("customer_id").persist()
 
 

@@ -150,8 +150,8 @@ def test_ridge_matches_a_closed_form(spark):
     assert got["a"] == pytest.approx(30.0, rel=0.05) and abs(got.get("b", 0.0)) < 1.0
 
 
-@pytest.mark.parametrize("kind, per_core", [("gradient_boost", 1), ("random_forest", 2), (None, 2)])
-def test_tree_fits_have_partitions_by_cores(spark, touches, kind, per_core, monkeypatch):
+@pytest.mark.parametrize("kind", ["gradient_boost", "random_forest", None])
+def test_tree_fits_have_partitions_by_cores(spark, touches, kind, monkeypatch):
     seen = []
     monkeypatch.setattr(L.Pipeline, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()))
     set_to = spark.conf.get("spark.sql.shuffle.partitions")
@@ -160,4 +160,4 @@ def test_tree_fits_have_partitions_by_cores(spark, touches, kind, per_core, monk
         L.train_pipeline(conversion_features(touches), kind=kind)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", set_to)
-    assert seen == [per_core * spark.sparkContext.defaultParallelism]
+    assert seen == [2 * spark.sparkContext.defaultParallelism]
